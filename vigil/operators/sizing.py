@@ -1,0 +1,22 @@
+"""Size-checked broadcast: broadcast a side only when a bounded check proves
+it small, otherwise leave the join to the shuffle strategies (and AQE)."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Largest row count we are willing to ship to every executor.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def has_at_most(df: DataFrame, max_rows: int) -> bool:
+    """True when ``df`` has at most ``max_rows`` rows. The check reads at most
+    ``max_rows + 1`` rows, so its own cost is bounded too."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Hint a broadcast for a side proven to hold at most ``max_rows`` rows;
+    beyond that, return it unchanged so Spark picks a shuffle join."""
+    return F.broadcast(df) if has_at_most(df, max_rows) else df
