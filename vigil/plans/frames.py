@@ -29,3 +29,41 @@ def model_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 __all__ = ["incident_source", "raw_documents", "parsed_incidents", "clean_table",
            "processed_table", "model_table"]
+
+
+# --- scored incidents (baseline cell-rate scorer) -----------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from vigil.operators.features import tag_split  # noqa: E402
+from vigil.operators.scoring import apply_rate_model, fit_rate_model  # noqa: E402
+
+SCORE_KEYS = ("tipo_entrada", "incidente_c4_rec", "hora")
+# The month scored by the monthly run (newest complete month of the data).
+NEW_YEAR, NEW_MONTH = 2001, 7
+PREDICTION_COLS = ("folio", "mes", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada",
+                   "incidente_c4_rec", "ano", "y_proba_0", "y_proba_1", "y_etiqueta")
+
+
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model population with its 70/30 train/test tag (portable key formula)."""
+    return tag_split(model_table(spark, sf_dir), "folio", method="mix")
+
+
+def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the population scored by the cell-rate model fit on train."""
+    df = split_table(spark, sf_dir)
+    model = fit_rate_model(df.filter(F.col("conjunto") == "train"), SCORE_KEYS)
+    return apply_rate_model(df, model, SCORE_KEYS).withColumn("mes", F.col("mes").cast("int"))
+
+
+def historic_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test-set predictions (the history the monitor compares against)."""
+    s = scored_table(spark, sf_dir)
+    return s.filter(F.col("conjunto") == "test").select(*PREDICTION_COLS, F.col("target").alias("y_test"))
+
+
+def new_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions of the newest month."""
+    s = scored_table(spark, sf_dir)
+    return (s.filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
+             .select(*PREDICTION_COLS, F.col("target").alias("y_test")))

@@ -52,3 +52,31 @@ def with_proc(body: str) -> str:
 def with_model(body: str) -> str:
     return (f"WITH inc AS ({INCIDENT_SQL}), clean AS ({CLEAN_SELECT}), proc AS ({PROC_SELECT}),"
             f" model AS ({MODEL_SELECT})\n{body}")
+
+SPLIT_SELECT = """
+SELECT *, CASE WHEN ((cast(folio AS bigint) * 7919 + 0) % 100 + 100) % 100 < 70
+               THEN 'train' ELSE 'test' END AS conjunto FROM model
+"""
+
+SCORED_SELECT = """
+SELECT s.* REPLACE (cast(s.mes AS integer) AS mes),
+       1 - coalesce(r.rate, g.global_rate) AS y_proba_0,
+       coalesce(r.rate, g.global_rate) AS y_proba_1,
+       CASE WHEN coalesce(r.rate, g.global_rate) >= 0.5 THEN 1 ELSE 0 END AS y_etiqueta
+FROM split s
+LEFT JOIN (SELECT tipo_entrada, incidente_c4_rec, hora, avg(cast(target AS double)) AS rate
+           FROM split WHERE conjunto = 'train' GROUP BY ALL) r
+  ON s.tipo_entrada = r.tipo_entrada AND s.incidente_c4_rec = r.incidente_c4_rec AND s.hora = r.hora
+CROSS JOIN (SELECT avg(cast(target AS double)) AS global_rate FROM split WHERE conjunto = 'train') g
+"""
+
+PRED_COLS = ("folio, mes, hora, delegacion_inicio, dia_semana, tipo_entrada, incidente_c4_rec, "
+             "ano, y_proba_0, y_proba_1, y_etiqueta")
+
+
+def with_scored(body: str) -> str:
+    return (f"WITH inc AS ({INCIDENT_SQL}), clean AS ({CLEAN_SELECT}), proc AS ({PROC_SELECT}),"
+            f" model AS ({MODEL_SELECT}), split AS ({SPLIT_SELECT}), scored AS ({SCORED_SELECT}),"
+            f" hist AS (SELECT {PRED_COLS}, target AS y_test FROM scored WHERE conjunto = 'test'),"
+            f" live AS (SELECT {PRED_COLS}, target AS y_test FROM scored WHERE ano = 2001 AND mes = 7)\n"
+            f"{body}")
