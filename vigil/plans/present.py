@@ -10,8 +10,8 @@ SIG_DIGITS = 9
 
 def sig_round(c, digits: int = SIG_DIGITS):
     x = F.col(c) if isinstance(c, str) else c
-    scale = (F.lit(digits) - F.ceil(F.log10(F.abs(x)))).cast("int")
-    return F.when(x.isNull() | (x == 0) | F.isnan(x), x).otherwise(F.round(x, scale))
+    unit = F.pow(F.lit(10.0), F.ceil(F.log10(F.abs(x))))
+    return F.when(x.isNull() | (x == 0) | F.isnan(x), x).otherwise(F.round(x / unit, digits) * unit)
 
 
 def round_cols(df, cols, digits: int = SIG_DIGITS):
@@ -21,4 +21,5 @@ def round_cols(df, cols, digits: int = SIG_DIGITS):
 def sround(expr: str, digits: int = SIG_DIGITS) -> str:
     """SQL twin of ``sig_round``."""
     return (f"(CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) THEN ({expr}) "
-            f"ELSE round({expr}, cast({digits} - ceil(log10(abs({expr}))) AS integer)) END)")
+            f"ELSE round(({expr}) / pow(10.0, ceil(log10(abs({expr})))), {digits})"
+            f" * pow(10.0, ceil(log10(abs({expr})))) END)")
