@@ -1 +1,225 @@
-"""Query keys."""
+"""Query keys: fairness audit (B1-B10) and classification metrics."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.operators import fairness as B
+from vigil.plans.frames import historic_predictions
+from vigil.plans.present import round_cols, sround
+from vigil.plans.registry import register
+from vigil.plans.sql import with_scored
+
+ATTRS = ("delegacion_inicio", "dia_semana", "tipo_entrada")
+REF_GROUPS = {"delegacion_inicio": "á nation_10", "dia_semana": "lunes",
+              "tipo_entrada": "llamada building"}
+M = B.DISPARITY_METRICS
+
+
+def _input(spark, d):
+    return historic_predictions(spark, d).select(
+        *ATTRS, F.col("y_etiqueta").alias("score"), F.col("y_test").alias("label_value"))
+
+
+def _xtab(spark, d):
+    return B.group_crosstab(_input(spark, d), ATTRS)
+
+
+def _metrics(spark, d):
+    return B.group_metrics(_xtab(spark, d))
+
+
+# ---- SQL twins -------------------------------------------------------------
+_UNPIVOT = "\nUNION ALL\n".join(
+    f"SELECT '{a}' AS attribute_name, cast({a} AS varchar) AS attribute_value, "
+    f"y_etiqueta AS score, y_test AS label_value FROM hist" for a in ATTRS)
+
+XTAB_CTE = f""", u AS ({_UNPIVOT}),
+c AS (SELECT attribute_name, attribute_value,
+             cast(sum(CASE WHEN score = 1 AND label_value = 1 THEN 1 ELSE 0 END) AS bigint) AS tp,
+             cast(sum(CASE WHEN score = 1 AND label_value = 0 THEN 1 ELSE 0 END) AS bigint) AS fp,
+             cast(sum(CASE WHEN score = 0 AND label_value = 0 THEN 1 ELSE 0 END) AS bigint) AS tn,
+             cast(sum(CASE WHEN score = 0 AND label_value = 1 THEN 1 ELSE 0 END) AS bigint) AS fn,
+             count(*) AS group_size
+      FROM u GROUP BY 1, 2),
+x AS (SELECT *, tp + fp AS pp, tn + fn AS pn, tp + fn AS group_label_pos, tn + fp AS group_label_neg,
+             cast(sum(group_size) OVER (PARTITION BY attribute_name) AS bigint) AS total_entities,
+             cast(sum(tp + fp) OVER (PARTITION BY attribute_name) AS bigint) AS total_pp FROM c)"""
+
+XTAB_COLS = ("attribute_name, attribute_value, tp, fp, tn, fn, group_size, pp, pn, group_label_pos, "
+             "group_label_neg, total_entities, total_pp")
+
+
+def _rate(num, den):
+    return f"({num})::double / nullif(({den})::double, 0)"
+
+
+_METRIC_EXPRS = {"ppr": _rate("pp", "total_pp")}
+_METRIC_EXPRS.update({m: _rate(n, d) for m, (n, d) in B.RATES.items()})
+METRIC_CTE = ", m AS (SELECT *, " + ", ".join(
+    f'{e} AS "{m}"' for m, e in _METRIC_EXPRS.items()) + " FROM x)"
+METRIC_NAMES = list(_METRIC_EXPRS)
+
+
+def _q(m):
+    return f'"{m}"'
+
+
+def _metric_select(prefix=""):
+    return ", ".join(f'{sround(prefix + _q(m))} AS {_q(m)}' for m in METRIC_NAMES)
+
+
+@register("group_crosstab", with_scored(f"{XTAB_CTE}\nSELECT {XTAB_COLS} FROM x"))
+def q_group_crosstab(spark, d):
+    return _xtab(spark, d).select(*[c.strip() for c in XTAB_COLS.split(",")])
+
+
+@register("group_metrics", with_scored(
+    f"{XTAB_CTE}{METRIC_CTE}\nSELECT attribute_name, attribute_value, {_metric_select()} FROM m"))
+def q_group_metrics(spark, d):
+    out = _metrics(spark, d).select("attribute_name", "attribute_value", *METRIC_NAMES)
+    return round_cols(out, METRIC_NAMES)
+
+
+_REF_VALUES = ", ".join(f"('{a}', '{v}')" for a, v in REF_GROUPS.items())
+
+
+def _disp_select(ref_alias="r"):
+    return ", ".join(
+        f'{sround(f"m.{_q(k)} / nullif({ref_alias}.{_q(k)}, 0)")} AS "{k}_disparity"' for k in M)
+
+
+@register("fairness_disparity", with_scored(f"""{XTAB_CTE}{METRIC_CTE},
+refs(attribute_name, attribute_value) AS (VALUES {_REF_VALUES}),
+r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value))
+SELECT m.attribute_name, m.attribute_value, {_disp_select()}
+FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name"""))
+def q_fairness_disparity(spark, d):
+    out = B.disparity_predefined(_metrics(spark, d), REF_GROUPS)
+    cols = [f"{k}_disparity" for k in M]
+    return round_cols(out.select("attribute_name", "attribute_value", *cols), cols)
+
+
+@register("disparity_major", with_scored(f"""{XTAB_CTE}{METRIC_CTE},
+r AS (SELECT * FROM (SELECT m.*, row_number() OVER (PARTITION BY attribute_name
+                                   ORDER BY group_size DESC, attribute_value) AS rn FROM m) WHERE rn = 1)
+SELECT m.attribute_name, m.attribute_value, r.attribute_value AS ref_group_value, {_disp_select()}
+FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name"""))
+def q_disparity_major(spark, d):
+    out = B.disparity_major(_metrics(spark, d))
+    cols = [f"{k}_disparity" for k in M]
+    return round_cols(out.select("attribute_name", "attribute_value", "ref_group_value", *cols), cols)
+
+
+@register("disparity_min", with_scored(f"""{XTAB_CTE}{METRIC_CTE}
+SELECT attribute_name, attribute_value, """ + ", ".join(
+    f'{sround(f"{_q(k)} / nullif(min({_q(k)}) OVER (PARTITION BY attribute_name), 0)")} AS "{k}_disparity"'
+    for k in M) + " FROM m"))
+def q_disparity_min(spark, d):
+    out = B.disparity_min(_metrics(spark, d))
+    cols = [f"{k}_disparity" for k in M]
+    return round_cols(out.select("attribute_name", "attribute_value", *cols), cols)
+
+
+def _sig_sql(num, den):
+    p = f"(m.{num} + r.{num})::double / nullif((m.{den} + r.{den})::double, 0)"
+    p1 = f"m.{num}::double / nullif(m.{den}::double, 0)"
+    p2 = f"r.{num}::double / nullif(r.{den}::double, 0)"
+    se = f"sqrt({p} * (1 - {p}) * (1.0 / nullif(m.{den}::double, 0) + 1.0 / nullif(r.{den}::double, 0)))"
+    z = f"({p1} - {p2}) / nullif({se}, 0)"
+    return f"coalesce(abs({z}) > {B.Z_CRITICAL_95}, false)"
+
+
+SIG_METRICS = [m for m in B.RATES if m in M]
+
+
+@register("disparity_significance", with_scored(f"""{XTAB_CTE}{METRIC_CTE},
+refs(attribute_name, attribute_value) AS (VALUES {_REF_VALUES}),
+r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value))
+SELECT m.attribute_name, m.attribute_value, """ + ", ".join(
+    f'{_sig_sql(*B.RATES[k])} AS "{k}_significance"' for k in SIG_METRICS) + """
+FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name"""))
+def q_disparity_significance(spark, d):
+    out = B.disparity_significance(B.disparity_predefined(_metrics(spark, d), REF_GROUPS))
+    return out.select("attribute_name", "attribute_value", *[f"{k}_significance" for k in SIG_METRICS])
+
+
+def _parity_cte():
+    flags = ", ".join(
+        f'CASE WHEN "{k}_disparity" IS NOT NULL THEN "{k}_disparity" BETWEEN {B.PARITY_TAU} AND '
+        f'{1.0 / B.PARITY_TAU} END AS "{k}_parity"' for k in M)
+    raw = ", ".join(f'm.{_q(k)} / nullif(r.{_q(k)}, 0) AS "{k}_disparity"' for k in M)
+    return f"""{XTAB_CTE}{METRIC_CTE},
+refs(attribute_name, attribute_value) AS (VALUES {_REF_VALUES}),
+r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value)),
+dd AS (SELECT m.attribute_name, m.attribute_value, {raw}
+       FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name),
+pf AS (SELECT attribute_name, attribute_value, {flags} FROM dd)"""
+
+
+def _flags(spark, d):
+    return B.parity_flags(B.disparity_predefined(_metrics(spark, d), REF_GROUPS))
+
+
+@register("parity_flags", with_scored(f"{_parity_cte()}\nSELECT * FROM pf"))
+def q_parity_flags(spark, d):
+    return _flags(spark, d).select("attribute_name", "attribute_value", *[f"{k}_parity" for k in M])
+
+
+@register("parity_attribute", with_scored(f"{_parity_cte()}\nSELECT attribute_name, " + ", ".join(
+    f'bool_and("{k}_parity") AS "{k}_parity"' for k in M) + " FROM pf GROUP BY 1"))
+def q_parity_attribute(spark, d):
+    return B.parity_attribute(_flags(spark, d))
+
+
+@register("parity_overall", with_scored(f"{_parity_cte()},\npo AS (SELECT " + ", ".join(
+    f'bool_and("{k}_parity") AS "{k}_parity"' for k in M) + " FROM pf)\nSELECT *, " + " AND ".join(
+    f'coalesce("{k}_parity", true)' for k in M) + " AS overall_parity FROM po"))
+def q_parity_overall(spark, d):
+    return B.parity_overall(_flags(spark, d))
+
+
+_FTAB = f"""{XTAB_CTE}{METRIC_CTE},
+refs(attribute_name, attribute_value) AS (VALUES ('delegacion_inicio', '{REF_GROUPS["delegacion_inicio"]}')),
+r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value)),
+ft AS (SELECT m.attribute_value, m."for", m.fnr, m."for" / nullif(r."for", 0) AS for_disparity,
+              m.fnr / nullif(r.fnr, 0) AS fnr_disparity
+       FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name
+       WHERE m.attribute_name = 'delegacion_inicio')"""
+
+
+@register("fairness_table", with_scored(f"""{_FTAB}
+SELECT attribute_value, {sround('"for"')} AS "for", {sround("fnr")} AS fnr,
+       {sround("for_disparity")} AS for_disparity, {sround("fnr_disparity")} AS fnr_disparity FROM ft"""))
+def q_fairness_table(spark, d):
+    disp = B.disparity_predefined(_metrics(spark, d), {"delegacion_inicio": REF_GROUPS["delegacion_inicio"]})
+    cols = ["for", "fnr", "for_disparity", "fnr_disparity"]
+    return round_cols(B.fairness_table(disp, "delegacion_inicio"), cols)
+
+
+@register("fairness_summary", with_scored(f"""{_FTAB}
+SELECT arg_min(attribute_value, (-"for", attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_max_FOR,
+       arg_min(attribute_value, (-fnr, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_max_FNR,
+       {sround('avg("for")')} AS promedio_FOR, {sround("avg(fnr)")} AS promedio_FNR,
+       arg_min(attribute_value, ("for", attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_min_FOR,
+       arg_min(attribute_value, (fnr, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_min_FNR
+FROM ft"""))
+def q_fairness_summary(spark, d):
+    disp = B.disparity_predefined(_metrics(spark, d), {"delegacion_inicio": REF_GROUPS["delegacion_inicio"]})
+    return round_cols(B.fairness_summary(B.fairness_table(disp, "delegacion_inicio")),
+                      ["promedio_FOR", "promedio_FNR"])
+
+
+@register("confusion_matrix", with_scored("""
+SELECT * FROM (VALUES (1, 1), (1, 0), (0, 1), (0, 0)) v(y_real, y_predicho),
+LATERAL (SELECT count(*) AS n FROM hist WHERE y_test = v.y_real AND y_etiqueta = v.y_predicho)"""))
+def q_confusion_matrix(spark, d):
+    return B.confusion_matrix(historic_predictions(spark, d))
+
+
+@register("precision_metric", with_scored(f"""
+SELECT {sround("coalesce(sum(CASE WHEN y_test = 1 AND y_etiqueta = 1 THEN 1 ELSE 0 END)::double / nullif(sum(CASE WHEN y_etiqueta = 1 THEN 1 ELSE 0 END), 0), 0.0)")} AS precision,
+       cast(sum(CASE WHEN y_test = 1 AND y_etiqueta = 1 THEN 1 ELSE 0 END) AS bigint) AS tp,
+       cast(sum(CASE WHEN y_etiqueta = 1 THEN 1 ELSE 0 END) AS bigint) AS pp FROM hist"""))
+def q_precision_metric(spark, d):
+    return round_cols(B.precision_metric(historic_predictions(spark, d)), ["precision"])
