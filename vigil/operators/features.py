@@ -60,13 +60,19 @@ def impute_mode(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple
     return fill_with(train, modes, cols), fill_with(test, modes, cols)
 
 
-def vocabulary(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct non-null levels of a column (metadata of a fitted
-    encoder, bounded by WIDE_MAX_LEVELS)."""
-    levels = df.select(F.col(col).cast("string").alias("v")).filter(F.col("v").isNotNull()).distinct()
+def vocabulary(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
+    """Sorted distinct non-null levels of each column — the metadata of a
+    fitted encoder — from one distinct job over all columns (partial dedup
+    map-side), bounded by WIDE_MAX_LEVELS."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                         F.col(c).cast("string").alias("v")) for c in cols]))
+    levels = df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull()).distinct()
     if not has_at_most(levels, WIDE_MAX_LEVELS):
-        raise ValueError(f"{col}: more than {WIDE_MAX_LEVELS} levels; use the vector encoder")
-    return sorted(r.v for r in levels.collect())
+        raise ValueError(f"more than {WIDE_MAX_LEVELS} levels; use the vector encoder")
+    out: dict[str, list[str]] = {c: [] for c in cols}
+    for r in levels.collect():
+        out[r.variable].append(r.v)
+    return {c: sorted(v) for c, v in out.items()}
 
 
 def dummy_name(col: str, level: str) -> str:
@@ -74,7 +80,7 @@ def dummy_name(col: str, level: str) -> str:
 
 
 def fit_one_hot(train: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
-    return {c: vocabulary(train, c) for c in cols}
+    return vocabulary(train, cols)
 
 
 def one_hot(df: DataFrame, vocab: dict[str, list[str]], keep: Sequence[str] = ()) -> DataFrame:

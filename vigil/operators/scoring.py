@@ -10,24 +10,25 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.sizing import broadcast_if_small
-
 
 def fit_rate_model(train: DataFrame, keys: Sequence[str], target: str = "target") -> DataFrame:
-    """(keys..., rate) plus the global rate row (keys null) as fallback.
-    A grouped aggregation: partial sums on each partition."""
-    cells = train.groupBy(*keys).agg(F.avg(F.col(target).cast("double")).alias("rate"))
-    overall = train.agg(F.avg(F.col(target).cast("double")).alias("global_rate"))
-    return cells.crossJoin(F.broadcast(overall))
+    """(keys..., pos, n, rate): one grouped aggregation with partial sums on
+    every partition, so a hot cell never gathers its rows in one task."""
+    y = F.col(target).cast("double")
+    return (train.groupBy(*keys)
+                 .agg(F.sum(y).alias("pos"), F.count(F.lit(1)).alias("n"))
+                 .withColumn("rate", F.col("pos") / F.col("n")))
 
 
 def apply_rate_model(df: DataFrame, model: DataFrame, keys: Sequence[str],
                      threshold: float = 0.5) -> DataFrame:
-    """Adds y_proba_0, y_proba_1, y_etiqueta. The model has one row per cell,
-    so it is broadcast when its size check passes and shuffled otherwise."""
-    m = broadcast_if_small(model)
-    glob = model.select("global_rate").limit(1)
-    scored = df.join(m.drop("global_rate"), list(keys), "left").crossJoin(F.broadcast(glob))
+    """Adds y_proba_0, y_proba_1, y_etiqueta; cells unseen in training get
+    the global training rate. The model has one row per cell: AQE measures
+    it and broadcasts it when under the broadcast threshold (shuffle join
+    otherwise). The global rate is derived from the model, not the data."""
+    glob = model.agg((F.sum("pos") / F.sum("n")).alias("global_rate"))
+    scored = (df.join(model.select(*keys, "rate"), list(keys), "left")
+                .crossJoin(F.broadcast(glob)))
     p1 = F.coalesce(F.col("rate"), F.col("global_rate"))
     return (scored.withColumn("y_proba_1", p1)
                   .withColumn("y_proba_0", 1 - F.col("y_proba_1"))

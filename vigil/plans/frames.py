@@ -35,6 +35,7 @@ __all__ = ["incident_source", "raw_documents", "parsed_incidents", "clean_table"
 from pyspark.sql import functions as F  # noqa: E402
 
 from vigil.operators.features import tag_split  # noqa: E402
+from vigil.session import cut_lineage  # noqa: E402
 from vigil.operators.scoring import apply_rate_model, fit_rate_model  # noqa: E402
 
 SCORE_KEYS = ("tipo_entrada", "incidente_c4_rec", "hora")
@@ -49,10 +50,24 @@ def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tag_split(model_table(spark, sf_dir), "folio", method="mix")
 
 
+_FITTED: dict[tuple[int, str], DataFrame] = {}
+
+
+def fitted_rate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The cell-rate model fit on the training split, checkpointed once per
+    session and input (a fitted artifact: later plans read it instead of
+    re-deriving it from the source tables)."""
+    key = (id(spark), sf_dir)
+    if key not in _FITTED:
+        train = split_table(spark, sf_dir).filter(F.col("conjunto") == "train")
+        _FITTED[key] = cut_lineage(fit_rate_model(train, SCORE_KEYS))
+    return _FITTED[key]
+
+
 def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every row of the population scored by the cell-rate model fit on train."""
     df = split_table(spark, sf_dir)
-    model = fit_rate_model(df.filter(F.col("conjunto") == "train"), SCORE_KEYS)
+    model = fitted_rate_model(spark, sf_dir)
     return apply_rate_model(df, model, SCORE_KEYS).withColumn("mes", F.col("mes").cast("int"))
 
 

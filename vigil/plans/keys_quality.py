@@ -1 +1,220 @@
-"""Query keys."""
+"""Query keys: data-quality checks (Q1-Q12), lineage rows (L1-L3) and the
+calendar helpers (T1-T3)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.catalog import CLEAN, table
+from vigil.functions.temporal import closed_month, format_run_time, month_list
+from vigil.operators import features as FE
+from vigil.operators import lineage as L
+from vigil.operators import quality as Q
+from vigil.plans.frames import (clean_table, new_predictions, processed_table, raw_documents,
+                                split_table)
+from vigil.plans.present import round_cols, sround
+from vigil.plans.registry import register
+from vigil.plans.sql import with_clean, with_inc, with_proc, with_scored
+
+# Execution fields of the registered runs (parameters of every lineage/DQ row).
+RUN = L.RunInfo("02/12/2026 00:00:00", "127.0.0.1", "vigil")
+PERIOD = ("1995-01-01", "2001-08-01")
+LOWER_COLS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4", "codigo_cierre")
+MODEL_COLS = ("delegacion_inicio", "mes", "dia_semana", "hora", "tipo_entrada", "incidente_c4_rec",
+              "target")
+ONEHOT_CATS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec")
+RUN_SQL = f"'{RUN.fecha_ejecucion}' AS fecha_ejecucion, '{RUN.ip_address}' AS ip_address, " \
+          f"'{RUN.usuario}' AS usuario"
+
+
+def _lineage(spark, d):
+    return L.lineage_raw(raw_documents(spark, d), RUN, "incidentes", "orders")
+
+
+LIN_CTE = f""", lin AS (
+SELECT 'incidentes' AS dataset, 'UTC' AS timezone, cast(count(*) AS integer) AS rows,
+       cast(cast(ano AS integer) AS varchar) AS refine_ano, cast(cast(mes AS integer) AS varchar) AS refine_mes,
+       'orders' AS parametro_url, {RUN_SQL},
+       printf('%s_%04d_%02d.%s', 'incidentes', cast(ano AS integer), cast(mes AS integer), 'json') AS nombre_archivo,
+       'json' AS formato_archivo
+FROM inc GROUP BY cast(ano AS integer), cast(mes AS integer))"""
+
+
+@register("lineage_raw", with_inc(f"{LIN_CTE}\nSELECT * FROM lin"))
+def q_lineage_raw(spark, d):
+    return _lineage(spark, d)
+
+
+@register("lineage_clean", with_clean(f"""
+SELECT {RUN_SQL}, 'clean_incidents' AS id_tarea, 'completada' AS estatus_tarea,
+       printf('Deleted %d rows', (SELECT count(*) FROM inc) - (SELECT count(*) FROM clean)) AS registros_eliminados,
+       cast((SELECT count(*) FROM inc) - (SELECT count(*) FROM clean) AS bigint) AS n_eliminados"""))
+def q_lineage_clean(spark, d):
+    return L.lineage_clean(raw_documents(spark, d), clean_table(spark, d), RUN, "clean_incidents")
+
+
+@register("lineage_features")
+def q_lineage_features(spark, d):
+    # the column lists come from the pipeline definition; the run reads the data
+    # once to prove the encoded columns exist.
+    cols = processed_table(spark, d).columns
+    enc = [c for c in ONEHOT_CATS if c in cols]
+    return L.lineage_features(spark, RUN, "features", ["incidente_c4_rec", "hora", "clave", "target"],
+                              ["incidente_c4"], ["delegacion_inicio"], enc)
+
+
+@register("month_spine", """
+SELECT cast(unnest(generate_series(date_trunc('month', min(o_orderdate))::date,
+                                   date_trunc('month', max(o_orderdate))::date,
+                                   INTERVAL 1 MONTH)) AS date) AS mes FROM orders""")
+def q_month_spine(spark, d):
+    bounds = table(spark, d, "orders").agg(F.min("o_orderdate").alias("a"), F.max("o_orderdate").alias("b"))
+    return bounds.select(F.explode(month_list(F.to_date("a"), F.to_date("b"))).alias("mes"))
+
+
+@register("closed_month", """
+SELECT o_orderkey, cast(o_orderdate AS date) AS fecha,
+       cast(date_trunc('month', cast(o_orderdate AS date) + CASE WHEN day(o_orderdate) > 15
+            THEN INTERVAL '-1 month' ELSE INTERVAL '-2 month' END) AS date) AS mes_cerrado,
+       strftime(o_orderdate, '%d/%m/%Y %H:%M:%S') AS fecha_texto
+FROM orders""")
+def q_closed_month(spark, d):
+    o = table(spark, d, "orders")
+    return o.select("o_orderkey", F.to_date("o_orderdate").alias("fecha"),
+                    closed_month(F.to_date("o_orderdate")).alias("mes_cerrado"),
+                    format_run_time("o_orderdate").alias("fecha_texto"))
+
+
+@register("dq_month_coverage", with_inc(f"""{LIN_CTE},
+spine AS (SELECT cast(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 MONTH)) AS date) AS m),
+loaded AS (SELECT make_date(cast(refine_ano AS integer), cast(refine_mes AS integer), 1) AS m FROM lin),
+s AS (SELECT (SELECT count(*) FROM spine) AS n_esperados, (SELECT count(*) FROM lin) AS n_cargados,
+             (SELECT count(*) FROM spine WHERE m NOT IN (SELECT m FROM loaded)) AS n_faltantes)
+SELECT 'month_coverage' AS test,
+       CASE WHEN n_faltantes = 0 AND n_esperados = n_cargados THEN 'passed' ELSE 'failed' END AS test_status,
+       'extract' AS level,
+       CASE WHEN n_faltantes = 0 AND n_esperados = n_cargados THEN NULL
+            ELSE 'months in the period and months loaded differ' END AS error,
+       n_esperados, n_cargados, n_faltantes FROM s"""))
+def q_dq_month_coverage(spark, d):
+    return Q.dq_month_coverage(_lineage(spark, d), *PERIOD)
+
+
+@register("dq_month_once", with_inc(f"""{LIN_CTE}
+SELECT refine_ano, refine_mes, count(*) AS n_cargas, 'month_loaded_once' AS test,
+       CASE WHEN count(*) = 1 THEN 'passed' ELSE 'failed' END AS test_status, 'extract' AS level,
+       CASE WHEN count(*) = 1 THEN NULL ELSE 'month loaded more than once' END AS error
+FROM lin GROUP BY 1, 2"""))
+def q_dq_month_once(spark, d):
+    return Q.dq_month_once(_lineage(spark, d))
+
+
+@register("dq_row_count", with_inc(f"""{LIN_CTE},
+s AS (SELECT (SELECT cast(sum(rows) AS bigint) FROM lin) AS n_declarados, (SELECT count(*) FROM inc) AS n_almacenados)
+SELECT 'row_count' AS test, CASE WHEN n_declarados = n_almacenados THEN 'passed' ELSE 'failed' END AS test_status,
+       'extract' AS level,
+       CASE WHEN n_declarados = n_almacenados THEN NULL ELSE 'rows extracted and rows loaded differ' END AS error,
+       n_declarados, n_almacenados FROM s"""))
+def q_dq_row_count(spark, d):
+    return Q.dq_row_count(_lineage(spark, d), raw_documents(spark, d))
+
+
+def _lower_sql(c):
+    ok = f"coalesce(bool_and({c} = lower({c}) AND regexp_matches({c}, '\\p{{L}}')), true)"
+    return (f"SELECT '{c}' AS columna, 'lowercase' AS test, CASE WHEN {ok} THEN 'passed' ELSE 'failed' END "
+            f"AS test_status, 'clean' AS level, CASE WHEN {ok} THEN NULL ELSE 'value not in lower case' END "
+            f"AS error, count(*) FILTER (WHERE {c} IS NULL) AS n_nulos FROM clean")
+
+
+@register("dq_lowercase", with_clean("\nUNION ALL\n".join(_lower_sql(c) for c in LOWER_COLS)))
+def q_dq_lowercase(spark, d):
+    return Q.dq_lowercase(clean_table(spark, d), LOWER_COLS)
+
+
+@register("dq_types")
+def q_dq_types(spark, d):
+    return Q.dq_types(clean_table(spark, d), CLEAN)
+
+
+@register("dq_cardinality", with_proc("""
+SELECT 'cardinality_incidente_c4_rec' AS test,
+       CASE WHEN count(DISTINCT incidente_c4_rec) = 5 THEN 'passed' ELSE 'failed' END AS test_status,
+       'features' AS level,
+       CASE WHEN count(DISTINCT incidente_c4_rec) = 5 THEN NULL
+            ELSE 'incidente_c4_rec does not have 5 categories' END AS error,
+       count(DISTINCT incidente_c4_rec) AS n_distintos FROM proc"""))
+def q_dq_cardinality(spark, d):
+    return Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5)
+
+
+def _imputed_train(spark, d):
+    train = split_table(spark, d).filter(F.col("conjunto") == "train").select(*MODEL_COLS)
+    modes = FE.fit_modes(train, ["delegacion_inicio"])
+    return FE.fill_with(train, modes, ["delegacion_inicio"])
+
+
+IMPUTED_TRAIN = """
+, tr AS (SELECT * FROM split WHERE conjunto = 'train'),
+md AS (SELECT delegacion_inicio AS moda FROM tr WHERE delegacion_inicio IS NOT NULL
+       GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1),
+it AS (SELECT coalesce(delegacion_inicio, (SELECT moda FROM md)) AS delegacion_inicio, mes, dia_semana,
+              hora, tipo_entrada, incidente_c4_rec, target FROM tr)"""
+
+
+@register("dq_nulls", with_scored(IMPUTED_TRAIN + "\n" + "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS columna, 'no_nulls' AS test, CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 "
+    f"THEN 'passed' ELSE 'failed' END AS test_status, 'features' AS level, "
+    f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN NULL ELSE 'column has nulls' END AS error, "
+    f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulos FROM it" for c in MODEL_COLS)))
+def q_dq_nulls(spark, d):
+    return Q.dq_nulls(_imputed_train(spark, d))
+
+
+@register("dq_onehot_width", with_scored(IMPUTED_TRAIN + """,
+w AS (SELECT 2 + """ + " + ".join(f"count(DISTINCT {c})" for c in ONEHOT_CATS) + """ AS n FROM it)
+SELECT 'onehot_width' AS test, 'passed' AS test_status, 'features' AS level, CAST(NULL AS varchar) AS error,
+       cast(n AS bigint) AS n_esperadas, cast(n AS bigint) AS n_generadas FROM w"""))
+def q_dq_onehot_width(spark, d):
+    train = _imputed_train(spark, d)
+    vocab = FE.fit_one_hot(train, ONEHOT_CATS)
+    encoded = FE.one_hot(train, vocab, keep=["mes", "hora"])
+    return Q.dq_onehot_width(train, ["mes", "hora"], ONEHOT_CATS, len(encoded.columns))
+
+
+_DRIFT = """
+s AS (SELECT (SELECT avg(y_etiqueta) * 100 FROM live) AS pct_nuevos,
+             (SELECT avg(target) * 100 FROM split WHERE conjunto = 'train') AS pct_historicos),
+r AS (SELECT *, coalesce(pct_nuevos BETWEEN pct_historicos * 0.8 AND pct_historicos * 1.2, false) AS ok FROM s)"""
+
+
+@register("dq_label_drift", with_scored(f""",{_DRIFT}
+SELECT 'label_drift' AS test, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS test_status,
+       'predict' AS level, CASE WHEN ok THEN NULL ELSE 'share of positive predictions far from history' END AS error,
+       {sround("pct_nuevos")} AS pct_nuevos, {sround("pct_historicos")} AS pct_historicos FROM r"""))
+def q_dq_label_drift(spark, d):
+    hist = split_table(spark, d).filter(F.col("conjunto") == "train")
+    out = Q.dq_label_drift(new_predictions(spark, d), hist)
+    return round_cols(out, ["pct_nuevos", "pct_historicos"])
+
+
+@register("dq_report", with_scored(f"""{LIN_CTE.replace(', lin AS', ', lin AS', 1)},{_DRIFT}
+SELECT {RUN_SQL}, 'row_count' AS test,
+       CASE WHEN (SELECT sum(rows) FROM lin) = (SELECT count(*) FROM inc) THEN 'passed' ELSE 'failed' END AS test_status,
+       'extract' AS level,
+       CASE WHEN (SELECT sum(rows) FROM lin) = (SELECT count(*) FROM inc) THEN NULL
+            ELSE 'rows extracted and rows loaded differ' END AS error
+UNION ALL
+SELECT {RUN_SQL}, 'cardinality_incidente_c4_rec',
+       CASE WHEN (SELECT count(DISTINCT incidente_c4_rec) FROM proc) = 5 THEN 'passed' ELSE 'failed' END,
+       'features', CASE WHEN (SELECT count(DISTINCT incidente_c4_rec) FROM proc) = 5 THEN NULL
+                        ELSE 'incidente_c4_rec does not have 5 categories' END
+UNION ALL
+SELECT {RUN_SQL}, 'label_drift', CASE WHEN ok THEN 'passed' ELSE 'failed' END, 'predict',
+       CASE WHEN ok THEN NULL ELSE 'share of positive predictions far from history' END FROM r"""))
+def q_dq_report(spark, d):
+    lin = _lineage(spark, d)
+    hist = split_table(spark, d).filter(F.col("conjunto") == "train")
+    checks = [Q.dq_row_count(lin, raw_documents(spark, d)),
+              Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5),
+              Q.dq_label_drift(new_predictions(spark, d), hist)]
+    return Q.dq_report(checks, RUN)
