@@ -1 +1,75 @@
-"""Query keys."""
+"""Query keys: split, imputation, one-hot encoding, alignment, inverse (M1-M5)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.operators import features as FE
+from vigil.plans.frames import NEW_MONTH, NEW_YEAR, split_table
+from vigil.plans.registry import register
+from vigil.plans.sql import with_scored
+
+CATS = ("dia_semana", "tipo_entrada", "incidente_c4_rec")
+# Category domains of the incident mapping (fixed values, used by the SQL twins).
+DOMAINS = {
+    "dia_semana": ("domingo", "jueves", "lunes", "martes", "miercoles", "sabado", "viernes"),
+    "tipo_entrada": ("llamada automobile", "llamada building", "llamada furniture",
+                     "llamada household", "llamada machinery"),
+    "incidente_c4_rec": ("accidente", "cadaver", "detencion ciudadana", "lesionado", "sismo"),
+}
+
+
+def _dummies_sql(src):
+    cols = ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\""
+                     for c, vs in DOMAINS.items() for v in vs)
+    return f"SELECT folio, {cols} FROM {src}"
+
+
+def _sets(spark, d):
+    s = split_table(spark, d)
+    return s.filter(F.col("conjunto") == "train"), s.filter(F.col("conjunto") == "test")
+
+
+@register("train_test_split", with_scored("SELECT folio, conjunto FROM split"))
+def q_train_test_split(spark, d):
+    return split_table(spark, d).select("folio", "conjunto")
+
+
+@register("impute_mode", with_scored("""
+, md AS (SELECT delegacion_inicio AS moda FROM split WHERE conjunto = 'train' AND delegacion_inicio IS NOT NULL
+         GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
+SELECT folio, conjunto, coalesce(delegacion_inicio, (SELECT moda FROM md)) AS delegacion_inicio FROM split"""))
+def q_impute_mode(spark, d):
+    train, test = _sets(spark, d)
+    tr, te = FE.impute_mode(train, test, ["delegacion_inicio"])
+    return tr.unionByName(te).select("folio", "conjunto", "delegacion_inicio")
+
+
+def _encoded_test(spark, d):
+    train, test = _sets(spark, d)
+    vocab = FE.fit_one_hot(train, CATS)
+    return FE.one_hot(test, vocab, keep=["folio"]), vocab
+
+
+@register("one_hot", with_scored(
+    ", te AS (SELECT * FROM split WHERE conjunto = 'test')\n" + _dummies_sql("te")))
+def q_one_hot(spark, d):
+    return _encoded_test(spark, d)[0]
+
+
+@register("align_features", with_scored(
+    f", mo AS (SELECT * FROM split WHERE ano = {NEW_YEAR} AND mes = {NEW_MONTH})\n" + _dummies_sql("mo")))
+def q_align_features(spark, d):
+    train, _ = _sets(spark, d)
+    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
+    train_cols = FE.one_hot(train, FE.fit_one_hot(train, CATS)).columns
+    # the month is encoded on its own (as delivered), then aligned by name
+    month_encoded = FE.one_hot(month, FE.fit_one_hot(month, CATS), keep=["folio"])
+    return FE.align_features(month_encoded, train_cols, keep=["folio"])
+
+
+@register("one_hot_inverse", with_scored(
+    "SELECT folio, dia_semana, tipo_entrada, incidente_c4_rec FROM split WHERE conjunto = 'test'"))
+def q_one_hot_inverse(spark, d):
+    encoded, _ = _encoded_test(spark, d)
+    return FE.one_hot_inverse(encoded, CATS, keep=["folio"])

@@ -1 +1,139 @@
-"""Query keys."""
+"""Query keys: cross-validation, model choice, scoring."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from vigil.catalog import MODEL_CATEGORICAL, MODEL_NUMERIC
+from vigil.operators import models as MD
+from vigil.operators import profile as P
+from vigil.operators.features import impute_mode
+from vigil.operators.lineage import with_run
+from vigil.plans.frames import NEW_MONTH, NEW_YEAR, clean_table, split_table
+from vigil.plans.keys_quality import RUN
+from vigil.plans.present import round_cols, sround
+from vigil.plans.registry import register
+from vigil.plans.sql import with_scored
+from vigil.session import shared_dir
+
+FOLDS = 10
+# Grid of the cell-rate scorer: key set and decision threshold per entry.
+RATE_GRID = {
+    "canal_incidente_t040": (("tipo_entrada", "incidente_c4_rec"), 0.40),
+    "canal_incidente_hora_t040": (("tipo_entrada", "incidente_c4_rec", "hora"), 0.40),
+    "canal_incidente_hora_t050": (("tipo_entrada", "incidente_c4_rec", "hora"), 0.50),
+    "delegacion_dia_t040": (("delegacion_inicio", "dia_semana"), 0.40),
+}
+SCORE_COLS = [f"split{k}_test_score" for k in range(FOLDS)] + ["mean_test_score", "std_test_score"]
+
+
+def _train(spark, d):
+    s = split_table(spark, d)
+    train, test = s.filter(F.col("conjunto") == "train"), s.filter(F.col("conjunto") == "test")
+    return impute_mode(train, test, ["delegacion_inicio"])
+
+
+def _rate_cv(spark, d):
+    train = split_table(spark, d).filter(F.col("conjunto") == "train")
+    train = train.withColumn("fold", MD.fold_column("folio", FOLDS, method="mix"))
+    return MD.cv_rate_model(train, RATE_GRID, "fold", FOLDS)
+
+
+def _cv_sql():
+    parts = [""", tr AS (SELECT *, (((cast(folio AS bigint) * 7919) % 100 + 100) % 100) % 10 AS fold
+       FROM split WHERE conjunto = 'train'),
+g AS (SELECT fold, sum(target)::double AS P_f, count(*) AS N_f FROM tr GROUP BY fold),
+gt AS (SELECT fold, (sum(P_f) OVER () - P_f) / nullif((sum(N_f) OVER () - N_f)::double, 0) AS grate FROM g)"""]
+    selects = []
+    for i, (name, (keys, thr)) in enumerate(RATE_GRID.items()):
+        k = ", ".join(keys)
+        parts.append(f""",
+s{i} AS (SELECT {k}, fold, sum(target)::double AS pos_f, count(*) AS n_f FROM tr GROUP BY ALL),
+w{i} AS (SELECT s{i}.*, sum(pos_f) OVER (PARTITION BY {k}) AS pos_t, sum(n_f) OVER (PARTITION BY {k}) AS n_t,
+                coalesce((sum(pos_f) OVER (PARTITION BY {k}) - pos_f)
+                         / nullif((sum(n_f) OVER (PARTITION BY {k}) - n_f)::double, 0), gt.grate) >= {thr} AS pred
+         FROM s{i} JOIN gt USING (fold)),
+f{i} AS (SELECT '{name}' AS params, fold,
+                coalesce(sum(CASE WHEN pred THEN pos_f ELSE 0 END) / nullif(sum(CASE WHEN pred THEN n_f ELSE 0 END), 0), 0.0) AS score
+         FROM w{i} GROUP BY fold)""")
+        selects.append(f"SELECT * FROM f{i}")
+    splits = ", ".join(f"max(score) FILTER (WHERE fold = {k}) AS split{k}_test_score" for k in range(FOLDS))
+    mean = " + ".join(f"split{k}_test_score" for k in range(FOLDS))
+    var = " + ".join(f"(split{k}_test_score - mean_test_score) ^ 2" for k in range(FOLDS))
+    parts.append(f""",
+sc AS ({" UNION ALL ".join(selects)}),
+wd AS (SELECT params, {splits} FROM sc GROUP BY params),
+mn AS (SELECT *, ({mean}) / {FOLDS} AS mean_test_score FROM wd),
+cv AS (SELECT *, sqrt(({var}) / {FOLDS}) AS std_test_score,
+              cast(rank() OVER (ORDER BY mean_test_score DESC) AS integer) AS rank_test_score FROM mn)""")
+    return "".join(parts)
+
+
+CV_CTE = _cv_sql()
+_ROUNDED = ", ".join(f"{sround(c)} AS {c}" for c in SCORE_COLS)
+
+
+@register("cv_results", with_scored(f"{CV_CTE}\nSELECT params, {_ROUNDED}, rank_test_score FROM cv"))
+def q_cv_results(spark, d):
+    return round_cols(_rate_cv(spark, d), SCORE_COLS)
+
+
+@register("best_model", with_scored(f"""{CV_CTE}
+SELECT params, {_ROUNDED}, rank_test_score FROM cv
+WHERE mean_test_score IS NOT NULL AND NOT isnan(mean_test_score)
+ORDER BY mean_test_score DESC, params LIMIT 1"""))
+def q_best_model(spark, d):
+    return round_cols(MD.best_model(_rate_cv(spark, d)), SCORE_COLS)
+
+
+@register("model_ranking", with_scored(f"{CV_CTE}\nSELECT params, {sround('mean_test_score')} AS "
+                                       "mean_test_score, rank_test_score FROM cv"))
+def q_model_ranking(spark, d):
+    out = MD.model_ranking(_rate_cv(spark, d)).select("params", "mean_test_score", "rank_test_score")
+    return round_cols(out, ["mean_test_score"])
+
+
+def _ml_cv(kind):
+    def run(spark, d):
+        train, _ = _train(spark, d)
+        return MD.cross_validate_ml(train, kind, MODEL_CATEGORICAL, MODEL_NUMERIC, folds=FOLDS)
+    return run
+
+
+register("cv_logistic")(_ml_cv("logistic"))
+register("cv_random_forest")(_ml_cv("random_forest"))
+register("cv_gbt")(_ml_cv("gbt"))
+
+# Entry of the logistic grid used for the refit of the scoring keys.
+LOGISTIC_CHOICE = "penalty=l2,C=1.0"
+KEEP = ["folio", "mes", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec",
+        "ano"]
+
+
+@register("score_test")
+def q_score_test(spark, d):
+    train, test = _train(spark, d)
+    model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
+    return MD.score(model, test, KEEP + ["target"])
+
+
+@register("score_month")
+def q_score_month(spark, d):
+    train, _ = _train(spark, d)
+    model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
+    path = shared_dir(spark, "model")
+    MD.save_model(model, path)
+    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
+    return MD.score(MD.load_model(path), month, KEEP)
+
+
+@register("lineage_model")
+def q_lineage_model(spark, d):
+    cv = _rate_cv(spark, d).withColumn("modelo", F.lit("cell_rate"))
+    best = MD.best_model(cv).select("params", F.col("mean_test_score").alias("precision_score"))
+    return with_run(cv.join(best, "params", "left"), RUN)
+
+
+@register("column_types")
+def q_column_types(spark, d):
+    return P.column_types(clean_table(spark, d))
