@@ -11,7 +11,7 @@ from vigil.plans.frames import (NEW_MONTH, NEW_YEAR, clean_table, historic_predi
                                 new_predictions, processed_table)
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
-from vigil.plans.sql import with_clean, with_proc, with_scored
+from vigil.plans.sql import with_clean, with_model, with_proc, with_scored
 
 LINE_NUM = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 CLEAN_TEXT = ("folio", "hora_creacion", "delegacion_inicio", "dia_semana", "tipo_entrada",
@@ -273,3 +273,12 @@ def q_bind_by_key(spark, d):
 
 
 __all__ = ["NEW_MONTH", "NEW_YEAR"]
+
+
+@register("flagship", with_model("""
+SELECT delegacion_inicio, tipo_entrada, count(*) AS llamadas,
+       """ + sround("avg(target) * 100") + """ AS pct_confirmadas
+FROM model GROUP BY 1, 2"""))
+def q_flagship(spark, d):
+    from vigil.plans.pipelines import flagship
+    return _round(flagship(spark, d), ("pct_confirmadas",))
