@@ -72,7 +72,8 @@ def _with_reference(metrics: DataFrame, ref: DataFrame) -> DataFrame:
     """Attach the reference group's metrics (one row per attribute, broadcast)."""
     cols = [F.col(m).alias(f"ref_{m}") for m in DISPARITY_METRICS]
     counts = [F.col(c).alias(f"ref_{c}") for c in
-              ("tp", "fp", "tn", "fn", "pp", "pn", "group_size", "group_label_pos", "group_label_neg")]
+              ("tp", "fp", "tn", "fn", "pp", "pn", "group_size", "group_label_pos", "group_label_neg")
+              if c in ref.columns]
     ref = ref.select("attribute_name", F.col("attribute_value").alias("ref_group_value"), *cols, *counts)
     return metrics.join(F.broadcast(ref), "attribute_name", "left")
 
