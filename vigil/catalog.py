@@ -11,8 +11,17 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan one input table. Column pruning and filter pushdown reach the
-    parquet reader through Catalyst, so callers just select/filter."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    parquet reader through Catalyst, so callers just select/filter.
+
+    A table stored as fewer splits than the cluster has cores (one file with
+    one row group) would run every narrow step after the scan in that many
+    tasks; such an under-split input is spread round-robin over the cores.
+    On a large table (thousands of splits) nothing is added."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        df = df.repartition(cores)
+    return df
 
 
 # Fields of one raw incident document (schema-on-read is replaced by this

@@ -28,6 +28,18 @@ from pyspark.sql import functions as F
 from vigil.functions.stats import safe_ratio
 
 FOLD_PRIME = 7919
+# Rows per partition of a persisted training frame: iterative fitters run one
+# job per iteration, so tiny partitions only add scheduling overhead while a
+# large frame still gets one partition per ~200k rows.
+ROWS_PER_PARTITION = 200_000
+
+
+def sized_for_fitting(df: DataFrame) -> DataFrame:
+    """Repartition to ~ROWS_PER_PARTITION rows per partition and persist
+    (memory and disk: recomputable from lineage if an executor is lost)."""
+    n = df.count()
+    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
+    return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
 
 
 def fold_column(key: str, folds: int, seed: int = 0, method: str = "hash"):
@@ -171,7 +183,7 @@ def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], nume
     is persisted (memory and disk; recomputable from lineage if an executor
     is lost) because every fit re-reads it."""
     spark: SparkSession = df.sparkSession
-    data = df.withColumn("_fold", fold_column(key, folds)).persist(StorageLevel.MEMORY_AND_DISK)
+    data = sized_for_fitting(df.withColumn("_fold", fold_column(key, folds)))
     est = classifier(kind, label)
     n_train = data.count()
     grid = param_grid(kind, int(n_train * (folds - 1) / folds), est)
@@ -198,8 +210,11 @@ def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], nume
 def fit_best(df: DataFrame, kind: str, params: str, categorical: Sequence[str],
              numeric: Sequence[str], label: str = "target") -> PipelineModel:
     est = classifier(kind, label)
-    grid = dict(param_grid(kind, df.count(), est))
-    return Pipeline(stages=feature_stages(categorical, numeric) + [est.copy(grid[params])]).fit(df)
+    data = sized_for_fitting(df)
+    grid = dict(param_grid(kind, data.count(), est))
+    model = Pipeline(stages=feature_stages(categorical, numeric) + [est.copy(grid[params])]).fit(data)
+    data.unpersist()
+    return model
 
 
 def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
@@ -217,5 +232,3 @@ def save_model(model: PipelineModel, path: str) -> None:
 def load_model(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
-
-__all__ = ["math"]
