@@ -22,7 +22,8 @@ def land_api_records(src: DataFrame, path: str, key: str = "folio") -> None:
     fields = [c for c in src.columns]
     out = src.select(F.col(key).alias("recordid"), F.struct(*fields).alias("fields"),
                      F.col("ano").cast("int").alias("YEAR"), F.col("mes").cast("int").alias("MONTH"))
-    out.write.mode("overwrite").partitionBy("YEAR", "MONTH").json(path)
+    spread_by_partition(out, ["YEAR", "MONTH"], F.col("recordid")) \
+        .write.mode("overwrite").partitionBy("YEAR", "MONTH").json(path)
 
 
 def read_api_records(spark: SparkSession, path: str, fields: T.StructType,
@@ -49,10 +50,19 @@ def to_raw(records: DataFrame) -> DataFrame:
 def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
     """Append (or, with mode='overwrite', replace only the partitions present
     in ``raw``: dynamic partition overwrite) JSON lines under year=/month=."""
-    (raw.select("registros", *PARTITIONS).write.mode(mode)
+    (spread_by_partition(raw.select("registros", *PARTITIONS), list(PARTITIONS),
+                         F.xxhash64("registros")).write.mode(mode)
         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).text(path))
 
 
+def spread_by_partition(df: DataFrame, parts: list[str], tiebreak) -> DataFrame:
+    """Range-partition on (partition columns, tie-break) before a
+    partitioned write: each task holds a contiguous run of months, so a month
+    is written as few files, and a hot month (a third of all rows) is split
+    across several tasks by the tie-break instead of landing on one."""
+    return df.repartitionByRange(*[F.col(c) for c in parts], tiebreak)
+
+
 def read_raw(spark: SparkSession, path: str, year: int | None = None,
              month: int | None = None) -> DataFrame:
     df = spark.read.text(path).withColumnRenamed("value", "registros")
