@@ -51,15 +51,13 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
         x = F.col(c).cast("double")
         if exact:
             qs = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-            uniq = F.count_distinct(x)
         else:
             qs = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-            uniq = F.approx_count_distinct(x, 0.01)
+            aggs.append(F.approx_count_distinct(x, 0.01).alias(f"{c}__uniques"))
         aggs += [F.max(x).alias(f"{c}__max"), F.min(x).alias(f"{c}__min"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
                  qs.alias(f"{c}__qs"), sample_skewness(x).alias(f"{c}__skew"),
-                 sample_kurtosis(x).alias(f"{c}__kurt"), F.count(x).alias(f"{c}__count"),
-                 uniq.alias(f"{c}__uniques")]
+                 sample_kurtosis(x).alias(f"{c}__kurt"), F.count(x).alias(f"{c}__count")]
     wide = df.agg(*aggs)
     for c in cols:
         wide = (wide.withColumn(f"{c}__q25", F.col(f"`{c}__qs`")[0])
@@ -69,10 +67,26 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
                     .withColumn(f"{c}__prop_missings",
                                 safe_ratio(F.col(f"`{c}__missings`"), F.col("__rows")) * 100))
     stats = ["max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt", "count",
-             "uniques", "missings", "prop_missings"]
+             "missings", "prop_missings"]
     types = {s: "double" for s in stats}
-    types.update(count="bigint", uniques="bigint", missings="bigint")
-    return _unpivot_single_row(wide, cols, stats, types)
+    types.update(count="bigint", missings="bigint")
+    if not exact:
+        types["uniques"] = "bigint"
+        return _unpivot_single_row(wide, cols, stats + ["uniques"], types)
+    # Exact distinct counts from one explode + distinct of (variable, value):
+    # a single shuffle of the values, instead of the Expand rewrite that would
+    # replicate every aggregate input once per distinct column.
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                         F.col(c).cast("double").alias("v")) for c in cols]))
+    uniques = (df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
+                 .distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("uniques")))
+    long = _unpivot_single_row(wide, cols, stats, types)
+    order = ["variable", "max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt",
+             "count", "uniques", "missings", "prop_missings"]
+    # one row per variable on both sides: a tiny broadcast join
+    return (long.join(F.broadcast(uniques), "variable", "left")
+                .withColumn("uniques", F.coalesce(F.col("uniques"), F.lit(0)).cast("bigint"))
+                .select(*order))
 
 
 def describe_categorical(df: DataFrame, cols: Sequence[str] | None = None,
