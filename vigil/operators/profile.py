@@ -97,16 +97,24 @@ def describe_categorical(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or string_columns(df))
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
-        uniq = F.count_distinct(F.col(c)) if exact else F.approx_count_distinct(F.col(c), 0.01)
-        aggs += [F.count(F.col(c)).alias(f"{c}__count"), uniq.alias(f"{c}__uniques")]
+        aggs.append(F.count(F.col(c)).alias(f"{c}__count"))
+        if not exact:
+            aggs.append(F.approx_count_distinct(F.col(c), 0.01).alias(f"{c}__uniques"))
     wide = df.agg(*aggs)
     for c in cols:
         wide = (wide.withColumn(f"{c}__missings", F.col("__rows") - F.col(f"`{c}__count`"))
                     .withColumn(f"{c}__prop_missings",
                                 safe_ratio(F.col(f"`{c}__missings`"), F.col("__rows")) * 100))
-    stats = ["count", "uniques", "missings", "prop_missings"]
     types = {"count": "bigint", "uniques": "bigint", "missings": "bigint", "prop_missings": "double"}
-    return _unpivot_single_row(wide, cols, stats, types)
+    if not exact:
+        return _unpivot_single_row(wide, cols, ["count", "uniques", "missings", "prop_missings"], types)
+    # exact distinct counts: one explode + distinct of (variable, value)
+    uniques = (distinct_values(df, cols).groupBy("variable")
+                 .agg(F.count(F.lit(1)).alias("uniques")))
+    long = _unpivot_single_row(wide, cols, ["count", "missings", "prop_missings"], types)
+    return (long.join(F.broadcast(uniques), "variable", "left")
+                .withColumn("uniques", F.coalesce(F.col("uniques"), F.lit(0)).cast("bigint"))
+                .select("variable", "count", "uniques", "missings", "prop_missings"))
 
 
 def distinct_values(df: DataFrame, cols: Sequence[str]) -> DataFrame:
