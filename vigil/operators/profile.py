@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.stats import safe_ratio, sample_kurtosis, sample_skewness
+from vigil.operators.quantiles import exact_quantiles, quantile_columns
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -49,30 +50,27 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
         x = F.col(c).cast("double")
-        if exact:
-            qs = F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-        else:
+        if not exact:
             qs = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
-            aggs.append(F.approx_count_distinct(x, 0.01).alias(f"{c}__uniques"))
+            aggs += [F.approx_count_distinct(x, 0.01).alias(f"{c}__uniques"), qs.alias(f"{c}__qs")]
         aggs += [F.max(x).alias(f"{c}__max"), F.min(x).alias(f"{c}__min"),
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
-                 qs.alias(f"{c}__qs"), sample_skewness(x).alias(f"{c}__skew"),
+                 sample_skewness(x).alias(f"{c}__skew"),
                  sample_kurtosis(x).alias(f"{c}__kurt"), F.count(x).alias(f"{c}__count")]
     wide = df.agg(*aggs)
     for c in cols:
-        wide = (wide.withColumn(f"{c}__q25", F.col(f"`{c}__qs`")[0])
-                    .withColumn(f"{c}__median", F.col(f"`{c}__qs`")[1])
-                    .withColumn(f"{c}__q75", F.col(f"`{c}__qs`")[2])
-                    .withColumn(f"{c}__missings", F.col("__rows") - F.col(f"`{c}__count`"))
+        if not exact:
+            wide = (wide.withColumn(f"{c}__q25", F.col(f"`{c}__qs`")[0])
+                        .withColumn(f"{c}__median", F.col(f"`{c}__qs`")[1])
+                        .withColumn(f"{c}__q75", F.col(f"`{c}__qs`")[2]))
+        wide = (wide.withColumn(f"{c}__missings", F.col("__rows") - F.col(f"`{c}__count`"))
                     .withColumn(f"{c}__prop_missings",
                                 safe_ratio(F.col(f"`{c}__missings`"), F.col("__rows")) * 100))
-    stats = ["max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt", "count",
-             "missings", "prop_missings"]
-    types = {s: "double" for s in stats}
-    types.update(count="bigint", missings="bigint")
+    stats = ["max", "min", "mean", "std", "skew", "kurt", "count", "missings", "prop_missings"]
+    types = {s: "double" for s in stats + ["q25", "median", "q75"]}
+    types.update(count="bigint", missings="bigint", uniques="bigint")
     if not exact:
-        types["uniques"] = "bigint"
-        return _unpivot_single_row(wide, cols, stats + ["uniques"], types)
+        return _unpivot_single_row(wide, cols, stats + ["q25", "median", "q75", "uniques"], types)
     # Exact distinct counts from one explode + distinct of (variable, value):
     # a single shuffle of the values, instead of the Expand rewrite that would
     # replicate every aggregate input once per distinct column.
@@ -80,11 +78,15 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
                                          F.col(c).cast("double").alias("v")) for c in cols]))
     uniques = (df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
                  .distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("uniques")))
+    # exact quantiles by distributed rank selection (no column in one task)
+    quants = quantile_columns(exact_quantiles(df, cols, [0.25, 0.5, 0.75]),
+                              {"q25": 0.25, "median": 0.5, "q75": 0.75})
     long = _unpivot_single_row(wide, cols, stats, types)
     order = ["variable", "max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt",
              "count", "uniques", "missings", "prop_missings"]
-    # one row per variable on both sides: a tiny broadcast join
+    # one row per variable on every side: tiny broadcast joins
     return (long.join(F.broadcast(uniques), "variable", "left")
+                .join(F.broadcast(quants), "variable", "left")
                 .withColumn("uniques", F.coalesce(F.col("uniques"), F.lit(0)).cast("bigint"))
                 .select(*order))
 
@@ -199,23 +201,26 @@ def trend_by_code(df: DataFrame, year: str = "ano", month: str = "mes",
 
 
 def describe_by_group(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:
-    """count, mean, std, min, quartiles, max per group and numeric column
-    (one grouped aggregation, unpivoted to group x variable rows)."""
+    """count, mean, std, min, quartiles, max per group and numeric column:
+    one grouped aggregation for the moments plus the distributed exact
+    quantile selection, joined on (group, variable)."""
     aggs = []
     for c in cols:
         x = F.col(c).cast("double")
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
-                 F.percentile(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"{c}__qs"),
                  F.max(x).alias(f"{c}__max")]
     wide = df.groupBy(group).agg(*aggs)
     structs = [F.struct(F.lit(c).alias("variable"),
                         F.col(f"`{c}__count`").cast("bigint").alias("count"),
                         F.col(f"`{c}__mean`").alias("mean"), F.col(f"`{c}__std`").alias("std"),
-                        F.col(f"`{c}__min`").alias("min"), F.col(f"`{c}__qs`")[0].alias("q25"),
-                        F.col(f"`{c}__qs`")[1].alias("q50"), F.col(f"`{c}__qs`")[2].alias("q75"),
-                        F.col(f"`{c}__max`").alias("max")) for c in cols]
-    return wide.select(group, F.inline(F.array(*structs)))
+                        F.col(f"`{c}__min`").alias("min"), F.col(f"`{c}__max`").alias("max"))
+               for c in cols]
+    moments = wide.select(group, F.inline(F.array(*structs)))
+    quants = quantile_columns(exact_quantiles(df, cols, [0.25, 0.5, 0.75], group=group),
+                              {"q25": 0.25, "q50": 0.5, "q75": 0.75}, group=group)
+    return (moments.join(quants, [group, "variable"], "left")
+                   .select(group, "variable", "count", "mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def describe_categorical_by_group(df: DataFrame, group: str, cols: Sequence[str]) -> DataFrame:

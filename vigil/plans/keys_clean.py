@@ -8,7 +8,8 @@ from vigil.catalog import table
 from vigil.functions.text import ascii_fold, remove_points, sql_ascii_fold, sql_remove_points
 from vigil.functions.text import sql_unaccent, standardize_name, unaccent
 from vigil.operators import clean as C
-from vigil.plans.frames import clean_table, incident_source, parsed_incidents, processed_table
+from vigil.plans.frames import (clean_table, clean_table_from_raw, incident_source,
+                                parsed_incidents, processed_table)
 from vigil.plans.frames import raw_documents
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_inc, with_proc
@@ -70,7 +71,7 @@ def q_ascii_fold(spark, d):
 
 @register("clean_incidents", with_clean("SELECT * FROM clean"))
 def q_clean_incidents(spark, d):
-    return clean_table(spark, d)
+    return clean_table_from_raw(spark, d)
 
 
 @register("recategorize", with_proc("SELECT folio, incidente_c4, incidente_c4_rec FROM proc"))

@@ -9,7 +9,7 @@ from vigil.operators import profile as P
 from vigil.operators import serving as S
 from vigil.plans.frames import (NEW_MONTH, NEW_YEAR, clean_table, historic_predictions,
                                 new_predictions, processed_table)
-from vigil.plans.present import round_cols, sround
+from vigil.plans.present import round_cols, sround, sstd, zero_noise
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_model, with_proc, with_scored
 
@@ -28,7 +28,7 @@ def _round(df, cols):
 def _num_sql(c):
     x = f"cast({c} AS double)"
     return (f"SELECT '{c}' AS variable, {sround(f"max({x})")} AS max, {sround(f"min({x})")} AS min, "
-            f"{sround(f"avg({x})")} AS mean, {sround(f"stddev_samp({x})")} AS std, "
+            f"{sround(f"avg({x})")} AS mean, {sstd(f"stddev_samp({x})", f"avg({x})")} AS std, "
             f"{sround(f"quantile_cont({x}, 0.25)")} AS q25, {sround(f"quantile_cont({x}, 0.5)")} AS median, "
             f"{sround(f"quantile_cont({x}, 0.75)")} AS q75, {sround(f"skewness({x})")} AS skew, "
             f"{sround(f"kurtosis({x})")} AS kurt, count({x}) AS count, count(DISTINCT {x}) AS uniques, "
@@ -42,7 +42,7 @@ NUM_STATS = ("max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt"
 @register("describe_numeric", "\nUNION ALL\n".join(_num_sql(c) for c in LINE_NUM))
 def q_describe_numeric(spark, d):
     li = table(spark, d, "lineitem")
-    return _round(P.describe_numeric(li, LINE_NUM), NUM_STATS)
+    return _round(zero_noise(P.describe_numeric(li, LINE_NUM), "std", "mean"), NUM_STATS)
 
 
 def _cat_sql(c):
@@ -160,7 +160,7 @@ def _desc_origin_sql():
         x = f"cast({c} AS double)"
         parts.append(
             f"SELECT Datos, '{c}' AS variable, count({x}) AS count, {sround(f"avg({x})")} AS mean, "
-            f"{sround(f"stddev_samp({x})")} AS std, {sround(f"min({x})")} AS min, "
+            f"{sstd(f"stddev_samp({x})", f"avg({x})")} AS std, {sround(f"min({x})")} AS min, "
             f"{sround(f"quantile_cont({x}, 0.25)")} AS q25, {sround(f"quantile_cont({x}, 0.5)")} AS q50, "
             f"{sround(f"quantile_cont({x}, 0.75)")} AS q75, {sround(f"max({x})")} AS max "
             f"FROM cohorts GROUP BY Datos")
@@ -170,7 +170,7 @@ def _desc_origin_sql():
 @register("describe_by_origin", with_scored(f", {COHORTS_SQL}\n{_desc_origin_sql()}"))
 def q_describe_by_origin(spark, d):
     out = P.describe_by_group(_cohorts(spark, d), "Datos", ["hora", "mes", "y_proba_1"])
-    return _round(out, ("mean", "std", "min", "q25", "q50", "q75", "max"))
+    return _round(zero_noise(out, "std", "mean"), ("mean", "std", "min", "q25", "q50", "q75", "max"))
 
 
 def _desc_cat_origin_sql():

@@ -23,3 +23,20 @@ def sround(expr: str, digits: int = SIG_DIGITS) -> str:
     return (f"(CASE WHEN ({expr}) IS NULL OR ({expr}) = 0 OR isnan({expr}) THEN ({expr}) "
             f"ELSE round(({expr}) / pow(10.0, ceil(log10(abs({expr})))), {digits})"
             f" * pow(10.0, ceil(log10(abs({expr})))) END)")
+
+
+# A standard deviation below this share of the mean's magnitude is floating
+# noise of the moment merge order (a constant column): reported as 0.
+NOISE = 1e-12
+
+
+def zero_noise(df, col, ref):
+    x, m = F.col(col), F.col(ref)
+    return df.withColumn(col, F.when(x < F.lit(NOISE) * F.greatest(F.abs(m), F.lit(1.0)), F.lit(0.0))
+                               .otherwise(x))
+
+
+def sstd(std_expr: str, mean_expr: str) -> str:
+    """SQL twin of ``zero_noise`` followed by ``sround``."""
+    return (f"(CASE WHEN ({std_expr}) < {NOISE} * greatest(abs({mean_expr}), 1.0) THEN 0.0 "
+            f"ELSE {sround(std_expr)} END)")

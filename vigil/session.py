@@ -32,6 +32,9 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            builder = builder.config("spark.driver.memory", "16g")
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
