@@ -141,7 +141,7 @@ def classifier(kind: str, label: str = "target"):
         return RandomForestClassifier(featuresCol="features", labelCol=label, seed=0,
                                       featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
                                       cacheNodeIds=True)
-    if kind == "gbt":
+    if kind in ("gbt", "gbt_single"):
         return GBTClassifier(featuresCol="features", labelCol=label, seed=0, maxMemoryInMB=1024,
                              cacheNodeIds=True)
     raise ValueError(kind)
@@ -171,6 +171,10 @@ def param_grid(kind: str, n_train: int, est) -> list[tuple[str, dict]]:
                                 f"min_samples_split={split}",
                                 {est.numTrees: 50, est.maxDepth: min(depth, 30),
                                  est.minInstancesPerNode: leaf}))
+    elif kind == "gbt_single":
+        # the boosted model checked for fairness: one tree, depth 10, rate 0.25
+        out.append(("n_estimators=1,learning_rate=0.25,max_depth=10",
+                    {est.maxIter: 1, est.stepSize: 0.25, est.maxDepth: 10}))
     elif kind == "gbt":
         for depth in (10, 15):
             out.append((f"n_estimators=100,learning_rate=0.25,subsample=1.0,max_depth={depth}",

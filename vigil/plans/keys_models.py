@@ -137,3 +137,19 @@ def q_lineage_model(spark, d):
 @register("column_types")
 def q_column_types(spark, d):
     return P.column_types(clean_table(spark, d))
+
+
+@register("fairness_model")
+def q_fairness_model(spark, d):
+    """Fairness of a fitted model: the single boosted tree is trained on the
+    training split, scores the test split, and the audit reports FOR/FNR per
+    borough against the largest borough."""
+    from vigil.operators import fairness as B
+    train, test = _train(spark, d)
+    model = MD.fit_best(train, "gbt_single", "n_estimators=1,learning_rate=0.25,max_depth=10",
+                        MODEL_CATEGORICAL, MODEL_NUMERIC)
+    scored = MD.score(model, test, ["delegacion_inicio", "target"])
+    audit = scored.select("delegacion_inicio", F.col("y_etiqueta").alias("score"),
+                          F.col("target").alias("label_value"))
+    disp = B.disparity_major(B.group_metrics(B.group_crosstab(audit, ["delegacion_inicio"])))
+    return B.fairness_table(disp, "delegacion_inicio")

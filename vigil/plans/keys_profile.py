@@ -282,3 +282,17 @@ FROM model GROUP BY 1, 2"""))
 def q_flagship(spark, d):
     from vigil.plans.pipelines import flagship
     return _round(flagship(spark, d), ("pct_confirmadas",))
+
+
+# Monitor slice: the histogram for one value picked in the dashboard's filter.
+SLICE_VALUE = "á nation_10"
+
+
+@register("score_histogram_slice", with_scored(f""", {COHORTS_SQL},
+c AS (SELECT Datos, cast(least(floor(y_proba_1 * 50), 49) AS integer) AS bin, count(*) AS n
+      FROM cohorts WHERE y_proba_1 IS NOT NULL AND delegacion_inicio = '{SLICE_VALUE}' GROUP BY 1, 2)
+SELECT Datos, bin, n, {sround("n * 100.0 / sum(n) OVER (PARTITION BY Datos)")} AS pct,
+       bin / 50.0 AS bin_inicio FROM c"""))
+def q_score_histogram_slice(spark, d):
+    sliced = _cohorts(spark, d).filter(F.col("delegacion_inicio") == SLICE_VALUE)
+    return _round(P.score_histogram(sliced, "y_proba_1", "Datos"), ("pct",))

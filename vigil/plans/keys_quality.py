@@ -218,3 +218,13 @@ def q_dq_report(spark, d):
               Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5),
               Q.dq_label_drift(new_predictions(spark, d), hist)]
     return Q.dq_report(checks, RUN)
+
+
+@register("dq_column_count")
+def q_dq_column_count(spark, d):
+    """Prediction table = model input + 4 columns (two probabilities, label,
+    truth)."""
+    from vigil.plans.frames import historic_predictions
+    before = split_table(spark, d).select("folio", "mes", "hora", "delegacion_inicio", "dia_semana",
+                                          "tipo_entrada", "incidente_c4_rec", "ano")
+    return Q.dq_column_count(before, historic_predictions(spark, d), 4)
