@@ -102,15 +102,14 @@ def guarded_drop(df: DataFrame, col: str = "delegacion_inicio", value: str = "na
     """Drop rows equal to ``value`` only when their share is strictly below
     ``limit``; otherwise keep every row.
 
-    The share is a one-row global aggregate (partial aggregation on every
-    partition) joined back as a broadcast, so the decision stays inside one
-    plan with no driver round trip.
+    The share is a global aggregate (partial aggregation on every partition)
+    used as a scalar subquery: Spark evaluates it once and the filter reads
+    the value, so the decision stays inside one plan with no join.
     """
     share = df.agg(safe_ratio(F.count(F.when(F.col(col) == value, 1)), F.count(F.lit(1)))
-                   .alias("_share"))
-    keep = (F.col(col).isNull() | (F.col(col) != value)
-            | F.col("_share").isNull() | (F.col("_share") >= limit))
-    return df.crossJoin(F.broadcast(share)).filter(keep).drop("_share")
+                   .alias("_share")).scalar()
+    keep = (F.col(col).isNull() | (F.col(col) != value) | share.isNull() | (share >= limit))
+    return df.filter(keep)
 
 
 def split_column(df: DataFrame, col: str, first: str, second: str, sep: str) -> DataFrame:

@@ -47,11 +47,10 @@ def fit_modes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
 
 
 def fill_with(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
-    """Replace nulls by the values of a one-row frame (broadcast)."""
-    renamed = fills.select(*[F.col(c).alias(f"__fill_{c}") for c in cols])
-    out = df.crossJoin(F.broadcast(renamed))
-    return out.select(*[F.coalesce(F.col(c), F.col(f"__fill_{c}")).alias(c) if c in cols
-                        else F.col(c) for c in df.columns])
+    """Replace nulls by the values of a one-row frame, read as scalar
+    subqueries (evaluated once, no join)."""
+    return df.select(*[F.coalesce(F.col(c), fills.select(c).scalar()).alias(c) if c in cols
+                       else F.col(c) for c in df.columns])
 
 
 def impute_mode(train: DataFrame, test: DataFrame, cols: Sequence[str]) -> tuple[DataFrame, DataFrame]:

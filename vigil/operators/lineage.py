@@ -35,10 +35,9 @@ def lineage_raw(raw: DataFrame, run: RunInfo, dataset: str, source: str,
 
 def lineage_clean(raw: DataFrame, clean: DataFrame, run: RunInfo, task: str) -> DataFrame:
     """Clean-task row with the removed-row count computed (raw - clean); the
-    two counts are one-row aggregates joined as broadcasts."""
-    n_raw = raw.agg(F.count(F.lit(1)).alias("n_raw"))
-    n_clean = clean.agg(F.count(F.lit(1)).alias("n_clean"))
-    both = n_raw.crossJoin(F.broadcast(n_clean))
+    clean count is a scalar subquery beside the raw count."""
+    both = raw.agg(F.count(F.lit(1)).alias("n_raw")).select(
+        "n_raw", clean.agg(F.count(F.lit(1))).scalar().alias("n_clean"))
     removed = F.col("n_raw") - F.col("n_clean")
     return both.select(*run.columns(), F.lit(task).alias("id_tarea"),
                        F.lit("completada").alias("estatus_tarea"),

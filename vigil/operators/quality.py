@@ -31,9 +31,9 @@ def dq_month_coverage(lineage: DataFrame, start: str, end: str, level: str = "ex
     loaded = lineage.select(F.make_date(F.col("refine_ano").cast("int"),
                                         F.col("refine_mes").cast("int"), F.lit(1)).alias("m"))
     missing = spine.join(loaded, "m", "left_anti")
-    stats = (spine.agg(F.count(F.lit(1)).alias("n_esperados"))
-                  .crossJoin(lineage.agg(F.count(F.lit(1)).alias("n_cargados")))
-                  .crossJoin(missing.agg(F.count(F.lit(1)).alias("n_faltantes"))))
+    stats = spine.agg(F.count(F.lit(1)).alias("n_esperados")).select(
+        "n_esperados", lineage.agg(F.count(F.lit(1))).scalar().alias("n_cargados"),
+        missing.agg(F.count(F.lit(1))).scalar().alias("n_faltantes"))
     ok = (F.col("n_faltantes") == 0) & (F.col("n_esperados") == F.col("n_cargados"))
     return stats.select(*_status(ok, "month_coverage", level,
                                  "months in the period and months loaded differ"),
@@ -50,8 +50,8 @@ def dq_month_once(lineage: DataFrame, level: str = "extract") -> DataFrame:
 
 def dq_row_count(lineage: DataFrame, raw: DataFrame, level: str = "extract") -> DataFrame:
     """Control total: rows declared by the lineage = rows stored."""
-    stats = (lineage.agg(F.sum("rows").cast("bigint").alias("n_declarados"))
-                    .crossJoin(raw.agg(F.count(F.lit(1)).alias("n_almacenados"))))
+    stats = lineage.agg(F.sum("rows").cast("bigint").alias("n_declarados")).select(
+        "n_declarados", raw.agg(F.count(F.lit(1))).scalar().alias("n_almacenados"))
     ok = F.col("n_declarados") == F.col("n_almacenados")
     return stats.select(*_status(ok, "row_count", level, "rows extracted and rows loaded differ"),
                         "n_declarados", "n_almacenados")
@@ -124,8 +124,8 @@ def dq_label_drift(new: DataFrame, history: DataFrame, new_col: str = "y_etiquet
                    level: str = "predict") -> DataFrame:
     """Share of positives in the new predictions within +-tolerance of the
     historical share (two one-row averages)."""
-    stats = (new.agg((F.avg(F.col(new_col)) * 100).alias("pct_nuevos"))
-                .crossJoin(history.agg((F.avg(F.col(hist_col)) * 100).alias("pct_historicos"))))
+    stats = new.agg((F.avg(F.col(new_col)) * 100).alias("pct_nuevos")).select(
+        "pct_nuevos", history.agg(F.avg(F.col(hist_col)) * 100).scalar().alias("pct_historicos"))
     ok = F.col("pct_nuevos").between(F.col("pct_historicos") * (1 - tolerance),
                                      F.col("pct_historicos") * (1 + tolerance))
     return stats.select(*_status(F.coalesce(ok, F.lit(False)), "label_drift", level,

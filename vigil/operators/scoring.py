@@ -26,11 +26,10 @@ def apply_rate_model(df: DataFrame, model: DataFrame, keys: Sequence[str],
     the global training rate. The model has one row per cell: AQE measures
     it and broadcasts it when under the broadcast threshold (shuffle join
     otherwise). The global rate is derived from the model, not the data."""
-    glob = model.agg((F.sum("pos") / F.sum("n")).alias("global_rate"))
-    scored = (df.join(model.select(*keys, "rate"), list(keys), "left")
-                .crossJoin(F.broadcast(glob)))
-    p1 = F.coalesce(F.col("rate"), F.col("global_rate"))
+    glob = model.agg((F.sum("pos") / F.sum("n")).alias("global_rate")).scalar()
+    scored = df.join(model.select(*keys, "rate"), list(keys), "left")
+    p1 = F.coalesce(F.col("rate"), glob)
     return (scored.withColumn("y_proba_1", p1)
                   .withColumn("y_proba_0", 1 - F.col("y_proba_1"))
                   .withColumn("y_etiqueta", (F.col("y_proba_1") >= threshold).cast("int"))
-                  .drop("rate", "global_rate"))
+                  .drop("rate"))
