@@ -135,15 +135,14 @@ def classifier(kind: str, label: str = "target"):
         return LogisticRegression(featuresCol="features", labelCol=label, standardization=False,
                                   maxIter=100)
     # maxMemoryInMB / cacheNodeIds are execution knobs (more nodes split per
-    # pass over the data, node ids cached instead of re-walking the trees);
-    # they do not change the fitted model.
+    # pass over the data; for the deep forest, node ids cached instead of
+    # re-walking the trees); they do not change the fitted model.
     if kind == "random_forest":
         return RandomForestClassifier(featuresCol="features", labelCol=label, seed=0,
                                       featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
                                       cacheNodeIds=True)
     if kind in ("gbt", "gbt_single"):
-        return GBTClassifier(featuresCol="features", labelCol=label, seed=0, maxMemoryInMB=1024,
-                             cacheNodeIds=True)
+        return GBTClassifier(featuresCol="features", labelCol=label, seed=0, maxMemoryInMB=1024)
     raise ValueError(kind)
 
 
