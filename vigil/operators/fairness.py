@@ -95,7 +95,8 @@ def disparity_predefined(metrics: DataFrame, ref_groups: Mapping[str, str]) -> D
 
 def disparity_major(metrics: DataFrame) -> DataFrame:
     """Reference = largest group of each attribute (ties -> lowest value)."""
-    w = Window.partitionBy("attribute_name").orderBy(F.desc("group_size"), F.asc("attribute_value"))
+    w = Window.partitionBy("attribute_name").orderBy(F.desc("group_size"),
+                                                     F.asc_nulls_last("attribute_value"))
     ref = metrics.withColumn("_r", F.row_number().over(w)).filter("_r = 1").drop("_r")
     return _disparities(_with_reference(metrics, ref))
 
@@ -163,11 +164,12 @@ def fairness_table(disp: DataFrame, attribute: str) -> DataFrame:
 
 def fairness_summary(table: DataFrame) -> DataFrame:
     """Worst and best group by FOR and FNR and the unweighted means; ties go
-    to the lowest group name."""
+    to the lowest group name (a null group name last)."""
     def arg(metric: str, highest: bool) -> Column:
         key = (-F.col(metric)) if highest else F.col(metric)
+        name = F.col("attribute_value")
         pick = F.min(F.when(F.col(metric).isNotNull(),
-                            F.struct(key.alias("k"), F.col("attribute_value").alias("v"))))
+                            F.struct(key.alias("k"), name.isNull().alias("n"), name.alias("v"))))
         return pick["v"]
     return table.agg(arg("for", True).alias("delegacion_max_FOR"),
                      arg("fnr", True).alias("delegacion_max_FNR"),

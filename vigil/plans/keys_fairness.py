@@ -102,7 +102,7 @@ def q_fairness_disparity(spark, d):
 
 @register("disparity_major", with_scored(f"""{XTAB_CTE}{METRIC_CTE},
 r AS (SELECT * FROM (SELECT m.*, row_number() OVER (PARTITION BY attribute_name
-                                   ORDER BY group_size DESC, attribute_value) AS rn FROM m) WHERE rn = 1)
+                                   ORDER BY group_size DESC, attribute_value ASC NULLS LAST) AS rn FROM m) WHERE rn = 1)
 SELECT m.attribute_name, m.attribute_value, r.attribute_value AS ref_group_value, {_disp_select()}
 FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name"""))
 def q_disparity_major(spark, d):
@@ -198,11 +198,11 @@ def q_fairness_table(spark, d):
 
 
 @register("fairness_summary", with_scored(f"""{_FTAB}
-SELECT arg_min(attribute_value, (-"for", attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_max_FOR,
-       arg_min(attribute_value, (-fnr, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_max_FNR,
+SELECT arg_min(attribute_value, (-"for", attribute_value IS NULL, attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_max_FOR,
+       arg_min(attribute_value, (-fnr, attribute_value IS NULL, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_max_FNR,
        {sround('avg("for")')} AS promedio_FOR, {sround("avg(fnr)")} AS promedio_FNR,
-       arg_min(attribute_value, ("for", attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_min_FOR,
-       arg_min(attribute_value, (fnr, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_min_FNR
+       arg_min(attribute_value, ("for", attribute_value IS NULL, attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_min_FOR,
+       arg_min(attribute_value, (fnr, attribute_value IS NULL, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_min_FNR
 FROM ft"""))
 def q_fairness_summary(spark, d):
     disp = B.disparity_predefined(_metrics(spark, d), {"delegacion_inicio": REF_GROUPS["delegacion_inicio"]})
