@@ -9,18 +9,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """Scan one input table. Column pruning and filter pushdown reach the
     parquet reader through Catalyst, so callers just select/filter.
 
-    A table stored as fewer splits than the cluster has cores (one file with
-    one row group) would run every narrow step after the scan in that many
-    tasks; such an under-split input is spread round-robin over the cores.
-    On a large table (thousands of splits) nothing is added."""
+    ``spread=True`` is for fact tables followed by per-row work (JSON, text,
+    statistics): a table stored as fewer splits than the cluster has cores
+    (one file with one row group) would run every narrow step after the scan
+    in that many tasks, so such an under-split input is spread round-robin
+    over the cores. On a large table (thousands of splits) nothing is added.
+    Dimension tables that end up broadcast are never spread."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        df = df.repartition(cores)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
     return df
 
 

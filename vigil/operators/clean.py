@@ -108,7 +108,8 @@ def guarded_drop(df: DataFrame, col: str = "delegacion_inicio", value: str = "na
     """
     share = df.agg(safe_ratio(F.count(F.when(F.col(col) == value, 1)), F.count(F.lit(1)))
                    .alias("_share")).scalar()
-    keep = (F.col(col).isNull() | (F.col(col) != value) | share.isNull() | (share >= limit))
+    # the subquery is referenced once; an undefined share keeps every row
+    keep = F.col(col).isNull() | (F.col(col) != value) | ~F.coalesce(share < limit, F.lit(False))
     return df.filter(keep)
 
 

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.stats import safe_ratio
+from vigil.session import cut_lineage
 
 FOLD_PRIME = 7919
 # Rows per partition of a persisted training frame: iterative fitters run one
@@ -61,7 +62,10 @@ def cv_rate_model(df: DataFrame, grid: Mapping[str, tuple[Sequence[str], float]]
     and each grid entry re-aggregates that table."""
     y = F.col(target).cast("double")
     all_keys = sorted({k for keys, _ in grid.values() for k in keys})
-    base = df.groupBy(*all_keys, fold).agg(F.sum(y).alias("_pos"), F.count(F.lit(1)).alias("_n"))
+    # the sufficient statistics of every grid entry, checkpointed once in the
+    # shared folder so the entries below never re-read the data
+    base = cut_lineage(df.groupBy(*all_keys, fold)
+                         .agg(F.sum(y).alias("_pos"), F.count(F.lit(1)).alias("_n")))
     per_fold = base.groupBy(fold).agg(F.sum("_pos").alias("P_f"), F.sum("_n").alias("N_f"))
     all_w = Window.partitionBy(F.lit(0))  # over `folds` rows only
     glob = per_fold.select(fold, safe_ratio(F.sum("P_f").over(all_w) - F.col("P_f"),

@@ -33,7 +33,7 @@ CLOSURE_CODE_OTHER = "(D) Reporte duplicado."
 
 def incident_source(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw incident per order, all fields as text like the source API."""
-    orders = table(spark, sf_dir, "orders").select(
+    orders = table(spark, sf_dir, "orders", spread=True).select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", "o_orderpriority", "o_totalprice")
     customer = table(spark, sf_dir, "customer").select(
         "c_custkey", "c_nationkey", "c_mktsegment", "c_acctbal")

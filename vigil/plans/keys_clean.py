@@ -43,7 +43,7 @@ def q_typed_cast(spark, d):
 @register("clean_text", """
 SELECT doc_id, lower(text) AS text_lower, lower(source) AS source_lower FROM documents""")
 def q_clean_text(spark, d):
-    docs = table(spark, d, "documents").select("doc_id", "text", "source")
+    docs = table(spark, d, "documents", spread=True).select("doc_id", "text", "source")
     out = C.lower_columns(docs, "text", "source")
     return out.select("doc_id", F.col("text").alias("text_lower"), F.col("source").alias("source_lower"))
 
@@ -52,20 +52,20 @@ def q_clean_text(spark, d):
 SELECT doc_id, {sql_remove_points('text')} AS text_no_points,
        {sql_remove_points('text', '.')} AS text_no_dots FROM documents""")
 def q_remove_points(spark, d):
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents", spread=True)
     return docs.select("doc_id", remove_points("text").alias("text_no_points"),
                        remove_points("text", ".").alias("text_no_dots"))
 
 
 @register("unaccent", f"SELECT doc_id, lang, {sql_unaccent('text')} AS text_unaccent FROM documents")
 def q_unaccent(spark, d):
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents", spread=True)
     return docs.select("doc_id", "lang", unaccent("text").alias("text_unaccent"))
 
 
 @register("ascii_fold", f"SELECT doc_id, lang, {sql_ascii_fold('text')} AS text_ascii FROM documents")
 def q_ascii_fold(spark, d):
-    docs = table(spark, d, "documents")
+    docs = table(spark, d, "documents", spread=True)
     return docs.select("doc_id", "lang", ascii_fold("text").alias("text_ascii"))
 
 

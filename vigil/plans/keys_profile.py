@@ -41,7 +41,7 @@ NUM_STATS = ("max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt"
 
 @register("describe_numeric", "\nUNION ALL\n".join(_num_sql(c) for c in LINE_NUM))
 def q_describe_numeric(spark, d):
-    li = table(spark, d, "lineitem")
+    li = table(spark, d, "lineitem", spread=True)
     return _round(zero_noise(P.describe_numeric(li, LINE_NUM), "std", "mean"), NUM_STATS)
 
 
@@ -108,7 +108,7 @@ def _corr_sql():
 
 @register("correlation_matrix", _corr_sql())
 def q_correlation_matrix(spark, d):
-    return _round(P.correlation_matrix(table(spark, d, "lineitem"), LINE_NUM), ("corr",))
+    return _round(P.correlation_matrix(table(spark, d, "lineitem", spread=True), LINE_NUM), ("corr",))
 
 
 @register("counts_by_target", with_proc(
