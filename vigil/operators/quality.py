@@ -57,6 +57,23 @@ def dq_row_count(lineage: DataFrame, raw: DataFrame, level: str = "extract") ->
                         "n_declarados", "n_almacenados")
 
 
+def dq_row_count_by_month(lineage: DataFrame, raw: DataFrame, year: str = "year",
+                          month: str = "month", level: str = "extract") -> DataFrame:
+    """Control totals per month: declared rows (lineage) against stored rows,
+    a full outer join of two per-month aggregates, so a month present on one
+    side only shows up as a failure."""
+    declared = lineage.groupBy(F.col("refine_ano").cast("int").alias("y"),
+                               F.col("refine_mes").cast("int").alias("m")).agg(
+        F.sum("rows").cast("bigint").alias("n_declarados"))
+    stored = raw.groupBy(F.col(year).cast("int").alias("y"), F.col(month).cast("int").alias("m")).agg(
+        F.count(F.lit(1)).alias("n_almacenados"))
+    both = declared.join(stored, ["y", "m"], "full_outer")
+    ok = F.coalesce(F.col("n_declarados") == F.col("n_almacenados"), F.lit(False))
+    return both.select(F.col("y").alias("ano"), F.col("m").alias("mes"),
+                       *_status(ok, "row_count_month", level, "rows extracted and rows loaded differ"),
+                       "n_declarados", "n_almacenados")
+
+
 def dq_lowercase(df: DataFrame, cols: Sequence[str], level: str = "clean") -> DataFrame:
     """Every non-null value is lower case and has a letter; nulls counted."""
     aggs = []

@@ -228,3 +228,19 @@ def q_dq_column_count(spark, d):
     before = split_table(spark, d).select("folio", "mes", "hora", "delegacion_inicio", "dia_semana",
                                           "tipo_entrada", "incidente_c4_rec", "ano")
     return Q.dq_column_count(before, historic_predictions(spark, d), 4)
+
+
+@register("dq_row_count_month", with_inc(f"""{LIN_CTE},
+dcl AS (SELECT cast(refine_ano AS integer) AS y, cast(refine_mes AS integer) AS m,
+               cast(sum(rows) AS bigint) AS n_declarados FROM lin GROUP BY 1, 2),
+sto AS (SELECT cast(ano AS integer) AS y, cast(mes AS integer) AS m, count(*) AS n_almacenados
+        FROM inc GROUP BY 1, 2)
+SELECT coalesce(dcl.y, sto.y) AS ano, coalesce(dcl.m, sto.m) AS mes, 'row_count_month' AS test,
+       CASE WHEN coalesce(n_declarados = n_almacenados, false) THEN 'passed' ELSE 'failed' END AS test_status,
+       'extract' AS level,
+       CASE WHEN coalesce(n_declarados = n_almacenados, false) THEN NULL
+            ELSE 'rows extracted and rows loaded differ' END AS error,
+       n_declarados, n_almacenados
+FROM dcl FULL OUTER JOIN sto ON dcl.y = sto.y AND dcl.m = sto.m"""))
+def q_dq_row_count_month(spark, d):
+    return Q.dq_row_count_by_month(_lineage(spark, d), raw_documents(spark, d))
