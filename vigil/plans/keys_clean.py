@@ -136,3 +136,13 @@ def q_split_column(spark, d):
 def q_drop_columns(spark, d):
     orders = table(spark, d, "orders")
     return C.drop_columns(orders, "o_totalprice", "o_orderdate", "o_orderpriority")
+
+
+@register("json_extract_events", """
+SELECT event_id, event_type, json_extract_string(props, '$.k') AS k,
+       CAST(json_extract_string(props, '$.ausente') AS varchar) AS ausente,
+       cast(hour(ts) AS integer) AS hora FROM events""")
+def q_json_extract_events(spark, d):
+    ev = table(spark, d, "events", spread=True).select("event_id", "event_type", "ts", "props")
+    out = C.json_extract(ev, ["k", "ausente"], col="props", keep=["event_id", "event_type", "ts"])
+    return out.select("event_id", "event_type", "k", "ausente", F.hour("ts").alias("hora"))
