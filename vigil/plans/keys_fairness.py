@@ -223,3 +223,34 @@ SELECT {sround("coalesce(sum(CASE WHEN y_test = 1 AND y_etiqueta = 1 THEN 1 ELSE
        cast(sum(CASE WHEN y_etiqueta = 1 THEN 1 ELSE 0 END) AS bigint) AS pp FROM hist"""))
 def q_precision_metric(spark, d):
     return round_cols(B.precision_metric(historic_predictions(spark, d)), ["precision"])
+
+
+# Length rule audited across languages and sources: a document is predicted
+# to be of good quality when it has at least this many characters.
+DOC_MIN_CHARS = 2000
+DOC_ATTRS = ("lang", "source")
+
+
+def _doc_sql():
+    unpivot = "\nUNION ALL\n".join(
+        f"SELECT '{a}' AS attribute_name, cast({a} AS varchar) AS attribute_value, "
+        f"y_etiqueta AS score, y_test AS label_value FROM dl" for a in DOC_ATTRS)
+    xtab = XTAB_CTE.replace(_UNPIVOT, unpivot)
+    return f"""WITH dl AS (SELECT d.lang, d.source,
+                   CASE WHEN d.n_chars >= {DOC_MIN_CHARS} THEN 1 ELSE 0 END AS y_etiqueta,
+                   l.quality AS y_test
+            FROM documents d JOIN labels l ON d.doc_id = l.doc_id){xtab}{METRIC_CTE}
+SELECT attribute_name, attribute_value, group_size, tp, fp, tn, fn, {_metric_select()} FROM m"""
+
+
+@register("fairness_documents", _doc_sql())
+def q_fairness_documents(spark, d):
+    from vigil.catalog import table
+    docs = table(spark, d, "documents").select("doc_id", "lang", "source", "n_chars")
+    labels = table(spark, d, "labels").select("doc_id", "quality")
+    audit = docs.join(labels, "doc_id").select(
+        *DOC_ATTRS, (F.col("n_chars") >= DOC_MIN_CHARS).cast("int").alias("score"),
+        F.col("quality").alias("label_value"))
+    out = B.group_metrics(B.group_crosstab(audit, DOC_ATTRS)).select(
+        "attribute_name", "attribute_value", "group_size", "tp", "fp", "tn", "fn", *METRIC_NAMES)
+    return round_cols(out, METRIC_NAMES)
