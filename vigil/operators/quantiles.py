@@ -52,11 +52,14 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .withColumn("pos", (F.col("n") - 1) * F.col("prob"))
                     .withColumn("lo", F.floor("pos").cast("bigint"))
                     .withColumn("hi", F.ceil("pos").cast("bigint")))
-    # one row per (group, variable, prob): small, broadcast to the spans
-    lo = (spans.join(F.broadcast(wanted), keys)
+    # one row per (variable, prob) without groups: a fixed size, broadcast.
+    # With groups it grows with the group count, so AQE decides from the
+    # measured size (broadcast when small, shuffle join otherwise).
+    hint = F.broadcast if group is None else (lambda x: x)
+    lo = (spans.join(hint(wanted), keys)
                .filter((F.col("start") <= F.col("lo")) & (F.col("lo") < F.col("end")))
                .select(*keys, "prob", "pos", "lo", "hi", F.col("x").alias("v_lo")))
-    hi = (spans.join(F.broadcast(wanted.select(*keys, "prob", "hi")), keys)
+    hi = (spans.join(hint(wanted.select(*keys, "prob", "hi")), keys)
                .filter((F.col("start") <= F.col("hi")) & (F.col("hi") < F.col("end")))
                .select(*keys, "prob", F.col("x").alias("v_hi")))
     both = lo.join(hi, [*keys, "prob"])
