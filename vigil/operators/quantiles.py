@@ -8,8 +8,8 @@
    the preceding partitions (a table with one row per partition and
    variable) gives each value the run of ranks [start, end) it covers.
 3. The wanted ranks floor((n-1)q) and ceil((n-1)q) per (group, variable)
-   form a small table; a broadcast equi-join on (group, variable) with a
-   range condition picks the values at those ranks.
+   form a small table; one equi-join on (group, variable) with a range
+   condition picks the values at those ranks.
 
 No step holds more than one range partition of distinct values.
 """
@@ -52,17 +52,19 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     .withColumn("pos", (F.col("n") - 1) * F.col("prob"))
                     .withColumn("lo", F.floor("pos").cast("bigint"))
                     .withColumn("hi", F.ceil("pos").cast("bigint")))
-    # one row per (variable, prob) without groups: a fixed size, broadcast.
-    # With groups it grows with the group count, so AQE decides from the
-    # measured size (broadcast when small, shuffle join otherwise).
-    hint = F.broadcast if group is None else (lambda x: x)
-    lo = (spans.join(hint(wanted), keys)
-               .filter((F.col("start") <= F.col("lo")) & (F.col("lo") < F.col("end")))
-               .select(*keys, "prob", "pos", "lo", "hi", F.col("x").alias("v_lo")))
-    hi = (spans.join(hint(wanted.select(*keys, "prob", "hi")), keys)
-               .filter((F.col("start") <= F.col("hi")) & (F.col("hi") < F.col("end")))
-               .select(*keys, "prob", F.col("x").alias("v_hi")))
-    both = lo.join(hi, [*keys, "prob"])
+    # both wanted ranks as rows, so one range join finds the two values
+    ranks = wanted.select(*keys, "prob", "pos", "lo", "hi",
+                          F.explode(F.array(F.col("lo"), F.col("hi"))).alias("r"))
+    # one row per (variable, prob, rank) without groups: a fixed size,
+    # broadcast. With groups it grows with the group count, so AQE decides
+    # from the measured size (broadcast when small, shuffle join otherwise).
+    if group is None:
+        ranks = F.broadcast(ranks)
+    hit = (spans.join(ranks, keys)
+                .filter((F.col("start") <= F.col("r")) & (F.col("r") < F.col("end"))))
+    both = hit.groupBy(*keys, "prob", "pos", "lo", "hi").agg(
+        F.max(F.when(F.col("r") == F.col("lo"), F.col("x"))).alias("v_lo"),
+        F.max(F.when(F.col("r") == F.col("hi"), F.col("x"))).alias("v_hi"))
     value = F.when(F.col("lo") == F.col("hi"), F.col("v_lo")).otherwise(
         (F.col("hi") - F.col("pos")) * F.col("v_lo") + (F.col("pos") - F.col("lo")) * F.col("v_hi"))
     return both.select(*keys, "prob", value.alias("value"))
