@@ -3,7 +3,6 @@ inverse, alignment of a new month's columns to the training columns."""
 
 from __future__ import annotations
 
-import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -123,7 +122,3 @@ def one_hot_inverse(df: DataFrame, variables: Sequence[str], keep: Sequence[str]
             expr = F.when(F.col(f"`{c}`") == 1, F.lit(c[len(prefix):])).otherwise(expr)
         out.append(expr.alias(var))
     return df.select(*out)
-
-
-def safe_alias(name: str) -> str:
-    return re.sub(r"[^0-9A-Za-z_]", "_", name)

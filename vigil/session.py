@@ -72,8 +72,4 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-def is_local_path(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-__all__ = ["get_session", "checkpoint_root", "shared_dir", "cut_lineage", "is_local_path"]
+__all__ = ["get_session", "checkpoint_root", "shared_dir", "cut_lineage"]
