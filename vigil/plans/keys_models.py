@@ -153,3 +153,20 @@ def q_fairness_model(spark, d):
                           F.col("target").alias("label_value"))
     disp = B.disparity_major(B.group_metrics(B.group_crosstab(audit, ["delegacion_inicio"])))
     return B.fairness_table(disp, "delegacion_inicio")
+
+
+@register("lineage_prediction")
+def q_lineage_prediction(spark, d):
+    """Prediction-task row: model file, predicted month and year, rows scored
+    (an aggregate of the scored month) and the execution fields."""
+    train, _ = _train(spark, d)
+    model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
+    path = shared_dir(spark, "model")
+    MD.save_model(model, path)
+    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
+    scored = MD.score(MD.load_model(path), month, KEEP)
+    row = scored.agg(F.count(F.lit(1)).alias("registros_predichos"),
+                     F.sum("y_etiqueta").cast("bigint").alias("etiquetas_positivas"))
+    return with_run(row.select(F.lit(path).alias("archivo_modelo"),
+                               F.lit(str(NEW_MONTH)).alias("mes_de_prediccion"),
+                               F.lit(str(NEW_YEAR)).alias("ano_de_prediccion"), "*"), RUN)
