@@ -52,3 +52,15 @@ def test_logistic_scores_are_probabilities(spark):
                 F.max(F.abs(F.col("y_proba_0") + F.col("y_proba_1") - 1)).alias("err")).first()
     assert 0 <= r.lo <= r.hi <= 1 and r.err < 1e-9
     assert out.count() == te.count()
+
+
+def test_lineage_raw_quoted_values(spark):
+    import json
+    from vigil.operators.lineage import RunInfo, lineage_raw
+    raw = spark.createDataFrame([("{}", 2020, 4), ("{}", 2020, 4)], "registros string, year int, month int")
+    run = RunInfo("01/01/2026 00:00:00", "127.0.0.1", "t")
+    r = lineage_raw(raw, run, "d", 'src "x"\\y', quoted=True).first()
+    assert (r.refine_ano, r.refine_mes, r.rows) == ('"2020"', '"4"', 2)
+    assert json.loads(r.parametro_url) == 'src "x"\\y'
+    p = lineage_raw(raw, run, "d", "s").first()
+    assert (p.refine_ano, p.refine_mes) == ("2020", "4")

@@ -21,15 +21,26 @@ class RunInfo:
                 F.lit(self.ip_address).alias("ip_address"), F.lit(self.usuario).alias("usuario")]
 
 
+def json_text(c: Column) -> Column:
+    """A text value as a JSON string literal (quotes and backslashes escaped)."""
+    escaped = F.regexp_replace(F.regexp_replace(c, r"\\", r"\\\\"), '"', '\\\\"')
+    return F.concat(F.lit('"'), escaped, F.lit('"'))
+
+
 def lineage_raw(raw: DataFrame, run: RunInfo, dataset: str, source: str,
-                year: str = "year", month: str = "month", fmt: str = "json") -> DataFrame:
-    """One row per loaded month: rows loaded, request parameters, file name."""
+                year: str = "year", month: str = "month", fmt: str = "json",
+                quoted: bool = False) -> DataFrame:
+    """One row per loaded month: rows loaded, request parameters, file name.
+    ``quoted=True`` stores the request parameters JSON-encoded (``"2020"``),
+    for consumers written against that layout; plain values by default."""
     per_month = raw.groupBy(year, month).agg(F.count(F.lit(1)).cast("int").alias("rows"))
     name = F.format_string("%s_%04d_%02d.%s", F.lit(dataset), F.col(year), F.col(month), F.lit(fmt))
+    enc = json_text if quoted else (lambda c: c)
     return per_month.select(
         F.lit(dataset).alias("dataset"), F.lit("UTC").alias("timezone"), "rows",
-        F.col(year).cast("string").alias("refine_ano"), F.col(month).cast("string").alias("refine_mes"),
-        F.lit(source).alias("parametro_url"), *run.columns(), name.alias("nombre_archivo"),
+        enc(F.col(year).cast("string")).alias("refine_ano"),
+        enc(F.col(month).cast("string")).alias("refine_mes"),
+        enc(F.lit(source)).alias("parametro_url"), *run.columns(), name.alias("nombre_archivo"),
         F.lit(fmt).alias("formato_archivo"))
 
 
