@@ -8,7 +8,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vigil.operators.sizing import has_at_most
 
 # A wide one-hot form with more levels than this is not a usable table; the
 # vector form (StringIndexer + OneHotEncoder in models.py) has no such bound.
@@ -65,10 +64,12 @@ def vocabulary(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
                                          F.col(c).cast("string").alias("v")) for c in cols]))
     levels = df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull()).distinct()
-    if not has_at_most(levels, WIDE_MAX_LEVELS):
+    # one job; at most WIDE_MAX_LEVELS + 1 rows ever reach the driver
+    rows = levels.limit(WIDE_MAX_LEVELS + 1).collect()
+    if len(rows) > WIDE_MAX_LEVELS:
         raise ValueError(f"more than {WIDE_MAX_LEVELS} levels; use the vector encoder")
     out: dict[str, list[str]] = {c: [] for c in cols}
-    for r in levels.collect():
+    for r in rows:
         out[r.variable].append(r.v)
     return {c: sorted(v) for c, v in out.items()}
 
