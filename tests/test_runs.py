@@ -2,7 +2,7 @@ from pyspark.sql import functions as F
 
 from tests.conftest import SF
 from vigil.operators.lineage import RunInfo
-from vigil.plans import pipelines as PL
+from vigil.plans import runs as PL
 from vigil.plans.frames import incident_source
 from vigil.session import shared_dir
 from vigil.sources import files as S

@@ -1 +1 @@
-"""Plans: compositions of operators (pipelines) and the query registry."""
+"""Plans: compositions of operators (training, scoring and monitoring runs) and the query registry."""

@@ -1,4 +1,4 @@
-"""Shared derived frames for the registered queries and the pipelines."""
+"""Shared derived frames for the registered queries and the runs."""
 
 from __future__ import annotations
 

@@ -280,7 +280,7 @@ SELECT delegacion_inicio, tipo_entrada, count(*) AS llamadas,
        """ + sround("avg(target) * 100") + """ AS pct_confirmadas
 FROM model GROUP BY 1, 2"""))
 def q_flagship(spark, d):
-    from vigil.plans.pipelines import flagship
+    from vigil.plans.runs import flagship
     return _round(flagship(spark, d), ("pct_confirmadas",))
 
 
