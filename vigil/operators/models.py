@@ -192,6 +192,22 @@ def precision_of(pred: DataFrame, label: str = "target") -> float:
     return float(row.tp) / row.pp if row.pp else 0.0
 
 
+def _memory_gb(text: str) -> float:
+    units = {"k": 1 / 1024 ** 2, "m": 1 / 1024, "g": 1.0, "t": 1024.0}
+    t = text.strip().lower().rstrip("b")
+    if t and t[-1] in units:
+        return float(t[:-1]) * units[t[-1]]
+    return float(t) / 1024 ** 3  # plain bytes
+
+
+def fit_parallelism(spark: SparkSession, requested: int) -> int:
+    """Concurrent fits the driver can hold: fitted tree ensembles are
+    collected to the driver, so allow about one fit per 2 GB of driver heap
+    (at least one, at most ``requested``)."""
+    heap = _memory_gb(spark.conf.get("spark.driver.memory", "1g"))
+    return max(1, min(requested, int(heap // 2)))
+
+
 def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], numeric: Sequence[str],
                       key: str = "folio", folds: int = 10, label: str = "target",
                       parallelism: int = 8) -> DataFrame:
@@ -223,7 +239,9 @@ def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], nume
         return name, k, precision_of(model.transform(va), label)
 
     tasks = [(k, name, pm) for k in range(folds) for name, pm in grid]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
+    # linear models are small; tree ensembles are bounded by driver memory
+    workers = parallelism if kind == "logistic" else fit_parallelism(spark, parallelism)
+    with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(run, tasks))
     for tr, va in encoded:
         tr.unpersist()
