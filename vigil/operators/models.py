@@ -239,8 +239,15 @@ def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], nume
         return name, k, precision_of(model.transform(va), label)
 
     tasks = [(k, name, pm) for k in range(folds) for name, pm in grid]
-    # linear models are small; tree ensembles are bounded by driver memory
-    workers = parallelism if kind == "logistic" else fit_parallelism(spark, parallelism)
+    # linear models are small; forests are small too (min 10 rows per leaf:
+    # 4 concurrent fits ran in a 1 GB driver); boosted trees without a leaf
+    # minimum are bounded by driver memory
+    if kind == "logistic":
+        workers = parallelism
+    elif kind == "random_forest":
+        workers = min(parallelism, max(4, fit_parallelism(spark, parallelism)))
+    else:
+        workers = fit_parallelism(spark, parallelism)
     with ThreadPoolExecutor(max_workers=workers) as pool:
         rows = list(pool.map(run, tasks))
     for tr, va in encoded:
