@@ -271,7 +271,7 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     tree = CoverTree(sample, leaf=max(2, len(sample) // cells))
     leaves = [i for i, c in enumerate(tree.children) if not c]
     pivots = sample[tree.center[leaves]] if leaves else np.zeros((1, sample.shape[1]), np.int64)
-    schema = classes.schema.add("cell", "integer").add("far", "double").add("norm", "double").add("floor", "double")
+    schema = "vkey string, vec binary, ids array<long>, asked boolean, first_id long, cell int, far double, norm double, floor double"
     placed = written(classes.mapInArrow(_placer(pivots, sample, k + 1), schema), "topk-placed")
 
     # a row per cell: at most ``sample_rows``
