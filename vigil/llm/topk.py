@@ -230,13 +230,13 @@ def _searcher(k: int):
         schema = pa.schema([("vkey", pa.string()), ("score", pa.int64()), ("first_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
         if not queries.num_rows or not data.num_rows:
             return schema.empty_table()
-        q, d = _common(_vectors(queries["vec"].to_pylist()), _vectors(data["vec"].to_pylist()))
-        ids = data["first_id"].to_numpy()
+        q, d = _common(_vectors(queries["vec"].to_pylist()), _vectors(data["data_vec"].to_pylist()))
+        ids = data["data_first_id"].to_numpy()
         best, score = dual_tree_search(q, d, ids, k, queries["floor"].to_numpy())
         row, col = np.nonzero(best >= 0)
         hit = best[row, col]
         return pa.Table.from_arrays([queries["vkey"].take(pa.array(row)).combine_chunks(), pa.array(score[row, col]), pa.array(ids[hit]),
-                                     data["ids"].take(pa.array(hit)).combine_chunks().cast(pa.list_(pa.int64()))], schema=schema)
+                                     data["data_ids"].take(pa.array(hit)).combine_chunks().cast(pa.list_(pa.int64()))], schema=schema)
     return run
 
 
@@ -299,7 +299,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
          .join(F.broadcast(plan), F.col("g") == F.col("dg"))
          .withColumn("qp", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("qg", "qp", "dg", "dp", "vec", "first_id", "ids"))
     keys = ["qg", "qp", "dg", "dp"]
-    hits = q.groupBy(*keys).cogroup(d.groupBy(*keys)).applyInArrow(_searcher(k + 1), _HITS)
+    d = d.toDF(*(f"data_{c}" for c in d.columns))            # both sides come from one table
+    hits = q.groupBy(*keys).cogroup(d.groupBy(*(f"data_{c}" for c in keys))).applyInArrow(_searcher(k + 1), _HITS)
 
     best = Window.partitionBy("vkey").orderBy(F.col("score").desc(), "first_id")
     merged = (hits.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1)
