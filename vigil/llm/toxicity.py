@@ -82,8 +82,8 @@ class FactorizationMachine:
         return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
 
     @classmethod
-    def fit(cls, texts: list[np.ndarray], label: np.ndarray, share: float, rank: int = 6, least: int = 3,
-            z_least: float = 4.0, epochs: int = 12, batch: int = 256, rate: float = 0.1, decay: float = 1e-5,
+    def fit(cls, texts: list[np.ndarray], label: np.ndarray, share: float, rank: int = 6, least: int = 4,
+            z_least: float = 4.0, epochs: int = 20, batch: int = 256, rate: float = 0.4, decay: float = 1e-5,
             seed: int = 5) -> "FactorizationMachine":
         """``share``: the positives' share among all labelled rows; the sample
         may hold more of them and is weighted back. Slots in fewer than
