@@ -236,6 +236,29 @@ def _lists(percent: int):
     return run
 
 
+def shared_counts(sets: list[np.ndarray], columns: int = 1 << 13) -> np.ndarray:
+    """(sets, sets) numbers of shared shingles, above the diagonal: the shingles
+    that at least two sets have as rows of bits, ``columns`` at a time."""
+    flat = np.concatenate(sets)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    order = np.argsort(flat, kind="stable")
+    flat, owner = flat[order], owner[order]
+    same = flat[1:] == flat[:-1]
+    keep = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+    flat, owner = flat[keep], owner[keep]
+    column = np.cumsum(np.concatenate([[False], flat[1:] != flat[:-1]])) if len(flat) else np.zeros(0, np.int64)
+    out = np.zeros((len(sets), len(sets)), np.int32)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, columns):
+        part = slice(*np.searchsorted(column, [first, first + columns]))
+        rows, at = np.unique(owner[part], return_inverse=True)
+        bits = np.zeros((len(rows), columns), bool)
+        bits[at, column[part] - first] = True
+        bits = np.packbits(bits, axis=1).view(np.uint64)
+        for i in range(len(rows) - 1):
+            out[rows[i], rows[i + 1:]] += np.bitwise_count(bits[i + 1:] & bits[i]).sum(1, dtype=np.int32)
+    return out
+
+
 def _verified(width: int, percent: int):
     """Exact links among the texts of one part of a component, as edges to the
     least member of each connected group."""
@@ -244,18 +267,14 @@ def _verified(width: int, percent: int):
         cid = t["cid"].to_numpy()[order]
         sets = list(shingle_sets(t["text"].take(pa.array(order)).to_pylist(), width))
         n = np.array([len(s) for s in sets], np.int64)
-        bits = np.frombuffer(b"".join(map(_parity, sets)), np.uint8).reshape(len(sets), -1).view(np.uint64)
+        shared = shared_counts(sets)
+        shared += shared.T
         left, a, b = np.arange(len(cid)), [], []
         while len(left) > 1:
             queue, left, root = [left[0]], left[1:], left[0]
             while queue and len(left):
                 i = queue.pop()
-                need = least_overlap(n[left], n[i], percent)
-                near = (np.minimum(n[left], n[i]) >= need) & (np.bitwise_count(bits[left] ^ bits[i]).sum(-1) <= n[left] + n[i] - 2 * need)
-                for k in np.flatnonzero(near).tolist():
-                    s = sets[left[k]]
-                    at = np.minimum(np.searchsorted(sets[i], s), n[i] - 1)
-                    near[k] = int((sets[i][at] == s).sum()) >= need[k]
+                near = 100 * shared[i, left].astype(np.int64) >= percent * (n[left] + n[i] - shared[i, left])
                 found, left = left[near], left[~near]
                 a += [int(cid[root])] * len(found)
                 b += cid[found].tolist()
