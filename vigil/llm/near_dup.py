@@ -22,6 +22,7 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +32,7 @@ from vigil.llm.components import components
 
 CELL_BITS = 20                    # of the table of shingle counts
 BITS = 512                        # of a set's parity sketch
+FILTER_BITS = 25                  # of the filter before texts are shuffled
 _EXTEND = 2                       # shared prefix shingles of a linked pair
 _BLOCK = 1 << 22                  # bytes of text hashed at once
 
@@ -146,6 +148,52 @@ def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
     return out.ravel()
 
 
+def _filter_places(ids: np.ndarray) -> Iterator[np.ndarray]:
+    for seed in range(3):
+        yield (seeded64(ids.astype(np.int64).view(np.uint64), 40 + seed) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    bits = np.zeros(1 << FILTER_BITS, bool)
+    for b in batches:
+        for at in _filter_places(b.column("cid").to_numpy()):
+            bits[at] = True
+    blocks = [(i, zlib.compress(np.packbits(part).tobytes(), 1)) for i, part in enumerate(np.split(bits, 64)) if part.any()]
+    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([z for _, z in blocks], pa.binary())],
+                                     ["block", "bits"])
+
+
+def _filter_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    total: dict[int, np.ndarray] = {}
+    for b in batches:
+        for i, z in zip(b.column("block").to_pylist(), b.column("bits").to_pylist(), strict=True):
+            total[i] = total.get(i, 0) | np.frombuffer(zlib.decompress(z), np.uint8)
+    yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array([t.tobytes() for t in total.values()], pa.binary())],
+                                     ["block", "bits"])
+
+
+def maybe_member(ids: DataFrame):
+    """Column function: false only for a doc_id that is not among ``ids`` (cid).
+    A Bloom filter of fixed size (4 MB); the more ids the more pass it, so an
+    exact join follows."""
+    rows = (ids.mapInArrow(_filter_parts, "block int, bits binary").repartition(64, "block")
+            .mapInArrow(_filter_joined, "block int, bits binary").collect())         # 64 rows
+    packed = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
+    for r in rows:
+        packed[r["block"]] = np.frombuffer(r["bits"], np.uint8)
+    packed = packed.ravel()
+
+    @F.pandas_udf("boolean")
+    def check(doc_id: pd.Series) -> pd.Series:
+        has = doc_id.notna().to_numpy()
+        ok = has.copy()
+        for at in _filter_places(doc_id.fillna(0).to_numpy().astype(np.int64)):
+            ok &= (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
+        return pd.Series(ok)
+
+    return check
+
+
 def _parity(s: np.ndarray) -> bytes:
     return np.packbits(np.bincount((s & np.uint64(BITS - 1)).astype(np.int64), minlength=BITS) & 1).astype(np.uint8).tobytes()
 
@@ -328,7 +376,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
     member = labels.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
     member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
         F.col("node").alias("cid"), "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    texts = base.join(member, base["doc_id"] == member["cid"]).select("component", "lo", "hi", "cid", "text")
+    member = written(member, "component-members")
+    asked = base.where(maybe_member(member.select("cid"))("doc_id"))      # so that other texts are not shuffled
+    texts = asked.join(member, asked["doc_id"] == member["cid"]).select("component", "lo", "hi", "cid", "text")
     links = texts.groupBy("component", "lo", "hi").applyInArrow(_verified(width, percent), "a long, b long")
     final = components(links)
 
