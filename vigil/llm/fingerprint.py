@@ -216,7 +216,7 @@ def fingerprint_versions(docs: DataFrame, parts: int | None = None) -> DataFrame
     parts = parts or max(16, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     bounds = base.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 10_000)).first()[0] or []
-    splits = [-math.inf, *sorted({float(x) for x in bounds}), math.inf]
+    splits = [-math.inf, *sorted({float(x) for x in bounds} or {0.0}), math.inf]
     # parts by descending doc_id: 0 holds the largest ids; null ids (invalid as numbers) come last
     bucket = Bucketizer(splits=splits, inputCol="_number", outputCol="_bucket", handleInvalid="keep")
     placed = bucket.transform(base.withColumn("_number", F.coalesce(F.col("doc_id").cast("double"), F.lit(math.nan))))
