@@ -27,8 +27,10 @@ def test_align_and_inverse(spark):
     df = spark.createDataFrame([(1, 0, 1)], "k int, c_a int, c_c int")
     al = FE.align_features(df, ["c_a", "c_b"], keep=["k"])
     assert al.columns == ["k", "c_a", "c_b"] and tuple(al.first()) == (1, 0, 0)
-    inv = FE.one_hot_inverse(df, ["c"], keep=["k"]).first()
-    assert inv.c == "c"
+    assert FE.one_hot_inverse(df, {"c": ["a", "c"]}, keep=["k"]).first().c == "c"
+    # a variable whose name begins with another's
+    both = spark.createDataFrame([(0, 1)], "a_x int, a_b_x int")
+    assert tuple(FE.one_hot_inverse(both, {"a": ["x"], "a_b": ["x"]}).first()) == (None, "x")
 
 
 def test_split_independent_of_partitioning(spark):

@@ -69,9 +69,13 @@ def clean_incidents(df: DataFrame) -> DataFrame:
 
 
 def clean_month(df: DataFrame, year: int, month: int) -> DataFrame:
-    """Clean one month. On a year/month partitioned store the two equality
-    filters prune partitions before the scan."""
-    return clean_incidents(df.filter((F.col("ano") == str(year)) & (F.col("mes") == str(month))))
+    """Clean one month. If ``df`` still has the store's partition columns
+    (year, month) these are filtered first and prune the scan; the record's own
+    fields are compared as numbers, so ``04`` is month 4."""
+    if {"year", "month"} <= set(df.columns):
+        df = df.filter((F.col("year") == year) & (F.col("month") == month))
+    number = lambda c: F.expr(f"try_cast({c} AS int)")
+    return clean_incidents(df.filter((number("ano") == year) & (number("mes") == month)))
 
 
 def recategorize(df: DataFrame, col: str = "incidente_c4", out: str = "incidente_c4_rec",

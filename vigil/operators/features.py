@@ -111,15 +111,17 @@ def align_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] =
     return df.select(*keep, *[F.col(f"`{c}`") if c in have else F.lit(0).alias(c) for c in columns])
 
 
-def one_hot_inverse(df: DataFrame, variables: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
-    """Back from dummies to one text column per variable: the level whose
-    dummy is largest (first in column order on ties), null if all are 0."""
+def one_hot_inverse(df: DataFrame, vocab: dict[str, list[str]], keep: Sequence[str] = ()) -> DataFrame:
+    """Back from dummies to one text column per fitted variable: the level whose
+    dummy is largest (first in the vocabulary on ties), null if all are 0.
+    Columns are found by the fitted names, so one variable's name may begin
+    with another's."""
     out = [F.col(k) for k in keep]
-    for var in variables:
-        prefix = f"{var}_"
-        dcols = [c for c in df.columns if c.startswith(prefix)]
+    for var, levels in vocab.items():
+        dummy = {lv: F.col(f"`{dummy_name(var, lv)}`") for lv in levels}
+        most = F.greatest(F.lit(0), F.lit(0), *dummy.values())
         expr = F.lit(None).cast("string")
-        for c in reversed(dcols):
-            expr = F.when(F.col(f"`{c}`") == 1, F.lit(c[len(prefix):])).otherwise(expr)
+        for lv in reversed(levels):
+            expr = F.when((dummy[lv] == most) & (most > 0), F.lit(lv)).otherwise(expr)
         out.append(expr.alias(var))
     return df.select(*out)

@@ -161,7 +161,10 @@ def dq_report(checks: Sequence[DataFrame], run: RunInfo) -> DataFrame:
 
 
 def raise_on_failure(report: DataFrame) -> None:
-    failed = report.filter(F.col("test_status") == "failed").limit(20).collect()
+    """Raise if a check failed, with the number of failures of every check
+    (one row per kind of check reaches the driver); ``report`` has the details."""
+    failed = (report.filter(F.col("test_status") == "failed").groupBy("test")
+              .agg(F.count(F.lit(1)).alias("n"), F.min("error").alias("error")).collect())
     if failed:
-        raise AssertionError("data-quality checks failed: " +
-                             "; ".join(f"{r.test}: {r.error}" for r in failed))
+        raise AssertionError(f"{sum(r.n for r in failed)} data-quality checks failed: " + "; ".join(
+            f"{r.test} ({r.n}): {r.error}" for r in sorted(failed, key=lambda r: r.test)))

@@ -21,6 +21,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from vigil.session import materialize
+
 
 def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                     group: str | None = None) -> DataFrame:
@@ -37,7 +39,8 @@ def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
                      .sortWithinPartitions(*keys, "x")
                      .withColumn("_pid", F.spark_partition_id()))
     within = Window.partitionBy("_pid", *keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = ranged.withColumn("_run", F.sum("c").over(within))
+    # written once: two runs of a range shuffle need not cut the values alike
+    ranged = materialize(ranged.withColumn("_run", F.sum("c").over(within)), "ranked-values")
     # rows of a (group, variable) per range partition, and the exclusive
     # prefix over partitions: one row per (partition, variable)
     per_part = ranged.groupBy(*keys, "_pid").agg(F.sum("c").alias("_pc"))

@@ -26,11 +26,11 @@ def predict_by_period(df: DataFrame, year: int, month: int,
 
 
 def prediction_list(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
-    """Predictions by hour, most probable first within the hour, with the
-    probabilities rounded for presentation."""
-    out = df.select(*[F.round(F.col(c), digits).alias(c) if c.startswith("y_proba") else F.col(c)
-                      for c in cols])
-    return out.orderBy(F.asc("hora"), F.desc("y_proba_1"), F.asc("folio"))
+    """Predictions by hour, most probable first within the hour; the
+    probabilities are rounded for presentation after the sort."""
+    ordered = df.orderBy(F.asc("hora"), F.desc("y_proba_1"), F.asc("folio"))
+    return ordered.select(*[F.round(F.col(c), digits).alias(c) if c.startswith("y_proba") else F.col(c)
+                            for c in cols])
 
 
 def priority_topk(df: DataFrame, k: int, score: str = "y_proba_1", key: str = "folio",

@@ -71,5 +71,5 @@ def q_align_features(spark, d):
 @register("one_hot_inverse", with_scored(
     "SELECT folio, dia_semana, tipo_entrada, incidente_c4_rec FROM split WHERE conjunto = 'test'"))
 def q_one_hot_inverse(spark, d):
-    encoded, _ = _encoded_test(spark, d)
-    return FE.one_hot_inverse(encoded, CATS, keep=["folio"])
+    encoded, vocab = _encoded_test(spark, d)
+    return FE.one_hot_inverse(encoded, vocab, keep=["folio"])

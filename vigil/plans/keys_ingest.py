@@ -95,10 +95,10 @@ def q_tsv_headerless(spark, d):
 
 
 @register("page_chunks", f"""
-SELECT o_orderkey, cast((row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE_SIZE} AS integer) AS pagina
+SELECT *, cast((row_number() OVER (ORDER BY o_orderkey) - 1) // {PAGE_SIZE} AS integer) AS pagina
 FROM orders""")
 def q_page_chunks(spark, d):
-    return S.add_page_numbers(table(spark, d, "orders").select("o_orderkey"), "o_orderkey", PAGE_SIZE)
+    return S.add_page_numbers(table(spark, d, "orders"), "o_orderkey", PAGE_SIZE)
 
 
 @register("json_flatten", with_inc("SELECT folio AS recordid, " + ", ".join(

@@ -134,11 +134,6 @@ def q_lineage_model(spark, d):
     return with_run(cv.join(best, "params", "left"), RUN)
 
 
-@register("column_types")
-def q_column_types(spark, d):
-    return P.column_types(clean_table(spark, d))
-
-
 @register("fairness_model")
 def q_fairness_model(spark, d):
     """Fairness of a fitted model: the single boosted tree is trained on the

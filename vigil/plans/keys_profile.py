@@ -225,12 +225,12 @@ def q_tag_source(spark, d):
 
 
 @register("prediction_list", with_scored(f"""
-SELECT folio, hora, delegacion_inicio, tipo_entrada, incidente_c4_rec,
+SELECT folio, mes, dia_semana, hora, delegacion_inicio, tipo_entrada, incidente_c4_rec,
        round(y_proba_0, 2) AS y_proba_0, round(y_proba_1, 2) AS y_proba_1, y_etiqueta FROM live"""))
 def q_prediction_list(spark, d):
     return S.prediction_list(new_predictions(spark, d),
-                             ["folio", "hora", "delegacion_inicio", "tipo_entrada",
-                              "incidente_c4_rec", "y_proba_0", "y_proba_1", "y_etiqueta"])
+                             ["folio", "mes", "dia_semana", "hora", "delegacion_inicio",
+                              "tipo_entrada", "incidente_c4_rec", "y_proba_0", "y_proba_1", "y_etiqueta"])
 
 
 @register("priority_topk", with_scored("""

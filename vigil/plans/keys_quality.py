@@ -53,16 +53,6 @@ def q_lineage_clean(spark, d):
     return L.lineage_clean(raw_documents(spark, d), clean_table(spark, d), RUN, "clean_incidents")
 
 
-@register("lineage_features")
-def q_lineage_features(spark, d):
-    # the column lists come from the pipeline definition; the run reads the data
-    # once to prove the encoded columns exist.
-    cols = processed_table(spark, d).columns
-    enc = [c for c in ONEHOT_CATS if c in cols]
-    return L.lineage_features(spark, RUN, "features", ["incidente_c4_rec", "hora", "clave", "target"],
-                              ["incidente_c4"], ["delegacion_inicio"], enc)
-
-
 @register("month_spine", """
 SELECT cast(unnest(generate_series(date_trunc('month', min(o_orderdate))::date,
                                    date_trunc('month', max(o_orderdate))::date,
@@ -131,11 +121,6 @@ def q_dq_lowercase(spark, d):
     return Q.dq_lowercase(clean_table(spark, d), LOWER_COLS)
 
 
-@register("dq_types")
-def q_dq_types(spark, d):
-    return Q.dq_types(clean_table(spark, d), CLEAN)
-
-
 @register("dq_cardinality", with_proc("""
 SELECT 'cardinality_incidente_c4_rec' AS test,
        CASE WHEN count(DISTINCT incidente_c4_rec) = 5 THEN 'passed' ELSE 'failed' END AS test_status,
@@ -220,16 +205,6 @@ def q_dq_report(spark, d):
     return Q.dq_report(checks, RUN)
 
 
-@register("dq_column_count")
-def q_dq_column_count(spark, d):
-    """Prediction table = model input + 4 columns (two probabilities, label,
-    truth)."""
-    from vigil.plans.frames import historic_predictions
-    before = split_table(spark, d).select("folio", "mes", "hora", "delegacion_inicio", "dia_semana",
-                                          "tipo_entrada", "incidente_c4_rec", "ano")
-    return Q.dq_column_count(before, historic_predictions(spark, d), 4)
-
-
 @register("dq_row_count_month", with_inc(f"""{LIN_CTE},
 dcl AS (SELECT cast(refine_ano AS integer) AS y, cast(refine_mes AS integer) AS m,
                cast(sum(rows) AS bigint) AS n_declarados FROM lin GROUP BY 1, 2),

@@ -29,7 +29,7 @@ def load_all() -> None:
     """Import every key module (registration happens at import)."""
     from vigil.plans import (  # noqa: F401
         keys_clean, keys_fairness, keys_features, keys_ingest, keys_models, keys_profile,
-        keys_quality, keys_serving)
+        keys_quality)
 
 
 def queries() -> dict[str, QueryFn]:

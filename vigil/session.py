@@ -53,6 +53,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
@@ -66,10 +68,18 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialize(df, name: str):
+    """Write ``df`` once to the shared folder and read it back, so that every
+    branch that uses it sees the same rows."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def cut_lineage(df):
     """Cut a long lineage with a reliable checkpoint in the shared folder."""
     checkpoint_root(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-__all__ = ["get_session", "checkpoint_root", "shared_dir", "cut_lineage"]
+__all__ = ["get_session", "checkpoint_root", "shared_dir", "materialize", "cut_lineage"]

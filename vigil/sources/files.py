@@ -13,6 +13,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from vigil.session import materialize
+
 PARTITIONS = ("year", "month")
 
 
@@ -100,11 +102,13 @@ def add_page_numbers(df: DataFrame, key: str, page_size: int, out: str = "pagina
     range-partition and sort by key, take each row's position inside its
     partition from ``monotonically_increasing_id``, add the row count of the
     preceding partitions (a table with one row per partition), then
-    page = floor(index / page_size)."""
+    page = floor(index / page_size). The numbered rows are written once, as
+    two runs of a range shuffle need not cut the keys alike."""
     ordered = df.repartitionByRange(F.col(key)).sortWithinPartitions(F.col(key))
     ided = ordered.withColumn("_id", F.monotonically_increasing_id())
     ided = ided.withColumn("_pid", F.shiftright(F.col("_id"), 33)) \
                .withColumn("_local", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    ided = materialize(ided, "numbered")
     from pyspark.sql import Window
     counts = ided.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = counts.withColumn(

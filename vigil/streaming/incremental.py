@@ -3,7 +3,8 @@
 A file-source stream over the raw store with a fixed schema, triggered with
 ``availableNow``: each run processes exactly the files that arrived since
 the last run (the checkpoint is the marker that prevents a second run of a
-month) and appends the cleaned rows partitioned by year and month. The
+month); every month that has a new file is read whole and replaces its
+partition of the clean table, so a month delivered again isn't doubled. The
 checkpoint lives in the cluster's shared folder so a lost driver or executor
 resumes from the last committed batch.
 """
@@ -22,19 +23,29 @@ RAW_STREAM_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
                                   T.StructField("month", T.IntegerType())])
 
 
-def clean_stream(spark: SparkSession, raw_path: str) -> DataFrame:
-    raw = (spark.readStream.format("text").schema(RAW_STREAM_SCHEMA)
-                .option("maxFilesPerTrigger", 1000).load(raw_path)
-                .withColumnRenamed("value", "registros"))
-    return clean_incidents(parse_documents(raw))
+def raw_stream(spark: SparkSession, raw_path: str) -> DataFrame:
+    return (spark.readStream.format("text").schema(RAW_STREAM_SCHEMA)
+            .option("maxFilesPerTrigger", 1000).load(raw_path))
 
 
 def run_incremental_clean(spark: SparkSession, raw_path: str, out_path: str,
                           checkpoint: str) -> int:
     """Process every raw file not seen yet; returns the number of batches."""
-    query = (clean_stream(spark, raw_path).writeStream.format("parquet")
-             .option("path", out_path).option("checkpointLocation", checkpoint)
-             .partitionBy("ano", "mes").outputMode("append")
+    def replace_months(batch: DataFrame, _: int) -> None:
+        months = batch.select("year", "month").distinct().collect()      # a row per delivered month
+        if not months:
+            return
+        touched = F.lit(False)
+        for m in months:
+            touched = touched | ((F.col("year") == m["year"]) & (F.col("month") == m["month"]))
+        session = batch.sparkSession
+        raw = (session.read.schema(RAW_STREAM_SCHEMA).text(raw_path).filter(touched)
+               .withColumnRenamed("value", "registros"))
+        (clean_incidents(parse_documents(raw)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("ano", "mes").parquet(out_path))
+
+    query = (raw_stream(spark, raw_path).writeStream.foreachBatch(replace_months)
+             .option("checkpointLocation", checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
     return len(query.recentProgress)
