@@ -211,7 +211,10 @@ def read_records(index: DataFrame, root: str) -> DataFrame:
     page_id, payload_bytes, payload_digest (bare base32 SHA-1), record_type,
     refers_to and payload (null for a revisit). Filter the index first to read
     single records."""
-    dealt = index.repartition("bundle").sortWithinPartitions("bundle", "frame", "offset")
+    # a stated number of tasks: the index rows are few, the frames behind them are not
+    spark = index.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+    dealt = index.repartition(tasks, "bundle").sortWithinPartitions("bundle", "frame", "offset")
     return dealt.mapInArrow(_reader(root), RECORDS)
 
 
