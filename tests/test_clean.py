@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from vigil.catalog import RAW_FIELDS
 from vigil.functions.temporal import closed_month
-from vigil.functions.text import ascii_fold, python_nfkd_ascii, unaccent
+from tests.test_text_properties import nfkd_ascii
+from vigil.functions.text import ascii_fold, unaccent
 from vigil.operators import clean as C
 
 
@@ -84,14 +85,14 @@ def test_unaccent_and_fold_differ_on_purpose(spark):
     df = spark.createDataFrame([(text,)], "t string")
     r = df.select(unaccent("t").alias("u"), ascii_fold("t").alias("a")).first()
     assert r.u == "Ca deja Strasse AEsir Ore nandu"
-    assert r.a == python_nfkd_ascii(text)
+    assert r.a == nfkd_ascii(text)
 
 
 def test_fold_matches_nfkd_on_documents(spark):
     from tests.conftest import SF
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     rows = docs.select("text", ascii_fold("text").alias("a")).collect()
-    assert all(python_nfkd_ascii(r.text) == r.a for r in rows)
+    assert all(nfkd_ascii(r.text) == r.a for r in rows)
 
 
 def test_raw_schema_has_geopoint():

@@ -26,7 +26,7 @@ def test_rate_cv_matches_brute_force(spark):
     import pandas as pd
     from vigil.plans.frames import split_table
     df = split_table(spark, SF).filter("conjunto = 'train'").withColumn(
-        "fold", MD.fold_column("folio", 10, method="mix"))
+        "fold", MD.fold_column("folio", 10, method="digest"))
     grid = {"t": (("tipo_entrada",), 0.3)}
     res = MD.cv_rate_model(df, grid, "fold", 10).first()
     pdf = df.select("tipo_entrada", "fold", "target").toPandas()

@@ -9,20 +9,31 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-# A wide one-hot form with more levels than this is not a usable table; the
-# vector form (StringIndexer + OneHotEncoder in models.py) has no such bound.
+# A wide table has a column per level, so its levels must fit a schema. Beyond
+# this ``fit_levels`` and ``one_hot_long`` do the same without any bound.
 WIDE_MAX_LEVELS = 10_000
-# Multiplier of the portable split bucket (a prime; spreads sequential keys).
-SPLIT_PRIME = 7919
+
+
+def digest_bucket(key: str, buckets: int, salt: str) -> Column:
+    """Bucket 0..buckets-1 from the first 32 bits of md5(salt|key): no digit of
+    the key decides it, and any SQL engine can reproduce it."""
+    head = F.substring(F.md5(F.concat(F.lit(f"{salt}|"), F.col(key).cast("string"))), 1, 8)
+    return F.pmod(F.conv(head, 16, 10).cast("bigint"), F.lit(buckets)).cast("int")
+
+
+def sql_digest_bucket(key: str, buckets: int, salt: str) -> str:
+    """SQL twin of ``digest_bucket``."""
+    return (f"cast(cast('0x' || substr(md5(concat('{salt}|', cast({key} AS varchar))), 1, 8) AS bigint)"
+            f" % {buckets} AS integer)")
 
 
 def split_bucket(key: str, seed: int = 0, method: str = "hash") -> Column:
     """Bucket 0..99 that depends only on the row key, so the split is the same
-    however the data is partitioned. ``hash`` uses xxhash64; ``mix`` is an
-    integer formula any SQL engine can reproduce (integer keys only)."""
+    however the data is partitioned. ``hash`` uses xxhash64; ``digest`` is
+    md5, which any SQL engine can reproduce."""
     if method == "hash":
         return F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    return F.pmod(F.col(key).cast("bigint") * SPLIT_PRIME + seed, F.lit(100))
+    return digest_bucket(key, 100, f"split{seed}")
 
 
 def train_test_split(df: DataFrame, key: str, train_pct: int = 70, seed: int = 0,
@@ -40,8 +51,16 @@ def tag_split(df: DataFrame, key: str, train_pct: int = 70, seed: int = 0,
 
 def fit_modes(train: DataFrame, cols: Sequence[str]) -> DataFrame:
     """One-row frame with the most frequent non-null value of each column
-    (ties -> lowest value). ``mode`` aggregates partially on each partition."""
-    return train.agg(*[F.mode(F.col(c), True).alias(c) for c in cols])
+    (ties -> lowest value; null for a column without values). Values are counted
+    map-side and the best count is a partial aggregate too, so no task holds all
+    distinct values of a column."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"), F.col(c).cast("string").alias("v"))
+                                for c in cols]))
+    counted = (train.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
+               .groupBy("variable", "v").agg((-F.count(F.lit(1))).alias("minus")))
+    best = counted.agg(*[F.min(F.when(F.col("variable") == c, F.struct("minus", "v"))).alias(c) for c in cols])
+    types = dict(train.dtypes)
+    return best.select(*[F.col(c)["v"].cast(types[c]).alias(c) for c in cols])
 
 
 def fill_with(df: DataFrame, fills: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -67,13 +86,31 @@ def vocabulary(df: DataFrame, cols: Sequence[str]) -> dict[str, list[str]]:
     # one job; at most WIDE_MAX_LEVELS + 1 rows ever reach the driver
     rows = levels.limit(WIDE_MAX_LEVELS + 1).collect()
     if len(rows) > WIDE_MAX_LEVELS:
-        raise ValueError(f"more than {WIDE_MAX_LEVELS} levels; use the vector encoder")
+        raise ValueError(f"more than {WIDE_MAX_LEVELS} levels for a wide table; use one_hot_long")
     out: dict[str, list[str]] = {c: [] for c in cols}
     for r in rows:
         out[r.variable].append(r.v)
     return {c: sorted(v) for c, v in out.items()}
 
 
+def fit_levels(train: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """The fitted encoder as a table (variable, level): the distinct non-null
+    levels of each column, however many there are."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                         F.col(c).cast("string").alias("level")) for c in cols]))
+    return train.select(pairs.alias("p")).select("p.*").filter(F.col("level").isNotNull()).distinct()
+
+
+def one_hot_long(df: DataFrame, levels: DataFrame, cols: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:
+    """The ones of a one-hot encoding as rows (keep..., variable, level); levels
+    unseen in training and nulls give no row. An equi-join with the level table,
+    which the planner broadcasts only if it measures it as small."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                         F.col(c).cast("string").alias("level")) for c in cols]))
+    return df.select(*keep, pairs.alias("p")).select(*keep, "p.*").join(levels, ["variable", "level"]).select(
+        *keep, "variable", "level")
+
+
 def dummy_name(col: str, level: str) -> str:
     return f"{col}_{level}"
 

@@ -26,9 +26,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.stats import safe_ratio
+from vigil.operators.features import digest_bucket
 from vigil.session import cut_lineage
 
-FOLD_PRIME = 7919
 # Rows per partition of a persisted training frame: iterative fitters run one
 # job per iteration, so tiny partitions only add scheduling overhead while a
 # large frame still gets one partition per ~200k rows.
@@ -46,7 +46,7 @@ def sized_for_fitting(df: DataFrame) -> DataFrame:
 def fold_column(key: str, folds: int, seed: int = 0, method: str = "hash"):
     if method == "hash":
         return F.pmod(F.xxhash64(F.col(key), F.lit(seed + 1)), F.lit(folds)).cast("int")
-    return (F.pmod(F.col(key).cast("bigint") * FOLD_PRIME + seed, F.lit(100)) % folds).cast("int")
+    return digest_bucket(key, folds, f"fold{seed}")
 
 
 # ---- cell-rate model cross-validation ----------------------------------------------

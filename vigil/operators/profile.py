@@ -28,6 +28,12 @@ def string_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
 
 
+def _number(c: str) -> Column:
+    """A column as double; NaN is a missing value."""
+    x = F.col(c).cast("double")
+    return F.when(~F.isnan(x), x)
+
+
 def _unpivot_single_row(row_df: DataFrame, cols: Sequence[str], stats: Sequence[str],
                         types: dict[str, str]) -> DataFrame:
     """One wide row with ``<col>__<stat>`` fields -> one row per column."""
@@ -49,7 +55,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or numeric_columns(df))
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
-        x = F.col(c).cast("double")
+        x = _number(c)
         if not exact:
             qs = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
             aggs += [F.approx_count_distinct(x, 0.01).alias(f"{c}__uniques"), qs.alias(f"{c}__qs")]
@@ -75,7 +81,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     # a single shuffle of the values, instead of the Expand rewrite that would
     # replicate every aggregate input once per distinct column.
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
-                                         F.col(c).cast("double").alias("v")) for c in cols]))
+                                         _number(c).alias("v")) for c in cols]))
     uniques = (df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
                  .distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("uniques")))
     # exact quantiles by distributed rank selection (no column in one task)

@@ -44,51 +44,66 @@ __all__ = ["incident_source", "raw_documents", "parsed_incidents", "clean_table"
 # --- scored incidents (baseline cell-rate scorer) -----------------------------
 from pyspark.sql import functions as F  # noqa: E402
 
-from vigil.operators.features import tag_split  # noqa: E402
-from vigil.session import cut_lineage  # noqa: E402
+from vigil.catalog import table  # noqa: E402
+from vigil.operators.features import fill_with, fit_modes, tag_split  # noqa: E402
+from vigil.session import materialize  # noqa: E402
 from vigil.operators.scoring import apply_rate_model, fit_rate_model  # noqa: E402
 
 SCORE_KEYS = ("tipo_entrada", "incidente_c4_rec", "hora")
-# The month scored by the monthly run (newest complete month of the data).
-NEW_YEAR, NEW_MONTH = 2001, 7
 PREDICTION_COLS = ("folio", "mes", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada",
                    "incidente_c4_rec", "ano", "y_proba_0", "y_proba_1", "y_etiqueta")
 
 
-def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model population with its 70/30 train/test tag (portable key formula)."""
-    return tag_split(model_table(spark, sf_dir), "folio", method="mix")
-
+def newest_month(spark: SparkSession, sf_dir: str):
+    """The month that the monthly run scores, as a scalar date: the last closed
+    month, which is the one before the month of the newest record."""
+    last = table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate")).alias("last"))
+    return last.select(F.add_months(F.trunc("last", "month"), -1)).scalar()
 
-_FITTED: dict[tuple[int, str], DataFrame] = {}
 
-
-def fitted_rate_model(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The cell-rate model fit on the training split, checkpointed once per
-    session and input (a fitted artifact: later plans read it instead of
-    re-deriving it from the source tables)."""
-    key = (id(spark), sf_dir)
-    if key not in _FITTED:
-        train = split_table(spark, sf_dir).filter(F.col("conjunto") == "train")
-        _FITTED[key] = cut_lineage(fit_rate_model(train, SCORE_KEYS))
-    return _FITTED[key]
+def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Model population with its set: records before the newest month are 70/30
+    train and test by key, those of the month are ``nuevo`` and those after it
+    ``posterior``, so that no scored record was trained on."""
+    month = F.make_date(F.col("ano"), F.col("mes").cast("int"), F.lit(1))
+    newest = newest_month(spark, sf_dir)
+    tagged = tag_split(model_table(spark, sf_dir), "folio", method="digest")
+    return tagged.withColumn("conjunto", F.when(month == newest, F.lit("nuevo"))
+                             .when(month > newest, F.lit("posterior")).otherwise(F.col("conjunto")))
+
+
+def written_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``split_table`` written once to the shared folder: fitting, imputing and
+    scoring read it instead of deriving the population again."""
+    return materialize(split_table(spark, sf_dir), "population")
+
+
+def scored_table(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:
+    """Every row of the population (``split``: its written table), its borough
+    imputed with the training mode, scored by the cell-rate model fit on the
+    training rows."""
+    df = split if split is not None else written_split(spark, sf_dir)
+    train = df.filter(F.col("conjunto") == "train")
+    model = materialize(fit_rate_model(train, SCORE_KEYS), "rate-model")
+    df = fill_with(df, fit_modes(train, ["delegacion_inicio"]), ["delegacion_inicio"])
+    return apply_rate_model(df, model, SCORE_KEYS).withColumn("mes", F.col("mes").cast("int"))
 
 
-def scored_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every row of the population scored by the cell-rate model fit on train."""
-    df = split_table(spark, sf_dir)
-    model = fitted_rate_model(spark, sf_dir)
-    return apply_rate_model(df, model, SCORE_KEYS).withColumn("mes", F.col("mes").cast("int"))
+def _cohort(scored: DataFrame, name: str) -> DataFrame:
+    return scored.filter(F.col("conjunto") == name).select(*PREDICTION_COLS, F.col("target").alias("y_test"))
 
 
 def historic_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Test-set predictions (the history the monitor compares against)."""
-    s = scored_table(spark, sf_dir)
-    return s.filter(F.col("conjunto") == "test").select(*PREDICTION_COLS, F.col("target").alias("y_test"))
+    return _cohort(scored_table(spark, sf_dir), "test")
 
 
-def new_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+def new_predictions(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:
     """Predictions of the newest month."""
-    s = scored_table(spark, sf_dir)
-    return (s.filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
-             .select(*PREDICTION_COLS, F.col("target").alias("y_test")))
+    return _cohort(scored_table(spark, sf_dir, split), "nuevo")
+
+
+def both_predictions(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Historic and new predictions from one scored table."""
+    scored = scored_table(spark, sf_dir)
+    return _cohort(scored, "test"), _cohort(scored, "nuevo")

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import features as FE
-from vigil.plans.frames import NEW_MONTH, NEW_YEAR, split_table
+from vigil.plans.frames import split_table, written_split
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
 
-CATS = ("dia_semana", "tipo_entrada", "incidente_c4_rec")
+NUMS = ("mes", "hora")
+CATS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec")
 # Category domains of the incident mapping (fixed values, used by the SQL twins).
 DOMAINS = {
+    "delegacion_inicio": tuple(sorted(f"á nation_{k}" for k in range(25))),
     "dia_semana": ("domingo", "jueves", "lunes", "martes", "miercoles", "sabado", "viernes"),
     "tipo_entrada": ("llamada automobile", "llamada building", "llamada furniture",
                      "llamada household", "llamada machinery"),
@@ -19,14 +21,14 @@ DOMAINS = {
 }
 
 
-def _dummies_sql(src):
+def _dummies_sql(src, extra=""):
     cols = ", ".join(f"CASE WHEN {c} = '{v}' THEN 1 ELSE 0 END AS \"{c}_{v}\""
                      for c, vs in DOMAINS.items() for v in vs)
-    return f"SELECT folio, {cols} FROM {src}"
+    return f"SELECT folio, {extra}mes, hora, {cols} FROM {src}"
 
 
 def _sets(spark, d):
-    s = split_table(spark, d)
+    s = written_split(spark, d)
     return s.filter(F.col("conjunto") == "train"), s.filter(F.col("conjunto") == "test")
 
 
@@ -38,38 +40,63 @@ def q_train_test_split(spark, d):
 @register("impute_mode", with_scored("""
 , md AS (SELECT delegacion_inicio AS moda FROM split WHERE conjunto = 'train' AND delegacion_inicio IS NOT NULL
          GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1)
-SELECT folio, conjunto, coalesce(delegacion_inicio, (SELECT moda FROM md)) AS delegacion_inicio FROM split"""))
+SELECT folio, conjunto, coalesce(delegacion_inicio, (SELECT moda FROM md)) AS delegacion_inicio FROM split
+WHERE conjunto IN ('train', 'test')"""))
 def q_impute_mode(spark, d):
     train, test = _sets(spark, d)
     tr, te = FE.impute_mode(train, test, ["delegacion_inicio"])
     return tr.unionByName(te).select("folio", "conjunto", "delegacion_inicio")
 
 
-def _encoded_test(spark, d):
-    train, test = _sets(spark, d)
-    vocab = FE.fit_one_hot(train, CATS)
-    return FE.one_hot(test, vocab, keep=["folio"]), vocab
+# all sets with the borough imputed by the training mode
+IMPUTED = """
+, im AS (SELECT * REPLACE (coalesce(delegacion_inicio, (SELECT moda FROM moda)) AS delegacion_inicio) FROM split)"""
+
+
+def _imputed(spark, d):
+    s = written_split(spark, d)
+    train = s.filter(F.col("conjunto") == "train")
+    out = FE.fill_with(s, FE.fit_modes(train, ["delegacion_inicio"]), ["delegacion_inicio"])
+    return out.select("folio", "conjunto", *NUMS, *CATS)
+
+
+def _encoded(spark, d):
+    s = _imputed(spark, d)
+    vocab = FE.fit_one_hot(s.filter(F.col("conjunto") == "train"), CATS)
+    both = s.filter(F.col("conjunto").isin("train", "test"))
+    return FE.one_hot(both, vocab, keep=["folio", "conjunto", *NUMS]), vocab
 
 
 @register("one_hot", with_scored(
-    ", te AS (SELECT * FROM split WHERE conjunto = 'test')\n" + _dummies_sql("te")))
+    IMPUTED + ", b AS (SELECT * FROM im WHERE conjunto IN ('train', 'test'))\n" + _dummies_sql("b", "conjunto, ")))
 def q_one_hot(spark, d):
-    return _encoded_test(spark, d)[0]
+    return _encoded(spark, d)[0]
+
+
+@register("one_hot_long", with_scored(IMPUTED + ", " + ", ".join(
+    f"l{i} AS (SELECT folio, '{c}' AS variable, {c} AS level FROM im WHERE conjunto IN ('test', 'nuevo') AND {c} IN "
+    f"(SELECT {c} FROM im WHERE conjunto = 'train'))" for i, c in enumerate(CATS))
+    + "\n" + " UNION ALL ".join(f"SELECT * FROM l{i}" for i in range(len(CATS)))))
+def q_one_hot_long(spark, d):
+    s = _imputed(spark, d)
+    levels = FE.fit_levels(s.filter(F.col("conjunto") == "train"), CATS)
+    return FE.one_hot_long(s.filter(F.col("conjunto").isin("test", "nuevo")), levels, CATS, keep=["folio"])
 
 
 @register("align_features", with_scored(
-    f", mo AS (SELECT * FROM split WHERE ano = {NEW_YEAR} AND mes = {NEW_MONTH})\n" + _dummies_sql("mo")))
+    IMPUTED + ", mo AS (SELECT * FROM im WHERE conjunto = 'nuevo')\n" + _dummies_sql("mo")))
 def q_align_features(spark, d):
-    train, _ = _sets(spark, d)
-    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
-    train_cols = FE.one_hot(train, FE.fit_one_hot(train, CATS)).columns
+    s = _imputed(spark, d)
+    train, month = s.filter(F.col("conjunto") == "train"), s.filter(F.col("conjunto") == "nuevo")
+    train_cols = FE.one_hot(train, FE.fit_one_hot(train, CATS), keep=NUMS).columns
     # the month is encoded on its own (as delivered), then aligned by name
-    month_encoded = FE.one_hot(month, FE.fit_one_hot(month, CATS), keep=["folio"])
+    month_encoded = FE.one_hot(month, FE.fit_one_hot(month, CATS), keep=["folio", *NUMS])
     return FE.align_features(month_encoded, train_cols, keep=["folio"])
 
 
 @register("one_hot_inverse", with_scored(
-    "SELECT folio, dia_semana, tipo_entrada, incidente_c4_rec FROM split WHERE conjunto = 'test'"))
+    IMPUTED + "\nSELECT folio, conjunto, mes, hora, delegacion_inicio, dia_semana, tipo_entrada, incidente_c4_rec "
+    "FROM im WHERE conjunto IN ('train', 'test')"))
 def q_one_hot_inverse(spark, d):
-    encoded, vocab = _encoded_test(spark, d)
-    return FE.one_hot_inverse(encoded, vocab, keep=["folio"])
+    encoded, vocab = _encoded(spark, d)
+    return FE.one_hot_inverse(encoded, vocab, keep=["folio", "conjunto", *NUMS])

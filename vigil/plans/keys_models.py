@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from vigil.catalog import MODEL_CATEGORICAL, MODEL_NUMERIC
 from vigil.operators import models as MD
 from vigil.operators import profile as P
-from vigil.operators.features import impute_mode
+from vigil.operators.features import fill_with, fit_modes, impute_mode, sql_digest_bucket
 from vigil.operators.lineage import with_run
-from vigil.plans.frames import NEW_MONTH, NEW_YEAR, clean_table, split_table
+from vigil.plans.frames import clean_table, split_table, written_split
 from vigil.plans.keys_quality import RUN
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
@@ -27,20 +27,27 @@ RATE_GRID = {
 SCORE_COLS = [f"split{k}_test_score" for k in range(FOLDS)] + ["mean_test_score", "std_test_score"]
 
 
-def _train(spark, d):
-    s = split_table(spark, d)
+def _train(spark, d, s=None):
+    s = s if s is not None else written_split(spark, d)
     train, test = s.filter(F.col("conjunto") == "train"), s.filter(F.col("conjunto") == "test")
     return impute_mode(train, test, ["delegacion_inicio"])
 
 
+def _new_month(spark, d, s):
+    """The month to score, imputed with the modes of the training rows."""
+    modes = fit_modes(s.filter(F.col("conjunto") == "train"), ["delegacion_inicio"])
+    return fill_with(s.filter(F.col("conjunto") == "nuevo"), modes, ["delegacion_inicio"])
+
+
 def _rate_cv(spark, d):
     train = split_table(spark, d).filter(F.col("conjunto") == "train")
-    train = train.withColumn("fold", MD.fold_column("folio", FOLDS, method="mix"))
+    train = train.withColumn("fold", MD.fold_column("folio", FOLDS, method="digest"))
     return MD.cv_rate_model(train, RATE_GRID, "fold", FOLDS)
 
 
 def _cv_sql():
-    parts = [""", tr AS (SELECT *, (((cast(folio AS bigint) * 7919) % 100 + 100) % 100) % 10 AS fold
+    fold = sql_digest_bucket("folio", FOLDS, "fold0")
+    parts = [f""", tr AS (SELECT *, {fold} AS fold
        FROM split WHERE conjunto = 'train'),
 g AS (SELECT fold, sum(target)::double AS P_f, count(*) AS N_f FROM tr GROUP BY fold),
 gt AS (SELECT fold, (sum(P_f) OVER () - P_f) / nullif((sum(N_f) OVER () - N_f)::double, 0) AS grate FROM g)"""]
@@ -119,12 +126,12 @@ def q_score_test(spark, d):
 
 @register("score_month")
 def q_score_month(spark, d):
-    train, _ = _train(spark, d)
+    split = written_split(spark, d)
+    train, _ = _train(spark, d, split)
     model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
     path = shared_dir(spark, "model")
     MD.save_model(model, path)
-    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
-    return MD.score(MD.load_model(path), month, KEEP)
+    return MD.score(MD.load_model(path), _new_month(spark, d, split), KEEP)
 
 
 @register("lineage_model")
@@ -154,14 +161,14 @@ def q_fairness_model(spark, d):
 def q_lineage_prediction(spark, d):
     """Prediction-task row: model file, predicted month and year, rows scored
     (an aggregate of the scored month) and the execution fields."""
-    train, _ = _train(spark, d)
+    split = written_split(spark, d)
+    train, _ = _train(spark, d, split)
     model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
     path = shared_dir(spark, "model")
     MD.save_model(model, path)
-    month = split_table(spark, d).filter((F.col("ano") == NEW_YEAR) & (F.col("mes") == NEW_MONTH))
-    scored = MD.score(MD.load_model(path), month, KEEP)
-    row = scored.agg(F.count(F.lit(1)).alias("registros_predichos"),
+    scored = MD.score(MD.load_model(path), _new_month(spark, d, split), KEEP)
+    row = scored.agg(F.max(F.col("mes").cast("string")).alias("mes_de_prediccion"),
+                     F.max(F.col("ano").cast("string")).alias("ano_de_prediccion"),
+                     F.count(F.lit(1)).alias("registros_predichos"),
                      F.sum("y_etiqueta").cast("bigint").alias("etiquetas_positivas"))
-    return with_run(row.select(F.lit(path).alias("archivo_modelo"),
-                               F.lit(str(NEW_MONTH)).alias("mes_de_prediccion"),
-                               F.lit(str(NEW_YEAR)).alias("ano_de_prediccion"), "*"), RUN)
+    return with_run(row.select(F.lit("logistic/" + LOGISTIC_CHOICE).alias("archivo_modelo"), "*"), RUN)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from vigil.catalog import table
 from vigil.operators import profile as P
 from vigil.operators import serving as S
-from vigil.plans.frames import (NEW_MONTH, NEW_YEAR, clean_table, historic_predictions,
+from vigil.plans.frames import (both_predictions, clean_table, historic_predictions,
                                 new_predictions, processed_table)
 from vigil.plans.present import round_cols, sround, sstd, zero_noise
 from vigil.plans.registry import register
@@ -141,7 +141,7 @@ def q_trend_by_code(spark, d):
 
 
 def _cohorts(spark, d):
-    return S.union_cohorts(historic_predictions(spark, d), new_predictions(spark, d))
+    return S.union_cohorts(*both_predictions(spark, d))
 
 
 COHORTS_SQL = ("cohorts AS (SELECT *, 'Historicos' AS Datos FROM hist "
@@ -272,7 +272,6 @@ def q_bind_by_key(spark, d):
     return S.bind_by_key(feats, scores, "folio")
 
 
-__all__ = ["NEW_MONTH", "NEW_YEAR"]
 
 
 @register("flagship", with_model("""

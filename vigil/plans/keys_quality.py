@@ -10,11 +10,13 @@ from vigil.functions.temporal import closed_month, format_run_time, month_list
 from vigil.operators import features as FE
 from vigil.operators import lineage as L
 from vigil.operators import quality as Q
-from vigil.plans.frames import (clean_table, new_predictions, processed_table, raw_documents,
-                                split_table)
+from vigil.plans.frames import (clean_table, new_predictions, newest_month, processed_table,
+                                raw_documents, split_table, written_split)
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_inc, with_proc, with_scored
+from vigil.session import shared_dir
+from vigil.sources import files as SRC
 
 # Execution fields of the registered runs (parameters of every lineage/DQ row).
 RUN = L.RunInfo("02/12/2026 00:00:00", "127.0.0.1", "vigil")
@@ -31,14 +33,36 @@ def _lineage(spark, d):
     return L.lineage_raw(raw_documents(spark, d), RUN, "incidentes", "orders")
 
 
+def _loaded(spark, d):
+    """(metadata, store) of a raw store in which every month was delivered once
+    and the newest closed month a second time, replacing its partition, with
+    fewer records (those with a valid time): one month fails the checks."""
+    root = shared_dir(spark, "raw-store")
+    store, metadata = f"{root}/raw", f"{root}/metadata"
+    raw = raw_documents(spark, d)
+    SRC.load_raw(raw, store, metadata, RUN, "incidentes", "orders")
+    again = raw.filter(F.make_date("year", "month", F.lit(1)) == newest_month(spark, d)).filter(
+        F.get_json_object("registros", "$.hora_creacion").contains(":"))
+    SRC.load_raw(again, store, metadata, RUN, "incidentes", "orders", mode="overwrite")
+    return spark.read.parquet(metadata), SRC.read_raw(spark, store)
+
+
 LIN_CTE = f""", lin AS (
-SELECT 'incidentes' AS dataset, 'UTC' AS timezone, cast(count(*) AS integer) AS rows,
+SELECT 'incidentes' AS dataset, 'UTC' AS timezone, cast(count(*) AS bigint) AS rows,
        cast(cast(ano AS integer) AS varchar) AS refine_ano, cast(cast(mes AS integer) AS varchar) AS refine_mes,
        'orders' AS parametro_url, {RUN_SQL},
        printf('%s_%04d_%02d.%s', 'incidentes', cast(ano AS integer), cast(mes AS integer), 'json') AS nombre_archivo,
        'json' AS formato_archivo
 FROM inc GROUP BY cast(ano AS integer), cast(mes AS integer))"""
 
+# metadata and store of ``_loaded``
+LOADED_CTE = f"""{LIN_CTE},
+again AS (SELECT * FROM inc WHERE make_date(cast(ano AS integer), cast(mes AS integer), 1)
+          = (SELECT cast(date_trunc('month', max(o_orderdate)) - INTERVAL 1 MONTH AS date) FROM orders)),
+loads AS (SELECT refine_ano, refine_mes, rows FROM lin UNION ALL
+          SELECT ano, mes, count(*) FROM again WHERE contains(hora_creacion, ':') GROUP BY 1, 2),
+store AS (SELECT ano, mes FROM inc WHERE folio NOT IN (SELECT folio FROM again WHERE NOT contains(hora_creacion, ':')))"""
+
 
 @register("lineage_raw", with_inc(f"{LIN_CTE}\nSELECT * FROM lin"))
 def q_lineage_raw(spark, d):
@@ -90,23 +114,23 @@ def q_dq_month_coverage(spark, d):
     return Q.dq_month_coverage(_lineage(spark, d), *PERIOD)
 
 
-@register("dq_month_once", with_inc(f"""{LIN_CTE}
+@register("dq_month_once", with_inc(f"""{LOADED_CTE}
 SELECT refine_ano, refine_mes, count(*) AS n_cargas, 'month_loaded_once' AS test,
        CASE WHEN count(*) = 1 THEN 'passed' ELSE 'failed' END AS test_status, 'extract' AS level,
        CASE WHEN count(*) = 1 THEN NULL ELSE 'month loaded more than once' END AS error
-FROM lin GROUP BY 1, 2"""))
+FROM loads GROUP BY 1, 2"""))
 def q_dq_month_once(spark, d):
-    return Q.dq_month_once(_lineage(spark, d))
+    return Q.dq_month_once(_loaded(spark, d)[0])
 
 
-@register("dq_row_count", with_inc(f"""{LIN_CTE},
-s AS (SELECT (SELECT cast(sum(rows) AS bigint) FROM lin) AS n_declarados, (SELECT count(*) FROM inc) AS n_almacenados)
+@register("dq_row_count", with_inc(f"""{LOADED_CTE},
+s AS (SELECT (SELECT cast(sum(rows) AS bigint) FROM loads) AS n_declarados, (SELECT count(*) FROM store) AS n_almacenados)
 SELECT 'row_count' AS test, CASE WHEN n_declarados = n_almacenados THEN 'passed' ELSE 'failed' END AS test_status,
        'extract' AS level,
        CASE WHEN n_declarados = n_almacenados THEN NULL ELSE 'rows extracted and rows loaded differ' END AS error,
        n_declarados, n_almacenados FROM s"""))
 def q_dq_row_count(spark, d):
-    return Q.dq_row_count(_lineage(spark, d), raw_documents(spark, d))
+    return Q.dq_row_count(*_loaded(spark, d))
 
 
 def _lower_sql(c):
@@ -156,9 +180,12 @@ def q_dq_nulls(spark, d):
 
 
 @register("dq_onehot_width", with_scored(IMPUTED_TRAIN + """,
-w AS (SELECT 2 + """ + " + ".join(f"count(DISTINCT {c})" for c in ONEHOT_CATS) + """ AS n FROM it)
-SELECT 'onehot_width' AS test, 'passed' AS test_status, 'features' AS level, CAST(NULL AS varchar) AS error,
-       cast(n AS bigint) AS n_esperadas, cast(n AS bigint) AS n_generadas FROM w"""))
+w AS (SELECT 2 + """ + " + ".join(f"count(DISTINCT {c})" for c in ONEHOT_CATS) + """ AS n FROM it),
+g AS (SELECT 2 + (SELECT count(*) FROM (""" + " UNION ALL ".join(
+    f"(SELECT DISTINCT '{c}' AS variable, {c} AS level FROM it WHERE {c} IS NOT NULL)" for c in ONEHOT_CATS) + """)) AS generated)
+SELECT 'onehot_width' AS test, CASE WHEN n = generated THEN 'passed' ELSE 'failed' END AS test_status, 'features' AS level,
+       CASE WHEN n = generated THEN NULL ELSE 'one-hot width differs from the category count' END AS error,
+       cast(n AS bigint) AS n_esperadas, cast(generated AS bigint) AS n_generadas FROM w, g"""))
 def q_dq_onehot_width(spark, d):
     train = _imputed_train(spark, d)
     vocab = FE.fit_one_hot(train, ONEHOT_CATS)
@@ -177,8 +204,8 @@ SELECT 'label_drift' AS test, CASE WHEN ok THEN 'passed' ELSE 'failed' END AS te
        'predict' AS level, CASE WHEN ok THEN NULL ELSE 'share of positive predictions far from history' END AS error,
        {sround("pct_nuevos")} AS pct_nuevos, {sround("pct_historicos")} AS pct_historicos FROM r"""))
 def q_dq_label_drift(spark, d):
-    hist = split_table(spark, d).filter(F.col("conjunto") == "train")
-    out = Q.dq_label_drift(new_predictions(spark, d), hist)
+    split = written_split(spark, d)
+    out = Q.dq_label_drift(new_predictions(spark, d, split), split.filter(F.col("conjunto") == "train"))
     return round_cols(out, ["pct_nuevos", "pct_historicos"])
 
 
@@ -198,18 +225,19 @@ SELECT {RUN_SQL}, 'label_drift', CASE WHEN ok THEN 'passed' ELSE 'failed' END, '
        CASE WHEN ok THEN NULL ELSE 'share of positive predictions far from history' END FROM r"""))
 def q_dq_report(spark, d):
     lin = _lineage(spark, d)
-    hist = split_table(spark, d).filter(F.col("conjunto") == "train")
+    split = written_split(spark, d)
+    hist = split.filter(F.col("conjunto") == "train")
     checks = [Q.dq_row_count(lin, raw_documents(spark, d)),
               Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5),
-              Q.dq_label_drift(new_predictions(spark, d), hist)]
+              Q.dq_label_drift(new_predictions(spark, d, split), hist)]
     return Q.dq_report(checks, RUN)
 
 
-@register("dq_row_count_month", with_inc(f"""{LIN_CTE},
+@register("dq_row_count_month", with_inc(f"""{LOADED_CTE},
 dcl AS (SELECT cast(refine_ano AS integer) AS y, cast(refine_mes AS integer) AS m,
-               cast(sum(rows) AS bigint) AS n_declarados FROM lin GROUP BY 1, 2),
+               cast(sum(rows) AS bigint) AS n_declarados FROM loads GROUP BY 1, 2),
 sto AS (SELECT cast(ano AS integer) AS y, cast(mes AS integer) AS m, count(*) AS n_almacenados
-        FROM inc GROUP BY 1, 2)
+        FROM store GROUP BY 1, 2)
 SELECT coalesce(dcl.y, sto.y) AS ano, coalesce(dcl.m, sto.m) AS mes, 'row_count_month' AS test,
        CASE WHEN coalesce(n_declarados = n_almacenados, false) THEN 'passed' ELSE 'failed' END AS test_status,
        'extract' AS level,
@@ -218,4 +246,4 @@ SELECT coalesce(dcl.y, sto.y) AS ano, coalesce(dcl.m, sto.m) AS mes, 'row_count_
        n_declarados, n_almacenados
 FROM dcl FULL OUTER JOIN sto ON dcl.y = sto.y AND dcl.m = sto.m"""))
 def q_dq_row_count_month(spark, d):
-    return Q.dq_row_count_by_month(_lineage(spark, d), raw_documents(spark, d))
+    return Q.dq_row_count_by_month(*_loaded(spark, d))

@@ -13,7 +13,7 @@ from vigil.operators import profile as P
 from vigil.operators import quality as Q
 from vigil.operators import serving as S
 from vigil.operators.clean import clean_month, guarded_drop, parse_documents, preprocess
-from vigil.operators.features import impute_mode, tag_split
+from vigil.operators.features import fill_with, fit_modes, impute_mode, tag_split
 from vigil.operators.lineage import RunInfo
 from vigil.plans.frames import model_table
 from vigil.sources import files as SRC
@@ -62,10 +62,12 @@ def training_run(spark: SparkSession, sf_dir: str, out_dir: str, run: RunInfo,
 
 def monthly_scoring(spark: SparkSession, raw_path: str, model_path: str, year: int, month: int,
                     history: DataFrame) -> dict[str, DataFrame]:
-    """Clean one month (partition-pruned read), score it with the stored
-    model, check label drift against history."""
+    """Clean one month (partition-pruned read), impute it with the modes of
+    ``history`` (the training rows), score it with the stored model, check label
+    drift against history."""
     raw = SRC.read_raw(spark, raw_path, year, month)
     df = guarded_drop(preprocess(clean_month(parse_documents(raw), year, month)))
+    df = fill_with(df, fit_modes(history, ["delegacion_inicio"]), ["delegacion_inicio"])
     scored = MD.score(MD.load_model(model_path), df,
                       ["folio", "mes", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada",
                        "incidente_c4_rec", "ano"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from vigil.functions.text import sql_remove_points as rp
 from vigil.functions.text import sql_unaccent as ua
+from vigil.operators.features import sql_digest_bucket
 from vigil.plans.incidents import INCIDENT_SQL
 
 CLEAN_SELECT = f"""
@@ -53,13 +54,21 @@ def with_model(body: str) -> str:
     return (f"WITH inc AS ({INCIDENT_SQL}), clean AS ({CLEAN_SELECT}), proc AS ({PROC_SELECT}),"
             f" model AS ({MODEL_SELECT})\n{body}")
 
-SPLIT_SELECT = """
-SELECT *, CASE WHEN ((cast(folio AS bigint) * 7919 + 0) % 100 + 100) % 100 < 70
-               THEN 'train' ELSE 'test' END AS conjunto FROM model
+SPLIT_SELECT = f"""
+SELECT m.*, CASE WHEN make_date(m.ano, m.mes, 1) = n.newest THEN 'nuevo'
+                 WHEN make_date(m.ano, m.mes, 1) > n.newest THEN 'posterior'
+                 WHEN {sql_digest_bucket('m.folio', 100, 'split0')} < 70 THEN 'train' ELSE 'test' END AS conjunto
+FROM model m, (SELECT cast(date_trunc('month', max(o_orderdate)) - INTERVAL 1 MONTH AS date) AS newest FROM orders) n
+"""
+
+MODA_SELECT = """
+SELECT delegacion_inicio AS moda FROM split WHERE conjunto = 'train' AND delegacion_inicio IS NOT NULL
+GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 1
 """
 
 SCORED_SELECT = """
-SELECT s.* REPLACE (cast(s.mes AS integer) AS mes),
+SELECT s.* REPLACE (cast(s.mes AS integer) AS mes,
+                   coalesce(s.delegacion_inicio, (SELECT moda FROM moda)) AS delegacion_inicio),
        1 - coalesce(r.rate, g.global_rate) AS y_proba_0,
        coalesce(r.rate, g.global_rate) AS y_proba_1,
        CASE WHEN coalesce(r.rate, g.global_rate) >= 0.5 THEN 1 ELSE 0 END AS y_etiqueta
@@ -76,7 +85,7 @@ PRED_COLS = ("folio, mes, hora, delegacion_inicio, dia_semana, tipo_entrada, inc
 
 def with_scored(body: str) -> str:
     return (f"WITH inc AS ({INCIDENT_SQL}), clean AS ({CLEAN_SELECT}), proc AS ({PROC_SELECT}),"
-            f" model AS ({MODEL_SELECT}), split AS ({SPLIT_SELECT}), scored AS ({SCORED_SELECT}),"
+            f" model AS ({MODEL_SELECT}), split AS ({SPLIT_SELECT}), moda AS ({MODA_SELECT}), scored AS ({SCORED_SELECT}),"
             f" hist AS (SELECT {PRED_COLS}, target AS y_test FROM scored WHERE conjunto = 'test'),"
-            f" live AS (SELECT {PRED_COLS}, target AS y_test FROM scored WHERE ano = 2001 AND mes = 7)\n"
+            f" live AS (SELECT {PRED_COLS}, target AS y_test FROM scored WHERE conjunto = 'nuevo')\n"
             f"{body}")
