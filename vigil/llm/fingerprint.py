@@ -1,6 +1,8 @@
 """Document fingerprints: invertible Bloom lookup sketches of paragraphs.
 
-A paragraph is a line, cut further after the ends of sentences. Its digest (a
+A paragraph is a line, cut further after the ends of sentences and, from its
+start, every ``WORDS`` words, so that a change spoils little of a text that is
+one long sentence. Its digest (a
 hash with the paragraph's length in the low bits) is added to one cell in each
 of three parts of a table: count, xor of digests, xor of checks. Two sketches
 subtract cell by cell; peeling cells that hold a single digest recovers the
@@ -25,16 +27,24 @@ from vigil.llm.common import seeded64
 
 PARTS = 3
 CELLS = 12                     # cells of a fingerprint, a multiple of PARTS
+WORDS = 8                      # most words of a paragraph
 _LENGTH_BITS = 20
 _LENGTH = (1 << _LENGTH_BITS) - 1
 
 
 def paragraphs(text: str) -> list[str]:
-    """The paragraphs of a text, without empty ones; none is longer than the
-    length field holds."""
+    """The paragraphs of a text, without empty ones; none has more than
+    ``WORDS`` words or is longer than the length field holds."""
     for end in (". ", "! ", "? "):
         text = text.replace(end, end[0] + "\n")
-    parts = [p for p in text.split("\n") if p]
+    parts = []
+    for line in text.split("\n"):
+        if line.count(" ") < WORDS:
+            if line:
+                parts.append(line)
+        else:
+            words = line.split(" ")
+            parts += [p for k in range(0, len(words), WORDS) if (p := " ".join(words[k:k + WORDS]))]
     if any(len(p) > _LENGTH for p in parts):
         parts = [p[k:k + _LENGTH] for p in parts for k in range(0, len(p), _LENGTH)]
     return parts
