@@ -11,7 +11,8 @@ occurrences), so their index has a proven size bound and goes to every task.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
+from hashlib import md5
 
 import numpy as np
 import pyarrow as pa
@@ -28,8 +29,27 @@ def _lines(text: Column) -> Column:
     return F.split(F.coalesce(text, F.lit("")), "\n", -1)
 
 
-def _key_hash(line: Column) -> Column:
-    return F.md5(strip_white(line))
+def _kept(rest: list[str], text: str, dropped: str):
+    """Drops from each text the lines whose key's hash is among its ``dropped``:
+    one look-up a line, however many lines a text has or loses."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            n_lines, n_dropped, kept = [], [], []
+            for whole, keys in zip(b.column(text).cast(pa.binary()).to_pylist(), b.column(dropped).to_pylist(), strict=True):
+                whole = whole or b""
+                n_lines.append(whole.count(b"\n") + 1)
+                if keys:
+                    gone, lines = set(keys), whole.split(b"\n")
+                    stay = [x for x in lines if md5(x.strip().lower()).digest() not in gone]     # bytes: ASCII only
+                    n_dropped.append(len(lines) - len(stay))
+                    kept.append(b"\n".join(stay))
+                else:
+                    n_dropped.append(0)
+                    kept.append(whole)
+            yield pa.RecordBatch.from_arrays(
+                [*(b.column(c) for c in rest), pa.array(n_lines, pa.int64()), pa.array(n_dropped, pa.int64()),
+                 pa.array(kept, pa.binary()).cast(pa.string())], [*rest, "n_lines", "n_dropped", "kept_text"])
+    return run
 
 
 def _ids(col: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -65,7 +85,7 @@ def _probe_all(blob: bytes):
 
 
 def line_drops(docs: DataFrame, min_docs: int, min_chars: int, heavy_parts: int, probes_per_shard: int) -> DataFrame:
-    """(id, dropped): per document the hex hashes of the line keys it loses."""
+    """(id, dropped): per document the hashes of the line keys it loses."""
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     keys = F.filter(F.transform(_lines(text), strip_white), lambda k: F.length(k) >= min_chars)
     keys = F.transform(F.array_distinct(F.transform(keys, F.md5)), F.unhex)
@@ -90,15 +110,15 @@ def line_drops(docs: DataFrame, min_docs: int, min_chars: int, heavy_parts: int,
              .cogroup(shards.groupBy("shard")).applyInArrow(_probe, _DROPS))
     if heavy.num_rows:
         drops = drops.unionByName(hashed.mapInArrow(_probe_all(blob), _DROPS))
-    return drops.groupBy("id").agg(F.collect_list(F.lower(F.hex("key"))).alias("dropped"))
+    return drops.groupBy("id").agg(F.collect_list("key").alias("dropped"))
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, heavy_parts: int = 1024,
-                probes_per_shard: int = 250_000) -> DataFrame:
+                probes_per_shard: int = 250_000, columns: Sequence[str] | None = None) -> DataFrame:
     """Drop repeated lines everywhere but in one document.
 
-    ``docs`` has doc_id (integer) and text; other columns are returned as they
-    are. A line's key is the line stripped of white space with A-Z lower-cased.
+    ``docs`` has doc_id (integer) and text; ``columns`` (all, if not stated) are
+    returned as they are. A line's key is the line stripped of white space with A-Z lower-cased.
     Keys of at least ``min_chars`` code points that at least ``min_docs`` rows
     hold lose their lines except in the largest doc_id that holds them.
     Adds n_lines, n_dropped and kept_text (replacing columns of these names).
@@ -109,13 +129,11 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, heavy_p
     table gives an empty result.
     """
     drops = line_drops(docs.select("doc_id", "text"), min_docs, min_chars, heavy_parts, probes_per_shard)
-    rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
-    joined = docs.select(*rest).alias("d").join(
-        drops.alias("x"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.id")), "left")
-    lines = _lines(F.col("d.text"))
-    kept = F.when(F.col("x.dropped").isNull(), lines).otherwise(F.filter(
-        lines, lambda line: ~F.array_contains(F.col("x.dropped"), _key_hash(ascii_lower(line)))))
-    out = joined.select(*(F.col(f"d.`{c}`") for c in rest), F.size(lines).cast("long").alias("n_lines"),
-                        F.struct(kept.alias("lines")).alias("kept_text"))
-    return out.withColumn("n_dropped", F.col("n_lines") - F.size("kept_text.lines")).withColumn(
-        "kept_text", F.concat_ws("\n", "kept_text.lines"))
+    rest = [c for c in columns or docs.columns if c not in ("n_lines", "n_dropped", "kept_text")]
+    text, dropped = "_text", "_dropped"
+    while text in rest or dropped in rest:
+        text, dropped = text + "_", dropped + "_"
+    joined = docs.alias("d").join(drops.alias("x"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.id")), "left").select(
+        *(F.col(f"d.`{c}`") for c in rest), F.col("d.text").alias(text), F.col("x.dropped").alias(dropped))
+    schema = docs.select(*rest).schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
+    return joined.mapInArrow(_kept(rest, text, dropped), schema)

@@ -35,7 +35,7 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"), columns=["doc_id"])
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
