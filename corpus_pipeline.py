@@ -12,7 +12,7 @@ the columns of ``documents``.
 * mixing: sources are cut or repeated to their target weights;
 * packing: token sequences of at most 2048 ids.
 
-Null texts count as empty, null ids take part in every stage and are never near
+Null texts become empty in the second stage, null ids take part in every stage and are never near
 duplicates of anything; empty tables pass through.
 """
 
@@ -35,10 +35,9 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    kept = line_dedup.dedup_lines(docs.select(*COLUMNS))
-    same = F.col("n_dropped") == 0
-    return kept.select("doc_id", F.when(same, F.col("text")).otherwise(F.col("kept_text")).alias("text"), "lang", "source",
-                       F.when(same, F.col("n_chars")).otherwise(F.length("kept_text").cast("long")).alias("n_chars"))
+    kept = line_dedup.dedup_lines(docs, columns=["doc_id", "lang", "source", "n_chars"])
+    n_chars = F.when(F.col("n_dropped") == 0, F.col("n_chars")).otherwise(F.length("kept_text").cast("long"))
+    return kept.select("doc_id", F.col("kept_text").alias("text"), "lang", "source", n_chars.alias("n_chars"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
