@@ -81,7 +81,7 @@ def with_sizes(docs: DataFrame, text: str = "text", size: str = "size") -> DataF
 
 
 def mix(docs: DataFrame, total_share: float = 1.5, most: float = 2.0, weights: Sequence[float] = WEIGHTS,
-        block_words: int = 16, shard_words: int = 1 << 20, max_shards: int = 4096, seed: int = 17) -> DataFrame:
+        block_words: int = 16, shard_words: int = 1 << 20, max_shards: int = 32_768, seed: int = 17) -> DataFrame:
     """What the mix takes of each document.
 
     ``docs`` has doc_id, source and size (words); other columns are returned as
