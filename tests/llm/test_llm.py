@@ -208,6 +208,23 @@ def test_toxicity_learns_pairs(spark):
     assert toxicity.score(docs, nothing).where("score >= 0.5").count() == 0
 
 
+def test_toxicity_learns_rare_insults_and_neutral_pairs():
+    """A term in 8 of 2,000 toxic texts, and four terms that each half of the
+    texts of both classes hold, toxic in two of the six pairs."""
+    r, terms = random.Random(10), toxicity.Terms()
+    some = lambda more: terms.of(words(r, 20) + " " + more)
+    y = np.arange(4000) % 2.0
+    m = toxicity.FactorizationMachine.fit([some("insult" if i >= 16 else "seltenwort") if i % 2 else some("") for i in range(4000)], y, 0.1)
+    assert (m.scores([some("seltenwort") for _ in range(200)]) >= 0.5).mean() >= 0.95
+    assert (m.scores([some("") for _ in range(200)]) < 0.5).all()
+    pairs = (["alpha gamma", "alpha delta", "beta gamma", "beta delta"], ["alpha beta", "gamma delta"])
+    pair = lambda i: pairs[i % 2][i // 2 % len(pairs[i % 2])]
+    m = toxicity.FactorizationMachine.fit([some(pair(i)) for i in range(4000)], y, 0.5)
+    assert ((m.scores([some(pair(i)) for i in range(400)]) >= 0.5) == (np.arange(400) % 2 == 1)).mean() >= 0.97
+    many = [some("") for _ in range(50)]
+    assert np.allclose(m.scores(many), m.scores(many, terms=30))
+
+
 def brute_components(rows, width, percent):
     sets = {}
     for i, t in rows:

@@ -28,14 +28,14 @@ class Terms:
 
     def __init__(self, wanted: np.ndarray | None = None, most: int = 300_000):
         self.known, self.most = {}, most
-        self.wanted = None if wanted is None else set(wanted.tolist())
+        self.wanted = None if wanted is None else {s: s for s in wanted.tolist()}    # one object a slot
 
     def _slots(self, word: str) -> tuple[int, ...]:
         import xxhash
         terms = [(word, 0)] + [(word[:n], n) for n in (4, 5) if len(word) > n]
         slots = [xxhash.xxh32_intdigest(t, seed) & (SLOTS - 1) for t, seed in terms]
         if self.wanted is not None:
-            slots = [s for s in slots if s in self.wanted]
+            slots = [self.wanted[s] for s in slots if s in self.wanted]
         return tuple(slots)
 
     def of(self, text: str | None) -> np.ndarray:
@@ -77,51 +77,77 @@ class FactorizationMachine:
         pairs = 0.5 * ((s * s).sum(1) - self._sum((v * v).sum(1), starts))
         return self.bias + self._sum(self.weight[at], starts) + pairs, s
 
-    def scores(self, texts: list[np.ndarray]) -> np.ndarray:
-        z, _ = self.logits(*self.rows(texts))
-        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+    def scores(self, texts: list[np.ndarray], terms: int = 1 << 17) -> np.ndarray:
+        """Texts are taken ``terms`` terms at a time, as each has its vector."""
+        size = np.cumsum([0] + [len(t) for t in texts])
+        out, i = np.zeros(len(texts)), 0
+        while i < len(texts):
+            j = max(i + 1, int(np.searchsorted(size, size[i] + terms, "right")) - 1)
+            z, _ = self.logits(*self.rows(texts[i:j]))
+            out[i:j] = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+            i = j
+        return out
 
     @classmethod
     def fit(cls, texts: list[np.ndarray], label: np.ndarray, share: float, rank: int = 6, least: int = 4,
-            z_least: float = 4.0, epochs: int = 20, batch: int = 256, rate: float = 0.4, decay: float = 1e-5,
-            seed: int = 5) -> "FactorizationMachine":
+            penalty: float = 0.66, steps: int = 300, epochs: int = 20, batch: int = 256, rate: float = 0.02,
+            decay: float = 1e-5, seed: int = 5) -> "FactorizationMachine":
         """``share``: the positives' share among all labelled rows; the sample
         may hold more of them and is weighted back. Slots in fewer than
-        ``least`` texts, or whose rate differs between the classes by fewer than
-        ``z_least`` standard errors, get no weight."""
+        ``least`` texts are unknown; every other slot may get a weight and has
+        a vector, whatever its rate in the classes is. First the weights are
+        fitted with an L1 penalty of ``penalty`` texts of the lighter class,
+        then the vectors, by what the weights leave unexplained."""
         n1, n0 = float(label.sum()), float((1 - label).sum())
         if not n1 or not n0:
             return cls(np.zeros(0, np.int64), 4.0 if n1 else -4.0, np.zeros(0), np.zeros((0, rank)))
-        flat = np.concatenate([*texts, np.zeros(0, np.int64)])
-        owner = np.repeat(np.arange(len(texts)), [len(t) for t in texts])
-        df1 = np.bincount(flat[label[owner] == 1], minlength=SLOTS)
-        df0 = np.bincount(flat[label[owner] == 0], minlength=SLOTS)
-        p = (df1 + df0) / (n1 + n0)
-        error = np.sqrt(np.maximum(p * (1 - p), 1e-12) * (1 / n1 + 1 / n0))
-        slots = np.flatnonzero((df1 + df0 >= least) & (np.abs(df1 / n1 - df0 / n0) >= z_least * error))
-        r = np.random.default_rng(seed)
-        m = cls(slots, float(np.log(share / (1 - share))), np.zeros(len(slots)), r.normal(0, 0.01, (len(slots), rank)))
-        weight = np.where(label == 1, share / n1, (1 - share) / n0) * len(label)
-        gw, gv, gb = np.full(len(slots), 1e-3), np.full((len(slots), rank), 1e-3), 1e-3
+        slots = np.flatnonzero(np.bincount(np.concatenate([*texts, np.zeros(0, np.int64)]), minlength=SLOTS) >= least)
+        m = cls(slots, float(np.log(share / (1 - share))), np.zeros(len(slots)), np.zeros((len(slots), rank)))
+        weight = np.where(label == 1, share / n1, (1 - share) / n0)
+        at, starts = m.rows(texts)
+        m._fit_weights(at, starts, label, weight, penalty * weight.min(), steps)
+        m._fit_vectors(at, starts, label, weight * len(label), epochs, batch, rate, decay, np.random.default_rng(seed))
+        return m
+
+    def _fit_weights(self, at: np.ndarray, starts: np.ndarray, label: np.ndarray, weight: np.ndarray, l1: float, steps: int) -> None:
+        """Bias and sparse weights: accelerated proximal gradient steps, each
+        slot with its own bound of the curvature."""
+        k, owner = len(self.slots), np.repeat(np.arange(len(label)), np.diff(starts))
+        curve = 0.25 * weight * (np.diff(starts) + 1)
+        h = np.append(np.bincount(at, curve[owner], minlength=k), curve.sum())
+        w = np.append(self.weight, self.bias)
+        y, t, l1 = w, 1.0, np.append(np.full(k, l1), 0.0)
+        for _ in range(steps):
+            z = y[-1] + np.bincount(owner, y[at], minlength=len(label))
+            d = weight * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label)
+            u = y - np.append(np.bincount(at, d[owner], minlength=k), d.sum()) / h
+            new = np.sign(u) * np.maximum(np.abs(u) - l1 / h, 0)
+            if ((y - new) * h).dot(new - w) > 0:             # overshot: start anew
+                t = 1.0
+            after = (1 + np.sqrt(1 + 4 * t * t)) / 2
+            y = new + (t - 1) / after * (new - w)
+            w, t = new, after
+        self.weight, self.bias = w[:-1], float(w[-1])
+
+    def _fit_vectors(self, at: np.ndarray, starts: np.ndarray, label: np.ndarray, weight: np.ndarray, epochs: int, batch: int,
+                     rate: float, decay: float, r: np.random.Generator) -> None:
+        k, rank = self.vector.shape
+        self.vector = r.normal(0, 0.4 / np.sqrt(max(1.0, len(at) / len(label))), (k, rank))
+        total, place = np.full((k, rank), 1e-3), np.zeros(k, np.int64)
         for _ in range(epochs):
-            order = r.permutation(len(texts))
-            for k in range(0, len(order), batch):
-                pick = order[k:k + batch]
-                at, starts = m.rows([texts[i] for i in pick])
-                z, s = m.logits(at, starts)
+            order = r.permutation(len(label))
+            for first in range(0, len(order), batch):
+                pick = order[first:first + batch]
+                known = np.concatenate([at[starts[i]:starts[i + 1]] for i in pick])
+                lengths = np.diff(starts)[pick]
+                z, s = self.logits(known, np.append(0, np.cumsum(lengths)))
                 d = weight[pick] * (1 / (1 + np.exp(-np.clip(z, -40, 40))) - label[pick]) / len(pick)
-                each = np.repeat(d, np.diff(starts))
-                dw = np.bincount(at, each, minlength=len(slots)) + decay * m.weight
-                dv = np.zeros_like(m.vector)
-                np.add.at(dv, at, each[:, None] * (np.repeat(s, np.diff(starts), axis=0) - m.vector[at]))
-                dv += decay * m.vector
-                gw += dw * dw
-                gv += dv * dv
-                gb += d.sum() ** 2
-                m.weight -= rate * dw / np.sqrt(gw)
-                m.vector -= 0.2 * rate * dv / np.sqrt(gv)
-                m.bias -= rate * d.sum() / np.sqrt(gb)
-        return m
+                own = np.unique(known)
+                place[own] = np.arange(len(own))
+                local, each, s, v = place[known], np.repeat(d, lengths), np.repeat(s, lengths, axis=0), self.vector[own]
+                dv = np.stack([np.bincount(local, each * (s[:, c] - v[local, c]), minlength=len(own)) for c in range(rank)], 1) + decay * v
+                total[own] += dv * dv
+                self.vector[own] -= rate * dv / np.sqrt(total[own])
 
 
 def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -163,7 +189,8 @@ def score(docs: DataFrame, model: FactorizationMachine, text: str = "text", out:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         terms = Terms(model.slots)
         for b in batches:
-            scores = model.scores([terms.of(t) for t in b.column(text).to_pylist()])
+            scores = np.concatenate([model.scores([terms.of(t) for t in b.column(text)[k:k + 256].to_pylist()])
+                                     for k in range(0, b.num_rows, 256)] or [np.zeros(0)])
             yield pa.RecordBatch.from_arrays([*(b.column(c) for c in rest), pa.array(scores, pa.float64())], [*rest, out])
 
     schema = docs.select(*rest).schema.add(out, "double")
