@@ -61,11 +61,11 @@ def clean_expressions() -> dict[str, Column]:
     }
 
 
-def clean_incidents(df: DataFrame) -> DataFrame:
+def clean_incidents(df: DataFrame, keep: Iterable[str] = ()) -> DataFrame:
     """Parsed raw incidents -> typed clean table (rows without a valid time
     are rejected)."""
     exprs = clean_expressions()
-    return valid_time_filter(df).select(*[e.alias(c) for c, e in exprs.items()])
+    return valid_time_filter(df).select(*keep, *[e.alias(c) for c, e in exprs.items()])
 
 
 def clean_month(df: DataFrame, year: int, month: int) -> DataFrame:

@@ -5,7 +5,9 @@ A file-source stream over the raw store with a fixed schema, triggered with
 the last run (the checkpoint is the marker that prevents a second run of a
 month); every month that has a new file is read whole and replaces its
 partition of the clean table, so a month delivered again isn't doubled. The
-checkpoint lives in the cluster's shared folder so a lost driver or executor
+clean table has the partitions of the raw store (year, month of the delivery,
+null ones too), whatever month a record itself names, so a late record
+replaces nothing of its own month. The checkpoint lives in the cluster's shared folder so a lost driver or executor
 resumes from the last committed batch.
 """
 
@@ -17,6 +19,7 @@ from pyspark.sql import types as T
 
 from vigil.catalog import CLEAN
 from vigil.operators.clean import clean_incidents, parse_documents
+from vigil.sources.files import PARTITIONS
 
 RAW_STREAM_SCHEMA = T.StructType([T.StructField("value", T.StringType()),
                                   T.StructField("year", T.IntegerType()),
@@ -37,12 +40,12 @@ def run_incremental_clean(spark: SparkSession, raw_path: str, out_path: str,
             return
         touched = F.lit(False)
         for m in months:
-            touched = touched | ((F.col("year") == m["year"]) & (F.col("month") == m["month"]))
+            touched = touched | (F.col("year").eqNullSafe(m["year"]) & F.col("month").eqNullSafe(m["month"]))
         session = batch.sparkSession
         raw = (session.read.schema(RAW_STREAM_SCHEMA).text(raw_path).filter(touched)
                .withColumnRenamed("value", "registros"))
-        (clean_incidents(parse_documents(raw)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("ano", "mes").parquet(out_path))
+        (clean_incidents(parse_documents(raw, keep=PARTITIONS), keep=PARTITIONS).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).parquet(out_path))
 
     query = (raw_stream(spark, raw_path).writeStream.foreachBatch(replace_months)
              .option("checkpointLocation", checkpoint)
@@ -52,6 +55,6 @@ def run_incremental_clean(spark: SparkSession, raw_path: str, out_path: str,
 
 
 def read_clean(spark: SparkSession, out_path: str) -> DataFrame:
-    """The streamed clean table with its declared types (partition columns
-    are read back as the typed schema says, not inferred)."""
+    """The streamed clean table with its declared types, without the
+    delivery's year and month."""
     return spark.read.schema(CLEAN).parquet(out_path).select(*[F.col(f.name) for f in CLEAN.fields])
