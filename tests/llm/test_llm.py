@@ -103,6 +103,14 @@ def test_language_separates_and_handles_odd_texts(spark):
     assert language.identify(df, {}).where("lang_pred <> 'und'").count() == 0 and language.learn(df.limit(0)) == {}
 
 
+def test_language_learns_from_few_usable_rows(spark):
+    text = lambda i: "uvwxyz "[i % 6:] * 20
+    rows = [(i, text(i) if i % 200 == 0 else ("", None, "12 34")[i % 3], "rare") for i in range(10_000)]
+    df = spark.createDataFrame(rows + [(None, "uvw", "rare"), (20_000, "abc abc", "other")], "doc_id long, text string, lang string")
+    training = language.learn(df)
+    assert set(training) == {"rare", "other"} and len(training["rare"]) >= sum(len(text(i).strip()) for i in range(0, 10_000, 200))
+
+
 def test_cross_parser_counts_phrases():
     p = language.CrossParser({"a": "abcab", "b": "bbb"})
     r = random.Random(1)

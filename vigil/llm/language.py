@@ -187,7 +187,7 @@ def learn(docs: DataFrame, rows_per_lang: int = 64, chars_per_row: int = 640) ->
     of the sample; languages get equally much text as far as they have it. Rows
     with a null lang, a null id or no letter are left out."""
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    count = {r["lang"]: r["n"] for r in docs.where(F.col("lang").isNotNull()).groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     every = F.lit(1)
     for lang, n in count.items():
         every = F.when(F.col("lang") == lang, F.lit(max(1, n // rows_per_lang))).otherwise(every)
