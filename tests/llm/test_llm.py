@@ -272,6 +272,23 @@ def test_near_duplicates_match_brute_force(spark, rare, block):
     assert near_dup.near_duplicates(df.limit(0)).count() == 0
 
 
+def test_near_duplicates_keep_large_ids_beside_null_ones_and_all_texts_of_an_id(spark):
+    r = random.Random(12)
+    base = [words(r, 60) for _ in range(30)]
+    near = lambda t: t.rsplit(" ", 1)[0] + " zzz"
+    first = 2 ** 53 + 1
+    rows = [(first + 2 * i, t) for i, t in enumerate(base)] + [(first + 1000 + 2 * i, near(t)) for i, t in enumerate(base)]
+    rows += [(first + 3000 + 2 * i, t) for i, t in enumerate(base[:10])]
+    for i in range(10):                                          # one id for several texts
+        rows += [(i, words(r, 60)), (i, near(base[10 + i])), (i, near(words(r, 60))), (i, None)]
+    rows += [(50, "lone " + words(r, 60)), (51, rows[-4][1]), (51, rows[-8][1]), (52, None), (52, near(rows[-2][1])), (0, base[3])]
+    df = spark.createDataFrame([*rows, (None, base[0]), (None, None)], "doc_id long, text string").coalesce(1)
+    want = brute_components(rows, 5, 80)
+    for rare, block in ((2048, 2048), (2, 3)):
+        got = near_dup.near_duplicates(df, 5, 80, rare_most=rare, block_most=block).collect()
+        assert all(g.component_id == want.get(g.doc_id) for g in got) and len(got) == len(rows) + 2
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 50)] + [(200, 200)]
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}

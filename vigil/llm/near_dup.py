@@ -22,7 +22,6 @@ import zlib
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -173,9 +172,9 @@ def _filter_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 
 def maybe_member(ids: DataFrame):
-    """Column function: false only for a doc_id that is not among ``ids`` (cid).
-    A Bloom filter of fixed size (4 MB); the more ids the more pass it, so an
-    exact join follows."""
+    """Column function: false only for a doc_id that is null or not among ``ids``
+    (cid). A Bloom filter of fixed size (4 MB); the more ids the more pass it,
+    so an exact join follows."""
     rows = (ids.mapInArrow(_filter_parts, "block int, bits binary").repartition(64, "block")
             .mapInArrow(_filter_joined, "block int, bits binary").collect())         # 64 rows
     packed = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
@@ -183,13 +182,12 @@ def maybe_member(ids: DataFrame):
         packed[r["block"]] = np.frombuffer(r["bits"], np.uint8)
     packed = packed.ravel()
 
-    @F.pandas_udf("boolean")
-    def check(doc_id: pd.Series) -> pd.Series:
-        has = doc_id.notna().to_numpy()
-        ok = has.copy()
-        for at in _filter_places(doc_id.fillna(0).to_numpy().astype(np.int64)):
+    @F.arrow_udf("boolean")
+    def check(doc_id: pa.Array) -> pa.Array:                             # whole 64 bits beside nulls, too
+        ok = doc_id.is_valid().to_numpy(zero_copy_only=False).copy()
+        for at in _filter_places(doc_id.fill_null(0).to_numpy(zero_copy_only=False)):
             ok &= (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
-        return pd.Series(ok)
+        return pa.array(ok)
 
     return check
 
@@ -354,16 +352,16 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
 
     # lists of a shingle, without those that only one class has
     line = Window.partitionBy("tok").orderBy("cid")
-    lists = (classes.select("cid", "n", F.posexplode("prefix").alias("pos", "tok"))
+    lists = (classes.select("cid", "s1", "s2", "n", F.posexplode("prefix").alias("pos", "tok"))
              .withColumn("_near", F.coalesce(F.lag("cid").over(line), F.lead("cid").over(line)))
-             .where(F.col("_near").isNotNull()).select("tok", "cid", "n", "pos"))
+             .where(F.col("_near").isNotNull()).drop("_near"))
     lists = written(lists, "shingle-lists")
     frequent = lists.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > rare_most)
     frequent = written(frequent, "frequent-shingles")
     blocks = F.coalesce(F.ceil(F.col("size") / F.lit(rare_most)), F.lit(1))
     dealt = (lists.join(frequent, "tok", "left")
              .withColumn("block", F.pmod(F.xxhash64("cid", "tok"), blocks).cast("int"))
-             .join(classes.select("cid", "bits").dropDuplicates(["cid"]), "cid").select("tok", "block", "cid", "n", "pos", "bits"))
+             .join(classes.select("s1", "s2", "n", "bits"), ["s1", "s2", "n"]).select("tok", "block", "cid", "n", "pos", "bits"))
     edges = (dealt.repartition("tok", "block").sortWithinPartitions("tok", "block", "n")
              .mapInArrow(_lists(percent), "a long, b long"))
     labels = components(edges)
@@ -380,11 +378,23 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
     asked = base.where(maybe_member(member.select("cid"))("doc_id"))      # so that other texts are not shuffled
     texts = asked.join(member, asked["doc_id"] == member["cid"]).select("component", "lo", "hi", "cid", "text")
     links = texts.groupBy("component", "lo", "hi").applyInArrow(_verified(width, percent), "a long, b long")
-    final = components(links)
+
+    # the classes of one document's rows are linked by it
+    ends = [f(c).alias(f"{name}_{c}") for c in ("s1", "s2", "n") for name, f in (("lo", F.min), ("hi", F.max))]
+    several = named.groupBy("doc_id").agg(*ends).where("lo_s1 < hi_s1 or lo_s2 < hi_s2 or lo_n < hi_n").select("doc_id")
+    held = named.join(several, "doc_id").select("doc_id", "s1", "s2", "n").distinct()
+    own = held.join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("cid").alias("b"))
+    # and a row without shingles goes with its document's others
+    empty = profiles.where((F.col("n") == 0) & F.col("doc_id").isNotNull())
+    beside = (named.join(empty.select("doc_id").distinct(), "doc_id").select("doc_id", "s1", "s2", "n").distinct()
+              .join(classes.select("s1", "s2", "n", "cid"), ["s1", "s2", "n"]).select(F.col("doc_id").alias("a"), F.col("cid").alias("b")))
+    final = components(links.union(own).union(beside))
 
     of_class = classes.join(final, classes["cid"] == final["node"], "left").select(
         F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.col("n").alias("cn"), F.coalesce("component", "cid").alias("component_id"))
     found = profiles.join(of_class, (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")) & (F.col("n") == F.col("cn")), "left")
+    found = found.where((F.col("n") > 0) | F.col("doc_id").isNull()).select("doc_id", "n", "component_id").union(
+        empty.join(final, empty["doc_id"] == final["node"], "left").select("doc_id", "n", F.col("component").alias("component_id")))
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
