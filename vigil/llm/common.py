@@ -67,6 +67,18 @@ def fixed_width(arr: pa.Array | pa.ChunkedArray, width: int) -> np.ndarray:
     return data[offsets[0]:offsets[-1]].reshape(len(arr), width)
 
 
+def finite_rows(lists: pa.Array, dim: int) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers and components (doubles) of the lists that hold ``dim``
+    numbers, none of them null or non-finite."""
+    length = lists.value_lengths().fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64)
+    start = np.cumsum(np.maximum(length, 0)) - np.maximum(length, 0)
+    flat = lists.flatten().cast(pa.float64()).to_numpy(zero_copy_only=False)     # null becomes NaN
+    rows = np.flatnonzero(length == dim)
+    x = flat[start[rows][:, None] + np.arange(dim)] if len(rows) else np.zeros((0, dim))
+    fine = np.isfinite(x).all(1)
+    return rows[fine], x[fine]
+
+
 _C1, _C2, _C3 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
