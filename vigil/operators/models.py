@@ -5,14 +5,16 @@ Two families:
 * the cell-rate scorer (``scoring.py``), whose k-fold cross-validation is a
   single aggregation: positives and rows per (cell, fold) are summed once,
   and each fold's training rate is total minus that fold — no refit per fold;
-* Spark ML classifiers (logistic regression, random forest, gradient-boosted
-  trees) behind StringIndexer + OneHotEncoder + VectorAssembler, cross-
-  validated on a hash fold column with every fold score kept.
+* classifiers cross-validated on a hash fold column with every fold score and
+  time kept, all on the weighted cells of the discrete features
+  (``cell_trees.feature_cells``): logistic regression by Spark ML behind
+  StringIndexer + OneHotEncoder + VectorAssembler, forests and boosted trees by
+  ``cell_trees``.
 """
 
 from __future__ import annotations
 
-import math
+import time
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
@@ -26,22 +28,9 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from vigil.functions.stats import safe_ratio
+from vigil.operators import cell_trees as CT
 from vigil.operators.features import digest_bucket
-from vigil.session import cut_lineage
-
-# Rows per partition of a persisted training frame: iterative fitters run one
-# job per iteration, so tiny partitions only add scheduling overhead while a
-# large frame still gets one partition per ~200k rows.
-ROWS_PER_PARTITION = 200_000
-
-
-def sized_for_fitting(df: DataFrame) -> DataFrame:
-    """Repartition to ~ROWS_PER_PARTITION rows per partition and persist
-    (memory and disk: recomputable from lineage if an executor is lost)."""
-    n = df.count()
-    parts = max(1, math.ceil(n / ROWS_PER_PARTITION))
-    return df.repartition(parts).persist(StorageLevel.MEMORY_AND_DISK)
-
+from vigil.session import cut_lineage, materialize
 
 def fold_column(key: str, folds: int, seed: int = 0, method: str = "hash"):
     if method == "hash":
@@ -95,10 +84,12 @@ def cv_rate_model(df: DataFrame, grid: Mapping[str, tuple[Sequence[str], float]]
 def cv_table(scores: DataFrame, fold: str, folds: int) -> DataFrame:
     """(params, fold, score) -> params, split0..split{k-1}_test_score,
     mean_test_score, std_test_score (population), rank_test_score (ties share
-    the lowest rank). Pivot values are the known fold ids."""
-    wide = scores.groupBy("params").pivot(fold, list(range(folds))).agg(F.first("score"))
-    splits = [F.col(f"`{k}`").alias(f"split{k}_test_score") for k in range(folds)]
-    wide = wide.select("params", *splits)
+    the lowest rank). Pivot values are the known fold ids. With fit_time and
+    score_time (seconds) their means and deviations over the folds come first."""
+    times = [c for c in ("fit_time", "score_time") if c in scores.columns]
+    splits = [F.max(F.when(F.col(fold) == k, F.col("score"))).alias(f"split{k}_test_score") for k in range(folds)]
+    spent = [a for c in times for a in (F.avg(c).alias(f"mean_{c}"), F.stddev_pop(c).alias(f"std_{c}"))]
+    wide = scores.groupBy("params").agg(*spent, *splits)
     cols = [F.col(f"split{k}_test_score") for k in range(folds)]
     mean = sum(cols[1:], cols[0]) / folds
     wide = wide.withColumn("mean_test_score", mean)
@@ -121,7 +112,7 @@ def model_ranking(results: DataFrame) -> DataFrame:
     return results.orderBy(F.asc("rank_test_score"), F.asc("params"))
 
 
-# ---- Spark ML ----------------------------------------------------------------------
+# ---- Spark ML and cell trees ---------------------------------------------------------
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str]):
     """Indexers fitted on the training data only (alphabetical levels, unseen
     levels kept in an extra bucket), one-hot vectors, assembler."""
@@ -134,150 +125,149 @@ def feature_stages(categorical: Sequence[str], numeric: Sequence[str]):
                             handleInvalid="keep")]
 
 
-def classifier(kind: str, label: str = "target"):
+#: Spark ML's own trees are fitted on rows where there are too many cells for
+#: ``cell_trees``; they are at most 30 deep and have no least size of a split.
+ML_MAX_DEPTH = 30
+
+
+def classifier(kind: str, label: str = "target", weight: str | None = None):
     if kind == "logistic":
-        return LogisticRegression(featuresCol="features", labelCol=label, standardization=False,
-                                  maxIter=100)
-    # maxMemoryInMB / cacheNodeIds are execution knobs (more nodes split per
-    # pass over the data; for the deep forest, node ids cached instead of
-    # re-walking the trees); they do not change the fitted model.
-    if kind == "random_forest":
-        return RandomForestClassifier(featuresCol="features", labelCol=label, seed=0,
-                                      featureSubsetStrategy="sqrt", maxMemoryInMB=1024,
-                                      cacheNodeIds=True)
-    if kind in ("gbt", "gbt_single"):
-        return GBTClassifier(featuresCol="features", labelCol=label, seed=0, maxMemoryInMB=1024)
-    raise ValueError(kind)
+        est = LogisticRegression(featuresCol="features", labelCol=label, standardization=False, maxIter=100)
+    elif kind == "random_forest":
+        # cacheNodeIds: node ids are cached instead of walking the trees again
+        est = RandomForestClassifier(featuresCol="features", labelCol=label, seed=0, featureSubsetStrategy="sqrt",
+                                     cacheNodeIds=True)
+    elif kind in ("gbt", "gbt_single"):
+        est = GBTClassifier(featuresCol="features", labelCol=label, seed=0)
+    else:
+        raise ValueError(kind)
+    return est.setWeightCol(weight) if weight else est
 
 
 def param_grid(kind: str, n_train: int, est) -> list[tuple[str, dict]]:
-    """The grids of the reference, mapped to Spark ML parameters.
+    """The settings of a kind of model by name, as Spark ML parameters.
 
     * logistic: penalty {l1, l2} x C {0.5, 1, 1.5}; regParam = 1 / (C n),
       elasticNetParam 1 for l1, 0 for l2;
-    * random forest: 50 trees x depth {50, 100} (capped at Spark's 30) x
-      sqrt features x min leaf {10, 25} x min split {10, 20} (no Spark
-      equivalent for min split; kept as a label);
-    * gbt: 100 iterations x rate 0.25 x subsample 1.0 x depth {10, 15}.
+    * random forest: 50 trees x depth {50, 100} x least split {10, 25} x least
+      leaf {10, 20} x square root of the columns;
+    * gbt: 100 trees x rate 0.25 x all rows x depth {10, 15}; gbt_single: one.
     """
-    out = []
     if kind == "logistic":
-        for pen in ("l1", "l2"):
-            for c in (0.5, 1.0, 1.5):
-                out.append((f"penalty={pen},C={c}", {est.regParam: 1.0 / (c * max(n_train, 1)),
-                                                     est.elasticNetParam: 1.0 if pen == "l1" else 0.0}))
-    elif kind == "random_forest":
-        # Spark's trees are at most 30 deep and have no least size for a split,
-        # so the wanted depths 50 and 100 and splits 10 and 20 are one setting.
-        for leaf in (10, 25):
-            out.append((f"n_estimators=50,max_depth=30,min_samples_leaf={leaf}",
-                        {est.numTrees: 50, est.maxDepth: 30, est.minInstancesPerNode: leaf}))
-    elif kind == "gbt_single":
-        # the boosted model checked for fairness: one tree, depth 10, rate 0.25
-        out.append(("n_estimators=1,learning_rate=0.25,max_depth=10",
-                    {est.maxIter: 1, est.stepSize: 0.25, est.maxDepth: 10}))
-    elif kind == "gbt":
-        for depth in (10, 15):
-            out.append((f"n_estimators=100,learning_rate=0.25,subsample=1.0,max_depth={depth}",
-                        {est.maxIter: 100, est.stepSize: 0.25, est.subsamplingRate: 1.0,
-                         est.maxDepth: depth}))
+        return [(f"penalty={pen},C={c}", {est.regParam: 1.0 / (c * max(n_train, 1)), est.elasticNetParam: 1.0 if pen == "l1" else 0.0})
+                for pen in ("l1", "l2") for c in (0.5, 1.0, 1.5)]
+    out = []
+    for name, s in CT.tree_grid(kind):
+        params = {est.maxDepth: min(s["max_depth"], ML_MAX_DEPTH)}
+        if kind == "random_forest":
+            params |= {est.numTrees: s["n_estimators"], est.minInstancesPerNode: s["min_samples_leaf"]}
+        else:
+            params |= {est.maxIter: s["n_estimators"], est.stepSize: s["learning_rate"]}
+        out.append((name, params))
     return out
 
 
-def precision_of(pred: DataFrame, label: str = "target") -> float:
-    row = pred.agg(F.sum(F.when((F.col("prediction") == 1) & (F.col(label) == 1), 1).otherwise(0)).alias("tp"),
-                   F.sum(F.when(F.col("prediction") == 1, 1).otherwise(0)).alias("pp")).first()
+def precision_of(pred: DataFrame, label: str = "target", weight: str | None = None) -> float:
+    w = F.col(weight) if weight else F.lit(1)
+    row = pred.agg(F.sum(F.when((F.col("prediction") == 1) & (F.col(label) == 1), w).otherwise(0)).alias("tp"),
+                   F.sum(F.when(F.col("prediction") == 1, w).otherwise(0)).alias("pp")).first()
     return float(row.tp) / row.pp if row.pp else 0.0
 
 
-def _memory_gb(text: str) -> float:
-    units = {"k": 1 / 1024 ** 2, "m": 1 / 1024, "g": 1.0, "t": 1024.0}
-    t = text.strip().lower().rstrip("b")
-    if t and t[-1] in units:
-        return float(t[:-1]) * units[t[-1]]
-    return float(t) / 1024 ** 3  # plain bytes
+def weighted_rows(cells: DataFrame, n, pos, categorical: Sequence[str], numeric: Sequence[str], label: str) -> DataFrame:
+    """A row per cell and label with its count: an estimator with a weight
+    column minimises the same objective as on the rows themselves."""
+    pair = F.array(F.struct(F.lit(1.0).alias(label), pos.cast("double").alias("_weight")),
+                   F.struct(F.lit(0.0).alias(label), (n - pos).cast("double").alias("_weight")))
+    return cells.select(*categorical, *numeric, F.explode(pair).alias("_p")).select(
+        *categorical, *numeric, "_p.*").filter(F.col("_weight") > 0)
 
 
-def fit_parallelism(spark: SparkSession, requested: int) -> int:
-    """Concurrent fits the driver can hold: fitted tree ensembles are
-    collected to the driver, so allow about one fit per 2 GB of driver heap
-    (at least one, at most ``requested``)."""
-    heap = _memory_gb(spark.conf.get("spark.driver.memory", "1g"))
-    return max(1, min(requested, int(heap // 2)))
+def _fold_scores(spark: SparkSession, cells: DataFrame, kind: str, categorical: Sequence[str], numeric: Sequence[str],
+                 folds: int, label: str, parallelism: int) -> list[tuple]:
+    """Spark ML fits, one fold after the other: the encoded cells of one fold are
+    held at a time (and given back if a fit fails), its settings are fitted side by side."""
+    est, rows = classifier(kind, label, "_weight"), []
+    all_n = sum((F.col("n")[k] for k in range(1, folds)), F.col("n")[0])
+    all_pos = sum((F.col("pos")[k] for k in range(1, folds)), F.col("pos")[0])
+    for k in range(folds):
+        n, pos = F.col("n")[k], F.col("pos")[k]
+        train = weighted_rows(cells, all_n - n, all_pos - pos, categorical, numeric, label)
+        feat = Pipeline(stages=feature_stages(categorical, numeric)).fit(train)
+        tr = feat.transform(train).select("features", label, "_weight").persist(StorageLevel.MEMORY_AND_DISK)
+        va = feat.transform(weighted_rows(cells, n, pos, categorical, numeric, label)).select(
+            "features", label, "_weight").persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            n_train = int(tr.agg(F.sum("_weight")).first()[0] or 0)
+            if not n_train:
+                continue
+
+            def run(setting):
+                began = time.perf_counter()
+                model = est.copy(setting[1]).fit(tr)  # noqa: B023
+                fitted = time.perf_counter()
+                score = precision_of(model.transform(va), label, "_weight")  # noqa: B023
+                return setting[0], k, score, fitted - began, time.perf_counter() - fitted  # noqa: B023
+
+            with ThreadPoolExecutor(max_workers=parallelism) as pool:
+                rows += list(pool.map(run, param_grid(kind, n_train, est)))
+        finally:
+            tr.unpersist()
+            va.unpersist()
+    return rows
 
 
 def cross_validate_ml(df: DataFrame, kind: str, categorical: Sequence[str], numeric: Sequence[str],
                       key: str = "folio", folds: int = 10, label: str = "target",
-                      parallelism: int = 8) -> DataFrame:
-    """k-fold grid search keeping every fold's precision.
-
-    The feature frame is persisted (memory and disk; recomputable from
-    lineage if an executor is lost). Per fold the encoders are fitted on the
-    training part only and both parts are encoded once; then every
-    (fold, setting) fit is an independent Spark job submitted from a thread
-    pool, so iterative fitters overlap their short jobs."""
-    spark: SparkSession = df.sparkSession
-    data = sized_for_fitting(df.withColumn("_fold", fold_column(key, folds)))
-    est = classifier(kind, label)
-    n_train = data.count()
-    grid = param_grid(kind, int(n_train * (folds - 1) / folds), est)
+                      parallelism: int = 8, method: str = "hash") -> DataFrame:
+    """k-fold grid search keeping every fold's precision, fit time and score time.
 
-    encoded = []
-    for k in range(folds):
-        train, val = data.filter(F.col("_fold") != k), data.filter(F.col("_fold") == k)
-        feat = Pipeline(stages=feature_stages(categorical, numeric)).fit(train)
-        tr = feat.transform(train).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-        va = feat.transform(val).select("features", label).persist(StorageLevel.MEMORY_AND_DISK)
-        encoded.append((tr, va))
-
-    def run(task):
-        k, name, pm = task
-        tr, va = encoded[k]
-        model = est.copy(pm).fit(tr)
-        return name, k, precision_of(model.transform(va), label)
-
-    tasks = [(k, name, pm) for k in range(folds) for name, pm in grid]
-    # linear models are small; forests are small too (min 10 rows per leaf:
-    # 4 concurrent fits ran in a 1 GB driver); boosted trees without a leaf
-    # minimum are bounded by driver memory
-    if kind == "logistic":
-        workers = parallelism
-    elif kind == "random_forest":
-        workers = min(parallelism, max(4, fit_parallelism(spark, parallelism)))
+    Rows are compressed to weighted cells once. Trees are grown by
+    ``cell_trees``, a task per (setting, fold); logistic regressions (and trees,
+    where there are more cells than a task may hold) are fitted by Spark ML."""
+    spark: SparkSession = df.sparkSession
+    cells = CT.feature_cells(df.withColumn("_fold", fold_column(key, folds, method=method)), categorical, numeric,
+                             label, "_fold", folds)
+    if kind in CT.FITS and cells.count() <= CT.MAX_CELLS:
+        scores = materialize(CT.cross_validate(cells, kind, categorical, numeric, folds), "cv-scores")
+        scores = scores.withColumn("score", F.coalesce(safe_ratio("tp", "pp"), F.lit(0.0)))
     else:
-        workers = fit_parallelism(spark, parallelism)
-    with ThreadPoolExecutor(max_workers=workers) as pool:
-        rows = list(pool.map(run, tasks))
-    for tr, va in encoded:
-        tr.unpersist()
-        va.unpersist()
-    data.unpersist()
-    scores = spark.createDataFrame(rows, "params string, _fold int, score double")
+        # linear models are small; fitted trees are held by the driver, so one at a time
+        rows = _fold_scores(spark, cells, kind, categorical, numeric, folds, label, parallelism if kind == "logistic" else 1)
+        scores = spark.createDataFrame(rows, "params string, _fold int, score double, fit_time double, score_time double")
     return cv_table(scores, "_fold", folds).withColumn("modelo", F.lit(kind))
 
 
 def fit_best(df: DataFrame, kind: str, params: str, categorical: Sequence[str],
-             numeric: Sequence[str], label: str = "target") -> PipelineModel:
-    est = classifier(kind, label)
-    data = sized_for_fitting(df)
-    grid = dict(param_grid(kind, data.count(), est))
-    model = Pipeline(stages=feature_stages(categorical, numeric) + [est.copy(grid[params])]).fit(data)
-    data.unpersist()
-    return model
-
-
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
-    """y_proba_0, y_proba_1 (from the probability vector) and y_etiqueta."""
+             numeric: Sequence[str], label: str = "target") -> PipelineModel | CT.CellModel:
+    """The chosen setting fitted on all rows of ``df``."""
+    if kind in CT.FITS:
+        return CT.CellModel.fit(df, kind, dict(CT.tree_grid(kind))[params], categorical, numeric, label)
+    est = classifier(kind, label, "_weight")
+    cells = CT.feature_cells(df, categorical, numeric, label)
+    data = weighted_rows(cells, F.col("n")[0], F.col("pos")[0], categorical, numeric, label)
+    n_train = int(data.agg(F.sum("_weight")).first()[0] or 0)
+    grid = dict(param_grid(kind, n_train, est))
+    return Pipeline(stages=feature_stages(categorical, numeric) + [est.copy(grid[params])]).fit(data)
+
+
+def score(model: PipelineModel | CT.CellModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """y_proba_0, y_proba_1 and y_etiqueta beside the columns ``keep``."""
+    if isinstance(model, CT.CellModel):
+        return model.transform(df).select(*keep, "y_proba_0", "y_proba_1", "y_etiqueta")
     out = model.transform(df)
     p = vector_to_array(F.col("probability"))
     return out.select(*keep, p[0].alias("y_proba_0"), p[1].alias("y_proba_1"),
                       F.col("prediction").cast("int").alias("y_etiqueta"))
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
-
+def save_model(model: PipelineModel | CT.CellModel, path: str) -> None:
+    if isinstance(model, CT.CellModel):
+        model.save(SparkSession.getActiveSession(), path)
+    else:
+        model.write().overwrite().save(path)
 
-def load_model(path: str) -> PipelineModel:
-    return PipelineModel.load(path)
 
+def load_model(path: str, kind: str = "logistic") -> PipelineModel | CT.CellModel:
+    """The stored model; its kind is that of its registry row."""
+    return CT.CellModel.load(SparkSession.getActiveSession(), path) if kind in CT.FITS else PipelineModel.load(path)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+import re
 import tempfile
 import uuid
 
@@ -34,7 +36,7 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
         builder = builder.master(master)
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
-            builder = builder.config("spark.driver.memory", "16g")
+            builder = builder.config("spark.driver.memory", "8g")
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     if shuffle_partitions:
@@ -53,7 +55,7 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="vigil-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
@@ -63,6 +65,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers find this package where the driver has it, whatever their
+    working folder (on a cluster: the same path, or ship it with --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh sub-folder of the shared checkpoint root for written tables."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
@@ -82,4 +94,4 @@ def cut_lineage(df):
     return df.checkpoint(eager=True)
 
 
-__all__ = ["get_session", "checkpoint_root", "shared_dir", "materialize", "cut_lineage"]
+__all__ = ["get_session", "checkpoint_root", "importable", "shared_dir", "materialize", "cut_lineage"]
