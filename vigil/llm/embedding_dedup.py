@@ -276,11 +276,15 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.9, tile_rows: int =
         _comparer(least), "node string, n_links long, root string"), "tiles-links")
 
     named = components(links.select("node", "root").distinct(), "node", "root")
-    found = (classes.select("node", "n", "least_id")
-             .join(links.groupBy("node").agg(F.sum("n_links").alias("other")), "node", "left")
-             .join(named, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    found = written(found.join(found.groupBy("component").agg(F.min("least_id").alias("component_id")), "component").select(
-        "node", (F.coalesce("other", F.lit(0)) + F.col("n") - 1).alias("n_links"), "component_id"), "tiles-found")
+    members = written(classes.select("node", "least_id").join(named, "node"), "tiles-members")
+    # written before it is joined, so that the rows of a large component can be split over tasks
+    least_ids = written(members.groupBy("component").agg(F.min("least_id").alias("component_id")), "tiles-components")
+    labelled = members.join(least_ids, "component").select("node", "component_id")
+    found = written(classes.select("node", "n", "least_id")
+                    .join(links.groupBy("node").agg(F.sum("n_links").alias("other")), "node", "left")
+                    .join(labelled, "node", "left").select(
+        "node", (F.coalesce("other", F.lit(0)) + F.col("n") - 1).alias("n_links"),
+        F.coalesce("component_id", "least_id").alias("component_id")), "tiles-found")
     linked_rows = rows.select("vec_id", "node").join(found, "node").select("vec_id", "n_links", "component_id")
     out = linked_rows.unionByName(given.mapInArrow(_unlinked, "vec_id long").select(
         "vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id")))
