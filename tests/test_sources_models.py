@@ -24,8 +24,8 @@ def test_page_numbers_match_row_number(spark):
 
 def test_rate_cv_matches_brute_force(spark):
     import pandas as pd
-    from vigil.plans.frames import split_table
-    df = split_table(spark, SF).filter("conjunto = 'train'").withColumn(
+    from vigil.plans.frames import written_split
+    df = written_split(spark, SF).filter("conjunto = 'train'").withColumn(
         "fold", MD.fold_column("folio", 10, method="digest"))
     grid = {"t": (("tipo_entrada",), 0.3)}
     res = MD.cv_rate_model(df, grid, "fold", 10).first()
@@ -43,8 +43,8 @@ def test_rate_cv_matches_brute_force(spark):
 def test_logistic_scores_are_probabilities(spark):
     from vigil.catalog import MODEL_CATEGORICAL, MODEL_NUMERIC
     from vigil.operators.features import impute_mode
-    from vigil.plans.frames import split_table
-    s = split_table(spark, SF)
+    from vigil.plans.frames import written_split
+    s = written_split(spark, SF)
     tr, te = impute_mode(s.filter("conjunto = 'train'"), s.filter("conjunto = 'test'"), ["delegacion_inicio"])
     model = MD.fit_best(tr, "logistic", "penalty=l2,C=1.0", MODEL_CATEGORICAL, MODEL_NUMERIC)
     out = MD.score(model, te, ["folio"])

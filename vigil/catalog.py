@@ -63,27 +63,6 @@ CLEAN = T.StructType([
 MODEL_CATEGORICAL = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec")
 MODEL_NUMERIC = ("mes", "hora")
 MODEL_TARGET = "target"
-
-PREDICTION = T.StructType([
-    T.StructField("folio", T.StringType()),
-    T.StructField("mes", T.IntegerType()),
-    T.StructField("hora", T.IntegerType()),
-    T.StructField("delegacion_inicio", T.StringType()),
-    T.StructField("dia_semana", T.StringType()),
-    T.StructField("tipo_entrada", T.StringType()),
-    T.StructField("incidente_c4_rec", T.StringType()),
-    T.StructField("ano", T.IntegerType()),
-    T.StructField("y_proba_0", T.DoubleType()),
-    T.StructField("y_proba_1", T.DoubleType()),
-    T.StructField("y_etiqueta", T.IntegerType()),
-])
-
-DQ_RESULT = T.StructType([
-    T.StructField("fecha_ejecucion", T.StringType()),
-    T.StructField("ip_address", T.StringType()),
-    T.StructField("usuario", T.StringType()),
-    T.StructField("test", T.StringType()),
-    T.StructField("test_status", T.StringType()),
-    T.StructField("level", T.StringType()),
-    T.StructField("error", T.StringType()),
-])
+# Columns of the model's input, in the order of its file (fixed values).
+MODEL_INPUT = ("delegacion_inicio", "mes", "dia_semana", "hora", "tipo_entrada", "incidente_c4_rec",
+               "target")

@@ -101,8 +101,12 @@ def preprocess(df: DataFrame) -> DataFrame:
     return df.transform(recategorize).transform(hour_of_day).transform(label_target)
 
 
+#: Rows without a borough go only while they are a smaller share than this.
+NA_LIMIT = 0.03
+
+
 def guarded_drop(df: DataFrame, col: str = "delegacion_inicio", value: str = "na",
-                 limit: float = 0.03) -> DataFrame:
+                 limit: float = NA_LIMIT) -> DataFrame:
     """Drop rows equal to ``value`` only when their share is strictly below
     ``limit``; otherwise keep every row.
 

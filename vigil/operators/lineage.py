@@ -29,11 +29,12 @@ def json_text(c: Column) -> Column:
 
 def lineage_raw(raw: DataFrame, run: RunInfo, dataset: str, source: str,
                 year: str = "year", month: str = "month", fmt: str = "json",
-                quoted: bool = False) -> DataFrame:
+                quoted: bool = False, count: str | None = None) -> DataFrame:
     """One row per loaded month: rows loaded, request parameters, file name.
+    ``count``: ``raw`` is counted already, that column holds the rows.
     ``quoted=True`` stores the request parameters JSON-encoded (``"2020"``),
     for consumers written against that layout; plain values by default."""
-    per_month = raw.groupBy(year, month).agg(F.count(F.lit(1)).alias("rows"))
+    per_month = raw.groupBy(year, month).agg((F.sum(count) if count else F.count(F.lit(1))).alias("rows"))
     name = F.format_string("%s_%04d_%02d.%s", F.lit(dataset), F.col(year), F.col(month), F.lit(fmt))
     enc = json_text if quoted else (lambda c: c)
     return per_month.select(

@@ -1,17 +1,21 @@
 """Data-quality checks as DataFrame operators. Each returns result rows
-(test, test_status, level, error) plus the measured values; ``dq_report``
-unions them. Checks never raise; ``raise_on_failure`` is the strict mode."""
+(test, test_status, level, error) plus the measured values; ``run_checks``
+runs each by itself and ``dq_report`` unions them. The report never raises;
+``raise_on_failure`` is the strict mode."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import threading
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.temporal import month_list
 from vigil.operators.lineage import RunInfo
+from vigil.session import materialize
 
 RESULT_COLS = ("test", "test_status", "level", "error")
 
@@ -24,15 +28,16 @@ def _status(passed: Column, test: str, level: str, error: str) -> list[Column]:
 
 
 def dq_month_coverage(lineage: DataFrame, start: str, end: str, level: str = "extract") -> DataFrame:
-    """Every month of [start, end] has a raw lineage row (spine anti-join)."""
+    """Every month of [start, end] has a raw lineage row (spine anti-join), and
+    no other month has; a month loaded twice counts once (``dq_month_once``)."""
     spark = lineage.sparkSession
     spine = spark.range(1).select(F.explode(month_list(F.lit(start).cast("date"),
                                                        F.lit(end).cast("date"))).alias("m"))
     loaded = lineage.select(F.make_date(F.col("refine_ano").cast("int"),
-                                        F.col("refine_mes").cast("int"), F.lit(1)).alias("m"))
+                                        F.col("refine_mes").cast("int"), F.lit(1)).alias("m")).distinct()
     missing = spine.join(loaded, "m", "left_anti")
     stats = spine.agg(F.count(F.lit(1)).alias("n_esperados")).select(
-        "n_esperados", lineage.agg(F.count(F.lit(1))).scalar().alias("n_cargados"),
+        "n_esperados", loaded.agg(F.count(F.lit(1))).scalar().alias("n_cargados"),
         missing.agg(F.count(F.lit(1))).scalar().alias("n_faltantes"))
     ok = (F.col("n_faltantes") == 0) & (F.col("n_esperados") == F.col("n_cargados"))
     return stats.select(*_status(ok, "month_coverage", level,
@@ -107,6 +112,12 @@ def dq_column_count(before: DataFrame, after: DataFrame, added: int, level: str
                       "n_inicial", "n_final")
 
 
+def dq_true(df: DataFrame, condition: Column, test: str, level: str, error: str) -> DataFrame:
+    """Every row meets a condition (nulls count as met)."""
+    stats = df.agg(F.coalesce(F.bool_and(condition), F.lit(True)).alias("ok"))
+    return stats.select(*_status(F.col("ok"), test, level, error))
+
+
 def dq_cardinality(df: DataFrame, col: str, expected: int, level: str = "features") -> DataFrame:
     stats = df.agg(F.count_distinct(F.col(col)).alias("n_distintos"))
     return stats.select(*_status(F.col("n_distintos") == expected, f"cardinality_{col}", level,
@@ -150,10 +161,63 @@ def dq_label_drift(new: DataFrame, history: DataFrame, new_col: str = "y_etiquet
                         "pct_nuevos", "pct_historicos")
 
 
-def dq_report(checks: Sequence[DataFrame], run: RunInfo) -> DataFrame:
+def counted_once(df: DataFrame, name: str, lower: Sequence[str] = (), nulls: Sequence[str] = ()) -> tuple[DataFrame, dict]:
+    """``df`` written once to the shared folder, and the numbers of one pass over
+    it: rows, and per column the values that are not lower case (or have no
+    letter) and the nulls. Every check of these reads the numbers, none the table."""
+    written = materialize(df, name)
+    bad = lambda c: ~((F.col(c) == F.lower(F.col(c))) & F.col(c).rlike(r"\p{L}"))
+    row = written.agg(F.count(F.lit(1)).alias("rows"), *[F.count_if(bad(c)).alias(f"not_lower.{c}") for c in lower],
+                      *[F.count_if(F.col(c).isNull()).alias(f"nulls.{c}") for c in dict.fromkeys([*lower, *nulls])]).first()
+    return written, row.asDict()
+
+
+def counted_checks(spark: SparkSession, metrics: dict, kind: str, test: str, level: str, error: str) -> DataFrame:
+    """A result row per column from the numbers of ``counted_once``."""
+    rows = [(c.split(".", 1)[1], int(n)) for c, n in metrics.items() if c.startswith(f"{kind}.")]
+    return spark.createDataFrame(rows, "detalle string, n long").select(
+        *_status(F.col("n") == 0, test, level, error), "detalle")
+
+
+class Once:
+    """What several checks share, made by the first that asks for it."""
+
+    def __init__(self, make: Callable):
+        self.make, self.lock, self.held = make, threading.Lock(), []
+
+    def __call__(self):
+        with self.lock:
+            if not self.held:
+                self.held.append(self.make())
+            return self.held[0]
+
+
+def run_checks(spark: SparkSession, checks: Sequence[tuple[str, str, Callable[[], DataFrame]]], run: RunInfo) -> DataFrame:
+    """Every check by itself: (test, level, function returning its result rows).
+
+    A check is one job whose rows are written to the shared folder; one that
+    breaks, while it is planned or while it runs, becomes a ``failed`` row with
+    its error and the others go on. ``detalle`` names the column or month of a
+    result row."""
+    def one(named: tuple[str, str, Callable[[], DataFrame]]) -> DataFrame:
+        test, level, check = named
+        try:
+            result = check()
+            detail = F.col("detalle") if "detalle" in result.columns else F.lit(None)
+            return materialize(result.select(*RESULT_COLS, detail.cast("string").alias("detalle")), f"check-{test}")
+        except Exception as e:  # noqa: BLE001  the report must go on
+            kind = getattr(e, "getCondition", lambda: None)() or type(e).__name__
+            return spark.createDataFrame([(test, "failed", level, f"check could not run: {kind}", None)],
+                                         "test string, test_status string, level string, error string, detalle string")
+
+    with ThreadPoolExecutor(max_workers=4) as pool:          # small jobs, side by side
+        return dq_report(list(pool.map(one, checks)), run, "detalle")
+
+
+def dq_report(checks: Sequence[DataFrame], run: RunInfo, *more: str) -> DataFrame:
     """All results in the DQ table layout (execution fields, test, status,
     level, error)."""
-    parts = [c.select(*run.columns(), *RESULT_COLS) for c in checks]
+    parts = [c.select(*run.columns(), *RESULT_COLS, *more) for c in checks]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -33,3 +33,10 @@ def apply_rate_model(df: DataFrame, model: DataFrame, keys: Sequence[str],
                   .withColumn("y_proba_0", 1 - F.col("y_proba_1"))
                   .withColumn("y_etiqueta", (F.col("y_proba_1") >= threshold).cast("int"))
                   .drop("rate"))
+
+
+def rate_precision(df: DataFrame, model: DataFrame, keys: Sequence[str], threshold: float, target: str = "target") -> float:
+    """Precision of the scorer on ``df`` (0 if it calls no row positive)."""
+    called = apply_rate_model(df, model, keys, threshold).filter(F.col("y_etiqueta") == 1)
+    row = called.agg(F.sum(target).alias("tp"), F.count(F.lit(1)).alias("pp")).first()
+    return float(row.tp) / row.pp if row.pp else 0.0

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vigil.operators.clean import clean_incidents, guarded_drop, parse_documents, preprocess
+from vigil.operators.clean import NA_LIMIT, clean_incidents, guarded_drop, parse_documents, preprocess
 from vigil.plans.incidents import incident_source, raw_documents
 
 
@@ -55,27 +55,28 @@ PREDICTION_COLS = ("folio", "mes", "hora", "delegacion_inicio", "dia_semana", "t
 
 
 def newest_month(spark: SparkSession, sf_dir: str):
-    """The month that the monthly run scores, as a scalar date: the last closed
-    month, which is the one before the month of the newest record."""
+    """The month that the monthly run scores, as a date: the last closed month,
+    which is the one before the month of the newest record."""
     last = table(spark, sf_dir, "orders").agg(F.to_date(F.max("o_orderdate")).alias("last"))
-    return last.select(F.add_months(F.trunc("last", "month"), -1)).scalar()
+    return F.lit(last.select(F.add_months(F.trunc("last", "month"), -1)).first()[0]).cast("date")
 
 
-def split_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Model population with its set: records before the newest month are 70/30
-    train and test by key, those of the month are ``nuevo`` and those after it
-    ``posterior``, so that no scored record was trained on."""
+def written_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model population (after the guarded 'na' drop) with its set: records
+    before the newest month are 70/30 train and test by key, those of the month
+    are ``nuevo`` and those after it ``posterior``, so that no scored record was
+    trained on.
+
+    The processed rows are written to the shared folder once; their number and
+    that of the 'na' rows come from one column of the written table."""
     month = F.make_date(F.col("ano"), F.col("mes").cast("int"), F.lit(1))
+    population = materialize(processed_table(spark, sf_dir), "population")
+    counted = population.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("delegacion_inicio") == "na").alias("na")).first()
+    if counted["n"] and counted["na"] < NA_LIMIT * counted["n"]:
+        population = population.filter(F.col("delegacion_inicio").isNull() | (F.col("delegacion_inicio") != "na"))
     newest = newest_month(spark, sf_dir)
-    tagged = tag_split(model_table(spark, sf_dir), "folio", method="digest")
-    return tagged.withColumn("conjunto", F.when(month == newest, F.lit("nuevo"))
-                             .when(month > newest, F.lit("posterior")).otherwise(F.col("conjunto")))
-
-
-def written_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``split_table`` written once to the shared folder: fitting, imputing and
-    scoring read it instead of deriving the population again."""
-    return materialize(split_table(spark, sf_dir), "population")
+    return tag_split(population, "folio", method="digest").withColumn(
+        "conjunto", F.when(month == newest, F.lit("nuevo")).when(month > newest, F.lit("posterior")).otherwise(F.col("conjunto")))
 
 
 def scored_table(spark: SparkSession, sf_dir: str, split: DataFrame | None = None) -> DataFrame:

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import fairness as B
+from vigil.operators.lineage import with_run
 from vigil.plans.frames import historic_predictions
+from vigil.plans.keys_quality import RUN, RUN_SQL
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
@@ -197,19 +199,26 @@ def q_fairness_table(spark, d):
     return round_cols(B.fairness_table(disp, "delegacion_inicio"), cols)
 
 
-@register("fairness_summary", with_scored(f"""{_FTAB}
-SELECT arg_min(attribute_value, (-"for", attribute_value IS NULL, attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_max_FOR,
+_SUMMARY_SQL = f"""arg_min(attribute_value, (-"for", attribute_value IS NULL, attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_max_FOR,
        arg_min(attribute_value, (-fnr, attribute_value IS NULL, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_max_FNR,
        {sround('avg("for")')} AS promedio_FOR, {sround("avg(fnr)")} AS promedio_FNR,
        arg_min(attribute_value, ("for", attribute_value IS NULL, attribute_value)) FILTER (WHERE "for" IS NOT NULL) AS delegacion_min_FOR,
-       arg_min(attribute_value, (fnr, attribute_value IS NULL, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_min_FNR
-FROM ft"""))
+       arg_min(attribute_value, (fnr, attribute_value IS NULL, attribute_value)) FILTER (WHERE fnr IS NOT NULL) AS delegacion_min_FNR"""
+
+
+@register("fairness_summary", with_scored(f"{_FTAB}\nSELECT {_SUMMARY_SQL} FROM ft"))
 def q_fairness_summary(spark, d):
     disp = B.disparity_predefined(_metrics(spark, d), {"delegacion_inicio": REF_GROUPS["delegacion_inicio"]})
     return round_cols(B.fairness_summary(B.fairness_table(disp, "delegacion_inicio")),
                       ["promedio_FOR", "promedio_FNR"])
 
 
+@register("lineage_fairness", with_scored(f"{_FTAB}\nSELECT {RUN_SQL}, {_SUMMARY_SQL} FROM ft"))
+def q_lineage_fairness(spark, d):
+    """The audit's summary row with the execution fields."""
+    return with_run(q_fairness_summary(spark, d), RUN)
+
+
 @register("confusion_matrix", with_scored("""
 SELECT * FROM (VALUES (1, 1), (1, 0), (0, 1), (0, 0)) v(y_real, y_predicho),
 LATERAL (SELECT count(*) AS n FROM hist WHERE y_test = v.y_real AND y_etiqueta = v.y_predicho)"""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import features as FE
-from vigil.plans.frames import split_table, written_split
+from vigil.plans.frames import written_split
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
 
@@ -34,7 +34,7 @@ def _sets(spark, d):
 
 @register("train_test_split", with_scored("SELECT folio, conjunto FROM split"))
 def q_train_test_split(spark, d):
-    return split_table(spark, d).select("folio", "conjunto")
+    return written_split(spark, d).select("folio", "conjunto")
 
 
 @register("impute_mode", with_scored("""

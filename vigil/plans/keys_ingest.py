@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigil.catalog import RAW_FIELDS, table
+from vigil.catalog import MODEL_INPUT, RAW_FIELDS, table
 from vigil.operators.clean import parse_documents
 from vigil.plans.frames import clean_table, historic_predictions, incident_source, processed_table
 from vigil.plans.registry import register
@@ -74,13 +74,9 @@ def q_scan_table(spark, d):
     return spark.read.parquet(path)
 
 
-_MODEL_INPUT = ("delegacion_inicio", "mes", "dia_semana", "hora", "tipo_entrada", "incidente_c4_rec",
-                "target")
-
-
-@register("tsv_roundtrip", with_proc(f"SELECT folio, {', '.join(_MODEL_INPUT)} FROM proc"))
+@register("tsv_roundtrip", with_proc(f"SELECT folio, {', '.join(MODEL_INPUT)} FROM proc"))
 def q_tsv_roundtrip(spark, d):
-    df = processed_table(spark, d).select("folio", *_MODEL_INPUT)
+    df = processed_table(spark, d).select("folio", *MODEL_INPUT)
     path = shared_dir(spark, "tsv")
     S.write_tsv(df, path, header=True)
     return S.read_tsv(spark, path, df.schema, header=True)

@@ -5,16 +5,17 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.catalog import MODEL_CATEGORICAL, MODEL_NUMERIC
+from vigil.operators import model_store as ST
 from vigil.operators import models as MD
-from vigil.operators import profile as P
 from vigil.operators.features import fill_with, fit_modes, impute_mode, sql_digest_bucket
 from vigil.operators.lineage import with_run
-from vigil.plans.frames import clean_table, split_table, written_split
-from vigil.plans.keys_quality import RUN
+from vigil.operators.scoring import apply_rate_model, fit_rate_model, rate_precision
+from vigil.plans.frames import written_split
+from vigil.plans.keys_quality import RUN, RUN_SQL
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
-from vigil.session import shared_dir
+from vigil.session import materialize, shared_dir
 
 FOLDS = 10
 # Grid of the cell-rate scorer: key set and decision threshold per entry.
@@ -39,8 +40,9 @@ def _new_month(spark, d, s):
     return fill_with(s.filter(F.col("conjunto") == "nuevo"), modes, ["delegacion_inicio"])
 
 
-def _rate_cv(spark, d):
-    train = split_table(spark, d).filter(F.col("conjunto") == "train")
+def _rate_cv(spark, d, split=None):
+    split = split if split is not None else written_split(spark, d)
+    train = split.filter(F.col("conjunto") == "train")
     train = train.withColumn("fold", MD.fold_column("folio", FOLDS, method="digest"))
     return MD.cv_rate_model(train, RATE_GRID, "fold", FOLDS)
 
@@ -124,21 +126,87 @@ def q_score_test(spark, d):
     return MD.score(model, test, KEEP + ["target"])
 
 
-@register("score_month")
-def q_score_month(spark, d):
-    split = written_split(spark, d)
-    train, _ = _train(spark, d, split)
+def _with_logistic(spark, root, split, train):
+    """Fits the chosen logistic regression and records it as the current model."""
     model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
-    path = shared_dir(spark, "model")
-    MD.save_model(model, path)
-    return MD.score(MD.load_model(path), _new_month(spark, d, split), KEEP)
+    test = split.filter(F.col("conjunto") == "test")
+    precision = MD.precision_of(model.transform(fill_with(test, fit_modes(train, ["delegacion_inicio"]), ["delegacion_inicio"])))
+    version = ST.new_version(spark, root)
+    setting = {"modelo": "logistic", "params": LOGISTIC_CHOICE, "archivo_modelo": f"logistic/{LOGISTIC_CHOICE}",
+               "archivo_metadatos": f"metadata/logistic/{LOGISTIC_CHOICE}", "mean_test_score": None, "std_test_score": None}
+    ST.record_best(spark, root, version, setting, precision, RUN, lambda path: MD.save_model(model, path))
+    ST.promote(spark, root, version, RUN)
+
+
+def _with_cell_rate(spark, root, d, split):
+    """Cross-validates the cell-rate scorer, fits the best setting and records
+    grid, model and test precision; its version becomes the current one."""
+    version = ST.new_version(spark, root)
+    ST.record_cv(_rate_cv(spark, d, split).withColumn("modelo", F.lit("cell_rate")), root, version, RUN)
+    setting = ST.chosen(spark, root, version)
+    keys, threshold = RATE_GRID[setting["params"]]
+    model = materialize(fit_rate_model(split.filter(F.col("conjunto") == "train"), keys), "rate-model")
+    precision = rate_precision(split.filter(F.col("conjunto") == "test"), model, keys, threshold)
+    ST.record_best(spark, root, version, setting, precision, RUN, lambda path: model.write.parquet(path))
+    ST.promote(spark, root, version, RUN)
 
 
-@register("lineage_model")
+@register("score_month")
+def q_score_month(spark, d):
+    """The newest month by the model that the registry names as current."""
+    split, root = written_split(spark, d), shared_dir(spark, "models")
+    train, _ = _train(spark, d, split)
+    _with_cell_rate(spark, root, d, split)
+    _with_logistic(spark, root, split, train)
+    found = ST.current(spark, root)
+    return MD.score(MD.load_model(found["path"], found["modelo"]), _new_month(spark, d, split), KEEP)
+
+
+_CV_COLS = [*[f"split{k}_test_score" for k in range(FOLDS)], "mean_test_score", "std_test_score"]
+_FILES_SQL = "concat('cell_rate/', params) AS archivo_modelo, concat('metadata/cell_rate/', params) AS archivo_metadatos"
+
+
+def _predictions_sql():
+    """Rows of every grid entry's scorer, as ``pr``; ``best`` names one entry."""
+    parts = ["""
+best AS (SELECT params FROM cv WHERE mean_test_score IS NOT NULL AND NOT isnan(mean_test_score)
+         ORDER BY mean_test_score DESC, params LIMIT 1),
+gr AS (SELECT avg(cast(target AS double)) AS rate FROM split WHERE conjunto = 'train')"""]
+    for i, (name, (keys, threshold)) in enumerate(RATE_GRID.items()):
+        same = " AND ".join(f"s.{k} = t.{k}" for k in keys)
+        parts.append(f"""
+y{i} AS (SELECT '{name}' AS params, s.folio, s.conjunto, s.target, s.ano, s.mes,
+                CASE WHEN coalesce(t.rate, (SELECT rate FROM gr)) >= {threshold} THEN 1 ELSE 0 END AS y
+         FROM split s LEFT JOIN (SELECT {", ".join(keys)}, avg(cast(target AS double)) AS rate
+                                 FROM split WHERE conjunto = 'train' GROUP BY ALL) t ON {same})""")
+    every = " UNION ALL ".join(f"SELECT * FROM y{i}" for i in range(len(RATE_GRID)))
+    parts.append(f"\npr AS (SELECT p.* FROM ({every}) p JOIN best USING (params))")
+    return ",".join(parts)
+
+
+@register("lineage_model", with_scored(f"""{CV_CTE}
+SELECT {RUN_SQL}, {_FILES_SQL}, params, {", ".join(f"{sround(c)} AS {c}" for c in _CV_COLS)}, rank_test_score, 'cell_rate' AS modelo FROM cv"""))
 def q_lineage_model(spark, d):
-    cv = _rate_cv(spark, d).withColumn("modelo", F.lit("cell_rate"))
-    best = MD.best_model(cv).select("params", F.col("mean_test_score").alias("precision_score"))
-    return with_run(cv.join(best, "params", "left"), RUN)
+    """The grid's rows as the registry holds them."""
+    root = shared_dir(spark, "models")
+    _with_cell_rate(spark, root, d, written_split(spark, d))
+    rows = ST.events(spark, root).filter(F.col("event") == "cv").select(
+        "fecha_ejecucion", "ip_address", "usuario", "archivo_modelo", "archivo_metadatos", "params", *_CV_COLS, "rank_test_score", "modelo")
+    return round_cols(rows, _CV_COLS)
+
+
+@register("lineage_best_model", with_scored(f"""{CV_CTE},{_predictions_sql()}
+SELECT {RUN_SQL}, {_FILES_SQL},
+       {sround("(SELECT coalesce(sum(target) FILTER (WHERE y = 1) / nullif(sum(y), 0), 0.0) FROM pr WHERE conjunto = 'test')")} AS precision,
+       params AS parametros FROM best"""))
+def q_lineage_best_model(spark, d):
+    """The current model's row: its files, test precision and parameters."""
+    root = shared_dir(spark, "models")
+    _with_cell_rate(spark, root, d, written_split(spark, d))
+    version = ST.current(spark, root)["version"]
+    rows = ST.events(spark, root).filter((F.col("event") == "best") & (F.col("version") == version)).select(
+        "fecha_ejecucion", "ip_address", "usuario", "archivo_modelo", "archivo_metadatos", "precision", F.col("params").alias("parametros"))
+    return round_cols(rows, ["precision"])
 
 
 @register("fairness_model")
@@ -157,18 +225,21 @@ def q_fairness_model(spark, d):
     return B.fairness_table(disp, "delegacion_inicio")
 
 
-@register("lineage_prediction")
+@register("lineage_prediction", with_scored(f"""{CV_CTE},{_predictions_sql()}
+SELECT {RUN_SQL}, (SELECT concat('cell_rate/', params) FROM best) AS archivo_modelo, max(cast(mes AS varchar)) AS mes_de_prediccion,
+       max(cast(ano AS varchar)) AS ano_de_prediccion, count(*) AS registros_predichos, cast(sum(y) AS bigint) AS etiquetas_positivas
+FROM pr WHERE conjunto = 'nuevo'"""))
 def q_lineage_prediction(spark, d):
-    """Prediction-task row: model file, predicted month and year, rows scored
-    (an aggregate of the scored month) and the execution fields."""
-    split = written_split(spark, d)
-    train, _ = _train(spark, d, split)
-    model = MD.fit_best(train, "logistic", LOGISTIC_CHOICE, MODEL_CATEGORICAL, MODEL_NUMERIC)
-    path = shared_dir(spark, "model")
-    MD.save_model(model, path)
-    scored = MD.score(MD.load_model(path), _new_month(spark, d, split), KEEP)
+    """Prediction-task row: the model found in the registry, predicted month and
+    year, rows scored by the stored model and the execution fields."""
+    root, split = shared_dir(spark, "models"), written_split(spark, d)
+    _with_cell_rate(spark, root, d, split)
+    found = ST.current(spark, root)
+    keys, threshold = RATE_GRID[found["params"]]
+    stored = spark.read.parquet(found["path"])
+    scored = apply_rate_model(split.filter(F.col("conjunto") == "nuevo"), stored, keys, threshold)
     row = scored.agg(F.max(F.col("mes").cast("string")).alias("mes_de_prediccion"),
                      F.max(F.col("ano").cast("string")).alias("ano_de_prediccion"),
                      F.count(F.lit(1)).alias("registros_predichos"),
                      F.sum("y_etiqueta").cast("bigint").alias("etiquetas_positivas"))
-    return with_run(row.select(F.lit("logistic/" + LOGISTIC_CHOICE).alias("archivo_modelo"), "*"), RUN)
+    return with_run(row.select(F.lit(found["archivo_modelo"]).alias("archivo_modelo"), "*"), RUN)

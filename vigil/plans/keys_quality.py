@@ -5,25 +5,23 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from vigil.catalog import CLEAN, table
+from vigil.catalog import MODEL_INPUT, table
 from vigil.functions.temporal import closed_month, format_run_time, month_list
 from vigil.operators import features as FE
 from vigil.operators import lineage as L
 from vigil.operators import quality as Q
-from vigil.plans.frames import (clean_table, new_predictions, newest_month, processed_table,
-                                raw_documents, split_table, written_split)
+from vigil.plans.frames import (clean_table, incident_source, new_predictions, newest_month, processed_table,
+                                raw_documents, written_split)
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_inc, with_proc, with_scored
 from vigil.session import shared_dir
-from vigil.sources import files as SRC
+from vigil.sources import deliveries as DEL
 
 # Execution fields of the registered runs (parameters of every lineage/DQ row).
 RUN = L.RunInfo("02/12/2026 00:00:00", "127.0.0.1", "vigil")
 PERIOD = ("1995-01-01", "2001-08-01")
 LOWER_COLS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4", "codigo_cierre")
-MODEL_COLS = ("delegacion_inicio", "mes", "dia_semana", "hora", "tipo_entrada", "incidente_c4_rec",
-              "target")
 ONEHOT_CATS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec")
 RUN_SQL = f"'{RUN.fecha_ejecucion}' AS fecha_ejecucion, '{RUN.ip_address}' AS ip_address, " \
           f"'{RUN.usuario}' AS usuario"
@@ -33,18 +31,24 @@ def _lineage(spark, d):
     return L.lineage_raw(raw_documents(spark, d), RUN, "incidentes", "orders")
 
 
-def _loaded(spark, d):
-    """(metadata, store) of a raw store in which every month was delivered once
-    and the newest closed month a second time, replacing its partition, with
-    fewer records (those with a valid time): one month fails the checks."""
-    root = shared_dir(spark, "raw-store")
-    store, metadata = f"{root}/raw", f"{root}/metadata"
-    raw = raw_documents(spark, d)
-    SRC.load_raw(raw, store, metadata, RUN, "incidentes", "orders")
-    again = raw.filter(F.make_date("year", "month", F.lit(1)) == newest_month(spark, d)).filter(
+def _store(spark, d):
+    """A raw store in which every month was delivered once and the newest closed
+    month a second time, replacing its rows, with fewer records (those with a
+    valid time): one month fails the checks. A third load of everything stopped
+    before its manifest, so nobody sees it."""
+    store, raw = shared_dir(spark, "raw-store"), raw_documents(spark, d)
+    DEL.load(raw, store, "whole", RUN, "incidentes", "orders")
+    again = DEL.read_rows(spark, store).filter(F.make_date("year", "month", F.lit(1)) == newest_month(spark, d)).filter(
         F.get_json_object("registros", "$.hora_creacion").contains(":"))
-    SRC.load_raw(again, store, metadata, RUN, "incidentes", "orders", mode="overwrite")
-    return spark.read.parquet(metadata), SRC.read_raw(spark, store)
+    DEL.load(again, store, "newest-again", RUN, "incidentes", "orders", mode="replace")
+    DEL.stage(DEL.read_rows(spark, store), store, "stopped", RUN, "incidentes", "orders")
+    return store
+
+
+def _loaded(spark, d):
+    """(metadata, rows) of ``_store`` as readers see it."""
+    store = _store(spark, d)
+    return DEL.read_metadata(spark, store), DEL.read_rows(spark, store)
 
 
 LIN_CTE = f""", lin AS (
@@ -99,10 +103,10 @@ def q_closed_month(spark, d):
                     format_run_time("o_orderdate").alias("fecha_texto"))
 
 
-@register("dq_month_coverage", with_inc(f"""{LIN_CTE},
+@register("dq_month_coverage", with_inc(f"""{LOADED_CTE},
 spine AS (SELECT cast(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 MONTH)) AS date) AS m),
-loaded AS (SELECT make_date(cast(refine_ano AS integer), cast(refine_mes AS integer), 1) AS m FROM lin),
-s AS (SELECT (SELECT count(*) FROM spine) AS n_esperados, (SELECT count(*) FROM lin) AS n_cargados,
+loaded AS (SELECT DISTINCT make_date(cast(refine_ano AS integer), cast(refine_mes AS integer), 1) AS m FROM loads),
+s AS (SELECT (SELECT count(*) FROM spine) AS n_esperados, (SELECT count(*) FROM loaded) AS n_cargados,
              (SELECT count(*) FROM spine WHERE m NOT IN (SELECT m FROM loaded)) AS n_faltantes)
 SELECT 'month_coverage' AS test,
        CASE WHEN n_faltantes = 0 AND n_esperados = n_cargados THEN 'passed' ELSE 'failed' END AS test_status,
@@ -111,7 +115,21 @@ SELECT 'month_coverage' AS test,
             ELSE 'months in the period and months loaded differ' END AS error,
        n_esperados, n_cargados, n_faltantes FROM s"""))
 def q_dq_month_coverage(spark, d):
-    return Q.dq_month_coverage(_lineage(spark, d), *PERIOD)
+    return Q.dq_month_coverage(_loaded(spark, d)[0], *PERIOD)
+
+
+@register("atomic_load", with_inc(f"""{LOADED_CTE},
+v AS (SELECT cast(ano AS integer) AS year, cast(mes AS integer) AS month, count(*) AS n_visibles FROM store GROUP BY 1, 2)
+SELECT v.*, (SELECT cast(sum(rows) AS bigint) FROM loads
+             WHERE cast(refine_ano AS integer) = v.year AND cast(refine_mes AS integer) = v.month) AS n_declarados,
+       (SELECT count(*) FROM loads
+        WHERE cast(refine_ano AS integer) = v.year AND cast(refine_mes AS integer) = v.month) AS n_entregas FROM v"""))
+def q_atomic_load(spark, d):
+    """What readers see of the months after two loads and a stopped one."""
+    metadata, rows = _loaded(spark, d)
+    declared = metadata.groupBy(F.col("refine_ano").cast("int").alias("year"), F.col("refine_mes").cast("int").alias("month")).agg(
+        F.sum("rows").alias("n_declarados"), F.count(F.lit(1)).alias("n_entregas"))
+    return rows.groupBy("year", "month").agg(F.count(F.lit(1)).alias("n_visibles")).join(declared, ["year", "month"], "left")
 
 
 @register("dq_month_once", with_inc(f"""{LOADED_CTE}
@@ -156,8 +174,9 @@ def q_dq_cardinality(spark, d):
     return Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5)
 
 
-def _imputed_train(spark, d):
-    train = split_table(spark, d).filter(F.col("conjunto") == "train").select(*MODEL_COLS)
+def _imputed_train(spark, d, split=None):
+    split = split if split is not None else written_split(spark, d)
+    train = split.filter(F.col("conjunto") == "train").select(*MODEL_INPUT)
     modes = FE.fit_modes(train, ["delegacion_inicio"])
     return FE.fill_with(train, modes, ["delegacion_inicio"])
 
@@ -174,15 +193,18 @@ it AS (SELECT coalesce(delegacion_inicio, (SELECT moda FROM md)) AS delegacion_i
     f"SELECT '{c}' AS columna, 'no_nulls' AS test, CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 "
     f"THEN 'passed' ELSE 'failed' END AS test_status, 'features' AS level, "
     f"CASE WHEN count(*) FILTER (WHERE {c} IS NULL) = 0 THEN NULL ELSE 'column has nulls' END AS error, "
-    f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulos FROM it" for c in MODEL_COLS)))
+    f"count(*) FILTER (WHERE {c} IS NULL) AS n_nulos FROM it" for c in MODEL_INPUT)))
 def q_dq_nulls(spark, d):
     return Q.dq_nulls(_imputed_train(spark, d))
 
 
-@register("dq_onehot_width", with_scored(IMPUTED_TRAIN + """,
+_ONEHOT_CTE = """
 w AS (SELECT 2 + """ + " + ".join(f"count(DISTINCT {c})" for c in ONEHOT_CATS) + """ AS n FROM it),
 g AS (SELECT 2 + (SELECT count(*) FROM (""" + " UNION ALL ".join(
-    f"(SELECT DISTINCT '{c}' AS variable, {c} AS level FROM it WHERE {c} IS NOT NULL)" for c in ONEHOT_CATS) + """)) AS generated)
+    f"(SELECT DISTINCT '{c}' AS variable, {c} AS level FROM it WHERE {c} IS NOT NULL)" for c in ONEHOT_CATS) + """)) AS generated)"""
+
+
+@register("dq_onehot_width", with_scored(f"""{IMPUTED_TRAIN},{_ONEHOT_CTE}
 SELECT 'onehot_width' AS test, CASE WHEN n = generated THEN 'passed' ELSE 'failed' END AS test_status, 'features' AS level,
        CASE WHEN n = generated THEN NULL ELSE 'one-hot width differs from the category count' END AS error,
        cast(n AS bigint) AS n_esperadas, cast(generated AS bigint) AS n_generadas FROM w, g"""))
@@ -209,28 +231,74 @@ def q_dq_label_drift(spark, d):
     return round_cols(out, ["pct_nuevos", "pct_historicos"])
 
 
-@register("dq_report", with_scored(f"""{LIN_CTE.replace(', lin AS', ', lin AS', 1)},{_DRIFT}
-SELECT {RUN_SQL}, 'row_count' AS test,
-       CASE WHEN (SELECT sum(rows) FROM lin) = (SELECT count(*) FROM inc) THEN 'passed' ELSE 'failed' END AS test_status,
-       'extract' AS level,
-       CASE WHEN (SELECT sum(rows) FROM lin) = (SELECT count(*) FROM inc) THEN NULL
-            ELSE 'rows extracted and rows loaded differ' END AS error
-UNION ALL
-SELECT {RUN_SQL}, 'cardinality_incidente_c4_rec',
-       CASE WHEN (SELECT count(DISTINCT incidente_c4_rec) FROM proc) = 5 THEN 'passed' ELSE 'failed' END,
-       'features', CASE WHEN (SELECT count(DISTINCT incidente_c4_rec) FROM proc) = 5 THEN NULL
-                        ELSE 'incidente_c4_rec does not have 5 categories' END
-UNION ALL
-SELECT {RUN_SQL}, 'label_drift', CASE WHEN ok THEN 'passed' ELSE 'failed' END, 'predict',
-       CASE WHEN ok THEN NULL ELSE 'share of positive predictions far from history' END FROM r"""))
+def _result_sql(test, level, ok, error, detail="NULL", frm=""):
+    """One check's result rows in SQL."""
+    return (f"SELECT {RUN_SQL}, '{test}' AS test, CASE WHEN {ok} THEN 'passed' ELSE 'failed' END AS test_status, '{level}' AS level, "
+            f"CASE WHEN {ok} THEN NULL ELSE '{error}' END AS error, cast({detail} AS varchar) AS detalle {frm}")
+
+
+def _lower_ok(c):
+    return f"(SELECT coalesce(bool_and({c} = lower({c}) AND regexp_matches({c}, '\\p{{L}}')), true) FROM clean)"
+
+
+_MONTHS_LOADED = "SELECT cast(refine_ano AS integer) AS y, cast(refine_mes AS integer) AS m, rows FROM loads"
+_REPORT_SQL = [
+    _result_sql("month_coverage", "extract", f"""NOT EXISTS (
+      (SELECT cast(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 MONTH)) AS date) EXCEPT SELECT make_date(y, m, 1) FROM ml)
+      UNION ALL
+      (SELECT make_date(y, m, 1) FROM ml EXCEPT SELECT cast(unnest(generate_series(DATE '{PERIOD[0]}', DATE '{PERIOD[1]}', INTERVAL 1 MONTH)) AS date)))""",
+                "months in the period and months loaded differ"),
+    _result_sql("month_loaded_once", "extract", "count(*) = 1", "month loaded more than once", "printf('%04d-%02d', y, m)",
+                "FROM ml GROUP BY y, m"),
+    _result_sql("row_count", "extract", "(SELECT sum(rows) FROM ml) = (SELECT count(*) FROM store)", "rows extracted and rows loaded differ"),
+    _result_sql("row_count_month", "extract", "coalesce(a.n = b.n, false)", "rows extracted and rows loaded differ",
+                "printf('%04d-%02d', coalesce(a.y, b.y), coalesce(a.m, b.m))",
+                "FROM (SELECT y, m, sum(rows) AS n FROM ml GROUP BY 1, 2) a FULL JOIN (SELECT cast(ano AS integer) AS y, "
+                "cast(mes AS integer) AS m, count(*) AS n FROM store GROUP BY 1, 2) b ON a.y = b.y AND a.m = b.m"),
+    *[_result_sql("lowercase", "clean", _lower_ok(c), "value not in lower case", f"'{c}'") for c in LOWER_COLS],
+    _result_sql("hour_strict", "clean", "false", "check could not run: CAST_INVALID_INPUT"),
+    _result_sql("cardinality_incidente_c4_rec", "features", "(SELECT count(DISTINCT incidente_c4_rec) FROM model) = 5",
+                "incidente_c4_rec does not have 5 categories"),
+    *[_result_sql("no_nulls", "features", f"(SELECT count(*) FROM it WHERE {c} IS NULL) = 0", "column has nulls", f"'{c}'") for c in MODEL_INPUT],
+    _result_sql("onehot_width", "features", "(SELECT n FROM w) = (SELECT generated FROM g)", "one-hot width differs from the category count"),
+    _result_sql("label_drift", "predict", "(SELECT ok FROM r)", "share of positive predictions far from history"),
+]
+
+
+@register("dq_report", with_scored(f"""{LOADED_CTE}{IMPUTED_TRAIN},
+ml AS ({_MONTHS_LOADED}),{_ONEHOT_CTE},{_DRIFT}
+""" + "\nUNION ALL\n".join(_REPORT_SQL)))
 def q_dq_report(spark, d):
-    lin = _lineage(spark, d)
-    split = written_split(spark, d)
-    hist = split.filter(F.col("conjunto") == "train")
-    checks = [Q.dq_row_count(lin, raw_documents(spark, d)),
-              Q.dq_cardinality(processed_table(spark, d), "incidente_c4_rec", 5),
-              Q.dq_label_drift(new_predictions(spark, d, split), hist)]
-    return Q.dq_report(checks, RUN)
+    """Every check that reads rows, each by itself. One month fails those of the
+    load, and ``hour_strict`` breaks while it runs: a strict cast of hours, which
+    some records write with a point."""
+    loaded = Q.Once(lambda: _loaded(spark, d))
+    split = Q.Once(lambda: written_split(spark, d))
+    clean = Q.Once(lambda: Q.counted_once(clean_table(spark, d), "dq-clean", lower=LOWER_COLS)[1])
+    train = Q.Once(lambda: Q.counted_once(_imputed_train(spark, d, split()), "dq-train", nulls=MODEL_INPUT))
+    month = lambda y, m: F.format_string("%04d-%02d", F.col(y).cast("int"), F.col(m).cast("int"))
+
+    def hour_strict():
+        hour = F.substring_index("hora_creacion", ":", 1).cast("int")
+        return Q.dq_true(incident_source(spark, d), hour.between(0, 23), "hour_strict", "clean", "hour outside the day")
+
+    def onehot_width():
+        vocab = FE.fit_one_hot(train()[0], ONEHOT_CATS)
+        return Q.dq_onehot_width(train()[0], ["mes", "hora"], ONEHOT_CATS, 2 + sum(map(len, vocab.values())))
+
+    checks = [
+        ("month_coverage", "extract", lambda: Q.dq_month_coverage(loaded()[0], *PERIOD)),
+        ("month_loaded_once", "extract", lambda: Q.dq_month_once(loaded()[0]).withColumn("detalle", month("refine_ano", "refine_mes"))),
+        ("row_count", "extract", lambda: Q.dq_row_count(*loaded())),
+        ("row_count_month", "extract", lambda: Q.dq_row_count_by_month(*loaded()).withColumn("detalle", month("ano", "mes"))),
+        ("lowercase", "clean", lambda: Q.counted_checks(spark, clean(), "not_lower", "lowercase", "clean", "value not in lower case")),
+        ("hour_strict", "clean", hour_strict),
+        ("cardinality_incidente_c4_rec", "features", lambda: Q.dq_cardinality(split(), "incidente_c4_rec", 5)),
+        ("no_nulls", "features", lambda: Q.counted_checks(spark, train()[1], "nulls", "no_nulls", "features", "column has nulls")),
+        ("onehot_width", "features", onehot_width),
+        ("label_drift", "predict", lambda: Q.dq_label_drift(new_predictions(spark, d, split()), train()[0])),
+    ]
+    return Q.run_checks(spark, checks, RUN)
 
 
 @register("dq_row_count_month", with_inc(f"""{LOADED_CTE},

@@ -13,7 +13,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vigil.operators.lineage import RunInfo, lineage_raw
 from vigil.session import materialize
 
 PARTITIONS = ("year", "month")
@@ -58,15 +57,6 @@ def write_raw(raw: DataFrame, path: str, mode: str = "append") -> None:
         .option("partitionOverwriteMode", "dynamic").partitionBy(*PARTITIONS).text(path))
 
 
-def load_raw(raw: DataFrame, path: str, metadata: str, run: RunInfo, dataset: str, source: str,
-             mode: str = "append") -> None:
-    """``write_raw`` that appends a metadata row per delivered month to the table
-    ``metadata``. The rows count the delivery, not the store, so control totals
-    can differ from what is stored; every delivery of a month has its own row."""
-    write_raw(raw, path, mode)
-    lineage_raw(raw, run, dataset, source).write.mode("append").parquet(metadata)
-
-
 def spread_by_partition(df: DataFrame, parts: list[str], tiebreak) -> DataFrame:
     """Range-partition on (partition columns, tie-break) before a
     partitioned write: each task holds a contiguous run of months, so a month
