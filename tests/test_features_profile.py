@@ -20,7 +20,7 @@ def test_unseen_category_counted_not_error(spark):
     enc = FE.one_hot(test, vocab)
     assert enc.columns == ["c_x", "c_y"]
     assert [tuple(r) for r in enc.collect()] == [(1, 0), (0, 0), (0, 0)]
-    assert [(r.value, r.n) for r in FE.unseen_levels(test, vocab).collect()] == [("z", 1)]
+    assert [(r.level, r.n) for r in FE.unseen_levels(test, FE.fit_levels(train, ["c"]), ["c"]).collect()] == [("z", 1)]
 
 
 def test_align_and_inverse(spark):

@@ -7,6 +7,7 @@ whole-stage codegen; there is no Python on the hot path.
 from __future__ import annotations
 
 import re
+import sys
 import unicodedata
 
 from pyspark.sql import Column
@@ -19,10 +20,8 @@ POINT_CHARS = ".,/"
 BASE_FROM, BASE_TO = "øØłŁđĐħĦŧŦı", "oOlLdDhHtTi"
 # Letters that unaccent spells with two characters.
 UNACCENT_LIGATURES = (("ß", "ss"), ("æ", "ae"), ("Æ", "AE"), ("œ", "oe"), ("Œ", "OE"))
-# Unicode blocks of Latin letters (the first two with their decompositions),
-# and those of super- and subscripts, letter-like ligatures and full-width forms.
+# Unicode blocks of Latin letters.
 LATIN = ((0xC0, 0x24F), (0x1E00, 0x1EFF))
-COMPATIBLE = (*LATIN, (0xA0, 0xBF), (0x2070, 0x209F), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
 # -----------------------------------------------------------------------------
 
 
@@ -41,7 +40,8 @@ def _decomposed(blocks, form: str) -> dict[str, str]:
 _CANONICAL = {c: t for c, t in _decomposed(LATIN, "NFD").items() if len(t) == 1}
 UNACCENT_FROM = "".join(_CANONICAL) + BASE_FROM
 UNACCENT_TO = "".join(_CANONICAL.values()) + BASE_TO
-_FOLDED = _decomposed(COMPATIBLE, "NFKD")
+# every code point but ASCII and the surrogates
+_FOLDED = _decomposed(((0x80, 0xD7FF), (0xE000, sys.maxunicode)), "NFKD")
 FOLD_FROM = "".join(c for c, t in _FOLDED.items() if len(t) == 1)
 FOLD_TO = "".join(t for t in _FOLDED.values() if len(t) == 1)
 # characters that fold to several, such as ligatures and fractions
@@ -67,20 +67,14 @@ def unaccent(c) -> Column:
 
 def ascii_fold(c) -> Column:
     """Accent fold like NFKD followed by an ASCII encode that ignores errors:
-    decomposable letters lose their mark, every other non-ASCII character is
-    dropped (so ß, æ and ø disappear, unlike `unaccent`)."""
+    decomposable characters keep their ASCII part, every other non-ASCII
+    character is dropped (so ß, æ and ø disappear, unlike `unaccent`)."""
     x = _col(c)
-    long = x
-    for src, dst in FOLD_LONG.items():
-        long = F.replace(long, F.lit(src), F.lit(dst))
-    # the replacements are evaluated only for the few texts that have such a character
-    x = F.when(x.rlike("[" + "".join(FOLD_LONG) + "]"), long).otherwise(x)
-    folded = F.translate(x, FOLD_FROM, FOLD_TO)
-    return F.regexp_replace(folded, r"[^\x00-\x7F]", "")
-
-
-def clean_lower(c) -> Column:
-    return F.lower(_col(c))
+    parts = F.create_map(*[F.lit(v) for pair in FOLD_LONG.items() for v in pair])
+    spelled = F.array_join(F.transform(F.split(x, ""), lambda ch: F.coalesce(F.element_at(parts, ch), ch)), "")
+    # looked up only in the few texts that have a character that folds to several
+    x = F.when(x.rlike("[" + "".join(FOLD_LONG) + "]"), spelled).otherwise(x)
+    return F.regexp_replace(F.translate(x, FOLD_FROM, FOLD_TO), r"[^\x00-\x7F]", "")
 
 
 def standardize_name(name: str) -> str:

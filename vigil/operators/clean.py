@@ -31,9 +31,13 @@ def json_extract(df: DataFrame, keys: Iterable[str], col: str = "registros",
     return parse_documents(df, col, schema, keep)
 
 
+def valid_time(col: str = "hora_creacion") -> Column:
+    return F.contains(F.col(col), F.lit(":"))
+
+
 def valid_time_filter(df: DataFrame, col: str = "hora_creacion") -> DataFrame:
     """Keep rows whose time text contains ':' (nulls are dropped)."""
-    return df.filter(F.contains(F.col(col), F.lit(":")))
+    return df.filter(valid_time(col))
 
 
 def cast_columns(df: DataFrame, types: dict[str, str], lenient: bool = False) -> DataFrame:

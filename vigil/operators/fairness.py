@@ -1,5 +1,6 @@
 """Group fairness audit: confusion counts per (attribute, group), absolute
-rates, disparities against a reference group, significance and parity.
+rates, disparities against a reference group and parity (significance is in
+``significance``).
 
 Formulas follow the published group-fairness definitions (Saleiro et al.,
 "Aequitas: A Bias and Fairness Audit Toolkit", arXiv:1811.05577). All
@@ -30,7 +31,6 @@ RATES = {
     "precision": ("tp", "pp"),
 }
 DISPARITY_METRICS = ("ppr", "pprev", "precision", "fdr", "for", "fpr", "fnr", "tpr", "tnr", "npv")
-Z_CRITICAL_95 = 1.959963984540054  # two-sided, alpha = 0.05
 PARITY_TAU = 0.8
 
 
@@ -110,29 +110,6 @@ def disparity_min(metrics: DataFrame) -> DataFrame:
     return out
 
 
-def _z_significant(x: Column, n: Column, xr: Column, nr: Column) -> Column:
-    """Two-proportion z test, |z| > 1.96 (pooled variance)."""
-    p = F.try_divide((x + xr).cast("double"), F.nullif((n + nr).cast("double"), F.lit(0.0)))
-    p1 = F.try_divide(x.cast("double"), F.nullif(n.cast("double"), F.lit(0.0)))
-    p2 = F.try_divide(xr.cast("double"), F.nullif(nr.cast("double"), F.lit(0.0)))
-    se = F.sqrt(p * (1 - p) * (F.try_divide(F.lit(1.0), n.cast("double"))
-                               + F.try_divide(F.lit(1.0), nr.cast("double"))))
-    z = F.try_divide(p1 - p2, F.nullif(se, F.lit(0.0)))
-    return F.when(z.isNull(), F.lit(False)).otherwise(F.abs(z) > Z_CRITICAL_95)
-
-
-def disparity_significance(disp: DataFrame) -> DataFrame:
-    """``<metric>_significance`` for every rate with a count form: is the
-    group's rate different from the reference group's at alpha = 0.05?"""
-    out = disp
-    for m, (num, den) in RATES.items():
-        if m in DISPARITY_METRICS:
-            out = out.withColumn(f"{m}_significance",
-                                 _z_significant(F.col(num), F.col(den), F.col(f"ref_{num}"),
-                                                F.col(f"ref_{den}")))
-    return out
-
-
 def parity_flags(disp: DataFrame, metrics: Sequence[str] = DISPARITY_METRICS,
                  tau: float = PARITY_TAU) -> DataFrame:
     """``<metric>_parity``: tau <= disparity <= 1/tau (null if undefined)."""

@@ -128,17 +128,15 @@ def one_hot(df: DataFrame, vocab: dict[str, list[str]], keep: Sequence[str] = ()
     return df.select(*keep, *dummies)
 
 
-def unseen_levels(df: DataFrame, vocab: dict[str, list[str]]) -> DataFrame:
-    """(variable, value, n) for levels absent from the training vocabulary."""
-    parts = []
-    for c, levels in vocab.items():
-        parts.append(df.filter(F.col(c).isNotNull() & ~F.col(c).isin(levels))
-                       .groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-                       .select(F.lit(c).alias("variable"), "value", "n"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+def unseen_levels(df: DataFrame, levels: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """(variable, level, n): the levels that the fitted encoder does not have and
+    so drops, with their rows. Levels are counted map-side before the anti-join;
+    ``levels`` is as ``fit_levels`` returns it."""
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
+                                         F.col(c).cast("string").alias("level")) for c in cols]))
+    counted = (df.select(pairs.alias("p")).select("p.*").filter(F.col("level").isNotNull())
+               .groupBy("variable", "level").agg(F.count(F.lit(1)).alias("n")))
+    return counted.join(levels, ["variable", "level"], "left_anti")
 
 
 def align_features(df: DataFrame, columns: Sequence[str], keep: Sequence[str] = ()) -> DataFrame:

@@ -45,16 +45,14 @@ def lineage_raw(raw: DataFrame, run: RunInfo, dataset: str, source: str,
         F.lit(fmt).alias("formato_archivo"))
 
 
-def lineage_clean(raw: DataFrame, clean: DataFrame, run: RunInfo, task: str) -> DataFrame:
-    """Clean-task row with the removed-row count computed (raw - clean); the
-    clean count is a scalar subquery beside the raw count."""
-    both = raw.agg(F.count(F.lit(1)).alias("n_raw")).select(
-        "n_raw", clean.agg(F.count(F.lit(1))).scalar().alias("n_clean"))
-    removed = F.col("n_raw") - F.col("n_clean")
-    return both.select(*run.columns(), F.lit(task).alias("id_tarea"),
-                       F.lit("completada").alias("estatus_tarea"),
-                       F.format_string("Deleted %d rows", removed).alias("registros_eliminados"),
-                       removed.cast("bigint").alias("n_eliminados"))
+def lineage_clean(raw: DataFrame, kept: Column, run: RunInfo, task: str) -> DataFrame:
+    """Clean-task row with the removed-row count: the raw rows that the cleaning
+    rule ``kept`` does not keep, counted in one pass."""
+    removed = F.count_if(~F.coalesce(kept, F.lit(False)))
+    return raw.agg(removed.alias("n")).select(
+        *run.columns(), F.lit(task).alias("id_tarea"), F.lit("completada").alias("estatus_tarea"),
+        F.format_string("Deleted %d rows", F.col("n")).alias("registros_eliminados"),
+        F.col("n").cast("bigint").alias("n_eliminados"))
 
 
 def lineage_features(spark, run: RunInfo, task: str, generated, recoded, imputed, encoded) -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from vigil.functions.stats import safe_ratio, sample_kurtosis, sample_skewness
-from vigil.operators.quantiles import exact_quantiles, quantile_columns
+from vigil.operators.quantiles import exact_quantiles, quantile_columns, ranked_values
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType,
            T.DecimalType)
@@ -77,15 +77,11 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     types.update(count="bigint", missings="bigint", uniques="bigint")
     if not exact:
         return _unpivot_single_row(wide, cols, stats + ["q25", "median", "q75", "uniques"], types)
-    # Exact distinct counts from one explode + distinct of (variable, value):
-    # a single shuffle of the values, instead of the Expand rewrite that would
-    # replicate every aggregate input once per distinct column.
-    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
-                                         _number(c).alias("v")) for c in cols]))
-    uniques = (df.select(pairs.alias("p")).select("p.*").filter(F.col("v").isNotNull())
-                 .distinct().groupBy("variable").agg(F.count(F.lit(1)).alias("uniques")))
-    # exact quantiles by distributed rank selection (no column in one task)
-    quants = quantile_columns(exact_quantiles(df, cols, [0.25, 0.5, 0.75]),
+    # exact quantiles by distributed rank selection (no column in one task); the
+    # counted values that they are taken from give the distinct counts
+    ranked = ranked_values(df, cols)
+    uniques = ranked.groupBy("variable").agg(F.count(F.lit(1)).alias("uniques"))
+    quants = quantile_columns(exact_quantiles(df, cols, [0.25, 0.5, 0.75], ranked=ranked),
                               {"q25": 0.25, "median": 0.5, "q75": 0.75})
     long = _unpivot_single_row(wide, cols, stats, types)
     order = ["variable", "max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt",
@@ -172,11 +168,11 @@ def ordered_means(df: DataFrame, cat: str, value: str, order: Sequence[str]) ->
 
 
 def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
-    """Pearson correlation of every pair (pairwise complete rows), long form
-    (var1, var2, corr); all pairs in a single aggregation pass."""
+    """Pearson correlation of every pair (pairwise complete rows; NaN is missing),
+    long form (var1, var2, corr); all pairs in a single aggregation pass."""
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
+    wide = df.agg(*[F.corr(_number(a), _number(b)).alias(f"{a}__{b}")
                     for a, b in pairs])
     structs = []
     for a, b in pairs:
@@ -212,7 +208,7 @@ def describe_by_group(df: DataFrame, group: str, cols: Sequence[str]) -> DataFra
     quantile selection, joined on (group, variable)."""
     aggs = []
     for c in cols:
-        x = F.col(c).cast("double")
+        x = _number(c)
         aggs += [F.count(x).alias(f"{c}__count"), F.avg(x).alias(f"{c}__mean"),
                  F.stddev_samp(x).alias(f"{c}__std"), F.min(x).alias(f"{c}__min"),
                  F.max(x).alias(f"{c}__max")]

@@ -24,23 +24,30 @@ from pyspark.sql import functions as F
 from vigil.session import materialize
 
 
-def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                    group: str | None = None) -> DataFrame:
-    """Long table (group?, variable, prob, value) of exact quantiles."""
-    g = [group] if group else []
+def ranked_values(df: DataFrame, cols: Sequence[str], group: str | None = None) -> DataFrame:
+    """(group?, variable, x, c, _pid, _run): every distinct value with its count,
+    its range partition and the running count in there. A row per distinct
+    value; null and NaN are left out. Written once: two runs of a range shuffle
+    need not cut the values alike."""
+    keys = [*([group] if group else []), "variable"]
     pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("variable"),
                                          F.col(c).cast("double").alias("x")) for c in cols]))
-    values = (df.select(*[F.col(k) for k in g], pairs.alias("p")).select(*g, "p.*")
+    values = (df.select(*keys[:-1], pairs.alias("p")).select(*keys[:-1], "p.*")
                 .filter(F.col("x").isNotNull() & ~F.isnan("x")))
-    counted = values.groupBy(*g, "variable", "x").agg(F.count(F.lit(1)).alias("c"))
-
-    keys = [*g, "variable"]
+    counted = values.groupBy(*keys, "x").agg(F.count(F.lit(1)).alias("c"))
     ranged = (counted.repartitionByRange(*[F.col(k) for k in keys], F.col("x"))
                      .sortWithinPartitions(*keys, "x")
                      .withColumn("_pid", F.spark_partition_id()))
     within = Window.partitionBy("_pid", *keys).orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    # written once: two runs of a range shuffle need not cut the values alike
-    ranged = materialize(ranged.withColumn("_run", F.sum("c").over(within)), "ranked-values")
+    return materialize(ranged.withColumn("_run", F.sum("c").over(within)), "ranked-values")
+
+
+def exact_quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                    group: str | None = None, ranked: DataFrame | None = None) -> DataFrame:
+    """Long table (group?, variable, prob, value) of exact quantiles (``ranked``:
+    the values as ``ranked_values`` returned them)."""
+    keys = [*([group] if group else []), "variable"]
+    ranged = ranked if ranked is not None else ranked_values(df, cols, group)
     # rows of a (group, variable) per range partition, and the exclusive
     # prefix over partitions: one row per (partition, variable)
     per_part = ranged.groupBy(*keys, "_pid").agg(F.sum("c").alias("_pc"))

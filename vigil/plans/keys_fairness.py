@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import fairness as B
+from vigil.operators import significance as SG
 from vigil.operators.lineage import with_run
 from vigil.plans.frames import historic_predictions
 from vigil.plans.keys_quality import RUN, RUN_SQL
@@ -123,27 +124,58 @@ def q_disparity_min(spark, d):
     return round_cols(out.select("attribute_name", "attribute_value", *cols), cols)
 
 
-def _sig_sql(num, den):
-    p = f"(m.{num} + r.{num})::double / nullif((m.{den} + r.{den})::double, 0)"
-    p1 = f"m.{num}::double / nullif(m.{den}::double, 0)"
-    p2 = f"r.{num}::double / nullif(r.{den}::double, 0)"
-    se = f"sqrt({p} * (1 - {p}) * (1.0 / nullif(m.{den}::double, 0) + 1.0 / nullif(r.{den}::double, 0)))"
-    z = f"({p1} - {p2}) / nullif({se}, 0)"
-    return f"coalesce(abs({z}) > {B.Z_CRITICAL_95}, false)"
+def _p_sql():
+    """p-values of every group and rate: Levene's test around the medians decides
+    between the pooled and Welch's t-test; Student's distribution is integrated
+    by Simpson's rule over the angle atan(t / sqrt(freedom))."""
+    counts = " UNION ALL ".join(
+        f"SELECT m.attribute_name, m.attribute_value, '{k}' AS metric, m.{B.RATES[k][0]}::DOUBLE AS k, m.{B.RATES[k][1]}::DOUBLE AS n, "
+        f"r.{B.RATES[k][0]}::DOUBLE AS k0, r.{B.RATES[k][1]}::DOUBLE AS n0 FROM m LEFT JOIN r USING (attribute_name)" for k in SG.METRICS)
+
+    def tail(t, freedom):
+        angle = f"atan({t} / sqrt({freedom}))"
+        return (f"1 - 2 * exp(lgamma(({freedom} + 1) / 2) - lgamma({freedom} / 2)) / sqrt(pi()) * {angle} / 3000 * list_sum(list_transform(range(1001), "
+                f"lambda i: (CASE WHEN i = 0 OR i = 1000 THEN 1 WHEN i % 2 = 1 THEN 4 ELSE 2 END) * pow(cos(i * {angle} / 1000), {freedom} - 1)))")
+
+    centred = lambda k, n: f"CASE WHEN 2 * {k} = {n} THEN 0.5 ELSE least({k}, {n} - {k}) / {n} END"
+    within = lambda k, n, z: f"CASE WHEN 2 * {k} = {n} THEN 0.0 ELSE {n} * {z} * (1 - {z}) END"
+    return f"""
+sc AS (SELECT *, n > 0 AND n0 > 0 AND n + n0 > 2 AS known, {centred('k', 'n')} AS z, {centred('k0', 'n0')} AS z0 FROM ({counts})),
+lv AS (SELECT *, (n * z + n0 * z0) / (n + n0) AS zm, {within('k', 'n', 'z')} + {within('k0', 'n0', 'z0')} AS inside FROM sc),
+lt AS (SELECT *, n * pow(z - zm, 2) + n0 * pow(z0 - zm, 2) AS between_, n + n0 - 2 AS df FROM lv),
+le AS (SELECT *, sqrt(df * between_ / nullif(inside, 0)) AS tl, k / n * (1 - k / n) * n AS sq, k0 / n0 * (1 - k0 / n0) * n0 AS sq0 FROM lt),
+eq AS (SELECT *, CASE WHEN NOT known THEN NULL WHEN inside = 0 THEN between_ < 1e-24 ELSE {tail('tl', 'df')} >= {SG.ALPHA} END AS same FROM le),
+er AS (SELECT *, CASE WHEN same THEN (sq + sq0) / df * (1 / n + 1 / n0) WHEN n > 1 AND n0 > 1 THEN sq / (n - 1) / n + sq0 / (n0 - 1) / n0 END AS error,
+              CASE WHEN same THEN df ELSE pow(sq / (n - 1) / n + sq0 / (n0 - 1) / n0, 2) / nullif(pow(sq / (n - 1) / n, 2) / (n - 1)
+                                          + pow(sq0 / (n0 - 1) / n0, 2) / (n0 - 1), 0) END AS freedom FROM eq),
+pv AS (SELECT attribute_name, attribute_value, metric, CASE WHEN NOT known OR error IS NULL THEN NULL
+              WHEN error <= 0 THEN CASE WHEN k / n <> k0 / n0 THEN 0.0 END
+              ELSE {tail('abs(k / n - k0 / n0) / sqrt(error)', 'freedom')} END AS p FROM er)"""
+
+
+_SIG_CTE = f"""{XTAB_CTE}{METRIC_CTE},
+refs(attribute_name, attribute_value) AS (VALUES {_REF_VALUES}),
+r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value)),{_p_sql()}"""
 
 
-SIG_METRICS = [m for m in B.RATES if m in M]
+def _significance(spark, d, mask):
+    out = SG.with_significance(B.disparity_predefined(_metrics(spark, d), REF_GROUPS), mask=mask)
+    return out.select("attribute_name", "attribute_value", *[f"{k}_significance" for k in SG.METRICS])
 
 
-@register("disparity_significance", with_scored(f"""{XTAB_CTE}{METRIC_CTE},
-refs(attribute_name, attribute_value) AS (VALUES {_REF_VALUES}),
-r AS (SELECT m.* FROM m JOIN refs USING (attribute_name, attribute_value))
-SELECT m.attribute_name, m.attribute_value, """ + ", ".join(
-    f'{_sig_sql(*B.RATES[k])} AS "{k}_significance"' for k in SIG_METRICS) + """
-FROM m LEFT JOIN r ON m.attribute_name = r.attribute_name"""))
+@register("disparity_significance", with_scored(f"{_SIG_CTE}\nSELECT attribute_name, attribute_value, " + ", ".join(
+    f"coalesce(bool_or(p < {SG.ALPHA}) FILTER (WHERE metric = '{k}'), false) AS \"{k}_significance\"" for k in SG.METRICS)
+    + " FROM pv GROUP BY 1, 2"))
 def q_disparity_significance(spark, d):
-    out = B.disparity_significance(B.disparity_predefined(_metrics(spark, d), REF_GROUPS))
-    return out.select("attribute_name", "attribute_value", *[f"{k}_significance" for k in SIG_METRICS])
+    """The masked form: is the rate different from the reference group's?"""
+    return _significance(spark, d, True)
+
+
+@register("disparity_p_values", with_scored(f"{_SIG_CTE}\nSELECT attribute_name, attribute_value, " + ", ".join(
+    f"round(max(p) FILTER (WHERE metric = '{k}'), 6) AS \"{k}_significance\"" for k in SG.METRICS) + " FROM pv GROUP BY 1, 2"))
+def q_disparity_p_values(spark, d):
+    out = _significance(spark, d, False)
+    return out.select("attribute_name", "attribute_value", *[F.round(f"{k}_significance", 6).alias(f"{k}_significance") for k in SG.METRICS])
 
 
 def _parity_cte():

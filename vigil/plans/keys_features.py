@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.operators import features as FE
-from vigil.plans.frames import written_split
+from vigil.plans.frames import processed_table, written_split
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
 
@@ -100,3 +100,14 @@ def q_align_features(spark, d):
 def q_one_hot_inverse(spark, d):
     encoded, vocab = _encoded(spark, d)
     return FE.one_hot_inverse(encoded, vocab, keep=["folio", "conjunto", *NUMS])
+
+
+@register("unseen_levels", with_scored(", " + ", ".join(
+    f"u{i} AS (SELECT '{c}' AS variable, {c} AS level, count(*) AS n FROM proc WHERE {c} IS NOT NULL AND {c} NOT IN "
+    f"(SELECT {c} FROM split WHERE conjunto = 'train' AND {c} IS NOT NULL) GROUP BY {c})" for i, c in enumerate(CATS))
+    + "\n" + " UNION ALL ".join(f"SELECT * FROM u{i}" for i in range(len(CATS)))))
+def q_unseen_levels(spark, d):
+    """Levels of all processed rows that the encoder of the training rows drops
+    (the rows without a borough are not in the population)."""
+    levels = FE.fit_levels(written_split(spark, d).filter(F.col("conjunto") == "train"), CATS)
+    return FE.unseen_levels(processed_table(spark, d), levels, CATS)

@@ -13,7 +13,8 @@ from vigil.plans.present import round_cols, sround, sstd, zero_noise
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_model, with_proc, with_scored
 
-LINE_NUM = ("l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
+# The numeric columns of lineitem, for the SQL only: the queries take them by type.
+LINE_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
 CLEAN_TEXT = ("folio", "hora_creacion", "delegacion_inicio", "dia_semana", "tipo_entrada",
               "incidente_c4", "codigo_cierre")
 # Weekday order of the ordered-means chart (fixed values).
@@ -42,7 +43,7 @@ NUM_STATS = ("max", "min", "mean", "std", "q25", "median", "q75", "skew", "kurt"
 @register("describe_numeric", "\nUNION ALL\n".join(_num_sql(c) for c in LINE_NUM))
 def q_describe_numeric(spark, d):
     li = table(spark, d, "lineitem", spread=True)
-    return _round(zero_noise(P.describe_numeric(li, LINE_NUM), "std", "mean"), NUM_STATS)
+    return _round(zero_noise(P.describe_numeric(li), "std", "mean"), NUM_STATS)
 
 
 def _cat_sql(c):
@@ -53,15 +54,15 @@ def _cat_sql(c):
 
 @register("describe_categorical", with_clean("\nUNION ALL\n".join(_cat_sql(c) for c in CLEAN_TEXT)))
 def q_describe_categorical(spark, d):
-    return _round(P.describe_categorical(clean_table(spark, d), CLEAN_TEXT), ("prop_missings",))
+    return _round(P.describe_categorical(clean_table(spark, d)), ("prop_missings",))
 
 
 @register("distinct_values", with_clean("\nUNION\n".join(
     f"SELECT '{c}' AS variable, {c} AS value FROM clean WHERE {c} IS NOT NULL"
-    for c in ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4", "codigo_cierre"))))
+    for c in CLEAN_TEXT)))
 def q_distinct_values(spark, d):
-    return P.distinct_values(clean_table(spark, d), ["delegacion_inicio", "dia_semana",
-                                                     "tipo_entrada", "incidente_c4", "codigo_cierre"])
+    clean = clean_table(spark, d)
+    return P.distinct_values(clean, P.string_columns(clean))
 
 
 @register("category_counts", with_proc("""
@@ -108,7 +109,7 @@ def _corr_sql():
 
 @register("correlation_matrix", _corr_sql())
 def q_correlation_matrix(spark, d):
-    return _round(P.correlation_matrix(table(spark, d, "lineitem", spread=True), LINE_NUM), ("corr",))
+    return _round(P.correlation_matrix(table(spark, d, "lineitem", spread=True)), ("corr",))
 
 
 @register("counts_by_target", with_proc(

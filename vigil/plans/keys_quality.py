@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from vigil.catalog import MODEL_INPUT, table
 from vigil.functions.temporal import closed_month, format_run_time, month_list
 from vigil.operators import features as FE
+from vigil.operators.clean import parse_documents, valid_time
 from vigil.operators import lineage as L
 from vigil.operators import quality as Q
 from vigil.plans.frames import (clean_table, incident_source, new_predictions, newest_month, processed_table,
@@ -73,12 +74,20 @@ def q_lineage_raw(spark, d):
     return _lineage(spark, d)
 
 
+@register("lineage_raw_quoted", with_inc(f"""{LIN_CTE}
+SELECT * REPLACE ('"' || refine_ano || '"' AS refine_ano, '"' || refine_mes || '"' AS refine_mes,
+                  '"' || parametro_url || '"' AS parametro_url) FROM lin"""))
+def q_lineage_raw_quoted(spark, d):
+    """Request parameters as JSON strings, for consumers of that layout."""
+    return L.lineage_raw(raw_documents(spark, d), RUN, "incidentes", "orders", quoted=True)
+
+
 @register("lineage_clean", with_clean(f"""
 SELECT {RUN_SQL}, 'clean_incidents' AS id_tarea, 'completada' AS estatus_tarea,
        printf('Deleted %d rows', (SELECT count(*) FROM inc) - (SELECT count(*) FROM clean)) AS registros_eliminados,
        cast((SELECT count(*) FROM inc) - (SELECT count(*) FROM clean) AS bigint) AS n_eliminados"""))
 def q_lineage_clean(spark, d):
-    return L.lineage_clean(raw_documents(spark, d), clean_table(spark, d), RUN, "clean_incidents")
+    return L.lineage_clean(parse_documents(raw_documents(spark, d)), valid_time(), RUN, "clean_incidents")
 
 
 @register("month_spine", """

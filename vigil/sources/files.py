@@ -102,9 +102,11 @@ def add_page_numbers(df: DataFrame, key: str, page_size: int, out: str = "pagina
     range-partition and sort by key, take each row's position inside its
     partition from ``monotonically_increasing_id``, add the row count of the
     preceding partitions (a table with one row per partition), then
-    page = floor(index / page_size). The numbered rows are written once, as
-    two runs of a range shuffle need not cut the keys alike."""
-    ordered = df.repartitionByRange(F.col(key)).sortWithinPartitions(F.col(key))
+    page = floor(index / page_size). Rows of one key are ordered by a hash of
+    all columns, so that a key with many rows is several ranges. The numbered
+    rows are written once, as two runs of a range shuffle need not cut alike."""
+    ties = F.xxhash64(*df.columns)
+    ordered = df.repartitionByRange(F.col(key), ties).sortWithinPartitions(F.col(key), ties)
     ided = ordered.withColumn("_id", F.monotonically_increasing_id())
     ided = ided.withColumn("_pid", F.shiftright(F.col("_id"), 33)) \
                .withColumn("_local", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
