@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 
@@ -25,6 +25,26 @@ def predict_by_period(df: DataFrame, year: int, month: int,
     return df.filter((F.col(year_col) == year) & (F.col(month_col) == month))
 
 
+#: What a look-up names besides the period; files are sorted and filtered by it.
+LOOKUP_KEYS = ("delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec", "hora")
+
+
+def write_predictions(scored: DataFrame, path: str, keys: Sequence[str] = LOOKUP_KEYS) -> None:
+    """The table that look-ups read: a partition per (ano, mes), replaced when it
+    is scored again; rows sorted by the look-up keys, so that a file's statistics
+    skip it, with Bloom filters on the text keys. A month with many rows is
+    several ranges of keys."""
+    out = scored.repartitionByRange("ano", "mes", *keys).sortWithinPartitions("ano", "mes", *keys).write.mode("overwrite")
+    for c in keys:
+        if dict(scored.dtypes)[c] == "string":
+            out = out.option(f"parquet.bloom.filter.enabled#{c}", "true")
+    out.option("partitionOverwriteMode", "dynamic").partitionBy("ano", "mes").parquet(path)
+
+
+def read_predictions(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
+    return spark.read.schema(like.schema).parquet(path)
+
+
 def prediction_list(df: DataFrame, cols: Sequence[str], digits: int = 2) -> DataFrame:
     """Predictions by hour, most probable first within the hour; the
     probabilities are rounded for presentation after the sort."""

@@ -8,6 +8,7 @@ from vigil.catalog import table
 from vigil.functions.text import ascii_fold, remove_points, sql_ascii_fold, sql_remove_points
 from vigil.functions.text import sql_unaccent, standardize_name, unaccent
 from vigil.operators import clean as C
+from vigil.operators.quarantine import clean_or_reject
 from vigil.plans.frames import (clean_table, clean_table_from_raw, incident_source,
                                 parsed_incidents, processed_table)
 from vigil.plans.frames import raw_documents
@@ -146,3 +147,42 @@ def q_json_extract_events(spark, d):
     ev = table(spark, d, "events", spread=True).select("event_id", "event_type", "ts", "props")
     out = C.json_extract(ev, ["k", "ausente"], col="props", keep=["event_id", "event_type", "ts"])
     return out.select("event_id", "event_type", "k", "ausente", F.hour("ts").alias("hora"))
+
+
+# Every so many records is spoilt in one way (fixed values; the key decides).
+SPOILT = {"json": 101, "mes": 103, "latitud": 107}
+
+
+def _spoilt_documents(spark, d):
+    """Raw records of which some are broken, some hold a word for a month or a
+    latitude, and some (as in all tables) have no valid time."""
+    src = incident_source(spark, d).withColumn("llamada", F.col("folio").cast("bigint"))
+    hit = {k: F.col("llamada") % n == 0 for k, n in SPOILT.items()}
+    fields = [F.when(hit[c], F.lit("abc")).otherwise(F.col(c).cast("string")).alias(c) if c in hit else F.col(c)
+              for c in src.columns if c != "llamada"]
+    doc = F.to_json(F.struct(*fields))
+    broken = F.substring(doc, 1, 40)                       # ends within the document
+    return src.select("llamada", F.when(hit["json"], broken).otherwise(doc).alias("registros"))
+
+
+_ERRORS_SQL = "list_filter([" + ", ".join(
+    f"CASE WHEN folio::bigint % {SPOILT[c]} = 0 THEN '{c}' END" for c in ("mes", "latitud")) + \
+    ", CASE WHEN NOT contains(hora_creacion, ':') THEN 'hora_creacion' END], lambda e: e IS NOT NULL)"
+
+
+@register("quarantine", with_inc(f"""
+SELECT folio::bigint AS llamada, array_to_string(CASE WHEN folio::bigint % {SPOILT['json']} = 0 THEN ['json'] ELSE {_ERRORS_SQL} END, ',') AS errores
+FROM inc"""))
+def q_quarantine(spark, d):
+    """Where each record went: nothing for the clean table's, its errors for the
+    rejected; together they are all records."""
+    clean, rejected = clean_or_reject(_spoilt_documents(spark, d), keep=["llamada"])
+    return clean.select("llamada", F.lit("").alias("errores")).unionByName(
+        rejected.select("llamada", F.array_join("errores", ",").alias("errores")))
+
+
+@register("quarantine_clean", with_clean(f"SELECT * FROM clean WHERE " + " AND ".join(
+    f"folio::bigint % {n} <> 0" for n in SPOILT.values())))
+def q_quarantine_clean(spark, d):
+    """The clean table of records some of which are spoilt."""
+    return clean_or_reject(_spoilt_documents(spark, d))[0]

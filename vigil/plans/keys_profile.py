@@ -5,13 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from vigil.catalog import table
+from vigil.operators import cube as CU
 from vigil.operators import profile as P
 from vigil.operators import serving as S
+from vigil.operators import sketches as SK
 from vigil.plans.frames import (both_predictions, clean_table, historic_predictions,
                                 new_predictions, processed_table)
 from vigil.plans.present import round_cols, sround, sstd, zero_noise
 from vigil.plans.registry import register
 from vigil.plans.sql import with_clean, with_model, with_proc, with_scored
+from vigil.session import materialize, shared_dir
 
 # The numeric columns of lineitem, for the SQL only: the queries take them by type.
 LINE_NUM = ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount", "l_tax")
@@ -248,12 +251,19 @@ def q_priority_topk_by_group(spark, d):
     return S.priority_topk(historic_predictions(spark, d), 5, group="delegacion_inicio")
 
 
+def _served(spark, d):
+    """The written prediction table of the test rows: look-ups read it and score nothing."""
+    scored, path = historic_predictions(spark, d), shared_dir(spark, "predictions")
+    S.write_predictions(scored, path)
+    return S.read_predictions(spark, path, scored)
+
+
 @register("predict_lookup", with_scored("""
 SELECT * FROM hist WHERE mes = 10 AND hora = 18 AND delegacion_inicio = 'á nation_15'
   AND dia_semana = 'miercoles' AND tipo_entrada = 'llamada household' AND incidente_c4_rec = 'sismo'
 ORDER BY folio LIMIT 1"""))
 def q_predict_lookup(spark, d):
-    return S.predict_lookup(historic_predictions(spark, d),
+    return S.predict_lookup(_served(spark, d),
                             {"mes": 10, "hora": 18, "delegacion_inicio": "á nation_15",
                              "dia_semana": "miercoles", "tipo_entrada": "llamada household",
                              "incidente_c4_rec": "sismo"})
@@ -261,7 +271,7 @@ def q_predict_lookup(spark, d):
 
 @register("predict_by_period", with_scored("SELECT * FROM hist WHERE ano = 2000 AND mes = 4"))
 def q_predict_by_period(spark, d):
-    return S.predict_by_period(historic_predictions(spark, d), 2000, 4)
+    return S.predict_by_period(_served(spark, d), 2000, 4)
 
 
 @register("bind_by_key", with_scored("""
@@ -294,5 +304,63 @@ c AS (SELECT Datos, cast(least(floor(y_proba_1 * 50), 49) AS integer) AS bin, co
 SELECT Datos, bin, n, {sround("n * 100.0 / sum(n) OVER (PARTITION BY Datos)")} AS pct,
        bin / 50.0 AS bin_inicio FROM c"""))
 def q_score_histogram_slice(spark, d):
-    sliced = _cohorts(spark, d).filter(F.col("delegacion_inicio") == SLICE_VALUE)
-    return _round(P.score_histogram(sliced, "y_proba_1", "Datos"), ("pct",))
+    return _round(CU.histogram(_cube(spark, d), group=SLICE_VALUE), ("pct",))
+
+
+def _cube(spark, d):
+    """The written monitoring cube of both origins."""
+    cube, path = CU.build(_cohorts(spark, d)), shared_dir(spark, "cube")
+    CU.write(cube, path)
+    return CU.read(spark, path, cube)
+
+
+@register("monitoring_cube", with_scored(f""", {COHORTS_SQL},
+b AS (SELECT *, cast(least(floor(y_proba_1 * 50), 49) AS integer) AS bin FROM cohorts)
+SELECT ano, mes, Datos, CASE WHEN GROUPING(tipo_entrada) = 1 THEN 'delegacion' ELSE 'canal' END AS corte, delegacion_inicio, tipo_entrada,
+       bin, count(*) AS n, cast(sum(y_etiqueta) AS bigint) AS positivos, {sround("sum(y_proba_1)")} AS suma
+FROM b GROUP BY GROUPING SETS ((ano, mes, Datos, delegacion_inicio, bin), (ano, mes, Datos, tipo_entrada))"""))
+def q_monitoring_cube(spark, d):
+    return _round(_cube(spark, d), ("suma",))
+
+
+@register("cube_histogram", with_scored(f""", {COHORTS_SQL},
+c AS (SELECT Datos, cast(least(floor(y_proba_1 * 50), 49) AS integer) AS bin, count(*) AS n
+      FROM cohorts WHERE y_proba_1 IS NOT NULL GROUP BY 1, 2)
+SELECT Datos, bin, n, {sround("n * 100.0 / sum(n) OVER (PARTITION BY Datos)")} AS pct, bin / 50.0 AS bin_inicio FROM c"""))
+def q_cube_histogram(spark, d):
+    return _round(CU.histogram(_cube(spark, d)), ("pct",))
+
+
+@register("cube_rate_by_channel", with_scored(f""", {COHORTS_SQL}
+SELECT Datos, tipo_entrada, count(*) AS n, {sround("avg(y_etiqueta) * 100")} AS pct_positivos, {sround("avg(y_proba_1)")} AS media
+FROM cohorts GROUP BY 1, 2"""))
+def q_cube_rate_by_channel(spark, d):
+    return _round(CU.positive_rate(_cube(spark, d), "tipo_entrada"), ("pct_positivos", "media"))
+
+
+def _sketch_sql(c):
+    x = f"cast({c} AS double)"
+    return (f"SELECT '{c}' AS variable, count(*) AS rows, count({x}) AS count, count(*) - count({x}) AS missings, {sround(f'min({x})')} AS min, "
+            f"{sround(f'max({x})')} AS max, {sround(f'avg({x})')} AS mean, {sround(f'stddev_samp({x})')} AS std, "
+            "true AS uniques_ok, true AS q25_ok, true AS q50_ok, true AS q75_ok FROM lineitem")
+
+
+@register("profile_sketches", "\nUNION ALL\n".join(_sketch_sql(c) for c in LINE_NUM))
+def q_profile_sketches(spark, d):
+    """The profile of all months merged from monthly sketches, and whether its
+    quantiles and distinct counts are within the sketches' bounds of the exact ones."""
+    li = table(spark, d, "lineitem").withColumn("mes", F.trunc("l_shipdate", "month"))
+    cols = P.numeric_columns(li)
+    profile = materialize(SK.profile(materialize(SK.monthly(li, "mes", cols), "sketches")), "sketch-profile")
+    probs = (0.25, 0.5, 0.75)
+    found = {r["variable"]: r for r in profile.collect()}      # a row per column
+    below = [F.avg((F.col(c).cast("double") < found[c][f"q{round(p * 100)}"]).cast("double")).alias(f"{c}_lo{p}") for c in cols for p in probs]
+    upto = [F.avg((F.col(c).cast("double") <= found[c][f"q{round(p * 100)}"]).cast("double")).alias(f"{c}_hi{p}") for c in cols for p in probs]
+    exact = li.agg(*below, *upto).first()
+    uniques = {r["variable"]: r["n"] for r in P.distinct_values(li, cols).groupBy("variable").agg(F.count(F.lit(1)).alias("n")).collect()}
+    e = SK.rank_error()
+    ok = [(c, abs(found[c]["uniques"] / uniques[c] - 1) <= 0.03,
+           *[bool(exact[f"{c}_lo{p}"] - e <= p <= exact[f"{c}_hi{p}"] + e) for p in probs]) for c in cols]
+    flags = spark.createDataFrame(ok, "variable string, uniques_ok boolean, q25_ok boolean, q50_ok boolean, q75_ok boolean")
+    out = profile.select("variable", "rows", "count", "missings", "min", "max", "mean", "std").join(F.broadcast(flags), "variable")
+    return _round(out, ("min", "max", "mean", "std"))
