@@ -10,12 +10,15 @@ from vigil.operators import models as MD
 from vigil.operators.features import fill_with, fit_modes, impute_mode, sql_digest_bucket
 from vigil.operators.lineage import with_run
 from vigil.operators.scoring import apply_rate_model, fit_rate_model, rate_precision
-from vigil.plans.frames import written_split
+from vigil.operators.clean import preprocess
+from vigil.plans.frames import newest_month, raw_documents, written_split
 from vigil.plans.keys_quality import RUN, RUN_SQL
 from vigil.plans.present import round_cols, sround
 from vigil.plans.registry import register
 from vigil.plans.sql import with_scored
 from vigil.session import materialize, shared_dir
+from vigil.sources import files as SRC
+from vigil.streaming import incremental as INC
 
 FOLDS = 10
 # Grid of the cell-rate scorer: key set and decision threshold per entry.
@@ -166,7 +169,7 @@ _CV_COLS = [*[f"split{k}_test_score" for k in range(FOLDS)], "mean_test_score",
 _FILES_SQL = "concat('cell_rate/', params) AS archivo_modelo, concat('metadata/cell_rate/', params) AS archivo_metadatos"
 
 
-def _predictions_sql():
+def _predictions_sql(rows="split", columns="s.conjunto, "):
     """Rows of every grid entry's scorer, as ``pr``; ``best`` names one entry."""
     parts = ["""
 best AS (SELECT params FROM cv WHERE mean_test_score IS NOT NULL AND NOT isnan(mean_test_score)
@@ -175,9 +178,9 @@ gr AS (SELECT avg(cast(target AS double)) AS rate FROM split WHERE conjunto = 't
     for i, (name, (keys, threshold)) in enumerate(RATE_GRID.items()):
         same = " AND ".join(f"s.{k} = t.{k}" for k in keys)
         parts.append(f"""
-y{i} AS (SELECT '{name}' AS params, s.folio, s.conjunto, s.target, s.ano, s.mes,
+y{i} AS (SELECT '{name}' AS params, s.folio, {columns}s.target, s.ano, s.mes,
                 CASE WHEN coalesce(t.rate, (SELECT rate FROM gr)) >= {threshold} THEN 1 ELSE 0 END AS y
-         FROM split s LEFT JOIN (SELECT {", ".join(keys)}, avg(cast(target AS double)) AS rate
+         FROM {rows} s LEFT JOIN (SELECT {", ".join(keys)}, avg(cast(target AS double)) AS rate
                                  FROM split WHERE conjunto = 'train' GROUP BY ALL) t ON {same})""")
     every = " UNION ALL ".join(f"SELECT * FROM y{i}" for i in range(len(RATE_GRID)))
     parts.append(f"\npr AS (SELECT p.* FROM ({every}) p JOIN best USING (params))")
@@ -243,3 +246,34 @@ def q_lineage_prediction(spark, d):
                      F.count(F.lit(1)).alias("registros_predichos"),
                      F.sum("y_etiqueta").cast("bigint").alias("etiquetas_positivas"))
     return with_run(row.select(F.lit(found["archivo_modelo"]).alias("archivo_modelo"), "*"), RUN)
+
+
+@register("scoring_stream", with_scored(f"""{CV_CTE},{_predictions_sql("proc", "")}
+SELECT folio, ano, mes, y AS y_etiqueta FROM pr
+WHERE NOT (make_date(ano, mes, 1) = (SELECT cast(date_trunc('month', max(o_orderdate)) - INTERVAL 1 MONTH AS date) FROM orders)
+           AND folio::bigint % 2 = 1)"""))
+def q_scoring_stream(spark, d):
+    """Predictions kept up to date by two streams: all months are delivered,
+    cleaned and scored by the current model; then the newest closed month comes
+    again with half of its records and replaces its predictions."""
+    root, split = shared_dir(spark, "models"), written_split(spark, d)
+    _with_cell_rate(spark, root, d, split)
+    raw, clean, changes, out = (shared_dir(spark, n) for n in ("raw", "clean", "changes", "predictions"))
+    marks = [shared_dir(spark, "ckpt") for _ in range(2)]
+
+    def score(rows):
+        found = ST.current(rows.sparkSession, root)
+        keys, threshold = RATE_GRID[found["params"]]
+        scored = apply_rate_model(preprocess(rows), rows.sparkSession.read.parquet(found["path"]), keys, threshold)
+        return scored.select("folio", "ano", F.col("mes").cast("int").alias("mes"), "y_etiqueta", "year", "month")
+
+    def deliver(records, mode):
+        SRC.write_raw(records, raw, mode)
+        INC.run_incremental_clean(spark, raw, clean, marks[0], changes)
+        INC.run_scoring(spark, changes, clean, out, marks[1], score)
+
+    records = raw_documents(spark, d)
+    deliver(records, "append")
+    newest = F.make_date("year", "month", F.lit(1)) == newest_month(spark, d)
+    deliver(records.filter(newest & (F.get_json_object("registros", "$.folio").cast("bigint") % 2 == 0)), "overwrite")
+    return spark.read.schema("folio string, ano int, mes int, y_etiqueta int").parquet(out).select("folio", "ano", "mes", "y_etiqueta")

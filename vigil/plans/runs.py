@@ -8,14 +8,15 @@ from pyspark.sql import functions as F
 
 from vigil.catalog import MODEL_CATEGORICAL, MODEL_NUMERIC
 from vigil.operators import fairness as B
+from vigil.operators import model_store as ST
 from vigil.operators import models as MD
 from vigil.operators import profile as P
 from vigil.operators import quality as Q
 from vigil.operators import serving as S
 from vigil.operators.clean import clean_month, guarded_drop, parse_documents, preprocess
-from vigil.operators.features import fill_with, fit_modes, impute_mode, tag_split
+from vigil.operators.features import fill_with, fit_modes, impute_mode
 from vigil.operators.lineage import RunInfo
-from vigil.plans.frames import model_table
+from vigil.plans.frames import model_table, written_split
 from vigil.sources import files as SRC
 
 
@@ -32,43 +33,51 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def training_run(spark: SparkSession, sf_dir: str, out_dir: str, run: RunInfo,
                  kind: str = "logistic", folds: int = 10) -> dict[str, DataFrame]:
-    """Clean -> features -> grid search -> best model -> scores ->
-    fairness -> DQ. Stage outputs are written to ``out_dir`` (the cluster's
-    shared folder), which also cuts the lineage between stages."""
-    population = tag_split(model_table(spark, sf_dir), "folio")
-    population.write.mode("overwrite").parquet(f"{out_dir}/population")
-    population = spark.read.parquet(f"{out_dir}/population")
+    """Clean -> features -> grid search -> best model -> scores -> fairness ->
+    DQ, on the records before the newest month, which E2 scores. Stage outputs
+    are written to ``out_dir`` (the cluster's shared folder), which also cuts the
+    lineage between stages; the model becomes the current one of the registry
+    ``out_dir``/models."""
+    written_split(spark, sf_dir).write.mode("overwrite").parquet(f"{out_dir}/population")
+    population, models = spark.read.parquet(f"{out_dir}/population"), f"{out_dir}/models"
     train = population.filter(F.col("conjunto") == "train")
     test = population.filter(F.col("conjunto") == "test")
     train, test = impute_mode(train, test, ["delegacion_inicio"])
     cv = MD.cross_validate_ml(train, kind, MODEL_CATEGORICAL, MODEL_NUMERIC, folds=folds)
     cv.write.mode("overwrite").parquet(f"{out_dir}/cv")
-    best = MD.best_model(spark.read.parquet(f"{out_dir}/cv")).first()
+    cv = spark.read.parquet(f"{out_dir}/cv")
+    version = ST.new_version(spark, models)
+    ST.record_cv(cv, models, version, run)
+    best = ST.chosen(spark, models, version)
     model = MD.fit_best(train, kind, best.params, MODEL_CATEGORICAL, MODEL_NUMERIC)
-    MD.save_model(model, f"{out_dir}/model")
     scores = MD.score(model, test, ["folio", "delegacion_inicio", "dia_semana", "tipo_entrada",
                                     "target"])
     scores.write.mode("overwrite").parquet(f"{out_dir}/scores")
     scores = spark.read.parquet(f"{out_dir}/scores")
+    precision = B.precision_metric(scores, label="target").first()["precision"]
+    ST.record_best(spark, models, version, best, precision, run, lambda path: MD.save_model(model, path))
+    ST.promote(spark, models, version, run)
     audit_in = scores.select("delegacion_inicio", F.col("y_etiqueta").alias("score"),
                              F.col("target").alias("label_value"))
     metrics = B.group_metrics(B.group_crosstab(audit_in, ["delegacion_inicio"]))
     disp = B.disparity_major(metrics)
     summary = B.fairness_summary(B.fairness_table(disp, "delegacion_inicio"))
-    dq = Q.dq_report([Q.dq_nulls(train.select(*MODEL_CATEGORICAL, *MODEL_NUMERIC)),
-                      Q.dq_cardinality(train, "incidente_c4_rec", 5)], run)
+    dq = Q.run_checks(spark, [
+        ("no_nulls", "features", lambda: Q.dq_nulls(train.select(*MODEL_CATEGORICAL, *MODEL_NUMERIC)).withColumn("detalle", F.col("columna"))),
+        ("cardinality_incidente_c4_rec", "features", lambda: Q.dq_cardinality(train, "incidente_c4_rec", 5))], run)
     return {"cv": cv, "scores": scores, "fairness": disp, "fairness_summary": summary, "dq": dq}
 
 
-def monthly_scoring(spark: SparkSession, raw_path: str, model_path: str, year: int, month: int,
+def monthly_scoring(spark: SparkSession, raw_path: str, models: str, year: int, month: int,
                     history: DataFrame) -> dict[str, DataFrame]:
     """Clean one month (partition-pruned read), impute it with the modes of
-    ``history`` (the training rows), score it with the stored model, check label
-    drift against history."""
+    ``history`` (the training rows), score it with the current model of the
+    registry ``models``, check label drift against history."""
     raw = SRC.read_raw(spark, raw_path, year, month)
-    df = guarded_drop(preprocess(clean_month(parse_documents(raw), year, month)))
+    df = guarded_drop(preprocess(clean_month(parse_documents(raw, keep=SRC.PARTITIONS), year, month)))
     df = fill_with(df, fit_modes(history, ["delegacion_inicio"]), ["delegacion_inicio"])
-    scored = MD.score(MD.load_model(model_path), df,
+    found = ST.current(spark, models)
+    scored = MD.score(MD.load_model(found["path"], found["modelo"]), df,
                       ["folio", "mes", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada",
                        "incidente_c4_rec", "ano"])
     drift = Q.dq_label_drift(scored, history)
