@@ -2,14 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vigil.session import shared_dir
+from vigil.session import importable, shared_dir
 
 WHITE = " \t\n\x0b\x0c\r"              # [\x20\x09-\x0D]
 WORD = r"[^\x20\x09-\x0D]+"
@@ -21,16 +19,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def importable(spark: SparkSession) -> None:
-    """Python workers find this package where the driver has it, whatever their
-    working folder (on a cluster: the same path, or ship it with --py-files)."""
-    import vigil
-    root = os.path.dirname(os.path.dirname(os.path.abspath(vigil.__file__)))
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
-    if root not in paths:
-        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), root])
-
-
 def ascii_lower(col: Column) -> Column:
     """A-Z to lower case, every other character unchanged."""
     return F.translate(col, _UPPER, _UPPER.lower())

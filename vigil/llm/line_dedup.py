@@ -4,9 +4,10 @@ Each distinct line key is counted once over all documents; the keys that
 repeat become an index of shards, each a minimal perfect hash over 128-bit
 line hashes with compact arrays (fingerprint, count, keeping document).
 Documents send their line hashes, never the lines, to the shards and probe the
-arrays there. Keys so frequent that a shard would be uneven are at most
-``heavy_parts`` by counting (each holds more than 1/heavy_parts of all
-occurrences), so their index has a proven size bound and goes to every task.
+arrays there. The most frequent keys are at most ``heavy_parts`` by counting
+(each holds more than 1/heavy_parts of all occurrences), so their index has a
+proven size bound and goes to every task. Any other shard that would get more
+probes than planned is copied, and its probes are dealt over the copies.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ from pyspark.sql import functions as F
 from vigil.llm.common import ascii_lower, fixed_width, strip_white, written
 from vigil.llm.perfect_hash import LineIndex
 
-_DROPS = "id long, key binary"
+_DROPS = "id long, row long, key binary"
 
 
 def _lines(text: Column) -> Column:
@@ -65,10 +66,10 @@ def _build(t: pa.Table) -> pa.Table:
 
 def _probe(lines: pa.Table, shards: pa.Table) -> pa.Table:
     if not lines.num_rows or not shards.num_rows:
-        return pa.table({"id": pa.array([], pa.int64()), "key": pa.array([], pa.binary())})
+        return pa.table({"id": pa.array([], pa.int64()), "row": pa.array([], pa.int64()), "key": pa.array([], pa.binary())})
     index = LineIndex.loads(shards["blob"][0].as_py())
     ids, has = _ids(lines["id"])
-    return lines.filter(pa.array(index.drops(fixed_width(lines["key"], 16), ids, has))).select(["id", "key"])
+    return lines.filter(pa.array(index.drops(fixed_width(lines["key"], 16), ids, has))).select(["id", "row", "key"])
 
 
 def _probe_all(blob: bytes):
@@ -77,7 +78,7 @@ def _probe_all(blob: bytes):
         for b in batches:
             keys = b.column("keys")
             at = np.repeat(np.arange(len(b)), np.diff(keys.offsets.to_numpy()))
-            rows = pa.table({"id": b.column("id").take(pa.array(at)), "key": keys.flatten()})
+            rows = pa.table({"id": b.column("id").take(pa.array(at)), "row": b.column("row").take(pa.array(at)), "key": keys.flatten()})
             ids, has = _ids(rows["id"])
             rows = rows.filter(pa.array(index.drops(fixed_width(rows["key"], 16), ids, has)))
             yield from rows.to_batches()
@@ -85,13 +86,15 @@ def _probe_all(blob: bytes):
 
 
 def line_drops(docs: DataFrame, min_docs: int, min_chars: int, heavy_parts: int, probes_per_shard: int) -> DataFrame:
-    """(id, dropped): per document the hashes of the line keys it loses."""
+    """(id, row, dropped): the hashes of the line keys that a document loses.
+    ``row`` tells documents of one (or no) id apart by a hash of the text; where it
+    doesn't, they lose the same keys, as that depends on the id and the key."""
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     keys = F.filter(F.transform(_lines(text), strip_white), lambda k: F.length(k) >= min_chars)
     keys = F.transform(F.array_distinct(F.transform(keys, F.md5)), F.unhex)
-    hashed = written(docs.select(F.col("doc_id").cast("long").alias("id"), keys.alias("keys"))
+    hashed = written(docs.select(F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("row"), keys.alias("keys"))
                      .where(F.size("keys") > 0), "line-hashes")
-    lines = hashed.select("id", F.explode("keys").alias("key"))
+    lines = hashed.select("id", "row", F.explode("keys").alias("key"))
     index = written(lines.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("id").alias("keep"))
                     .where(F.col("n") >= min_docs), "line-index")
     total = hashed.agg(F.sum(F.size("keys"))).first()[0] or 0
@@ -100,17 +103,23 @@ def line_drops(docs: DataFrame, min_docs: int, min_chars: int, heavy_parts: int,
 
     n_shards = total // probes_per_shard + 1
     shard = F.pmod(F.xxhash64("key"), F.lit(n_shards)).alias("shard")
-    shards = (index.where(F.col("n") < heavy_from).select("key", "n", "keep", shard)
-              .groupBy("shard").applyInArrow(_build, "shard long, blob binary"))
+    light = index.where(F.col("n") < heavy_from).select("key", "n", "keep", shard)
+    # a shard's copies: one, and one more for each ``probes_per_shard`` probes by repeated keys
+    copies = written(light.groupBy("shard").agg((1 + F.floor(F.sum("n") / probes_per_shard)).cast("int").alias("copies"))
+                     .where(F.col("copies") > 1), "line-copies")
+    shards = light.groupBy("shard").applyInArrow(_build, "shard long, blob binary")
+    shards = shards.join(copies, "shard", "left").select(
+        "shard", F.explode(F.sequence(F.lit(0), F.coalesce("copies", F.lit(1)) - 1)).alias("copy"), "blob")
     if heavy.num_rows:
         blob = _build(heavy)["blob"][0].as_py()
         keyset = docs.sparkSession.createDataFrame([(bytes(k),) for k in heavy["key"].to_pylist()], "key binary")
         lines = lines.join(F.broadcast(keyset), "key", "left_anti")  # at most heavy_parts rows
-    drops = (lines.select("id", "key", shard).groupBy("shard")
-             .cogroup(shards.groupBy("shard")).applyInArrow(_probe, _DROPS))
+    dealt = lines.select("id", "row", "key", shard).join(copies, "shard", "left").select(
+        "id", "row", "key", "shard", F.pmod(F.xxhash64("row", "id"), F.coalesce("copies", F.lit(1))).cast("int").alias("copy"))
+    drops = dealt.groupBy("shard", "copy").cogroup(shards.groupBy("shard", "copy")).applyInArrow(_probe, _DROPS)
     if heavy.num_rows:
         drops = drops.unionByName(hashed.mapInArrow(_probe_all(blob), _DROPS))
-    return drops.groupBy("id").agg(F.collect_list("key").alias("dropped"))
+    return drops.groupBy("id", "row").agg(F.collect_set("key").alias("dropped"))      # within one text
 
 
 def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, heavy_parts: int = 1024,
@@ -133,7 +142,8 @@ def dedup_lines(docs: DataFrame, min_docs: int = 3, min_chars: int = 20, heavy_p
     text, dropped = "_text", "_dropped"
     while text in rest or dropped in rest:
         text, dropped = text + "_", dropped + "_"
-    joined = docs.alias("d").join(drops.alias("x"), F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.id")), "left").select(
+    same = F.col("d.doc_id").cast("long").eqNullSafe(F.col("x.id")) & (F.xxhash64("d.text") == F.col("x.row"))
+    joined = docs.alias("d").join(drops.alias("x"), same, "left").select(
         *(F.col(f"d.`{c}`") for c in rest), F.col("d.text").alias(text), F.col("x.dropped").alias(dropped))
     schema = docs.select(*rest).schema.add("n_lines", "long").add("n_dropped", "long").add("kept_text", "string")
     return joined.mapInArrow(_kept(rest, text, dropped), schema)

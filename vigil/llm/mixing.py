@@ -91,7 +91,9 @@ def mix(docs: DataFrame, total_share: float = 1.5, most: float = 2.0, weights: S
     times a document is taken), parts (array of [from, to) in words, taken once
     more) and taken. A null or negative size counts as 0, an empty document is
     never taken; repeated rows are rows of their own; an empty table gives an
-    empty result.
+    empty result. Shards and their order come from hashes of the id and the text
+    (of all columns, if there is no text), so that rows of one id are dealt like
+    others and reruns agree whatever the partitions are.
 
     The driver holds a row per source and per shard: shards are at most
     ``max_shards`` plus one for each source.
@@ -109,12 +111,18 @@ def mix(docs: DataFrame, total_share: float = 1.5, most: float = 2.0, weights: S
     wide = max(shard_words, -(-all_words // max_shards))
     tall = max(20_000, -(-sum(r["n"] for r in per) // max_shards))
     n_shards = [max(1, math.ceil(s / wide), math.ceil(r["n"] / tall)) for s, r in zip(sizes, per, strict=True)]
+    kinds = dict(docs.dtypes)
+    if "text" not in cols:
+        spot = F.xxhash64(F.lit(seed), *(F.col(f"d.`{c}`") for c in cols))
+    else:                                                  # the text or, as ``mix_documents`` has it, its hash
+        text = F.col("d.text") if kinds["text"] == "bigint" else F.xxhash64("d.text")
+        spot = F.xxhash64(F.lit(seed), F.col("d.doc_id"), F.col("d.size"), text)
     sources = spark.createDataFrame(
         [(i, r["source"], s, t, k) for i, (r, s, t, k) in enumerate(zip(per, sizes, targets, n_shards, strict=True))],
         "_src int, _source string, source_size long, target double, _shards int")
     dealt = (docs.alias("d").join(sources.alias("s"), F.col("d.source").eqNullSafe(F.col("s._source")))
              .select(*(F.col(f"d.`{c}`") for c in cols), "s._src", "s.source_size", "s.target",
-                     F.pmod(F.xxhash64(F.lit(seed), F.col("d.doc_id")), F.col("s._shards")).cast("int").alias("_shard")))
+                     F.pmod(spot, F.col("s._shards")).cast("int").alias("_shard"), F.xxhash64(F.lit(seed + 1), spot).alias("_spot")))
 
     words = {(r[0], r[1]): r[2] for r in dealt.groupBy("_src", "_shard").agg(F.sum("size")).collect()}
     blocks = {k: -(-w // block_words) for k, w in words.items()}
@@ -130,24 +138,28 @@ def mix(docs: DataFrame, total_share: float = 1.5, most: float = 2.0, weights: S
                          max(0, start + run - n) * block_words))
     plan = spark.createDataFrame(plan, "_src int, _shard int, copies long, _from long, _to long, _wrap long")
 
-    line = Window.partitionBy("_src", "_shard").orderBy(F.xxhash64(F.lit(seed + 1), F.col("doc_id")), "doc_id", "size")
+    # empty documents are never taken and need no place
+    line = Window.partitionBy("_src", "_shard").orderBy("_spot", "doc_id", "size")
     at = F.coalesce(F.sum("size").over(line.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nothing = dealt.where(F.col("size") == 0).select(
+        *cols, "source_size", "target", F.lit(0).cast("long").alias("copies"),
+        F.array().cast("array<struct<from:bigint,to:bigint>>").alias("parts"), F.lit(0).cast("long").alias("taken"))
     part = lambda lo, hi: F.struct(
         F.greatest(lo - F.col("_at"), F.lit(0)).alias("from"), F.least(hi - F.col("_at"), F.col("size")).alias("to"))
-    placed = (dealt.withColumn("_at", at).join(plan, ["_src", "_shard"])
+    placed = (dealt.where(F.col("size") > 0).withColumn("_at", at).join(plan, ["_src", "_shard"])
               .withColumn("parts", F.filter(F.array(part(F.lit(0), F.col("_wrap")), part(F.col("_from"), F.col("_to"))),
                                             lambda p: p["to"] > p["from"]))
               .withColumn("taken", F.col("copies") * F.col("size")
                           + F.aggregate("parts", F.lit(0).cast("long"), lambda s, p: s + p["to"] - p["from"])))
-    return placed.select(*cols, *added)
+    return placed.select(*cols, *added).union(nothing.select(*cols, *added))
 
 
 def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """``mix`` of documents as (doc_id, source, size, source_size, target,
     copies, parts, taken): texts are read once and their sizes written, so that
     no text is shuffled."""
-    sizes = with_sizes(docs.select("doc_id", "source", "text")).drop("text")
-    return mix(written(sizes, "mix-sizes"), **options)
+    sizes = with_sizes(docs.select("doc_id", "source", "text")).withColumn("text", F.xxhash64("text"))
+    return mix(written(sizes, "mix-sizes"), **options).drop("text")
 
 
 def mixed_texts(docs: DataFrame, **options) -> DataFrame:

@@ -120,14 +120,16 @@ class Packer:
         return out
 
     def _drop(self, n: int) -> None:
+        """Forgets the first ``n`` tokens held."""
         self.held -= n
-        while n:
+        gone = 0
+        while n and len(self.docs[gone][2]) <= n:
+            n -= len(self.docs[gone][2])
+            gone += 1
+        del self.docs[:gone]
+        if n:
             doc_id, before, ids, total = self.docs[0]
-            if len(ids) > n:
-                self.docs[0] = (doc_id, before + n, ids[n:], total)
-                return
-            n -= len(ids)
-            self.docs.pop(0)
+            self.docs[0] = (doc_id, before + n, ids[n:], total)
 
 
 def _packer(path: str, end_id: int, size: int, sentence: float, anywhere: float, chunk: int, with_ids: bool):

@@ -89,14 +89,14 @@ def oracle_sql() -> dict[str, str]:
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
-  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND q.vec_id <> d.vec_id),
+  SELECT q.vec_id AS query_id, q.e, d.vec_id, CAST(list_dot_product(q.e, d.e) AS BIGINT) AS score
+  FROM v q JOIN v d ON q.vec_id % 50 = 0 AND NOT (q.vec_id = d.vec_id AND q.e = d.e)),
 r AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS k FROM s)
+  SELECT *, row_number() OVER (PARTITION BY query_id, e ORDER BY score DESC, vec_id) AS k FROM s)
 SELECT query_id, CAST(k AS INTEGER) AS rank, vec_id, score FROM r WHERE k <= 5
 """
 
@@ -130,7 +130,7 @@ k AS (
                  ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l),
 f AS (
   SELECT key, max(doc_id) AS keep FROM k WHERE length(key) >= 20 GROUP BY key HAVING count(DISTINCT row) >= 3)
-SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (f.keep IS NOT NULL AND k.doc_id <> f.keep) AS n_dropped,
+SELECT k.doc_id, count(*) AS n_lines, count(*) FILTER (f.keep IS NOT NULL AND k.doc_id IS DISTINCT FROM f.keep) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (f.keep IS NULL OR k.doc_id = f.keep), '')) AS kept_sha256
 FROM k LEFT JOIN f USING (key) GROUP BY k.row, k.doc_id
 """

@@ -13,12 +13,13 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import written
+from vigil.llm.common import importable, written
 
-_HITS = "vkey string, score long, first_id long, ids array<long>"
+_HITS = "vkey string, score long, first_id long, ids array<long>, own boolean"
 
 
 class CoverTree:
@@ -198,15 +199,17 @@ def _pack_batches(batches):
 
 
 def whole_vectors(embeddings: DataFrame, scale: float = 256.0) -> DataFrame:
-    """(vec_id, vec) with the components floor(scale * x) packed; of several
-    rows of a vec_id one counts, that with the smallest vector. Vectors that are
-    null or hold null or non-finite components (or such beyond 64 bits) and
-    null ids take no part."""
+    """(vec_id, vec) with the components floor(scale * x) packed. Every
+    different vector of a vec_id is a row; rows that repeat both count once.
+    Vectors that are null or hold null or non-finite components, or such that an
+    inner product need not fit 64 bits, and null ids take no part."""
+    importable(embeddings.sparkSession)
     x = F.transform("embedding", lambda c: F.floor(F.lit(scale) * c.cast("double")))
+    most = F.sqrt(F.lit(2.0 ** 62) / F.greatest(F.size("embedding"), F.lit(1)))
     fine = F.col("vec_id").isNotNull() & F.col("embedding").isNotNull() & F.forall(
-        "embedding", lambda c: F.coalesce(F.abs(c.cast("double") * F.lit(scale)) < F.lit(2.0 ** 62), F.lit(False)))
+        "embedding", lambda c: F.coalesce(F.abs(c.cast("double") * F.lit(scale)) < most - 1, F.lit(False)))
     return (embeddings.where(fine).select(F.col("vec_id").cast("long").alias("vec_id"), x.alias("values"))
-            .mapInArrow(_pack_batches, "vec_id long, vec binary").groupBy("vec_id").agg(F.min("vec").alias("vec")))
+            .mapInArrow(_pack_batches, "vec_id long, vec binary").distinct())
 
 
 def _groups(counts: dict[int, int], most: int) -> dict[int, tuple[int, int]]:
@@ -227,7 +230,7 @@ def _groups(counts: dict[int, int], most: int) -> dict[int, tuple[int, int]]:
 
 def _searcher(k: int):
     def run(queries: pa.Table, data: pa.Table) -> pa.Table:
-        schema = pa.schema([("vkey", pa.string()), ("score", pa.int64()), ("first_id", pa.int64()), ("ids", pa.list_(pa.int64()))])
+        schema = pa.schema([("vkey", pa.string()), ("score", pa.int64()), ("first_id", pa.int64()), ("ids", pa.list_(pa.int64())), ("own", pa.bool_())])
         if not queries.num_rows or not data.num_rows:
             return schema.empty_table()
         q, d = _common(_vectors(queries["vec"].to_pylist()), _vectors(data["data_vec"].to_pylist()))
@@ -236,7 +239,8 @@ def _searcher(k: int):
         row, col = np.nonzero(best >= 0)
         hit = best[row, col]
         return pa.Table.from_arrays([queries["vkey"].take(pa.array(row)).combine_chunks(), pa.array(score[row, col]), pa.array(ids[hit]),
-                                     data["data_ids"].take(pa.array(hit)).combine_chunks().cast(pa.list_(pa.int64()))], schema=schema)
+                                     data["data_ids"].take(pa.array(hit)).combine_chunks().cast(pa.list_(pa.int64())),
+                                     pc.equal(queries["vkey"].take(pa.array(row)), data["data_vkey"].take(pa.array(hit))).combine_chunks()], schema=schema)
     return run
 
 
@@ -246,7 +250,9 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
 
     ``vectors`` is as ``whole_vectors`` returns it; ``is_query`` picks the
     queries by vec_id. Returns query_id, rank (from 1), vec_id, score; ties go
-    to the smaller vec_id; fewer rows if the table has fewer. Vectors of unequal
+    to the smaller vec_id; fewer rows if the table has fewer. Another vector of
+    the query's own vec_id is a row like others, and each vector of a repeated
+    query is asked by itself. Vectors of unequal
     length compare as if padded with zeros. Equal vectors are searched once:
     only their k+1 smallest ids can be among anyone's k best, which are taken
     by salted ranking, so that one vector may be a third of the table.
@@ -287,7 +293,8 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     norm = np.linalg.norm(pivots.astype(np.float64), axis=1)
     dots = pivots.astype(np.float64) @ pivots.astype(np.float64).T
     pairs = {(q_group[a], d_group[b]) for a in query_n for b in data_n
-             if dots[a, b] + q_radius[a] * norm[b] + radius[b] * norm[a] + q_radius[a] * radius[b] + 1 >= floor[a]}
+             if dots[a, b] + q_radius[a] * norm[b] + radius[b] * norm[a] + q_radius[a] * radius[b]
+             + 1 + 1e-9 * (norm[a] + q_radius[a]) * (norm[b] + radius[b]) >= floor[a]}
     grouped = lambda groups: spark.createDataFrame([(c, g, p) for c, (g, p) in groups.items()], "cell int, g int, parts int")
     plan = spark.createDataFrame([(a[0], a[1], b[0], b[1]) for a, b in sorted(pairs)], "qg int, qparts int, dg int, dparts int")
     part = F.pmod(F.xxhash64("vkey"), F.col("parts")).cast("int")
@@ -297,16 +304,17 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
          .withColumn("dp", F.explode(F.sequence(F.lit(0), F.col("dparts") - 1))).select("qg", "qp", "dg", "dp", "vkey", "vec", "floor"))
     d = (placed.join(F.broadcast(grouped(d_group)), "cell").withColumn("dp", part)
          .join(F.broadcast(plan), F.col("g") == F.col("dg"))
-         .withColumn("qp", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("qg", "qp", "dg", "dp", "vec", "first_id", "ids"))
+         .withColumn("qp", F.explode(F.sequence(F.lit(0), F.col("qparts") - 1))).select("qg", "qp", "dg", "dp", "vkey", "vec", "first_id", "ids"))
     keys = ["qg", "qp", "dg", "dp"]
     d = d.toDF(*(f"data_{c}" for c in d.columns))            # both sides come from one table
     hits = q.groupBy(*keys).cogroup(d.groupBy(*(f"data_{c}" for c in keys))).applyInArrow(_searcher(k + 1), _HITS)
 
     best = Window.partitionBy("vkey").orderBy(F.col("score").desc(), "first_id")
     merged = (hits.withColumn("_r", F.row_number().over(best)).where(F.col("_r") <= k + 1)
-              .withColumn("found", F.transform("ids", lambda i: F.struct((-F.col("score")).alias("minus"), i.alias("vec_id"))))
+              .withColumn("found", F.transform("ids", lambda i: F.struct(
+                  (-F.col("score")).alias("minus"), i.alias("vec_id"), F.col("own").alias("own"))))
               .groupBy("vkey").agg(F.slice(F.array_sort(F.flatten(F.collect_list("found"))), 1, k + 1).alias("found")))
     answers = rows.where(is_query).select(F.col("vec_id").alias("query_id"), "vkey").join(merged, "vkey")
-    own = F.slice(F.filter("found", lambda f: f["vec_id"] != F.col("query_id")), 1, k)
-    return answers.select("query_id", F.posexplode(own).alias("pos", "hit")).select(
+    others = F.slice(F.filter("found", lambda f: ~(f["own"] & (f["vec_id"] == F.col("query_id")))), 1, k)
+    return answers.select("query_id", F.posexplode(others).alias("pos", "hit")).select(
         "query_id", (F.col("pos") + 1).cast("int").alias("rank"), F.col("hit.vec_id").alias("vec_id"), (-F.col("hit.minus")).alias("score"))

@@ -14,10 +14,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import id_crc32
+from vigil.llm.common import id_crc32, importable
 
 SLOTS = 1 << 20
 _WORDS = re.compile(r"[^\W\d_]+").findall
@@ -159,19 +159,22 @@ def _hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_class: int = 2000, **options) -> FactorizationMachine:
-    """Fit on about ``rows_per_class`` labelled rows of each class (the bound of
-    the sample: rows are drawn by a hash of their id). ``labels`` has doc_id and
+    """Fit on at most ``rows_per_class`` labelled ids of each class (the bound of
+    the sample: the first by a hash of the id). ``labels`` has doc_id and
     ``label``; rows with a null or another value than 0 and 1 are left out, of
-    repeated labels the largest holds."""
+    repeated labels the largest holds. Of several documents with one id the text
+    with the smallest hash is learnt; ids without a document are not learnt."""
+    importable(docs.sparkSession)
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    every = lambda y: max(1, count.get(y, 0) // rows_per_class)
-    draw = F.xxhash64(F.lit(3), F.col("doc_id"))
-    sample = known.where(F.when(F.col("label") == 1, F.pmod(draw, F.lit(every(1))) == 0)
-                         .otherwise(F.pmod(draw, F.lit(every(0))) == 0)).select("doc_id", "label")
-    # at most about 2 * 2 * rows_per_class rows of two integers, so a bounded side
-    drawn = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").mapInArrow(_hashed, "label int, slots binary").toArrow()
+    # Spark keeps the first rows of each task before it shuffles them, so a class of any size is ranked
+    drawn_first = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(3), F.col("doc_id")), "doc_id")
+    sample = known.withColumn("_r", F.row_number().over(drawn_first)).where(F.col("_r") <= rows_per_class).select("doc_id", "label")
+    # at most 2 * rows_per_class rows of two integers, so a bounded side; a repeated id is reduced map-side
+    texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+             .groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
+    drawn = texts.mapInArrow(_hashed, "label int, slots binary").toArrow()
     texts = [np.frombuffer(s, "<i4").astype(np.int64) for s in drawn["slots"].to_pylist()]
     y = drawn["label"].to_numpy().astype(np.float64)
     rows = sum(count.values())
@@ -183,7 +186,9 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_cla
 def score(docs: DataFrame, model: FactorizationMachine, text: str = "text", out: str = "score") -> DataFrame:
     """``docs`` with the score of each whole text (null: as empty) in column
     ``out``, which replaces one of that name. Empty texts score by the bias;
-    an empty table gives an empty result."""
+    repeated rows and ids are scored each by its own text; an empty table gives
+    an empty result."""
+    importable(docs.sparkSession)
     rest = [c for c in docs.columns if c != out]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,10 +18,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import written
+from vigil.llm.common import importable, written
 from vigil.session import shared_dir
 
 # Fixed values of the seekable format: magic numbers of the skippable frame
@@ -191,18 +191,25 @@ def write_pages(pages: DataFrame, root: str, min_bytes: int = 0, frame_bytes: in
     payloads of at least ``min_bytes`` bytes the one with the largest page_id is
     the response and the others revisit it; smaller ones are all responses. A
     null page_id is below every id (a group with null ids only: all
-    responses); rows repeated with the largest page_id are all responses; a
-    null url is written as about:blank; an empty table writes no bundle.
+    responses); of rows repeated with the largest page_id the first by url (null
+    last) is the response; a null url is written as about:blank; an empty table
+    writes no bundle.
     """
+    importable(pages.sparkSession)
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url",
                         F.coalesce(F.col("html"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha2("payload", 256)))
-    keep = (rows.where(F.octet_length("payload") >= min_bytes).select("sha", "page_id")
-            .groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
+    ids = rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha", "page_id").agg(F.count(F.lit(1)).alias("n"))
+    keep = ids.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.sum("n").alias("n"),
+                                  F.max_by("n", "page_id").alias("n_top")).where(F.col("n") > 1)
+    top = F.col("refers_to").eqNullSafe(F.col("page_id")) & F.col("refers_to").isNotNull()
+    joined = rows.join(keep, "sha", "left").withColumn("tied", F.coalesce(top & (F.col("n_top") > 1), F.lit(False)))
     revisit = F.col("refers_to").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("refers_to")))
-    linked = (rows.join(keep, "sha", "left").withColumn("revisit", revisit)
-              .withColumn("refers_to", F.when(F.col("revisit"), F.col("refers_to")))
-              .select("page_id", "url", "payload", "refers_to", "revisit"))
+    # only rows that repeat the largest id of their payload are numbered
+    first = Window.partitionBy("sha").orderBy(F.col("url").asc_nulls_last())
+    tied = joined.where("tied").withColumn("revisit", F.row_number().over(first) > 1)
+    linked = joined.where("not tied").withColumn("revisit", revisit).unionByName(tied).select(
+        "page_id", "url", "payload", F.when(F.col("revisit"), F.col("refers_to")).alias("refers_to"), "revisit")
     return written(linked.mapInArrow(_writer(root, frame_bytes, level, date), INDEX), "warc-index")
 
 
