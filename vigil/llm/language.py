@@ -13,10 +13,12 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-BLOCK = 512                # characters parsed on their own, so that blocks run side by side
+from vigil.llm.common import importable
+
+BLOCK = 512                # characters parsed side by side; the parse is then carried over their edges
 
 
 @lru_cache(1)
@@ -102,55 +104,107 @@ class CrossParser:
         self.table = np.concatenate(self.tables) if self.tables else np.zeros(0, np.int32)
         self.tables = None
 
-    def phrases(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(texts, languages) counts of phrases, and whether a text has a letter."""
+    def _step(self, state: np.ndarray, lang, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(next state, whether a phrase ended before this character)."""
+        step = self.table[state + codes]
+        end = step & 1
+        return (step ^ end) + self.base[lang], end
+
+    def phrases(self, texts: list[str], state: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(texts, languages) counts of phrases, whether a text has a letter, and
+        the states (languages, texts) in which the parses end. ``state``: those
+        of what comes before the texts, whose last phrases go on in them.
+
+        Blocks are parsed side by side as if a phrase began at each; the parse
+        that reaches a block is then carried into it until it is in the same
+        state as the block's own, from where on both are one."""
         points = code_points("".join(texts))
         lengths = np.array([len(t) for t in texts], np.int64)
         starts = np.concatenate([[0], np.cumsum(lengths)])
         codes = self.code[points]
         seen = np.concatenate([[0], np.cumsum(self.letter[points])])
         has = seen[starts[1:]] > seen[starts[:-1]]
-        out = np.zeros((len(texts), len(self.langs)), np.int64)
-        blocks = -(-lengths // BLOCK)
+        n_langs = len(self.langs)
+        first = np.broadcast_to(self.base[:, None], (n_langs, len(texts))) if state is None else state
+        blocks = np.maximum(-(-lengths // BLOCK), 1)
         owner = np.repeat(np.arange(len(texts)), blocks)
-        nth = np.arange(len(owner)) - np.repeat(np.concatenate([[0], np.cumsum(blocks)[:-1]]), blocks) if len(owner) else owner
+        nth = np.arange(len(owner)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
         begin = starts[:-1][owner] + nth * BLOCK
         size = np.minimum(BLOCK, starts[1:][owner] - begin)
+        ends, last = np.zeros((n_langs, len(owner)), np.int64), np.zeros((n_langs, len(owner)), np.int64)
         order = np.argsort(-size, kind="stable")
-        begin, size, owner = begin[order], size[order], owner[order]
-        for lane in range(0, len(begin), 4096):      # so that the states stay in the cache
-            b, s = begin[lane:lane + 4096], size[lane:lane + 4096]
-            state = np.zeros((len(self.langs), len(b)), np.int64) + self.base[:, None]
-            count = np.ones((len(self.langs), len(b)), np.int64)
-            active = np.searchsorted(-s, -np.arange(int(s[0])), "left")   # blocks longer than t
-            for t, n in enumerate(active.tolist()):
-                step = self.table[state[:, :n] + codes[b[:n] + t]]
-                end = step & 1
+        for lane in range(0, len(order), 4096):      # so that the states stay in the cache
+            own = order[lane:lane + 4096]
+            b, s = begin[own], size[own]
+            now = np.where(nth[own] == 0, first[:, owner[own]], self.base[:, None])
+            count = np.zeros((n_langs, len(own)), np.int64)
+            active = np.searchsorted(-s, -np.arange(int(s[0])), "left") if len(s) else []   # blocks longer than t
+            for t, n in enumerate(active.tolist() if len(s) else []):
+                now[:, :n], end = self._step(now[:, :n], np.arange(n_langs)[:, None], codes[b[:n] + t])
                 count[:, :n] += end
-                state[:, :n] = (step ^ end) + self.base[:, None]
-            np.add.at(out, owner[lane:lane + 4096], count.T)
-        return out, has
+            ends[:, own], last[:, own] = count, now
+
+        alone = last.copy()                                  # where a block ends that was parsed by itself
+        more = np.zeros((n_langs, len(owner)), np.int64)     # phrases that the carried parse has beyond the block's own
+        edge = np.flatnonzero(nth > 0)
+        lang, at = (x.ravel() for x in np.meshgrid(np.arange(n_langs), edge, indexing="ij"))
+        came = last[lang, at - 1]
+        while len(at):
+            more[lang, at] = 0
+            changed = []
+            for lane in range(0, len(at), 1 << 16):
+                g, k = lang[lane:lane + (1 << 16)], at[lane:lane + (1 << 16)]
+                all_g, all_k, end_state = g, k, alone[g, k]
+                true, own, which, t = came[lane:lane + (1 << 16)], self.base[g], np.arange(len(k)), 0
+                while len(k):
+                    code = codes[begin[k] + t]
+                    true, e = self._step(true, g, code)
+                    own, o = self._step(own, g, code)
+                    more[g, k] += e.astype(np.int64) - o
+                    t += 1
+                    apart = true != own
+                    over = apart & (size[k] == t)
+                    end_state[which[over]] = true[over]       # still apart at the block's end
+                    go = apart & ~over
+                    true, own, which, g, k = true[go], own[go], which[go], g[go], k[go]
+                other = end_state != last[all_g, all_k]       # then the next block's parse changes, too
+                last[all_g, all_k] = end_state
+                changed.append((all_g[other], all_k[other] + 1))
+            lang, at = (np.concatenate(x) for x in zip(*changed, strict=True))
+            inside = at < len(owner)
+            lang, at = lang[inside], at[inside]
+            inside = nth[at] > 0
+            lang, at = lang[inside], at[inside]
+            came = last[lang, at - 1]
+        out = np.zeros((len(texts), n_langs), np.int64)
+        np.add.at(out, owner, (ends + more).T)
+        if state is None:
+            out += 1
+        return out, has, last[:, np.cumsum(blocks) - 1]
 
     def _counted(self, texts: list[str], most: int = 1 << 21) -> tuple[np.ndarray, np.ndarray]:
-        """``phrases`` with bounded memory: about ``most`` characters at once,
-        long texts in parts of whole blocks."""
+        """``phrases`` with bounded memory: about ``most`` characters at once; a
+        longer text is parsed part by part, its state carried on."""
         out, has = np.zeros((len(texts), len(self.langs)), np.int64), np.zeros(len(texts), bool)
-        held, parts, owner = 0, [], []
+        held, some = 0, []
 
         def count():
-            n, h = self.phrases(parts)
-            np.add.at(out, owner, n)
-            np.logical_or.at(has, owner, h)
+            out[some], has[some], _ = self.phrases([texts[i] for i in some])
 
         for i, text in enumerate(texts):
-            for k in range(0, len(text), most):
-                parts.append(text[k:k + most])
-                owner.append(i)
-                held += len(parts[-1])
-                if held >= most:
-                    count()
-                    held, parts, owner = 0, [], []
-        if parts:
+            if len(text) > most:
+                state = None
+                for k in range(0, len(text), most):
+                    n, h, state = self.phrases([text[k:k + most]], state)
+                    out[i] += n[0]
+                    has[i] |= h[0]
+                continue
+            some.append(i)
+            held += len(text)
+            if held >= most:
+                count()
+                held, some = 0, []
+        if some:
             count()
         return out, has
 
@@ -180,34 +234,43 @@ def _parser(training: dict[str, str]) -> CrossParser:
     return _parsers[key]
 
 
-def learn(docs: DataFrame, rows_per_lang: int = 64, chars_per_row: int = 640) -> dict[str, str]:
-    """Training text by language from ``docs`` (doc_id, text, lang): about
-    ``rows_per_lang`` rows, drawn by a hash of the id, of ``chars_per_row``
-    letters and spaces each from the middle of the text. These are the bounds
-    of the sample; languages get equally much text as far as they have it. Rows
-    with a null lang, a null id or no letter are left out."""
+def learn(docs: DataFrame, rows_per_lang: int = 64, chars_per_lang: int = 40_960) -> dict[str, str]:
+    """Training text by language from ``docs`` (doc_id, text, lang): whole texts,
+    drawn by a hash of id and text, until a language has ``chars_per_lang``
+    letters and spaces or ``rows_per_lang`` rows. Both are the bounds of the
+    sample; texts longer than an eighth of the first are drawn only for a language
+    without shorter ones, the shortest of them then. Rows with a null lang, a null
+    id or no letter are left out; rows that repeat lang and text are drawn once;
+    ids may repeat."""
+    importable(docs.sparkSession)
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    count = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
-    every = F.lit(1)
-    for lang, n in count.items():
-        every = F.when(F.col("lang") == lang, F.lit(max(1, n // rows_per_lang))).otherwise(every)
-    drawn = rows.where(F.pmod(F.xxhash64(F.lit(11), F.col("doc_id")), every) == 0)
-    width = chars_per_row * 2
-    middle = F.greatest(F.lit(1), ((F.length("text") - width) / 2).cast("int") + 1)
-    got = drawn.select("lang", F.xxhash64("doc_id").alias("h"), F.substr("text", middle, F.lit(width)).alias("part")).collect()
+    keyed = rows.select("lang", F.xxhash64("text").alias("t"), F.length("text").alias("n"), "doc_id")
+    different = keyed.groupBy("lang", "t").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
+    # Spark keeps the first rows of each task before it shuffles them
+    long = F.when(F.col("n") > chars_per_lang // 8, F.col("n")).otherwise(0)
+    order = Window.partitionBy("lang").orderBy(long, F.xxhash64(F.lit(11), "doc_id", "t"), "t")
+    few = different.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows_per_lang)
+    before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    drawn = (few.withColumn("before", before).where((F.col("r") == 1) | ((F.col("before") < chars_per_lang) & (F.col("n") <= chars_per_lang // 8)))
+             .select("lang", "t", "r"))
+    # at most rows_per_lang rows a language, so a bounded side; repeated texts are reduced map-side
+    got = (rows.withColumn("t", F.xxhash64("text")).join(F.broadcast(drawn), ["lang", "t"])
+           .groupBy("lang", "t", "r").agg(F.min("text").alias("text")).collect())
     out: dict[str, str] = {}
-    for lang in sorted(count):
-        parts = [letters(r["part"])[:chars_per_row] for r in sorted((r for r in got if r["lang"] == lang), key=lambda r: (r["h"], r["part"]))]
-        text = " ".join(p for p in parts if p.strip())
-        if text.strip():
-            out[lang] = text[:2 * rows_per_lang * chars_per_row]
+    for lang in sorted({r["lang"] for r in got}):
+        parts = [letters(r["text"]) for r in sorted((r for r in got if r["lang"] == lang), key=lambda r: r["r"])]
+        text = " ".join(p for p in parts if p)
+        if text:
+            out[lang] = text
     return out
 
 
 def identify(docs: DataFrame, training: dict[str, str], text: str = "text") -> DataFrame:
     """``docs`` with lang_pred and score (replacing columns of these names) for
     each whole text. ``und`` with score 0 for a null text or one without a
-    letter, or if nothing was learnt; ties go to the first language by name."""
+    letter, or if nothing was learnt; ties go to the first language by name;
+    repeated rows and ids are judged each by its own text."""
+    importable(docs.sparkSession)
     rest = [c for c in docs.columns if c not in ("lang_pred", "score")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
