@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
@@ -67,17 +68,72 @@ def test_chat_keeps_maximal(spark):
     assert chat.format_chats(df.limit(0)).count() == 0
 
 
-def test_fingerprint_versions(docs):
-    got = fingerprint.fingerprint_versions(docs, parts=4).collect()
-    order = sorted(odd_docs(), key=lambda d: (d[0] is None, -(d[0] or 0), d[1] or ""))
-    want = []
-    for i, d in enumerate(order):
-        a, b = d[1] or "", order[(i + 1) % len(order)][1] or ""
-        h = len(a) // 2
-        want.append((d[0], len(a), hashlib.sha256((a[:len(a) - h] + b[:h]).encode()).hexdigest()))
-    assert sorted(map(str, want)) == sorted(str((r.doc_id, r.n_chars, r.edited_sha256)) for r in got)
-    assert all(0 <= r.near_edited <= 1 and 0 <= r.near_next <= 1 for r in got)
+def weighted_jaccard(a, b):
+    """Of the multisets of paragraphs, by characters."""
+    x, y = (Counter(fingerprint.paragraphs(t)) for t in (a, b))
+    size = lambda c: sum(len(p) * n for p, n in c.items())
+    return size(x & y) / size(x | y) if size(x | y) else 1.0
+
+
+def brute_versions(spark, rows):
+    """(doc_id, n_chars, edited_sha256, near_edited, near_next) of (doc_id, text) rows."""
+    df = spark.createDataFrame([(i, d, t or "") for i, (d, t) in enumerate(rows)], "i int, doc_id long, text string")
+    h = {r.i: r.h % 2 ** 64 for r in df.select("i", F.xxhash64(F.lit(23), "text").alias("h")).collect()}
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, -(rows[i][0] or 0), h[i]))
+    out = []
+    for k, i in enumerate(order):
+        a, b = rows[i][1] or "", rows[order[(k + 1) % len(order)]][1] or ""
+        half = len(a) // 2
+        edited = a[:len(a) - half] + b[:half]
+        out.append((rows[i][0], len(a), hashlib.sha256(edited.encode()).hexdigest(), round(weighted_jaccard(a, edited), 9), round(weighted_jaccard(a, b), 9)))
+    return sorted(map(str, out))
+
+
+def found_versions(df, **options):
+    return sorted(str((r.doc_id, r.n_chars, r.edited_sha256, round(r.near_edited, 9), round(r.near_next, 9)))
+                  for r in fingerprint.fingerprint_versions(df, **options).collect())
+
+
+def test_fingerprint_versions(spark, docs):
+    want = brute_versions(spark, [d[:2] for d in odd_docs()])
+    for parts in (1, 4, 40):
+        assert found_versions(docs, parts=parts) == want
     assert fingerprint.fingerprint_versions(docs.limit(0)).count() == 0
+    one = spark.createDataFrame([(1, "a lone text. It has two sentences")], "doc_id long, text string")
+    assert found_versions(one) == brute_versions(spark, [(1, "a lone text. It has two sentences")])
+
+
+def test_fingerprints_of_hot_ids_are_cut_into_ranges(spark):
+    r = random.Random(8)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else r.choice([i, -i, 2 ** 62 + i, -2 ** 63 + i, 2 ** 63 - 1 - i]), words(r, r.randint(0, 60)))
+            for i in range(900)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert found_versions(df, parts=16) == brute_versions(spark, rows)
+    base = df.withColumn("_h", F.xxhash64(F.lit(23), "text"))
+    sizes = [x["count"] for x in fingerprint._ranges(base, 16).groupBy("_part").count().collect()]
+    assert max(sizes) <= 2 * 900 / 16
+
+
+def test_stored_fingerprints_compare_or_ask_for_larger_ones(spark):
+    r = random.Random(4)
+    asked = 0
+    for n in (0, 1, 5, 40, 300, 2000):
+        for _ in range(12):
+            a = words(r, n)
+            cut = r.randint(0, len(a))
+            b = a[:cut] + r.choice(["", words(r, 3), words(r, n)]) + a[min(len(a), cut + r.randint(0, 50)):]
+            x, y = (fingerprint.digests(fingerprint.paragraphs(t)) for t in (a, b))
+            one, two = fingerprint.fingerprints([x, y])
+            got = fingerprint.compare(one, two)
+            asked += got is None
+            assert got is None or abs(got - weighted_jaccard(a, b)) < 1e-9
+            assert fingerprint.compare(one, one) == 1.0
+            assert got is not None or weighted_jaccard(a, b) < 0.6     # near versions are told from the stored ones
+    assert asked
+    a = words(r, 3000)                                                  # an inserted word changes the paragraph around it only
+    assert weighted_jaccard(a, a[:100] + " more " + a[100:]) > 0.95
+    c = "".join(chr(0x4E00 + r.randrange(3000)) for _ in range(3000))   # no spaces at all
+    assert weighted_jaccard(c, c[:50] + "X" + c[50:]) > 0.95
 
 
 def test_peeling_recovers_the_difference():
@@ -108,7 +164,7 @@ def test_language_learns_from_few_usable_rows(spark):
     rows = [(i, text(i) if i % 200 == 0 else ("", None, "12 34")[i % 3], "rare") for i in range(10_000)]
     df = spark.createDataFrame(rows + [(None, "uvw", "rare"), (20_000, "abc abc", "other")], "doc_id long, text string, lang string")
     training = language.learn(df)
-    assert set(training) == {"rare", "other"} and len(training["rare"]) >= sum(len(text(i).strip()) for i in range(0, 10_000, 200))
+    assert set(training) == {"rare", "other"} and len(training["rare"]) >= sum(len(t.strip()) for t in {text(i) for i in range(0, 10_000, 200)})
 
 
 def test_cross_parser_counts_phrases():
@@ -117,15 +173,12 @@ def test_cross_parser_counts_phrases():
     for _ in range(50):
         t = "".join(r.choices("abcd", k=r.randrange(1, 700)))
         for lang, counted in zip(p.langs, p.phrases([t])[0][0], strict=True):
-            want, train = 0, {"a": "abcab", "b": "bbb"}[lang]
-            for k in range(0, len(t), language.BLOCK):
-                block, phrase, n = t[k:k + language.BLOCK], "", 1
-                for ch in block:
-                    if phrase + ch in train:
-                        phrase += ch
-                    else:
-                        n, phrase = n + 1, ch if ch in train else ""
-                want += n
+            train, phrase, want = {"a": "abcab", "b": "bbb"}[lang], "", 1
+            for ch in t:
+                if phrase + ch in train:
+                    phrase += ch
+                else:
+                    want, phrase = want + 1, ch if ch in train else ""
             assert counted == want
 
 
