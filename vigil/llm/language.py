@@ -246,10 +246,15 @@ def learn(docs: DataFrame, rows_per_lang: int = 64, chars_per_lang: int = 40_960
     rows = docs.where(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & F.col("text").rlike(r"\p{L}"))
     keyed = rows.select("lang", F.xxhash64("text").alias("t"), F.length("text").alias("n"), "doc_id")
     different = keyed.groupBy("lang", "t").agg(F.min("n").alias("n"), F.min("doc_id").alias("doc_id"))
-    # Spark keeps the first rows of each task before it shuffles them
     long = F.when(F.col("n") > chars_per_lang // 8, F.col("n")).otherwise(0)
-    order = Window.partitionBy("lang").orderBy(long, F.xxhash64(F.lit(11), "doc_id", "t"), "t")
-    few = different.withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows_per_lang)
+    short = {r["lang"]: r["n"] for r in different.groupBy("lang").agg(F.count_if(F.col("n") <= chars_per_lang // 8).alias("n")).collect()}
+    # only hashes low enough for four times as many rows are ranked, so a language of any size is a small window
+    low = F.lit(1.0)
+    for lang, n in short.items():
+        low = F.when(F.col("lang") == lang, F.lit(min(1.0, (4 * rows_per_lang + 100) / max(1, n)))).otherwise(low)
+    chance = F.shiftrightunsigned(F.xxhash64(F.lit(11), "doc_id", "t"), 11) / F.lit(2.0 ** 53)
+    order = Window.partitionBy("lang").orderBy(long, "h", "t")
+    few = different.withColumn("h", chance).where((F.col("h") < low) & ((F.col("n") <= chars_per_lang // 8) | (low == 1.0))).withColumn("r", F.row_number().over(order)).where(F.col("r") <= rows_per_lang)
     before = F.coalesce(F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     drawn = (few.withColumn("before", before).where((F.col("r") == 1) | ((F.col("before") < chars_per_lang) & (F.col("n") <= chars_per_lang // 8)))
              .select("lang", "t", "r"))

@@ -11,9 +11,11 @@ share at least two shingles among the first |x| - least overlap + 2 of each, so:
   connected meet by the combinations of two frequent shingles they share.
 
 Both give a graph that holds every link and little else. Its components are
-small; each set is sent once to its component's task and verified there. Large
-components are verified block against block. Equal sets are one class
-throughout, copies are never paired.
+small; each set is sent once to its component's task and verified there. A large
+component is dealt into blocks: sets are verified within their block, then one
+set of each group found is verified against those of the other blocks, and only
+components that are still in several groups are verified block against block.
+Equal sets are one class throughout, copies are never paired.
 """
 
 from __future__ import annotations
@@ -23,15 +25,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import fixed_width, mix64, seeded64, written
+from vigil.llm.common import fixed_width, importable, mix64, seeded64, written
 from vigil.llm.components import components
 
-CELL_BITS = 20                    # of the table of shingle counts
+CELL_BITS = (20, 24)              # of the table of shingle counts: grows with the documents between these
+FILTER_BITS = (25, 28)            # of the filter before texts are shuffled: with the members
 BITS = 512                        # of a set's parity sketch
-FILTER_BITS = 25                  # of the filter before texts are shuffled
 _EXTEND = 2                       # shared prefix shingles of a linked pair
 _BLOCK = 1 << 22                  # bytes of text hashed at once
 
@@ -115,13 +117,21 @@ def least_overlap(a, b, percent: int):
     return -(-percent * (a + b) // (100 + percent))
 
 
-def _cells(width: int):
+def _bits_for(rows: int, bounds: tuple[int, int]) -> int:
+    return min(max(int(rows).bit_length(), bounds[0]), bounds[1])
+
+
+def _cell(s: np.ndarray, bits: int) -> np.ndarray:
+    return (s >> np.uint64(64 - bits)).astype(np.int64)
+
+
+def _cells(width: int, bits: int):
     """Per partition: how many sets have a shingle of each cell, in blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(1 << CELL_BITS, np.uint32)
+        total = np.zeros(1 << bits, np.uint32)
         for b in batches:
             for s in shingle_sets(b.column("text").to_pylist(), width):
-                np.add.at(total, (s >> np.uint64(64 - CELL_BITS)).astype(np.int64), np.uint32(1))
+                np.add.at(total, _cell(s, bits), np.uint32(1))
         blocks = [(i, zlib.compress(part.tobytes(), 1)) for i, part in enumerate(np.split(total, 64)) if part.any()]
         yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([z for _, z in blocks], pa.binary())],
                                          ["block", "counts"])
@@ -138,28 +148,32 @@ def _added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def shingle_counts(docs: DataFrame, width: int) -> np.ndarray:
-    """Counts over all documents, by cell: a table of fixed size (4 MB)."""
-    parts = docs.select("text").mapInArrow(_cells(width), "block int, counts binary")
+    """Counts over all documents, by cell: a cell or more per document, up to a
+    table of 64 MB. More shingles a cell only make the order less sharp."""
+    bits = _bits_for(docs.count(), CELL_BITS)
+    parts = docs.select("text").mapInArrow(_cells(width, bits), "block int, counts binary")
     rows = parts.repartition(64, "block").mapInArrow(_added, "block int, counts binary").collect()   # 64 rows
-    out = np.zeros((64, (1 << CELL_BITS) // 64), np.uint32)
+    out = np.zeros((64, (1 << bits) // 64), np.uint32)
     for r in rows:
         out[r["block"]] = np.frombuffer(r["counts"], "<u4")
     return out.ravel()
 
 
-def _filter_places(ids: np.ndarray) -> Iterator[np.ndarray]:
+def _filter_places(ids: np.ndarray, bits: int) -> Iterator[np.ndarray]:
     for seed in range(3):
-        yield (seeded64(ids.astype(np.int64).view(np.uint64), 40 + seed) >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
+        yield (seeded64(ids.astype(np.int64).view(np.uint64), 40 + seed) >> np.uint64(64 - bits)).astype(np.int64)
 
 
-def _filter_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    bits = np.zeros(1 << FILTER_BITS, bool)
-    for b in batches:
-        for at in _filter_places(b.column("cid").to_numpy()):
-            bits[at] = True
-    blocks = [(i, zlib.compress(np.packbits(part).tobytes(), 1)) for i, part in enumerate(np.split(bits, 64)) if part.any()]
-    yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([z for _, z in blocks], pa.binary())],
-                                     ["block", "bits"])
+def _filter_parts(width: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << width, bool)
+        for b in batches:
+            for at in _filter_places(b.column("cid").to_numpy(), width):
+                bits[at] = True
+        blocks = [(i, zlib.compress(np.packbits(part).tobytes(), 1)) for i, part in enumerate(np.split(bits, 64)) if part.any()]
+        yield pa.RecordBatch.from_arrays([pa.array([i for i, _ in blocks], pa.int32()), pa.array([z for _, z in blocks], pa.binary())],
+                                         ["block", "bits"])
+    return run
 
 
 def _filter_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,11 +187,12 @@ def _filter_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def maybe_member(ids: DataFrame):
     """Column function: false only for a doc_id that is null or not among ``ids``
-    (cid). A Bloom filter of fixed size (4 MB); the more ids the more pass it,
-    so an exact join follows."""
-    rows = (ids.mapInArrow(_filter_parts, "block int, bits binary").repartition(64, "block")
+    (cid). A Bloom filter that grows with the ids up to 32 MB; beyond that more
+    of the others pass it, so an exact join follows."""
+    width = _bits_for(ids.count() * 8, FILTER_BITS)
+    rows = (ids.mapInArrow(_filter_parts(width), "block int, bits binary").repartition(64, "block")
             .mapInArrow(_filter_joined, "block int, bits binary").collect())         # 64 rows
-    packed = np.zeros((64, (1 << FILTER_BITS) // 512), np.uint8)
+    packed = np.zeros((64, (1 << width) // 512), np.uint8)
     for r in rows:
         packed[r["block"]] = np.frombuffer(r["bits"], np.uint8)
     packed = packed.ravel()
@@ -185,7 +200,7 @@ def maybe_member(ids: DataFrame):
     @F.arrow_udf("boolean")
     def check(doc_id: pa.Array) -> pa.Array:                             # whole 64 bits beside nulls, too
         ok = doc_id.is_valid().to_numpy(zero_copy_only=False).copy()
-        for at in _filter_places(doc_id.fill_null(0).to_numpy(zero_copy_only=False)):
+        for at in _filter_places(doc_id.fill_null(0).to_numpy(zero_copy_only=False), width):
             ok &= (packed[at >> 3] >> (7 - (at & 7)).astype(np.uint8) & 1).astype(bool)
         return pa.array(ok)
 
@@ -198,6 +213,8 @@ def _parity(s: np.ndarray) -> bytes:
 
 def _profiles(width: int, percent: int, counts: np.ndarray):
     """Per document: size, identity and prefix of its set, and the parity sketch."""
+    bits_of_cell = len(counts).bit_length() - 1
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for b in batches:
@@ -207,7 +224,7 @@ def _profiles(width: int, percent: int, counts: np.ndarray):
                     s1.append(s.sum(dtype=np.uint64))
                     s2.append(seeded64(s, 5).sum(dtype=np.uint64))
                     bits.append(_parity(s))
-                    order = np.argsort(counts[(s >> np.uint64(64 - CELL_BITS)).astype(np.int64)], kind="stable")   # then by hash
+                    order = np.argsort(counts[_cell(s, bits_of_cell)], kind="stable")   # then by hash
                     prefix.append(s[order[:len(s) - -(-percent * len(s) // 100) + _EXTEND]])
                 flat = np.concatenate([*prefix, np.zeros(0, np.uint64)]).view(np.int64)
                 offsets = np.concatenate([[0], np.cumsum([len(p) for p in prefix])]).astype(np.int32)
@@ -329,7 +346,68 @@ def _verified(width: int, percent: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_most: int = 2048, block_most: int = 2048) -> DataFrame:
+def _dealt(nodes: DataFrame, block_most: int, block_shingles: int) -> DataFrame:
+    """(node, component, own, parts): the sets of each component dealt into
+    blocks of about ``block_most`` sets and ``block_shingles`` shingles."""
+    sizes = written(nodes.groupBy("component").agg(F.greatest(
+        F.ceil(F.count(F.lit(1)) / F.lit(block_most)), F.ceil(F.sum("n") / F.lit(block_shingles))).cast("int").alias("parts")), "component-sizes")
+    return nodes.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
+
+
+def _verify(base: DataFrame, members: DataFrame, check, width: int, percent: int) -> DataFrame:
+    """Exact links (a, b) among the ``members`` (cid, component, lo, hi) of each
+    part, from the texts of those that ``check`` lets pass."""
+    texts = base.where(check("doc_id")).alias("d").join(members.alias("m"), F.col("d.doc_id") == F.col("m.cid")).select(
+        "component", "lo", "hi", "cid", "text")
+    return texts.groupBy("component", "lo", "hi").applyInArrow(_verified(width, percent), "a long, b long")
+
+
+def _block_pairs(dealt: DataFrame) -> DataFrame:
+    """Members of every pair of different blocks of their component."""
+    other = F.explode(F.filter(F.sequence(F.lit(0), F.col("parts") - 1), lambda i: i != F.col("own")))
+    return dealt.where(F.col("parts") > 1).withColumn("other", other).select(
+        F.col("node").alias("cid"), "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
+
+
+def verified_links(base: DataFrame, labels: DataFrame, classes: DataFrame, width: int, percent: int, block_most: int,
+                   block_shingles: int) -> DataFrame:
+    """Exact links (a, b) among the texts of each component of ``labels`` (node,
+    component): enough of them to connect whatever is connected."""
+    sizes = classes.groupBy("cid").agg(F.sum("n").alias("n"))
+    nodes = written(labels.join(sizes, F.col("node") == F.col("cid")).select("node", "component", "n"), "component-members")
+    check = maybe_member(nodes.select(F.col("node").alias("cid")))          # so that other texts are not shuffled
+    dealt = written(_dealt(nodes, block_most, block_shingles), "component-blocks")
+    within = dealt.select(F.col("node").alias("cid"), "component", F.col("own").alias("lo"), F.col("own").alias("hi"))
+    links = written(_verify(base, within, check, width, percent), "links-within")
+    large = dealt.where(F.col("parts") > 1)
+    if large.isEmpty():
+        return links
+
+    # one set of each group found so far, against those of the other groups
+    def grouped(found: DataFrame) -> DataFrame:
+        """The sets of large components with their group."""
+        groups = components(found)
+        return written(large.select("node", "component", "n", "own", "parts").join(groups.withColumnRenamed("component", "g"), "node", "left")
+                       .withColumn("g", F.coalesce("g", "node")), "component-groups")
+
+    first = grouped(links.join(large.select(F.col("node").alias("a")), "a", "left_semi"))
+    chosen = _dealt(first.where(F.col("node") == F.col("g")).select("node", "component", "n"), block_most, block_shingles)
+    chosen = written(chosen, "group-blocks")
+    among = chosen.select(F.col("node").alias("cid"), "component", F.col("own").alias("lo"), F.col("own").alias("hi"))
+    links = written(links.union(_verify(base, among.union(_block_pairs(chosen)), check, width, percent)), "links-between")
+
+    # components that are still in several groups: every block against every other
+    second = grouped(links.join(large.select(F.col("node").alias("a")), "a", "left_semi"))
+    several = second.groupBy("component").agg(F.min("g").alias("lo"), F.max("g").alias("hi")).where(F.col("lo") < F.col("hi")).select("component")
+    several = written(several, "open-components")
+    if several.isEmpty():
+        return links
+    rest = _block_pairs(second.join(several, "component", "left_semi"))
+    return written(links.union(_verify(base, rest, check, width, percent)), "links-all")
+
+
+def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_most: int = 2048, block_most: int = 2048,
+                    block_shingles: int = 1 << 21) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row of ``docs`` (doc_id
     integer, text; other columns are ignored).
 
@@ -342,6 +420,7 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
     """
     if not 50 < percent <= 100:
         raise ValueError("percent must be over 50, as linked sets must share two shingles or be equal")
+    importable(docs.sparkSession)
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     counts = shingle_counts(base, width)
     profiles = written(base.mapInArrow(_profiles(width, percent, counts),
@@ -350,34 +429,20 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
     classes = written(named.groupBy("s1", "s2", "n").agg(
         F.min("doc_id").alias("cid"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix")), "shingle-classes")
 
-    # lists of a shingle, without those that only one class has
-    line = Window.partitionBy("tok").orderBy("cid")
-    lists = (classes.select("cid", "s1", "s2", "n", F.posexplode("prefix").alias("pos", "tok"))
-             .withColumn("_near", F.coalesce(F.lag("cid").over(line), F.lead("cid").over(line)))
-             .where(F.col("_near").isNotNull()).drop("_near"))
-    lists = written(lists, "shingle-lists")
-    frequent = lists.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > rare_most)
-    frequent = written(frequent, "frequent-shingles")
-    blocks = F.coalesce(F.ceil(F.col("size") / F.lit(rare_most)), F.lit(1))
-    dealt = (lists.join(frequent, "tok", "left")
-             .withColumn("block", F.pmod(F.xxhash64("cid", "tok"), blocks).cast("int"))
+    # lists of a shingle, without those that only one class has: counted map-side,
+    # so that the join may split a list that many sets are in
+    held = classes.select("cid", "s1", "s2", "n", F.posexplode("prefix").alias("pos", "tok"))
+    several = held.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
+    lists = written(held.join(several, "tok"), "shingle-lists")
+    dealt = (lists.withColumn("block", F.pmod(F.xxhash64("cid", "tok"), F.ceil(F.col("size") / F.lit(rare_most))).cast("int"))
              .join(classes.select("s1", "s2", "n", "bits"), ["s1", "s2", "n"]).select("tok", "block", "cid", "n", "pos", "bits"))
     edges = (dealt.repartition("tok", "block").sortWithinPartitions("tok", "block", "n")
              .mapInArrow(_lists(percent), "a long, b long"))
     labels = components(edges)
-
+    frequent = lists.where(F.col("size") > rare_most)
     if not frequent.isEmpty():
-        labels = _joined_by_pairs(lists, frequent, labels)
-
-    # verify: each member's text goes to its component, a large one in pairs of blocks
-    sizes = labels.groupBy("component").agg(F.ceil(F.count(F.lit(1)) / F.lit(block_most)).cast("int").alias("parts"))
-    member = labels.join(sizes, "component").withColumn("own", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int"))
-    member = member.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).select(
-        F.col("node").alias("cid"), "component", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"))
-    member = written(member, "component-members")
-    asked = base.where(maybe_member(member.select("cid"))("doc_id"))      # so that other texts are not shuffled
-    texts = asked.join(member, asked["doc_id"] == member["cid"]).select("component", "lo", "hi", "cid", "text")
-    links = texts.groupBy("component", "lo", "hi").applyInArrow(_verified(width, percent), "a long, b long")
+        labels = _joined_by_pairs(frequent, labels)
+    links = verified_links(base, labels, classes, width, percent, block_most, block_shingles)
 
     # the classes of one document's rows are linked by it
     ends = [f(c).alias(f"{name}_{c}") for c in ("s1", "s2", "n") for name, f in (("lo", F.min), ("hi", F.max))]
@@ -399,18 +464,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
         F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id")).alias("component_id"))
 
 
-def _joined_by_pairs(lists: DataFrame, frequent: DataFrame, labels: DataFrame) -> DataFrame:
+def _joined_by_pairs(frequent: DataFrame, labels: DataFrame) -> DataFrame:
     """``labels`` with the components joined that share a combination of two
     frequent shingles. Only shingles whose lists still span several components
-    matter; whatever else shares one is connected already."""
-    named = (lists.join(frequent.select("tok"), "tok").join(labels, lists["cid"] == labels["node"], "left")
+    matter; whatever else shares one is connected already. The combinations of
+    a set are a join of its shingles, however many it has."""
+    named = (frequent.join(labels, frequent["cid"] == labels["node"], "left")
              .select("tok", "cid", F.coalesce("component", "cid").alias("component")))
     live = named.groupBy("tok").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(F.col("lo") < F.col("hi"))
-    of = written(named.join(live.select("tok"), "tok"), "live-shingles")
-    sets = of.groupBy("cid", "component").agg(F.array_sort(F.collect_set("tok")).alias("toks"))   # within one prefix
-    pairs = F.flatten(F.transform("toks", lambda x, i: F.transform(
-        F.slice("toks", i + 2, F.size("toks")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-    rows = sets.select("component", F.explode(pairs).alias("pair")).distinct()
+    of = written(named.join(live.select("tok"), "tok").distinct(), "live-shingles")
+    both = (F.col("x.cid") == F.col("y.cid")) & (F.col("x.component") == F.col("y.component")) & (F.col("x.tok") < F.col("y.tok"))
+    rows = of.alias("x").join(of.alias("y"), both).select(
+        F.col("x.component").alias("component"), F.struct(F.col("x.tok").alias("x"), F.col("y.tok").alias("y")).alias("pair")).distinct()
     star = rows.groupBy("pair").agg(F.min("component").alias("lo"))
     edges = rows.join(star, "pair").where(F.col("component") > F.col("lo")).select(F.col("component").alias("a"), F.col("lo").alias("b"))
     merged = components(edges)
