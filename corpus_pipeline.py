@@ -4,16 +4,22 @@ Each stage takes (spark, docs, sf_dir), works on all that the stage before it
 kept and is written and read again before the next one. All but the last return
 the columns of ``documents``.
 
-* toxicity: documents that score 0.5 or more go;
+* toxicity: documents that score 0.5 or more go; a null text scores as empty,
+  and every row by its own text, whatever its id;
 * line_dedup: lines of at least 20 characters that at least 3 documents hold
-  stay in one of them only; documents that lose all their text stay, empty;
+  stay in one of them only (that with the largest id, a null one is below all);
+  documents that lose all their text stay, empty, and null texts become empty;
 * near_dup: one document (the smallest doc_id) of each group of near
-  duplicates stays: five-word shingles, similarity 0.8 or more;
-* mixing: sources are cut or repeated to their target weights;
-* packing: token sequences of at most 2048 ids.
-
-Null texts become empty in the second stage, null ids take part in every stage and are never near
-duplicates of anything; empty tables pass through.
+  duplicates stays: five-word shingles, similarity 0.8 or more. Rows of one id
+  are one document and stay or go together; null ids and texts without words are
+  near duplicates of nothing and stay;
+* mixing: sources are cut or repeated to their target weights; documents without
+  words are in no mix; ties are broken by hashes of id and text, so reruns agree;
+* packing: token sequences of at most 2048 ids, a longer document spans several.
+
+Rows that repeat are rows of their own but where a stage says otherwise; texts
+are taken whole, however long; extra columns are left behind; empty tables pass
+through.
 """
 
 from __future__ import annotations
