@@ -48,7 +48,7 @@ def cv_rate_model(df: DataFrame, grid: Mapping[str, tuple[Sequence[str], float]]
     of a (cell, fold) share a prediction, so tp and pp come from the
     aggregated table. The data is read once: it is summed per (every key of
     the grid, fold) — a table bounded by the product of the key domains —
-    and each grid entry re-aggregates that table."""
+    and one pass over that table serves all grid entries."""
     y = F.col(target).cast("double")
     all_keys = sorted({k for keys, _ in grid.values() for k in keys})
     # the sufficient statistics of every grid entry, checkpointed once in the
@@ -59,25 +59,21 @@ def cv_rate_model(df: DataFrame, grid: Mapping[str, tuple[Sequence[str], float]]
     all_w = Window.partitionBy(F.lit(0))  # over `folds` rows only
     glob = per_fold.select(fold, safe_ratio(F.sum("P_f").over(all_w) - F.col("P_f"),
                                             F.sum("N_f").over(all_w) - F.col("N_f")).alias("grate"))
-    parts = []
-    for name, (keys, threshold) in grid.items():
-        cells = base.groupBy(*keys, fold).agg(F.sum("_pos").alias("pos_f"), F.sum("_n").alias("n_f"))
-        w = Window.partitionBy(*keys)  # over the aggregated cells, not the rows
-        cells = (cells.withColumn("pos_t", F.sum("pos_f").over(w))
-                      .withColumn("n_t", F.sum("n_f").over(w))
-                      .join(F.broadcast(glob), fold))
-        rate = F.coalesce(safe_ratio(F.col("pos_t") - F.col("pos_f"), F.col("n_t") - F.col("n_f")),
-                          F.col("grate"))
-        pred = rate >= threshold
-        scores = (cells.groupBy(fold)
-                       .agg(F.sum(F.when(pred, F.col("pos_f")).otherwise(0)).alias("tp"),
-                            F.sum(F.when(pred, F.col("n_f")).otherwise(0)).alias("pp"))
-                       .select(F.lit(name).alias("params"), fold,
-                               F.coalesce(safe_ratio("tp", "pp"), F.lit(0.0)).alias("score")))
-        parts.append(scores)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+    # a cell of every entry of the grid at once: its name, threshold and key values
+    entries = F.array(*[F.struct(F.lit(name).alias("params"), F.lit(float(threshold)).alias("threshold"),
+                                 F.array(*[F.col(k).cast("string") for k in keys]).alias("cell"))
+                        for name, (keys, threshold) in grid.items()])
+    cells = (base.select(fold, "_pos", "_n", F.explode(entries).alias("e")).select(fold, "_pos", "_n", "e.*")
+             .groupBy("params", "threshold", "cell", fold).agg(F.sum("_pos").alias("pos_f"), F.sum("_n").alias("n_f")))
+    w = Window.partitionBy("params", "cell")  # over the aggregated cells, not the rows
+    cells = (cells.withColumn("pos_t", F.sum("pos_f").over(w)).withColumn("n_t", F.sum("n_f").over(w))
+                  .join(F.broadcast(glob), fold))
+    rate = F.coalesce(safe_ratio(F.col("pos_t") - F.col("pos_f"), F.col("n_t") - F.col("n_f")), F.col("grate"))
+    pred = rate >= F.col("threshold")
+    out = (cells.groupBy("params", fold)
+                .agg(F.sum(F.when(pred, F.col("pos_f")).otherwise(0)).alias("tp"),
+                     F.sum(F.when(pred, F.col("n_f")).otherwise(0)).alias("pp"))
+                .select("params", fold, F.coalesce(safe_ratio("tp", "pp"), F.lit(0.0)).alias("score")))
     return cv_table(out, fold, folds)
 
 

@@ -35,14 +35,14 @@ def _lineage(spark, d):
 def _store(spark, d):
     """A raw store in which every month was delivered once and the newest closed
     month a second time, replacing its rows, with fewer records (those with a
-    valid time): one month fails the checks. A third load of everything stopped
+    valid time): one month fails the checks. A third load of that month stopped
     before its manifest, so nobody sees it."""
     store, raw = shared_dir(spark, "raw-store"), raw_documents(spark, d)
     DEL.load(raw, store, "whole", RUN, "incidentes", "orders")
     again = DEL.read_rows(spark, store).filter(F.make_date("year", "month", F.lit(1)) == newest_month(spark, d)).filter(
         F.get_json_object("registros", "$.hora_creacion").contains(":"))
     DEL.load(again, store, "newest-again", RUN, "incidentes", "orders", mode="replace")
-    DEL.stage(DEL.read_rows(spark, store), store, "stopped", RUN, "incidentes", "orders")
+    DEL.stage(again, store, "stopped", RUN, "incidentes", "orders")
     return store
 
 
