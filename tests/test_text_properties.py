@@ -6,10 +6,14 @@ import unicodedata
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from vigil.functions.text import (BASE_FROM, BASE_TO, COMPATIBLE, LATIN, POINT_CHARS, UNACCENT_LIGATURES,
+from vigil.functions.text import (BASE_FROM, BASE_TO, LATIN, POINT_CHARS, UNACCENT_LIGATURES,
                                   ascii_fold, remove_points, unaccent)
 
 
+# Latin letters, super- and subscripts, letter-like ligatures, full-width forms, letter-like and enclosed signs.
+COMPATIBLE = (*LATIN, (0xA0, 0xBF), (0x2070, 0x209F), (0x2100, 0x218F), (0x2460, 0x24FF), (0xFB00, 0xFB06), (0xFF01, 0xFF5E))
+
+
 def block_chars(blocks):
     return "".join(chr(c) for a, b in blocks for c in range(a, b + 1))
 
