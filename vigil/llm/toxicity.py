@@ -168,9 +168,12 @@ def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", rows_per_cla
     known = (labels.where(F.col(label).isin(0, 1) & F.col("doc_id").isNotNull())
              .groupBy("doc_id").agg(F.max(label).cast("int").alias("label")))
     count = {r["label"]: r["n"] for r in known.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
-    # Spark keeps the first rows of each task before it shuffles them, so a class of any size is ranked
-    drawn_first = Window.partitionBy("label").orderBy(F.xxhash64(F.lit(3), F.col("doc_id")), "doc_id")
-    sample = known.withColumn("_r", F.row_number().over(drawn_first)).where(F.col("_r") <= rows_per_class).select("doc_id", "label")
+    # only hashes low enough for twice as many rows are ranked, so a class of any size is a small window
+    h = F.shiftrightunsigned(F.xxhash64(F.lit(3), F.col("doc_id")), 11) / F.lit(2.0 ** 53)
+    low = lambda y: F.lit(min(1.0, (2 * rows_per_class + 100) / max(1, count.get(y, 0))))
+    drawn_first = Window.partitionBy("label").orderBy("_h", "doc_id")
+    sample = (known.withColumn("_h", h).where(F.col("_h") < F.when(F.col("label") == 1, low(1)).otherwise(low(0)))
+              .withColumn("_r", F.row_number().over(drawn_first)).where(F.col("_r") <= rows_per_class).select("doc_id", "label"))
     # at most 2 * rows_per_class rows of two integers, so a bounded side; a repeated id is reduced map-side
     texts = (docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
              .groupBy("doc_id", "label").agg(F.min_by("text", F.xxhash64("text")).alias("text")))
