@@ -101,7 +101,10 @@ def read_rows(spark: SparkSession, store: str, year: int | None = None, month: i
             seen = seen.where(F.col(c) == v)
     if seen.isEmpty():
         return spark.createDataFrame([], "registros string, year int, month int")
-    rows = spark.read.schema(ROWS).text(f"{store}/rows").alias("r")
+    rows = spark.read.schema(ROWS).text(f"{store}/rows")
+    for c, v in (("year", year), ("month", month)):
+        rows = rows if v is None else rows.where(F.col(c) == v)
+    rows = rows.alias("r")
     same = [F.col(f"r.{c}").eqNullSafe(F.col(f"s.{c}")) for c in PARTITIONS]
     on = (F.col("r.delivery") == F.col("s.delivery")) & same[0] & same[1]
     return rows.join(seen.alias("s"), on, "left_semi").select(F.col("value").alias("registros"), *PARTITIONS)
