@@ -200,16 +200,17 @@ def write_pages(pages: DataFrame, root: str, min_bytes: int = 0, frame_bytes: in
                         F.coalesce(F.col("html"), F.lit("")).alias("payload"))
     rows = rows.withColumn("sha", F.unhex(F.sha2("payload", 256)))
     ids = rows.where(F.octet_length("payload") >= min_bytes).groupBy("sha", "page_id").agg(F.count(F.lit(1)).alias("n"))
-    keep = ids.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.sum("n").alias("n"),
-                                  F.max_by("n", "page_id").alias("n_top")).where(F.col("n") > 1)
+    keep = written(ids.groupBy("sha").agg(F.max("page_id").alias("refers_to"), F.sum("n").alias("n"),
+                                          F.max_by("n", "page_id").alias("n_top")).where(F.col("n") > 1), "warc-repeated")
     top = F.col("refers_to").eqNullSafe(F.col("page_id")) & F.col("refers_to").isNotNull()
     joined = rows.join(keep, "sha", "left").withColumn("tied", F.coalesce(top & (F.col("n_top") > 1), F.lit(False)))
     revisit = F.col("refers_to").isNotNull() & (F.col("page_id").isNull() | (F.col("page_id") < F.col("refers_to")))
-    # only rows that repeat the largest id of their payload are numbered
-    first = Window.partitionBy("sha").orderBy(F.col("url").asc_nulls_last())
-    tied = joined.where("tied").withColumn("revisit", F.row_number().over(first) > 1)
-    linked = joined.where("not tied").withColumn("revisit", revisit).unionByName(tied).select(
-        "page_id", "url", "payload", F.when(F.col("revisit"), F.col("refers_to")).alias("refers_to"), "revisit")
+    linked = joined.where("not tied").withColumn("revisit", revisit)
+    if not keep.where(F.col("refers_to").isNotNull() & (F.col("n_top") > 1)).isEmpty():
+        # only rows that repeat the largest id of their payload are numbered
+        first = Window.partitionBy("sha").orderBy(F.col("url").asc_nulls_last())
+        linked = linked.unionByName(joined.where("tied").withColumn("revisit", F.row_number().over(first) > 1))
+    linked = linked.select("page_id", "url", "payload", F.when(F.col("revisit"), F.col("refers_to")).alias("refers_to"), "revisit")
     return written(linked.mapInArrow(_writer(root, frame_bytes, level, date), INDEX), "warc-index")
 
 
