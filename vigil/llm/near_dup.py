@@ -431,17 +431,18 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80, rare_mos
 
     # lists of a shingle, without those that only one class has: counted map-side,
     # so that the join may split a list that many sets are in
-    held = classes.select("cid", "s1", "s2", "n", F.posexplode("prefix").alias("pos", "tok"))
+    # ``s1`` stands for the class in them (were two alike, both would be compared)
+    held = classes.select("s1", "n", F.posexplode("prefix").alias("pos", "tok"))
     several = held.groupBy("tok").agg(F.count(F.lit(1)).alias("size")).where(F.col("size") > 1)
     lists = written(held.join(several, "tok"), "shingle-lists")
-    dealt = (lists.withColumn("block", F.pmod(F.xxhash64("cid", "tok"), F.ceil(F.col("size") / F.lit(rare_most))).cast("int"))
-             .join(classes.select("s1", "s2", "n", "bits"), ["s1", "s2", "n"]).select("tok", "block", "cid", "n", "pos", "bits"))
+    dealt = (lists.withColumn("block", F.pmod(F.xxhash64("s1", "tok"), F.ceil(F.col("size") / F.lit(rare_most))).cast("int"))
+             .join(classes.select("s1", "cid", "bits"), "s1").select("tok", "block", "cid", "n", "pos", "bits"))
     edges = (dealt.repartition("tok", "block").sortWithinPartitions("tok", "block", "n")
              .mapInArrow(_lists(percent), "a long, b long"))
     labels = components(edges)
     frequent = lists.where(F.col("size") > rare_most)
     if not frequent.isEmpty():
-        labels = _joined_by_pairs(frequent, labels)
+        labels = _joined_by_pairs(frequent.select("tok", "s1").join(classes.select("s1", "cid"), "s1"), labels)
     links = verified_links(base, labels, classes, width, percent, block_most, block_shingles)
 
     # the classes of one document's rows are linked by it
