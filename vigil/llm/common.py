@@ -36,6 +36,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def low_hash(hexadecimal: Column, share: float) -> Column:
+    """Whether a digest in hexadecimal is among the lowest ``share`` of all."""
+    return F.substring(hexadecimal, 1, 8) < F.lit(f"{int(share * 16 ** 8):08x}") if share < 1 else F.lit(True)
+
+
 def id_crc32(col: Column) -> Column:
     """crc32 of the id written as text (null for a null id)."""
     return F.crc32(col.cast("string").cast("binary"))

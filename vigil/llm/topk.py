@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vigil.llm.common import importable, written
+from vigil.llm.common import importable, low_hash, written
 
 _HITS = "vkey string, score long, first_id long, ids array<long>, own boolean"
 
@@ -244,7 +244,7 @@ def _searcher(k: int):
     return run
 
 
-def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 1024, cells: int = 64,
+def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int = 1024, cells: int = 64, most_cells: int = 1024,
            query_group: int = 32_768, data_block: int = 8_192, salts: int = 32) -> DataFrame:
     """The ``k`` best inner products of each query among all other rows.
 
@@ -257,9 +257,10 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     only their k+1 smallest ids can be among anyone's k best, which are taken
     by salted ranking, so that one vector may be a third of the table.
 
-    ``sample_rows`` vectors (the bound of the sample, drawn by hash) give the
-    pivots of at most ``cells`` cells and first lower bounds; all rows are
-    indexed and every answer is exact.
+    ``sample_rows`` vectors, drawn by hash, give the pivots of about ``cells``
+    cells and first lower bounds; with more than ``cells`` blocks of data both
+    grow in proportion, up to ``most_cells`` (the bound of what the driver holds).
+    All rows are indexed and every answer is exact.
     """
     spark = vectors.sparkSession
     rows = vectors.withColumn("vkey", F.sha2("vec", 256))
@@ -273,7 +274,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     classes = written(classes.join(asked, "vkey", "left").withColumn("asked", F.coalesce("asked", F.lit(False)))
                       .withColumn("first_id", F.col("ids")[0]), "topk-classes")
 
-    sample = _vectors([r["vec"] for r in classes.select("vec", "vkey").orderBy("vkey").limit(sample_rows).collect()])
+    count = classes.count()
+    grown = min(max(cells, -(-count // data_block)), max(cells, most_cells))
+    sample_rows, cells = sample_rows * grown // cells, grown
+    data_block = min(data_block, max(1024, -(-count // 32)))      # a small table is some tasks, too
+    # of about twice as many those with the lowest digests, so that no task sends that many
+    drawn = classes.where(low_hash(F.col("vkey"), 2 * (sample_rows + 100) / max(1, count)))
+    sample = _vectors([r["vec"] for r in drawn.select("vec", "vkey").orderBy("vkey").limit(sample_rows).collect()])
     tree = CoverTree(sample, leaf=max(2, len(sample) // cells))
     leaves = [i for i, c in enumerate(tree.children) if not c]
     pivots = sample[tree.center[leaves]] if leaves else np.zeros((1, sample.shape[1]), np.int64)
@@ -292,9 +299,13 @@ def search(vectors: DataFrame, is_query: Column, k: int = 5, sample_rows: int =
     q_group, d_group = _groups(query_n, query_group), _groups(data_n, data_block)
     norm = np.linalg.norm(pivots.astype(np.float64), axis=1)
     dots = pivots.astype(np.float64) @ pivots.astype(np.float64).T
-    pairs = {(q_group[a], d_group[b]) for a in query_n for b in data_n
-             if dots[a, b] + q_radius[a] * norm[b] + radius[b] * norm[a] + q_radius[a] * radius[b]
-             + 1 + 1e-9 * (norm[a] + q_radius[a]) * (norm[b] + radius[b]) >= floor[a]}
+    asked_cells, data_cells = np.array(sorted(query_n), np.int64), np.array(sorted(data_n), np.int64)
+    q_far, d_far = np.array([q_radius[c] for c in asked_cells]), np.array([radius[c] for c in data_cells])
+    q_norm, d_norm = norm[asked_cells], norm[data_cells]
+    bound = (dots[np.ix_(asked_cells, data_cells)] + q_far[:, None] * d_norm + d_far * q_norm[:, None] + q_far[:, None] * d_far
+             + 1 + 1e-9 * (q_norm + q_far)[:, None] * (d_norm + d_far))
+    meet = np.argwhere(bound >= np.array([floor[c] for c in asked_cells])[:, None])
+    pairs = {(q_group[a], d_group[b]) for a, b in zip(asked_cells[meet[:, 0]].tolist(), data_cells[meet[:, 1]].tolist(), strict=True)}
     grouped = lambda groups: spark.createDataFrame([(c, g, p) for c, (g, p) in groups.items()], "cell int, g int, parts int")
     plan = spark.createDataFrame([(a[0], a[1], b[0], b[1]) for a, b in sorted(pairs)], "qg int, qparts int, dg int, dparts int")
     part = F.pmod(F.xxhash64("vkey"), F.col("parts")).cast("int")
