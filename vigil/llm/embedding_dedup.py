@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vigil.llm.common import finite_rows, importable, written
+from vigil.llm.common import finite_rows, importable, low_hash, written
 from vigil.llm.components import components
 
 #: Larger than any rounding of doubles in a product of two unit vectors here.
@@ -248,7 +248,9 @@ def near_duplicates(embeddings: DataFrame, least: float = 0.9, tile_rows: int =
     classes = written(rows.groupBy("node", "dim", "vec").agg(F.count(F.lit(1)).alias("n"), F.min("vec_id").alias("least_id")), "tiles-classes")
 
     count = classes.count()
-    sample = classes.select("dim", "vec", "node").orderBy("node").limit(sample_rows).collect()       # at most sample_rows vectors
+    # of about twice as many the sample_rows with the lowest digests, so that no task sends that many
+    drawn = classes.where(low_hash(F.col("node"), 2 * (sample_rows + 100) / max(1, count)))
+    sample = drawn.select("dim", "vec", "node").orderBy("node").limit(sample_rows).collect()
     cells = min(max_cells, -(-count // tile_rows))
     pivots, first_cell, at = {}, {}, 0
     for dim in sorted({r["dim"] for r in sample}):
