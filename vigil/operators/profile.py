@@ -55,7 +55,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
     cols = list(cols or numeric_columns(df))
     aggs: list[Column] = [F.count(F.lit(1)).alias("__rows")]
     for c in cols:
-        x = _number(c)
+        x = F.col(c)
         if not exact:
             qs = F.percentile_approx(x, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), accuracy)
             aggs += [F.approx_count_distinct(x, 0.01).alias(f"{c}__uniques"), qs.alias(f"{c}__qs")]
@@ -63,7 +63,8 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None,
                  F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
                  sample_skewness(x).alias(f"{c}__skew"),
                  sample_kurtosis(x).alias(f"{c}__kurt"), F.count(x).alias(f"{c}__count")]
-    wide = df.agg(*aggs)
+    # each column is made a number once, before its statistics
+    wide = df.select(*[_number(c).alias(c) for c in cols]).agg(*aggs)
     for c in cols:
         if not exact:
             wide = (wide.withColumn(f"{c}__q25", F.col(f"`{c}__qs`")[0])
@@ -172,8 +173,8 @@ def correlation_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> Data
     long form (var1, var2, corr); all pairs in a single aggregation pass."""
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i:]]
-    wide = df.agg(*[F.corr(_number(a), _number(b)).alias(f"{a}__{b}")
-                    for a, b in pairs])
+    # each column is made a number once, before the pairs
+    wide = df.select(*[_number(c).alias(c) for c in cols]).agg(*[F.corr(a, b).alias(f"{a}__{b}") for a, b in pairs])
     structs = []
     for a, b in pairs:
         structs.append(F.struct(F.lit(a).alias("var1"), F.lit(b).alias("var2"),

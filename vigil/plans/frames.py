@@ -54,6 +54,10 @@ PREDICTION_COLS = ("folio", "mes", "hora", "delegacion_inicio", "dia_semana", "t
                    "incidente_c4_rec", "ano", "y_proba_0", "y_proba_1", "y_etiqueta")
 
 
+# What models, scores and checks read of a processed row.
+POPULATION = ("folio", "mes", "ano", "hora", "delegacion_inicio", "dia_semana", "tipo_entrada", "incidente_c4_rec", "target")
+
+
 def newest_month(spark: SparkSession, sf_dir: str):
     """The month that the monthly run scores, as a date: the last closed month,
     which is the one before the month of the newest record."""
@@ -70,7 +74,7 @@ def written_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     The processed rows are written to the shared folder once; their number and
     that of the 'na' rows come from one column of the written table."""
     month = F.make_date(F.col("ano"), F.col("mes").cast("int"), F.lit(1))
-    population = materialize(processed_table(spark, sf_dir), "population")
+    population = materialize(processed_table(spark, sf_dir).select(*POPULATION), "population")
     counted = population.agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("delegacion_inicio") == "na").alias("na")).first()
     if counted["n"] and counted["na"] < NA_LIMIT * counted["n"]:
         population = population.filter(F.col("delegacion_inicio").isNull() | (F.col("delegacion_inicio") != "na"))
