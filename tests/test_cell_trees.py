@@ -192,3 +192,36 @@ def test_logistic_on_cells_equals_rows(spark):
     direct = Pipeline(stages=MD.feature_stages(CAT, NUM) + [est.copy(grid["penalty=l2,C=1.0"])]).fit(df)
     a, b = model.stages[-1].coefficients.toArray(), direct.stages[-1].coefficients.toArray()
     assert np.allclose(a, b, atol=1e-4)
+
+
+def test_only_smaller_children_are_counted(monkeypatch):
+    data = rows(3000, 11)
+    d, n, pos = design(data, False)
+    counted, count = [], CT.Design.histogram
+    monkeypatch.setattr(CT.Design, "histogram", lambda self, at, cell, x, nodes: counted.append(len(cell)) or count(self, at, cell, x, nodes))
+    tree, leaf = CT.grow(d, n, pos, pos, 6)
+    assert counted[0] == len(data) and len(counted) > 3    # weights and targets in one pass
+    assert all(c <= len(data) / 2 for c in counted[1:])
+    assert sorted(np.unique(leaf)) == sorted(np.flatnonzero(tree.feature < 0))
+
+
+def test_many_nodes_are_weighed_in_parts(monkeypatch):
+    d, n, pos = design(rows(900, 12), True)
+    residual = pos - n * 0.37                               # not whole: weights and targets apart
+    for total, square in ((pos, pos), (residual, pos * 0.63 ** 2 + (n - pos) * 0.37 ** 2)):
+        monkeypatch.setattr(CT, "NODES_AT_ONCE", 2048)
+        want, leaf = CT.grow(d, n, total, square, 30)
+        monkeypatch.setattr(CT, "NODES_AT_ONCE", 3)
+        got, again = CT.grow(d, n, total, square, 30)
+        assert (leaf == again).all() and all((getattr(want, c) == getattr(got, c)).all() for c in ("feature", "bound", "child"))
+
+
+def test_each_fit_gets_a_partition_and_its_own_counts(spark):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(*r, i % 3) for i, r in enumerate(rows(240, 9))], "a string, b string, x double, target int, k int")
+    cells = CT.feature_cells(df, CAT, NUM, "target", "k", 3)
+    grid = [(f"d{i}", dict(n_estimators=1, learning_rate=0.25, max_depth=i)) for i in range(1, 8)]
+    out = CT.cross_validate(cells, "gbt", CAT, NUM, 3, grid)
+    assert len({r.p for r in out.select(F.spark_partition_id().alias("p")).collect()}) == 21
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
