@@ -225,3 +225,26 @@ def test_each_fit_gets_a_partition_and_its_own_counts(spark):
     assert len({r.p for r in out.select(F.spark_partition_id().alias("p")).collect()}) == 21
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange") == 1 and "rangepartitioning" not in plan
+
+
+def test_shallower_forests_are_the_tops_of_deeper_ones():
+    d, n, pos = design(rows(600, 6), True)
+    depths = [2, 50, 4]
+    shared = CT.fit_forests(d, n, pos, 7, depths, 2, 1)
+    for depth, (trees, _, p) in zip(depths, shared, strict=True):
+        want, _, q = CT.fit_forest(d, n, pos, 7, depth, 2, 1)
+        assert (p == q).all()
+        for a, b in zip(trees, want, strict=True):
+            assert all((getattr(a, c) == getattr(b, c)).all() for c in ("feature", "bound", "child", "value"))
+
+
+def test_settings_that_differ_in_depth_are_fitted_once(spark):
+    names = [[name for name, _ in own] for own in CT._fits("random_forest", CT.tree_grid("random_forest"))]
+    assert sorted(map(len, names)) == [2, 2, 2, 2] and len(CT._fits("gbt", CT.tree_grid("gbt"))) == 2
+    df = spark.createDataFrame([(*r, i % 2) for i, r in enumerate(rows(300, 8))], "a string, b string, x double, target int, k int")
+    cells = CT.feature_cells(df, CAT, NUM, "target", "k", 2)
+    grid = [(f"m{m}d{k}", dict(n_estimators=3, max_depth=k, min_samples_split=2, min_samples_leaf=m)) for m in (1, 5) for k in (2, 9)]
+    got = {(r["params"], r["_fold"]): (r["tp"], r["pp"]) for r in CT.cross_validate(cells, "random_forest", CAT, NUM, 2, grid).collect()}
+    alone = {(r["params"], r["_fold"]): (r["tp"], r["pp"]) for one in grid
+             for r in CT.cross_validate(cells, "random_forest", CAT, NUM, 2, [one]).collect()}
+    assert len(got) == 8 and got == alone
