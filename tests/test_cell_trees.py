@@ -248,3 +248,70 @@ def test_settings_that_differ_in_depth_are_fitted_once(spark):
     alone = {(r["params"], r["_fold"]): (r["tp"], r["pp"]) for one in grid
              for r in CT.cross_validate(cells, "random_forest", CAT, NUM, 2, [one]).collect()}
     assert len(got) == 8 and got == alone
+
+
+def fits_here(monkeypatch, cells, kind, folds, grid):
+    """What each fit is sent, and the fit as a call in this process."""
+    from pyspark.sql.group import GroupedData
+    caught = []
+    with monkeypatch.context() as m:
+        m.setattr(GroupedData, "applyInArrow", lambda self, f, schema: caught.append((f, self._df.toArrow())))
+        CT.cross_validate(cells, kind, CAT, NUM, folds, grid)
+    run, sent = caught[0]
+    return [(part := sent.filter(pa.compute.equal(sent["fit"], k)), lambda part=part: run(part)) for k in range(len(set(sent["fit"].to_pylist())))]
+
+
+@pytest.mark.parametrize("kind", ["random_forest", "gbt"])
+def test_a_fit_holds_one_tree_at_a_time(spark, monkeypatch, kind):
+    import tracemalloc
+    r = random.Random(1)
+    data = [(str(r.randrange(40)), str(r.randrange(30)), float(r.randrange(9)), r.randrange(2), i % 2) for i in range(20000)]
+    cells = CT.feature_cells(spark.createDataFrame(data, "a string, b string, x double, target int, k int"), CAT, NUM, "target", "k", 2)
+
+    def peak(trees):
+        setting = dict(max_depth=60, min_samples_split=2, min_samples_leaf=1) if kind == "random_forest" else dict(max_depth=60, learning_rate=0.1)
+        (_, fit), *_ = fits_here(monkeypatch, cells, kind, 2, [("one", dict(n_estimators=trees, **setting))])
+        tracemalloc.start()
+        try:
+            assert fit().num_rows == 1
+            return tracemalloc.get_traced_memory()[1]
+        finally:
+            tracemalloc.stop()
+
+    peak(1)
+    assert peak(30) < 1.3 * peak(3)
+
+
+def test_fits_are_sent_blocks_of_codes(spark, monkeypatch):
+    data = [(f"a long name of a level {i % 50}", f"another long name of a level {i // 50}", float(i % 7), i % 2, i % 3) for i in range(2500)]
+    cells = CT.feature_cells(spark.createDataFrame(data, "a string, b string, x double, target int, k int"), CAT, NUM, "target", "k", 3)
+    grid = [(f"d{i}", dict(n_estimators=1, learning_rate=0.25, max_depth=i)) for i in (1, 2)]
+    fits = fits_here(monkeypatch, cells, "gbt", 3, grid)
+    assert len(fits) == 6
+    for sent, fit in fits:
+        assert sent.num_rows <= cells.rdd.getNumPartitions() and sent.nbytes < 25 * 2500
+        assert fit().num_rows == 1
+
+
+def test_coded_features_make_the_same_design():
+    nan = float("nan")
+    names = {"a": pa.array(["z", None, "b", "a", None, "b"]), "b": pa.array([None] * 6, pa.string()),
+             "x": pa.array([2.0, nan, None, -1.5, 2.0, nan])}
+    table = pa.table(names | {"n": pa.array(range(6))})
+    parts = [pa.table({c: t[c].dictionary_encode() if c != "n" else t[c] for c in t.column_names}) for t in (table[4:], table[:1], table[1:4])]
+    want, got = CT.Design(table, CAT, NUM), CT.Design(pa.concat_tables(parts), CAT, NUM)
+    assert want.values == got.values == [["a", "b", "z"], [], [-1.5, 2.0]]
+    assert (want.codes == got.codes).all() and want.table["n"].to_pylist() == got.table["n"].to_pylist()
+    assert dict(zip(want.table["n"].to_pylist(), want.codes.T.tolist(), strict=True)) == {
+        0: [2, 0, 1], 1: [3, 0, 2], 2: [1, 0, 2], 3: [0, 0, 0], 4: [3, 0, 1], 5: [1, 0, 2]}
+
+
+@pytest.mark.parametrize("most", [1, 40, 400])
+def test_trees_do_not_depend_on_the_sums_that_are_kept(monkeypatch, most):
+    d, n, pos = design(rows(2000, 13), True)
+    want = CT.fit_forest(d, n, pos, 4, 40, 2, 1)
+    monkeypatch.setattr(CT, "MOST_SUMS", most)
+    got = CT.fit_forest(d, n, pos, 4, 40, 2, 1)
+    assert (got[2] == want[2]).all()
+    for a, b in zip(got[0], want[0], strict=True):
+        assert all((getattr(a, c) == getattr(b, c)).all() for c in ("feature", "bound", "child", "value"))
